@@ -1,11 +1,416 @@
-"""The query catalogue."""
+"""The query catalogue: each operator applied to the analog views, with its twin in SQL."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
 
-def queries():
-    return {}
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from pairloom.operators import graph, keys, negatives, split, stats
+from pairloom.plans.analogs import Analogs
 
-def oracle_sql():
-    return {}
+SEED = "42"
+FRACTIONS = (("train", 0.6), ("optimization", 0.2), ("test", 0.2))
+
+#: Views that the twins share.
+_DOMAIN = "domain AS (SELECT p_partkey AS id, 'PF' || lpad(p_partkey::VARCHAR, 5, '0') AS pfam_id, p_name AS name FROM part)"
+_RAW = """raw AS (
+  SELECT x.l_partkey AS a, y.l_partkey AS b, 'G' || (x.l_suppkey % 80) AS bait, 'G' || (y.l_suppkey % 80) AS prey, trunc(x.l_quantity)::INT AS n_tested,
+         CASE o_orderstatus WHEN 'F' THEN 0 WHEN 'O' THEN 1 ELSE 2 END AS priority
+  FROM lineitem x JOIN lineitem y ON x.l_orderkey = y.l_orderkey AND x.l_linenumber < y.l_linenumber JOIN orders ON o_orderkey = x.l_orderkey)"""
+_EDGES = _RAW + """, edges AS (
+  SELECT a * 1000000 + b AS id, a, b, min(priority) <> 0 AS negative, CASE min(priority) WHEN 0 THEN '3did' WHEN 1 THEN 'negatome' ELSE 'y2h_ms' END AS source FROM raw GROUP BY a, b)"""
+_DEG = _EDGES + """, ends AS (SELECT a AS node, negative FROM edges UNION ALL SELECT b, negative FROM edges),
+deg AS (SELECT node, count(*) FILTER (NOT negative) AS pos, count(*) FILTER (negative) AS neg FROM ends GROUP BY node)"""
+_MAP = """mapped AS (
+  SELECT l_partkey AS domain, l_suppkey AS protein, l_orderkey AS start_pos FROM (
+    SELECT *, row_number() OVER (PARTITION BY l_partkey, l_suppkey ORDER BY l_orderkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate) AS r FROM lineitem) WHERE r = 1)"""
+_CLUSTERS = "clusters AS (SELECT p_partkey AS domain, regexp_replace(p_brand, '\\D', '', 'g')::BIGINT AS cluster FROM part)"
+_ON = _EDGES + ", " + _CLUSTERS + """, placed AS (
+  SELECT e.*, coalesce(x.cluster, e.a) AS ca, coalesce(y.cluster, e.b) AS cb FROM edges e LEFT JOIN clusters x ON x.domain = e.a LEFT JOIN clusters y ON y.domain = e.b)"""
+_GENES = "genes AS (SELECT 'G' || (s_suppkey % 80) AS gene, 'P' || s_suppkey AS accession FROM supplier), resolved AS (SELECT gene, min(accession) AS accession, count(DISTINCT accession) AS n FROM genes GROUP BY gene)"
+_TESTED = "tested AS (SELECT row_number() OVER () AS row_id, bait, prey, n_tested FROM raw WHERE n_tested >= 45 AND priority = 2)"
+_CANDS = _EDGES + ", " + _MAP + ", " + _GENES + ", " + _TESTED + """, allowed AS (
+  SELECT DISTINCT node AS feature FROM (SELECT a AS node FROM edges WHERE NOT negative AND a < 60 AND b < 60 UNION ALL SELECT b FROM edges WHERE NOT negative AND a < 60 AND b < 60)),
+known AS (SELECT DISTINCT gene, domain AS feature FROM resolved JOIN mapped ON accession = 'P' || protein WHERE n = 1 AND domain IN (SELECT feature FROM allowed)),
+cands AS (SELECT lo, hi, count(*) AS n FROM (SELECT DISTINCT row_id, least(x.feature, y.feature) AS lo, greatest(x.feature, y.feature) AS hi FROM tested JOIN known x ON x.gene = bait JOIN known y ON y.gene = prey) GROUP BY lo, hi)"""
+_PAIRS = "pairs AS (SELECT DISTINCT least(a, b) AS lo, greatest(a, b) AS hi FROM edges)"
+_SPLIT = _EDGES + f""", ranked AS (SELECT id, row_number() OVER (ORDER BY md5('{SEED}|' || id), id) - 1 AS r, count(*) OVER () AS n FROM edges),
+keep AS (SELECT id, CASE WHEN r < trunc(n * 0.6::DOUBLE) THEN 'train' WHEN r < trunc(n * 0.6::DOUBLE) + trunc(n * 0.2::DOUBLE) THEN 'optimization' ELSE 'test' END AS split FROM ranked)"""
+_PRUNE = _SPLIT + ", " + _MAP + """, small AS (SELECT * FROM mapped WHERE domain % 7 <> 0), one AS (SELECT e.*, split FROM edges e JOIN keep USING (id)),
+domains AS (SELECT DISTINCT split, node AS domain FROM (SELECT split, a AS node FROM one UNION ALL SELECT split, b FROM one) WHERE node IN (SELECT domain FROM small))"""
+_PARTS = "parts AS (SELECT DISTINCT cluster, cluster % 3 AS part FROM clusters)"
+
+_SQL: dict[str, str] = {}
+_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+
+
+def _query(sql: str | None = None):
+    def add(f):
+        _QUERIES[f.__name__] = lambda spark, sf_dir: f(Analogs(spark, sf_dir))
+        if sql:
+            _SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def _rounded(df: DataFrame) -> DataFrame:
+    return df.select(*[F.round(c, 6).alias(c) if t == "double" else F.col(c).cast("long").alias(c) if t == "int" else F.col(c) for c, t in df.dtypes])
+
+
+@_query(f"WITH {_EDGES} SELECT a, b, negative, source FROM edges")
+def ingest_first_writer_edges(v):
+    return v.edges().select("a", "b", "negative", "source")
+
+
+@_query(f"WITH {_DOMAIN} SELECT row_number() OVER (ORDER BY pfam_id) AS id, pfam_id, name FROM domain")
+def ingest_nodes_dense_ids(v):
+    return keys.surrogate_ids(v.domain().select("pfam_id", "name"), "pfam_id").select("id", "pfam_id", "name")
+
+
+@_query(f"WITH {_EDGES} SELECT x.a, x.b, x.negative FROM edges x JOIN edges y ON x.a = y.b AND x.b = y.a WHERE x.a < x.b AND x.negative <> y.negative")
+def reversed_label_conflicts(v):
+    return graph.reversed_conflicts(v.edges())
+
+
+@_query(f"WITH {_EDGES} SELECT negative, source, count(*) AS n FROM edges GROUP BY negative, source")
+def count_by_label_source(v):
+    return v.edges().groupBy("negative", "source").agg(F.count("*").alias("n"))
+
+
+@_query(f"WITH {_EDGES} SELECT count(*) AS n FROM edges WHERE negative AND source = 'negatome'")
+def count_negatome_negatives(v):
+    return v.edges().filter("negative AND source = 'negatome'").agg(F.count("*").alias("n"))
+
+
+@_query(f"WITH {_EDGES}, {_DOMAIN} SELECT DISTINCT pfam_id FROM domain WHERE pfam_id <> '' AND id IN (SELECT a FROM edges UNION SELECT b FROM edges)")
+def unique_endpoints(v):
+    ends = graph.endpoints(v.edges()).withColumnRenamed("node", "id")
+    return v.domain().join(ends, "id", "left_semi").filter("pfam_id is not null and pfam_id <> ''").select("pfam_id").distinct()
+
+
+@_query(f"WITH {_DEG} SELECT node, pos, neg FROM deg")
+def degree_by_label(v):
+    return graph.degrees(v.edges())
+
+
+@_query(f"WITH {_DEG} SELECT node, round(pos / (pos + neg), 6) AS ratio FROM deg")
+def degree_ratio(v):
+    return _rounded(stats.ratios(graph.degrees(v.edges())).select("node", "ratio"))
+
+
+_PURE = "count(*) AS n_total, count(*) FILTER (pos > 0 AND neg = 0) AS n_pure_positive, count(*) FILTER (pos = 0) AS n_pure_negative, round(count(*) FILTER (neg = 0) / greatest(1, count(*)), 6) AS frac_pure_positive, round(count(*) FILTER (pos = 0) / greatest(1, count(*)), 6) AS frac_pure_negative, round(avg(pos / (pos + neg)), 6) AS mean_ratio, round(median(pos / (pos + neg)), 6) AS median_ratio, count(*) FILTER (neg = 0 OR pos = 0) / greatest(1, count(*)) > 0.5 AS warning"
+
+
+@_query(f"WITH {_DEG} SELECT {_PURE} FROM deg")
+def pure_label_fractions(v):
+    return _rounded(stats.pure_fractions(graph.degrees(v.edges())))
+
+
+_MOMENTS = "count(*) FILTER (pos > 0) AS n_pos, round(coalesce(avg(pos) FILTER (pos > 0), 0), 6) AS pos_mean, round(coalesce(median(pos) FILTER (pos > 0), 0), 6) AS pos_median, count(*) FILTER (neg > 0) AS n_neg, round(coalesce(avg(neg) FILTER (neg > 0), 0), 6) AS neg_mean, round(coalesce(median(neg) FILTER (neg > 0), 0), 6) AS neg_median"
+
+
+@_query(f"WITH {_DEG} SELECT {_MOMENTS} FROM deg")
+def degree_moments(v):
+    return _rounded(stats.moments(graph.degrees(v.edges())))
+
+
+_KS = """vals AS (SELECT pos AS v, 1 AS p FROM deg WHERE pos > 0 UNION ALL SELECT neg, 0 FROM deg WHERE neg > 0), by_value AS (SELECT v, sum(p)::DOUBLE AS p, sum(1 - p)::DOUBLE AS n FROM vals GROUP BY v),
+cdf AS (SELECT sum(p) OVER (ORDER BY v) AS p0, sum(p) OVER () AS p1, sum(n) OVER (ORDER BY v) AS n0, sum(n) OVER () AS n1 FROM by_value),
+d AS (SELECT max(abs(p0 / p1 - n0 / n1)) AS d, max(p1) AS p1, max(n1) AS n1, (sqrt(max(p1) * max(n1) / (max(p1) + max(n1))) + 0.12 + 0.11 / sqrt(max(p1) * max(n1) / (max(p1) + max(n1)))) * max(abs(p0 / p1 - n0 / n1)) AS lam FROM cdf),
+ks AS (SELECT max(d) AS ks_statistic, CASE WHEN max(lam) < 1e-10 THEN 1 ELSE greatest(0, least(1, 2 * sum(CASE WHEN k % 2 = 1 THEN 1 ELSE -1 END * exp(-2.0 * k * k * lam * lam)))) END AS ks_p_value FROM d, range(1, 101) t(k))"""
+
+
+@_query(f"WITH {_DEG}, {_KS} SELECT round(ks_statistic, 6) AS ks_statistic FROM ks")
+def ks_statistic(v):
+    return _rounded(stats.ks_test(graph.degrees(v.edges())).select("ks_statistic"))
+
+
+@_query(f"WITH {_DEG}, {_KS} SELECT round(ks_p_value, 6) AS ks_p_value FROM ks")
+def ks_p_value(v):
+    return _rounded(stats.ks_test(graph.degrees(v.edges())).select("ks_p_value"))
+
+
+_GINI = "g AS (SELECT CASE WHEN sum(x) > 0 THEN (2 * sum(i * x) - (count(*) + 1) * sum(x)) / (count(*) * sum(x)) ELSE 0 END AS gini FROM (SELECT (pos + neg)::DOUBLE AS x, row_number() OVER (ORDER BY pos + neg, node)::DOUBLE AS i FROM deg))"
+
+
+@_query(f"WITH {_DEG}, {_GINI} SELECT round(gini, 6) AS gini FROM g")
+def gini(v):
+    return _rounded(stats.gini(graph.degrees(v.edges()), F.col("pos") + F.col("neg")))
+
+
+_HUBS = "hubs AS (SELECT node, coalesce(pfam_id, '?') AS pfam_id, pos, neg, pos + neg AS total FROM deg LEFT JOIN domain ON id = node ORDER BY total DESC, node LIMIT 20)"
+
+
+@_query(f"WITH {_DEG}, {_DOMAIN}, {_HUBS} SELECT * FROM hubs")
+def hub_top20(v):
+    return stats.hubs(graph.degrees(v.edges()), v.domain())
+
+
+@_query(f"""WITH {_DEG}, top AS (SELECT max(greatest(pos, neg)) AS m FROM deg), e AS (SELECT k, pow(10, k * log10(m + 1) / 29) AS lo FROM top, range(0, 30) t(k)),
+vals AS (SELECT pos AS v, 1 AS p FROM deg WHERE pos > 0 UNION ALL SELECT neg, 0 FROM deg WHERE neg > 0), c AS (SELECT v, sum(p) AS p, sum(1 - p) AS n FROM vals GROUP BY v),
+b AS (SELECT v, p, n, least((SELECT count(*) FROM e WHERE lo <= v) - 1, 28) AS bin FROM c) SELECT bin::BIGINT AS bin, sum(p)::BIGINT AS pos, sum(n)::BIGINT AS neg FROM b GROUP BY bin""")
+def degree_hist_log(v):
+    return stats.log_histogram(graph.degrees(v.edges())).withColumn("bin", F.col("bin").cast("long"))
+
+
+@_query(f"WITH {_DEG} SELECT least(floor(pos / (pos + neg) * 20), 19)::BIGINT AS bin, count(*) AS n FROM deg GROUP BY 1")
+def ratio_hist_20(v):
+    return stats.ratio_histogram(graph.degrees(v.edges())).withColumn("bin", F.col("bin").cast("long"))
+
+
+def _report(v: Analogs) -> DataFrame:
+    out = _rounded(stats.bias_report(v.edges(), v.domain()))
+    hub = F.array_join(F.transform("top", lambda h: F.concat_ws(":", h["node"], h["pfam_id"], h["pos"], h["neg"])), ",")
+    return out.withColumn("top_20_domains", hub).drop("top")
+
+
+@_query(f"""WITH {_DEG}, {_DOMAIN}, {_KS}, {_GINI}, {_HUBS} SELECT * FROM (SELECT {_MOMENTS} FROM deg), (SELECT round(ks_statistic, 6) AS ks_statistic, round(ks_p_value, 6) AS ks_p_value FROM ks),
+(SELECT {_PURE} FROM deg), (SELECT round(gini, 6) AS gini FROM g), (SELECT count(*) FILTER (NOT negative) AS n_positive, count(*) FILTER (negative) AS n_negative, round(count(*) FILTER (NOT negative) / greatest(1, count(*) FILTER (negative)), 6) AS ratio FROM edges),
+(SELECT string_agg(node || ':' || pfam_id || ':' || pos || ':' || neg, ',' ORDER BY total DESC, node) AS top_20_domains FROM hubs)""")
+def bias_report_query(v):
+    return _report(v)
+
+
+def bias_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _report(Analogs(spark, sf_dir))
+
+
+def _ppi(v):
+    return v.raw_pairs().filter("priority = 2").select("bait", "prey", "n_tested")
+
+
+def _tested(v):
+    return negatives.tested_pairs(_ppi(v), 45)
+
+
+@_query(f"WITH {_RAW}, {_TESTED} SELECT bait, prey, n_tested, count(*) AS n FROM tested GROUP BY ALL")
+def tested_pairs_filter(v):
+    return _tested(v).groupBy("bait", "prey", "n_tested").agg(F.count("*").alias("n"))
+
+
+@_query(f"WITH {_RAW}, {_TESTED} SELECT bait AS gene FROM tested UNION SELECT prey FROM tested")
+def unique_genes(v):
+    return negatives.unique_genes(_tested(v))
+
+
+@_query(f"WITH {_GENES} SELECT gene, accession FROM resolved WHERE n = 1")
+def gene_resolution(v):
+    return negatives.resolve_genes(v.genes()).filter("n = 1").select("gene", "accession")
+
+
+@_query(f"WITH {_GENES} SELECT gene, n FROM resolved WHERE n > 1")
+def gene_ambiguous(v):
+    return negatives.resolve_genes(v.genes()).filter("n > 1").select("gene", "n")
+
+
+@_query(f"WITH {_RAW}, {_TESTED}, {_GENES} (SELECT bait AS gene FROM tested UNION SELECT prey FROM tested) EXCEPT SELECT gene FROM genes WHERE accession < 'P5'")
+def genes_unseen(v):
+    return negatives.unique_genes(_tested(v)).join(v.genes().filter("accession < 'P5'"), "gene", "left_anti")
+
+
+@_query(f"WITH {_MAP} SELECT 'P' || protein AS accession, string_agg(DISTINCT domain, ',' ORDER BY domain) AS features FROM mapped GROUP BY protein")
+def acc_feature_sets(v):
+    return negatives.features_of(v.features()).withColumn("features", F.array_join(F.transform("features", lambda x: x.cast("string")), ","))
+
+
+def _candidates(v) -> DataFrame:
+    pairs = _tested(v).withColumn("row_id", F.monotonically_increasing_id())
+    allowed = graph.endpoints(v.edges().filter("NOT negative AND a < 60 AND b < 60")).withColumnRenamed("node", "feature")
+    return negatives.candidates(pairs, negatives.resolve_genes(v.genes()), v.features(), allowed)
+
+
+@_query(f"WITH {_CANDS} SELECT lo, hi, n FROM cands")
+def pair_candidates(v):
+    return _candidates(v)
+
+
+@_query(f"WITH {_CANDS}, {_PAIRS} SELECT lo, hi, n FROM cands ANTI JOIN pairs USING (lo, hi)")
+def pair_candidates_fresh(v):
+    return negatives.fresh(_candidates(v), v.edges())
+
+
+@_query(f"WITH {_CANDS}, {_PAIRS} SELECT count(*) AS n_overlap FROM cands SEMI JOIN pairs USING (lo, hi)")
+def pair_overlap_count(v):
+    return negatives.overlap(_candidates(v), v.edges())
+
+
+@_query(f"WITH {_CANDS} SELECT lo, hi, n FROM cands ORDER BY n DESC, lo, hi LIMIT 1")
+def candidate_argmax(v):
+    return negatives.most_frequent(_candidates(v))
+
+
+@_query(f"WITH {_CANDS}, {_PAIRS} SELECT lo, hi, n FROM cands ANTI JOIN pairs USING (lo, hi) ORDER BY n DESC, lo, hi LIMIT 200")
+def negatives_frequency(v):
+    return negatives.select_frequency(negatives.fresh(_candidates(v), v.edges()), 200)
+
+
+@_query()
+def negatives_degree_matched(v):
+    return negatives.select_degree_matched(_candidates(v), v.edges().filter("NOT negative AND a < 60 AND b < 60"), 200, SEED)
+
+
+@_query(f"WITH {_SPLIT} SELECT id, split FROM keep")
+def split_random(v):
+    return split.random_split(v.edges(), FRACTIONS, SEED)
+
+
+@_query(f"WITH {_SPLIT} SELECT split, count(*) AS n FROM keep GROUP BY split")
+def split_random_counts(v):
+    return split.random_split(v.edges(), FRACTIONS, SEED).groupBy("split").agg(F.count("*").alias("n"))
+
+
+def _pruned(v) -> dict:
+    mapped = v.mapped().filter("domain % 7 <> 0")
+    return split.materialize(v.edges(), mapped, split.random_split(v.edges(), FRACTIONS, SEED))
+
+
+@_query(f"WITH {_PRUNE} SELECT split, id, a, b FROM one WHERE (split, a) IN (SELECT (split, domain) FROM domains) AND (split, b) IN (SELECT (split, domain) FROM domains)")
+def split_prune_edges(v):
+    return _pruned(v)["edges"].select("split", "id", "a", "b")
+
+
+@_query(f"WITH {_PRUNE} SELECT split, domain FROM domains")
+def split_prune_nodes(v):
+    return _pruned(v)["domains"]
+
+
+@_query(f"WITH {_PRUNE} SELECT DISTINCT split, protein FROM domains JOIN small USING (domain)")
+def split_prune_carriers(v):
+    return _pruned(v)["proteins"]
+
+
+_SMOKE = _EDGES + f", smoke AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY negative ORDER BY md5('{SEED}|' || id), id) AS r FROM edges) WHERE r <= 50)"
+
+
+@_query(f"WITH {_SMOKE} SELECT id, a, b, negative FROM smoke")
+def smoke_sample(v):
+    return split.smoke_sample(v.edges(), 100, SEED).select("id", "a", "b", "negative")
+
+
+@_query(f"WITH {_SMOKE} SELECT a AS node FROM smoke UNION SELECT b FROM smoke")
+def smoke_sample_nodes(v):
+    return graph.endpoints(split.smoke_sample(v.edges(), 100, SEED))
+
+
+@_query(f"WITH {_ON} SELECT least(ca, cb) AS src, greatest(ca, cb) AS dst, count(DISTINCT id) AS w FROM placed GROUP BY 1, 2")
+def cluster_graph(v):
+    return graph.cluster_graph(v.edges(), v.clusters())
+
+
+@_query(f"WITH {_CLUSTERS} SELECT cluster, count(DISTINCT domain) AS w FROM clusters GROUP BY cluster")
+def cluster_weights(v):
+    return graph.cluster_weights(v.clusters())
+
+
+def _parts(v):
+    return v.clusters().select("cluster", (F.col("cluster") % 3).alias("part")).distinct()
+
+
+@_query(f"WITH {_ON}, {_PARTS} SELECT count(*) FILTER (x.part = y.part) AS internal, count(*) FILTER (x.part <> y.part) AS cut FROM placed JOIN parts x ON x.cluster = ca JOIN parts y ON y.cluster = cb")
+def cut_vs_internal(v):
+    return graph.cut(graph.cluster_graph(v.edges(), v.clusters()), _parts(v))
+
+
+@_query(f"WITH {_ON}, {_PARTS} SELECT id, x.part AS split FROM placed JOIN parts x ON x.cluster = ca JOIN parts y ON y.cluster = cb WHERE x.part = y.part")
+def split_assign_edges(v):
+    return graph.split_edges(v.edges(), v.clusters(), _parts(v))
+
+
+@_query(f"WITH {_MAP} SELECT domain, protein, start_pos FROM mapped")
+def map_keep_first(v):
+    return v.mapped()
+
+
+@_query("SELECT p_partkey AS id, unnest(string_split(p_name, ' ')) AS term FROM part")
+def terms_explode_join(v):
+    return v.table("part").select(F.col("p_partkey").alias("id"), F.explode(F.split("p_name", " ")).alias("term"))
+
+
+@_query("SELECT c_custkey AS id, regexp_extract(c_name, '^(\\w+)#0*(\\d+)$', 1) AS kind, regexp_extract(c_name, '^(\\w+)#0*(\\d+)$', 2) AS number FROM customer WHERE regexp_matches(c_name, '^(\\w+)#0*(\\d+)$')")
+def terms_regex_join(v):
+    pattern = r"^(\w+)#0*(\d+)$"
+    return v.table("customer").filter(F.col("c_name").rlike(pattern)).select(F.col("c_custkey").alias("id"), F.regexp_extract("c_name", pattern, 1).alias("kind"), F.regexp_extract("c_name", pattern, 2).alias("number"))
+
+
+@_query("SELECT x.l_suppkey AS a, y.l_suppkey AS b, count(*) AS score FROM lineitem x JOIN lineitem y ON x.l_orderkey = y.l_orderkey AND x.l_suppkey < y.l_suppkey JOIN supplier s ON s.s_suppkey = x.l_suppkey JOIN supplier t ON t.s_suppkey = y.l_suppkey GROUP BY 1, 2")
+def pair_scores_join(v):
+    line = v.table("lineitem").select("l_orderkey", "l_suppkey")
+    x, y = (line.withColumnRenamed("l_suppkey", c) for c in "ab")
+    known = lambda c: v.table("supplier").select(F.col("s_suppkey").alias(c))
+    return x.join(y, "l_orderkey").filter("a < b").groupBy("a", "b").agg(F.count("*").alias("score")).join(known("a"), "a", "left_semi").join(known("b"), "b", "left_semi")
+
+
+@_query("SELECT s_suppkey AS id, coalesce(len(embedding), 0)::BIGINT AS dims, round(embedding[1]::DOUBLE, 6) AS first FROM supplier LEFT JOIN embeddings ON vec_id = s_suppkey * 7")
+def entities_left_embeddings(v):
+    vectors = v.table("embeddings").select(F.col("vec_id").alias("k"), "embedding")
+    return v.table("supplier").select(F.col("s_suppkey").alias("id"), (F.col("s_suppkey") * 7).alias("k")).join(vectors, "k", "left").select("id", F.coalesce(F.array_size("embedding"), F.lit(0)).cast("long").alias("dims"), F.round(F.get("embedding", F.lit(0)).cast("double"), 6).alias("first"))
+
+
+@_query("SELECT label::BIGINT AS label, d::BIGINT AS d, round(avg(x), 6) AS mean FROM (SELECT label, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) - 1 AS d FROM embeddings) GROUP BY label, d")
+def mean_pool(v):
+    rows = v.table("embeddings").select(F.col("label").cast("long").alias("label"), F.posexplode("embedding").alias("d", "x"))
+    return rows.groupBy("label", F.col("d").cast("long").alias("d")).agg(F.round(F.avg(F.col("x").cast("double")), 6).alias("mean"))
+
+
+@_query("SELECT vec_id, round(list_sum(list_transform(embedding[1:1 + vec_id % 64 + 1], lambda x: x::DOUBLE)) / greatest(1, len(embedding[1:1 + vec_id % 64 + 1])), 6) AS mean FROM embeddings")
+def masked_mean_pool(v):
+    own = F.slice("embedding", F.lit(1), (F.col("vec_id") % 64 + 2).cast("int"))
+    total = F.aggregate(own, F.lit(0.0), lambda a, x: a + x.cast("double"))
+    return v.table("embeddings").select("vec_id", F.round(total / F.greatest(F.lit(1), F.size(own)), 6).alias("mean"))
+
+
+@_query("SELECT DISTINCT '>' || l_partkey || '-' || l_suppkey || chr(10) || p_name AS line FROM lineitem JOIN part ON p_partkey = l_partkey")
+def fasta_lines(v):
+    rows = v.mapped().join(v.domain().withColumnRenamed("id", "domain"), "domain")
+    return rows.select(F.concat(F.lit(">"), F.col("domain").cast("string"), F.lit("-"), F.col("protein").cast("string"), F.lit("\n"), "name").alias("line"))
+
+
+@_query("SELECT 'd' || doc_id AS id, length(regexp_replace(text, '\\s', '', 'g'))::BIGINT AS n FROM documents")
+def parse_fasta_text(v):
+    text = v.table("documents").select(F.concat(F.lit(">x|d"), "doc_id", F.lit("|n\n"), "text").alias("record"))
+    head = F.substring_index("record", "\n", 1)
+    body = F.substring(F.col("record"), F.length(head) + 2, F.length("record"))
+    return text.select(F.split_part(head, F.lit("|"), F.lit(2)).alias("id"), F.length(F.regexp_replace(body, r"\s", "")).cast("long").alias("n"))
+
+
+@_query("SELECT c_custkey AS id, ((row_number() OVER (ORDER BY c_custkey) - 1) // ceil(count(*) OVER () / least(7, count(*) OVER ()))::BIGINT)::BIGINT AS shard FROM customer")
+def contiguous_shards(v):
+    return keys.contiguous_shards(v.table("customer").select(F.col("c_custkey").alias("id")), 7, "id").select("id", "shard")
+
+
+@_query("SELECT batch, string_agg(id, ',' ORDER BY id) AS ids FROM (SELECT c_custkey AS id, ((row_number() OVER (ORDER BY c_custkey) - 1) // 100)::BIGINT AS batch FROM customer) GROUP BY batch")
+def batch_buffer(v):
+    out = keys.batches(v.table("customer").select(F.col("c_custkey").alias("id")), 100, "id")
+    return out.select("batch", F.array_join(F.transform("items", lambda x: x.cast("string")), ",").alias("ids"))
+
+
+@_query("SELECT source, doc_id FROM (SELECT source, doc_id, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS r FROM documents WHERE n_chars <= 4096) WHERE r <= 10")
+def shard_head_k(v):
+    return keys.head_per_shard(v.table("documents").filter("n_chars <= 4096").select("source", "doc_id"), "source", 10, "doc_id")
+
+
+@_query("SELECT doc_id, n_chars FROM documents WHERE n_chars BETWEEN 1 AND 4096 ORDER BY n_chars, doc_id")
+def length_cap_sorted(v):
+    return v.table("documents").filter("n_chars BETWEEN 1 AND 4096").select("doc_id", "n_chars").orderBy("n_chars", "doc_id")
+
+
+@_query("SELECT event_id, (props->>'$.k')::BIGINT AS k FROM events")
+def json_props_extract(v):
+    return v.table("events").select("event_id", F.from_json("props", "k long").getField("k").alias("k"))
+
+
+@_query(f"WITH {_EDGES}, {_DOMAIN} SELECT x.pfam_id AS pfam_a, y.pfam_id AS pfam_b, negative FROM edges JOIN domain x ON x.id = a JOIN domain y ON y.id = b")
+def pairs_to_names(v):
+    end = lambda c: v.domain().select(F.col("id").alias(c), F.col("pfam_id").alias(f"pfam_{c}"))
+    return v.edges().join(end("a"), "a").join(end("b"), "b").select("pfam_a", "pfam_b", "negative")
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return dict(_QUERIES)
+
+
+def oracle_sql() -> dict[str, str]:
+    return dict(_SQL)
