@@ -49,18 +49,19 @@ def dedup_lines(docs: DataFrame, ratio: float = RATIO, min_pages: int = MIN_PAGE
     settled(docs.sparkSession)
     found = stored(boilerplate(docs, ratio, min_pages, host_col, text_col))
     small = (found.agg(F.sum(F.size("boilerplate"))).first()[0] or 0) * 48 <= BROADCAST_BYTES
-    rows = docs.select("*", site_of(F.col(host_col)).alias("_site"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), site_of(F.col(host_col)).alias("site"))
+    text = F.col("row").getField(text_col)
     if small:
-        joined = rows.join(F.broadcast(found.withColumnRenamed("site", "_site")), "_site", "left")
+        joined = rows.join(F.broadcast(found), "site", "left")
     else:  # a hot site's pages go to SALTS tasks
-        salted = found.select(F.col("site").alias("_site"), "boilerplate", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt"))
-        joined = rows.withColumn("_salt", F.pmod(F.xxhash64(text_col), F.lit(SALTS)).cast("int")).join(salted, ["_site", "_salt"], "left")
-    lines = F.split(F.col(text_col), "\n")
+        salted = found.select("site", "boilerplate", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+        joined = rows.withColumn("salt", F.pmod(F.xxhash64(text), F.lit(SALTS)).cast("int")).join(salted, ["site", "salt"], "left")
+    lines = F.split(text, "\n")
     kept = F.filter(lines, lambda x: (F.trim(x) == "") | ~F.array_contains(F.col("boilerplate"), _name(x)))
-    joined = joined.withColumn("_kept", F.when(F.col("boilerplate").isNull(), lines).otherwise(kept))
-    count = lambda c: F.when(F.col(text_col).isNull() | (F.col(text_col) == ""), 0).otherwise(F.size(c)).cast("long")
-    others = [F.col(f"`{c}`") for c in docs.columns if c not in (text_col, "n_lines", "n_dropped")]
-    return joined.select(*others, F.array_join("_kept", "\n").alias(text_col), count(lines).alias("n_lines"), (count(lines) - count(F.col("_kept"))).alias("n_dropped"))
+    joined = joined.withColumn("kept", F.when(F.col("boilerplate").isNull(), lines).otherwise(kept))
+    count = lambda c: F.when(text.isNull() | (text == ""), 0).otherwise(F.size(c)).cast("long")
+    others = [F.col("row").getField(c).alias(c) for c in docs.columns if c not in (text_col, "n_lines", "n_dropped")]
+    return joined.select(*others, F.array_join("kept", "\n").alias(text_col), count(lines).alias("n_lines"), (count(lines) - count(F.col("kept"))).alias("n_dropped"))
 
 
 #: The same in DuckDB SQL, over documents; source is the host.

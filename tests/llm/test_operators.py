@@ -1,0 +1,349 @@
+"""Each operator against brute force on a small table with nulls, empty, long, repeated and near-equal texts."""
+
+import collections
+import hashlib
+import math
+import random
+import re
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+
+from pairloom.llm import decontaminate as op2
+from pairloom.llm import fingerprints, jaccard_join, language, line_dedup, lm_score, packing, quality, scan, suffix_dedup, warc
+
+ASCII = str.maketrans({chr(i): chr(i + 32) for i in range(65, 91)})
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, block int, bucket string, row string, site string, host string, part int, doc long, key_a long, train string, x double, tag string, kept string, boilerplate string, ids string, item_id long"
+
+
+def words(text):
+    return [w for w in re.split("[ \t-\r]+", (text or "").translate(ASCII)) if w]
+
+
+def make_texts():
+    rng = random.Random(7)
+    vocab = ["".join(rng.choice("abcdeéñß") for _ in range(rng.randint(2, 8))) for _ in range(400)]
+    say = lambda n: " ".join(rng.choice(vocab) for _ in range(n))
+    base, passage, line = say(120), say(30), say(9)
+    texts = [None, "", " \n\t ", "One two", "one TWO", "a", say(4), say(5), say(20_000), base, base, base.upper(), base + "\n" + line, passage]
+    for _ in range(40):  # near copies, at both sides of the threshold
+        w = base.split()
+        for _ in range(rng.randint(0, 6)):
+            w[rng.randrange(len(w))] = rng.choice(vocab)
+        texts.append(" ".join(w))
+    for i in range(60):
+        texts.append(f"{say(rng.randint(3, 60))}\n{line}\n{passage if i % 5 == 0 else say(8)}.\n\n{say(rng.randint(1, 40))}")
+    texts += ["ééé" * 40, "<|endoftext|>x don't 12,3 — İ é", "x" * 70, "y" + "x" * 70]
+    return texts
+
+
+@pytest.fixture(scope="module")
+def rows():
+    out = [(i, t, "en" if i % 2 else "fr", f"src{i % 3}" if i % 11 else None, len(t or "")) for i, t in enumerate(make_texts())]
+    return [r + (1, "b", "r", "s", "h", 2, 3, 4, "t", 0.5, "g", "k", "p", "i", 9) for r in out]
+
+
+@pytest.fixture(scope="module")
+def docs(spark, rows):
+    return spark.createDataFrame(rows, SCHEMA).repartition(3).cache()
+
+
+@pytest.fixture(scope="module")
+def odd(spark, rows):
+    """Repeated ids, repeated rows and null ids."""
+    more = [(None, *rows[9][1:]), (None, None, None, None, None, *rows[0][5:]), rows[12], (12, "another text", *rows[12][2:])]
+    return spark.createDataFrame(rows + more, SCHEMA)
+
+
+@pytest.fixture(scope="module")
+def none(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+def test_packing(docs, odd, none, rows):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(path)
+    got = packing.pack_documents(docs, path, with_ids=True).collect()
+    by = {(r.doc_id, r.piece): r for r in got}
+    for i, text, *_ in rows:
+        ids = [*tok.encode(text or "", add_special_tokens=False).ids, 0]
+        for k in range(0, len(ids), 2048):
+            r, part = by.pop((i, k // 2048)), np.array(ids[k : k + 2048], "<u4").tobytes()
+            assert (r.start, r.length, r.ids_crc32, bytes(r.ids)) == (k, len(part) // 4, zlib.crc32(part), part)
+    assert not by
+    bins = collections.defaultdict(list)
+    for r in got:
+        bins[r.sequence_id].append((r.offset, r.length))
+    for placed in bins.values():
+        at = 0
+        for offset, length in sorted(placed):
+            assert offset == at
+            at += length
+        assert at <= 2048
+    assert len(bins) <= math.ceil(sum(r.length for r in got) / 2048) + 1
+    assert packing.pack_documents(odd, path).count() == len(got) + 4
+    assert packing.pack_documents(none, path).count() == 0
+
+
+def test_byte_pair_merges():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    encoder = packing.WordEncoder(path)
+    rng = random.Random(1)
+    texts = ["".join(rng.choice("aaabß'stTÉ×.,!0 9\n—́") for _ in range(rng.randint(0, 40))) for _ in range(400)]
+    import pyarrow as pa
+
+    ids, begins = encoder.encode(*scan.text_buffer(pa.array(texts)))
+    for i, t in enumerate(texts):
+        assert ids[begins[i] : begins[i + 1]].tolist() == encoder.tokenizer.encode(t, add_special_tokens=False).ids, t
+
+
+def _alnum(text):
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate(ASCII))
+
+
+@pytest.fixture(scope="module")
+def items(spark, rows):
+    own = [(1, rows[13][1]), (2, " ".join(rows[70][1].split()[2:14])), (10, "ONE, two"), (3, None), (4, " .,"), (None, "one two"), (5, rows[13][1]), (1, rows[13][1])]
+    return spark.createDataFrame(own, "item_id long, text string")
+
+
+@pytest.mark.parametrize("portion", [2_000_000, 3])
+def test_decontamination(docs, odd, none, items, rows, portion, monkeypatch):
+    monkeypatch.setattr(op2, "QUERY_WORDS", portion)
+    windows = collections.defaultdict(set)
+    for r in items.collect():
+        w = _alnum(r.text)
+        if w and r.item_id is not None:
+            for k in range(max(1, len(w) - 9)):
+                windows[tuple(w[k : k + 10])].add(r.item_id)
+    got = {r.doc_id: r for r in op2.decontaminate(docs, items).collect()}
+    assert len(got) == len(rows)
+    for i, text, *_ in rows:
+        w, hit, found = _alnum(text), set(), set()
+        for size in {len(k) for k in windows}:
+            for k in range(len(w) - size + 1):
+                if own := windows.get(tuple(w[k : k + size])):
+                    hit.update(range(k, k + size))
+                    found |= own
+        r = got[i]
+        assert (r.n_words, r.n_hit, r.n_items, r["items"], r.contaminated) == (len(w), len(hit), len(found), sorted(map(str, found)), bool(hit))
+    assert op2.decontaminate(odd, items).count() == len(rows) + 4
+    assert op2.decontaminate(none, items).count() == 0
+    assert op2.decontaminate(docs, items.limit(0)).filter("contaminated").count() == 0
+
+
+def test_near_search(spark):
+    docs = spark.createDataFrame([(1, "a x b y c"), (2, "a x x x x b c"), (3, "c b a"), (4, "a b"), (5, "c")], "doc_id long, text string")
+    items = spark.createDataFrame([(1, "a b c")], "item_id long, text string")
+    near = op2.matches(op2.build_index(docs), items, slop=2)
+    assert {r.doc_id for r in near.collect() if r.hits} == {1, 3}
+    exact = op2.matches(op2.build_index(docs), items)
+    assert not [r for r in exact.collect() if r.hits]
+
+
+def test_fingerprints(docs, odd, none, rows, spark):
+    got = {r.doc_id: r for r in fingerprints.fingerprint_edits(docs).collect()}
+    for k, (i, text, *_) in enumerate(rows):
+        text, after = text or "", rows[(k + 1) % len(rows)][1] or ""
+        half = len(text) // 2
+        edited = text[: len(text) - half] + after[:half]
+        own, r = set(filter(None, got[i].fingerprint.split(","))), got[i]
+        other = set(filter(None, got[rows[(k + 1) % len(rows)][0]].fingerprint.split(",")))
+        assert (r.n_chars, r.edited_sha256) == (len(text), hashlib.sha256(edited.encode()).hexdigest())
+        assert r.near_next == pytest.approx(len(own & other) / len(own | other) if own | other else 1.0)
+    assert got[9].fingerprint == got[10].fingerprint and got[0].fingerprint == "" and got[3].fingerprint
+    # the choice of anchors, by brute force
+    text = rows[20][1]
+    h = spark.createDataFrame([(text.split(),)], "w array<string>").select(F.transform("w", lambda w: F.xxhash64(w)).alias("h")).first().h
+    inner = spark.createDataFrame(list(zip(h, h[1:], strict=False)), "a long, b long").select(F.xxhash64("a", "b").alias("h")).collect()
+    g = [r.h for r in inner]
+    want = [i for i in range(len(h) - 4) if min(g[i : i + 4]) in (g[i], g[i + 3])]
+    anchors = spark.createDataFrame([(text,)], "t string").select(fingerprints.anchors(F.col("t")).alias("a")).first().a
+    assert [a.position for a in anchors] == want
+    assert fingerprints.fingerprint_edits(odd).count() == len(rows) + 4
+    assert fingerprints.fingerprint_edits(none).count() == 0
+
+
+@pytest.mark.parametrize("limit", [8 << 20, -1])
+def test_line_dedup(docs, odd, none, rows, limit, monkeypatch):
+    monkeypatch.setattr(line_dedup, "BROADCAST_BYTES", limit)
+    pages, count = collections.Counter(), collections.Counter()
+    for _, text, _, source, *_ in rows:
+        pages[source] += 1
+        count.update({(source, x) for x in (text or "").split("\n") if x.strip(" ")})
+    drop = {k for k, n in count.items() if n >= line_dedup.MIN_PAGES and n > pages[k[0]] * line_dedup.RATIO}
+    assert drop
+    got = {r.doc_id: r for r in line_dedup.dedup_lines(docs).collect()}
+    for i, text, _, source, *_ in rows:
+        r = got[i]
+        lines = text.split("\n") if text else []
+        kept = [x for x in lines if (source, x) not in drop]
+        assert (r.n_lines, r.n_dropped, r.text) == (len(lines), len(lines) - len(kept), text if not text else "\n".join(kept))
+        assert (r.boilerplate, r.site, r.kept) == ("p", "s", "k")
+    assert line_dedup.dedup_lines(odd).count() == len(rows) + 4
+    assert line_dedup.dedup_lines(none).count() == 0
+
+
+def test_quality(spark, none):
+    rng = random.Random(3)
+    good = lambda: " ".join("".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 9))) for _ in range(rng.randint(20, 200)))
+    bad = lambda: " ".join(rng.choice(["BUY!!", "now$$$", "win***"]) for _ in range(rng.randint(20, 200)))
+    rows = [(i, good() if i % 2 else bad()) for i in range(300)] + [(1000, None), (1001, ""), (1002, None), (None, good()), (5, good())]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(200)] + [(1000, 1), (7, None), (None, 1), (8, 3)], "doc_id long, label int")
+    got = quality.score_quality(docs, labels).collect()
+    assert len(got) == len(rows) and all(0 <= r.score <= 1 for r in got)
+    held = [r for r in got if r.doc_id is not None and 200 <= r.doc_id < 300]
+    assert sum(r.predicted == r.doc_id % 2 for r in held) >= 98
+    assert all(r.predicted == int(r.score >= 0.7) for r in got)
+    assert quality.score_quality(none.select("doc_id", "text"), labels).count() == 0
+    assert quality.score_quality(docs, labels.limit(0)).select("score").distinct().count() == 1
+
+
+def test_discriminant_is_gaussian():
+    rng = np.random.default_rng(0)
+    a, b = rng.normal(0, 1, (400, 3)), rng.normal(1, 2, (300, 3))
+    model = quality.Discriminant([400, 300], np.stack([a.sum(0), b.sum(0)]), np.stack([a.T @ a, b.T @ b]), shrink=0, ridge=0)
+    x = rng.normal(0.5, 1, (50, 3))
+
+    def log_density(x, own):
+        cov, mean = np.cov(own.T, bias=True), own.mean(axis=0)
+        d = x - mean
+        return -0.5 * (np.einsum("ij,jk,ik->i", d, np.linalg.inv(cov), d) + np.linalg.slogdet(cov)[1])
+
+    odds = log_density(x, b) + math.log(301 / 702) - log_density(x, a) - math.log(401 / 702)
+    assert np.allclose(model.scores(x), 1 / (1 + np.exp(-odds)))
+
+
+def test_lm_score(docs, odd, none, rows):
+    train = lambda i: zlib.crc32(str(i).encode()) % 5 != 1
+    mark = F.crc32(F.col("doc_id").cast("string")) % 5 != 1
+    tokens = {i: [*words(t), None] for i, t, *_ in rows}
+    uni, pairs, starts = collections.Counter(), collections.Counter(), 0
+    for i, w in tokens.items():
+        if train(i):
+            uni.update(w)
+            pairs.update(zip(["<s>", *w[:-1]], w, strict=True))
+            starts += 1
+    n, v = sum(uni.values()), len(uni)
+    context = dict(uni) | {"<s>": starts}
+    for r in lm_score.lm_score(docs, mark).collect():
+        w = tokens[r.doc_id]
+        p = [(uni[x] + 0.5) / (n + 0.5 * (v + 1)) for x in w]
+        score = sum(math.log10((pairs[a, b] + lm_score.MU * q) / (context.get(a, 0) + lm_score.MU)) for a, b, q in zip(["<s>", *w[:-1]], w, p, strict=True))
+        assert (r.train, r.n_tokens, r.n_known, r.train_tokens) == (train(r.doc_id), len(w), sum(uni[x] > 0 for x in w), n)
+        assert r.base_score == pytest.approx(sum(map(math.log10, p))) and r.score == pytest.approx(score)
+    assert lm_score.lm_score(odd, mark).count() == len(rows) + 4
+    assert lm_score.lm_score(none, mark).count() == 0
+    alone = lm_score.lm_score(docs, F.lit(False)).filter("n_known > 0 or train_tokens > 0")
+    assert alone.count() == 0
+
+
+def test_language(spark, odd, none):
+    rng = random.Random(5)
+    tongue = {"aa": ["tion", "the", "ing", "and"], "bb": ["zuß", "üch", "keit", "der"]}
+    say = lambda k: " ".join("".join(rng.choice(tongue[k]) for _ in range(rng.randint(1, 3))) for _ in range(30))
+    rows = [(i, say("aa" if i % 2 else "bb"), "aa" if i % 2 else "bb", "www.x.de" if i % 2 else None) for i in range(120)]
+    rows += [(200, None, None, None), (201, "", None, None), (202, "0123 4567 !!!! $$$$ " * 9, None, None), (203, "qxqjv wqkzx xjqvw " * 20, None, "www.x.de"), (204, say("aa"), "bb", "www.x.de")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, host string")
+    fit = docs.filter("doc_id < 80")
+    got = {r.doc_id: r for r in language.identify(docs, fit, F.col("lang"), F.col("host")).collect()}
+    assert len(got) == len(rows)
+    assert all(got[i].language == ("aa" if i % 2 else "bb") and got[i].accepted for i in range(120))
+    assert got[204].language == "aa" and got[203].language == "und" and not got[203].accepted
+    assert all(0 < r.probability <= 1 for r in got.values())
+    assert language.identify(odd, odd, F.col("lang"), F.col("source")).count() == odd.count()
+    assert language.identify(none, none, F.col("lang"), F.col("source")).count() == 0
+    assert {r.language for r in language.identify(docs, fit.limit(0), F.col("lang"), F.col("host")).collect()} == {"und"}
+
+
+def test_declared_language(spark):
+    pages = spark.createDataFrame([('<!doctype html><html lang="de-AT"><head>',), ("<html><p lang=fr>",), (None,), ("<HTML class=x LANG='FR'>",)], "html string")
+    assert [r[0] for r in pages.select(language.declared_in(F.col("html"))).collect()] == ["de", None, None, "fr"]
+
+
+def test_warc(spark):
+    html = '<html lang="en"><head><title>A &amp; B</title><meta name="k" content="v"></head><body><script>x()</script><p>One <b>two</b></p><a href="/x?a=1&amp;b=2">link</a><!-- no --></body></html>'
+    pages = spark.createDataFrame([(1, "http://h.example/", html, "x"), (2, None, None, "x"), (3, "http://h.example/", html, "x"), (None, "u", "", "x"), (4, "u", "<", "x")], "page_id long, url string, html string, headers string")
+    got = warc.build_derivatives(pages).collect()
+    assert len(got) == 10
+    own = {r.record_type: r for r in got if r.page_id == 1}
+    assert own["conversion"].block == "One two\nlink"
+    assert own["metadata"].refers_to == own["conversion"].refers_to == own["conversion"].headers["WARC-Refers-To"]
+    assert own["metadata"].refers_to == warc.response_id("http://h.example/", html.encode())
+    meta = __import__("json").loads(own["metadata"].block)["Envelope"]["Payload-Metadata"]["HTTP-Response-Metadata"]
+    assert meta["HTML-Metadata"]["title"] == "A & B" and {"path": "a", "url": "/x?a=1&b=2"} in meta["HTML-Metadata"]["links"]
+    data = b"".join(warc.write_record(dict(r.headers), r.block.encode(), "2020-01-01T00:00:00Z") for r in got)
+    back = list(warc.read_records(data))
+    assert [(h["WARC-Record-ID"], b.decode()) for h, b in back] == [(r.record_id, r.block) for r in got]
+    for h, b in back:
+        assert h["WARC-Block-Digest"] == warc.digest(b) and int(h["Content-Length"]) == len(b)
+    assert warc.build_derivatives(pages.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize(("tile", "columns"), [(512, 2048), (4, 16)])
+def test_jaccard_join(docs, odd, none, rows, tile, columns, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "TILE", tile)
+    monkeypatch.setattr(jaccard_join, "COLUMNS", columns)
+    sets = {}
+    for i, text, *_ in rows:
+        w = words(text)
+        sets[i] = {tuple(w[k : k + 5]) for k in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} if w else set()
+    comp = {i: i for i in sets}
+    changed = True
+    links = [(a, b) for a in sets for b in sets if a < b and sets[a] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+    assert len(links) > 100
+    while changed:
+        changed = False
+        for a, b in links:
+            low = min(comp[a], comp[b])
+            changed |= comp[a] != low or comp[b] != low
+            comp[a] = comp[b] = low
+    got = {r.doc_id: r for r in jaccard_join.jaccard_components(docs).collect()}
+    assert {i: (r.n_shingles, r.component_id) for i, r in got.items()} == {i: (len(sets[i]), comp[i]) for i in sets}
+    if tile == 512:
+        more = jaccard_join.jaccard_components(odd).collect()
+        assert len(more) == len(rows) + 4 and sum(r.doc_id is None for r in more) == 2
+        assert jaccard_join.jaccard_components(none).count() == 0
+
+
+def test_suffix_dedup(docs, odd, none, rows):
+    seen, got = set(), {r.doc_id: r for r in suffix_dedup.remove_repeats(docs).collect()}
+    removed = 0
+    for i, text, *_ in rows:
+        data = (text or "").encode()
+        own = [data[k : k + 50] for k in range(len(data) - 49)]
+        gone = bytearray(len(data))
+        for k, s in enumerate(own):
+            if s in seen:
+                gone[k : k + 50] = b"\1" * 50
+        seen.update(own)
+        r = got[i]
+        kept = bytes(c for c, g in zip(data, gone, strict=True) if not g)
+        spans = sum(1 for k in range(len(gone)) if gone[k] and (k == 0 or not gone[k - 1]))
+        assert (r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) == (len(data), sum(gone), spans, kept), i
+        removed += sum(gone)
+    assert removed > 1000
+    assert suffix_dedup.remove_repeats(odd).count() == len(rows) + 4
+    assert suffix_dedup.remove_repeats(none).count() == 0
+
+
+def test_multikey_sort():
+    rng = np.random.default_rng(1)
+    words_ = rng.integers(0, 3, (500, 6)).astype(np.uint64)
+    order = suffix_dedup.multikey_sort(words_)
+    listed = [tuple(x) for x in words_[order].tolist()]
+    assert listed == sorted(listed)
+
+
+def test_components(spark):
+    from pairloom.llm.components import connected_components
+
+    edges = [(i, i + 1) for i in range(1, 40)] + [(100, 101), (101, 100), (100, 100), (None, 3), (300, 200), (200, 250), (250, 300)]
+    got = {r.node: r.component for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {i: 1 for i in range(1, 41)} | {100: 100, 101: 100, 200: 200, 250: 200, 300: 200}
