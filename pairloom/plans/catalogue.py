@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairloom.operators import graph, keys, negatives, split, stats
+from pairloom.operators import cluster, embed, graph, keys, negatives, partition, split, stats
 from pairloom.plans.analogs import Analogs
 
 SEED = "42"
@@ -408,6 +408,23 @@ def pairs_to_names(v):
     return v.edges().join(end("a"), "a").join(end("b"), "b").select("pfam_a", "pfam_b", "negative")
 
 
+@_query()
+def spectral_partition(v):
+    return partition.minimal_leakage(graph.cluster_graph(v.edges(), v.clusters()), graph.cluster_weights(v.clusters()), FRACTIONS)
+
+
+@_query()
+def easy_cluster(v):
+    seqs = v.domain().select("id", F.translate("name", " ", "").alias("seq"))
+    return cluster.easy_cluster(seqs)
+
+
+@_query()
+def embed_batch_udf(v):
+    rows = v.domain().select(F.col("pfam_id").alias("seq_id"), F.col("name").alias("seq"))
+    return embed.embed(rows, lambda: embed.hash_model(8))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(_QUERIES)
 
