@@ -18,8 +18,8 @@ from pairloom.llm import scan
 from pairloom.llm.shared import settled, sized_join, stored
 
 UNKNOWN = "und"
-#: Labelled documents of a language that the trigram models are fitted to, at most, and bytes of each.
-FIT_DOCS, FIT_BYTES = 1500, 4000
+#: Labelled texts of a language that the trigram models are fitted to, at most.
+FIT_DOCS = 1500
 #: Trigram cells; counts added to each; weight of one trigram, as neighbours overlap and repeat.
 CELLS, PRIOR_COUNT, WEIGHT = 1 << 14, 0.5, 0.15
 #: Probability that a declaration is right; counts that a level's parent weighs in its prior.
@@ -44,21 +44,22 @@ def _trigrams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
 
 
 def fit_models(labelled: DataFrame, text_col: str, lang_col: str) -> tuple[list[str], np.ndarray]:
-    """Languages and log probabilities (language, cell), from at most FIT_DOCS documents of each, chosen by hash; for UNKNOWN a flat row."""
+    """Languages and log probabilities (language, cell), from at most FIT_DOCS different whole texts of each, chosen by hash; for UNKNOWN a flat row."""
     from pyspark.sql import Window
 
-    rows = labelled.select(F.col(lang_col).alias("lang"), F.substring(text_col, 1, FIT_BYTES).alias("text")).filter(f"lang is not null and text <> '' and lang <> '{UNKNOWN}'")
-    # a first cut by hash, so that no language's documents are all ranked in one task
-    counts = rows.groupBy("lang").count()
-    rows = sized_join(rows, stored(counts), "lang", "inner").filter(F.pmod(F.xxhash64("text"), F.lit(1 << 30)) * F.col("count") < F.lit(2 * FIT_DOCS << 30))
-    rows = rows.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("text"), "text"))).filter(F.col("r") <= FIT_DOCS)
+    rows = labelled.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).filter(f"lang is not null and text <> '' and lang <> '{UNKNOWN}'").withColumn("h", F.xxhash64("text"))
+    # a first cut by hash and the merging of copies, so that no language's documents are all ranked in one task
+    counts = rows.groupBy("lang").agg(F.approx_count_distinct("h").alias("count"))
+    rows = sized_join(rows, stored(counts), "lang", "inner").filter(F.pmod("h", F.lit(1 << 30)) * F.col("count") < F.lit(2 * FIT_DOCS << 30)).dropDuplicates(["lang", "h"])
+    rows = rows.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).filter(F.col("r") <= FIT_DOCS)
 
     def count(batches):
         for batch in batches:
-            cells, text = _trigrams(*scan.text_buffer(batch.column(1)))
             langs = batch.column(0).dictionary_encode()
-            which = langs.indices.to_numpy()[text]
-            table = np.bincount(which * CELLS + cells, minlength=len(langs.dictionary) * CELLS)
+            which, table = langs.indices.to_numpy(), np.zeros(len(langs.dictionary) * CELLS, np.int64)
+            for at, to, data, own in scan.pieces(*scan.text_buffer(batch.column(1))):
+                cells, text = _trigrams(data, own)
+                table += np.bincount(which[at:to][text] * CELLS + cells, minlength=len(table))
             at = np.flatnonzero(table)
             yield pa.RecordBatch.from_pydict({"lang": langs.dictionary.take(pa.array(at // CELLS)), "cell": pa.array(at % CELLS, pa.int32()), "n": pa.array(table[at], pa.int64())})
 
