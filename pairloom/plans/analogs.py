@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pairloom.operators.keys import keep_first
 
+LINE_ORDER = ("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate")
+
+
+def _gene(suppkey: str) -> Column:
+    return F.concat(F.lit("G"), F.col(suppkey) - F.when(F.col(suppkey) % 5 == 0, 1).otherwise(0))
+
 
 class Analogs:
     def __init__(self, spark: SparkSession, sf_dir: str):
@@ -21,8 +27,8 @@ class Analogs:
     def raw_pairs(self) -> DataFrame:
         """(a, b, bait, prey, n_tested, priority): parts that meet in one order."""
         line = self.table("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
-        x = line.select("l_orderkey", F.col("l_linenumber").alias("i"), F.col("l_partkey").alias("a"), F.concat(F.lit("G"), F.col("l_suppkey") % 80).alias("bait"), F.col("l_quantity").cast("int").alias("n_tested"))
-        y = line.select("l_orderkey", F.col("l_linenumber").alias("j"), F.col("l_partkey").alias("b"), F.concat(F.lit("G"), F.col("l_suppkey") % 80).alias("prey"))
+        x = line.select("l_orderkey", F.col("l_linenumber").alias("i"), F.col("l_partkey").alias("a"), _gene("l_suppkey").alias("bait"), F.col("l_quantity").cast("int").alias("n_tested"))
+        y = line.select("l_orderkey", F.col("l_linenumber").alias("j"), F.col("l_partkey").alias("b"), _gene("l_suppkey").alias("prey"))
         orders = self.table("orders").select(F.col("o_orderkey").alias("l_orderkey"), F.when(F.col("o_orderstatus") == "F", 0).when(F.col("o_orderstatus") == "O", 1).otherwise(2).alias("priority"))
         return x.join(y, "l_orderkey").filter("i < j").join(orders, "l_orderkey").select("a", "b", "bait", "prey", "n_tested", "priority")
 
@@ -30,20 +36,26 @@ class Analogs:
         """(id, a, b, negative, source): the first writer of each ordered pair wins; the id is its key."""
         first = self.raw_pairs().groupBy("a", "b").agg(F.min("priority").alias("priority"))
         source = F.when(F.col("priority") == 0, "3did").when(F.col("priority") == 1, "negatome").otherwise("y2h_ms")
-        return first.select((F.col("a") * 1_000_000 + F.col("b")).alias("id"), "a", "b", (F.col("priority") != 0).alias("negative"), source.alias("source"))
+        return first.select((F.col("a") * 1_000_000_000 + F.col("b")).alias("id"), "a", "b", (F.col("priority") != 0).alias("negative"), source.alias("source"))
 
     def mapped(self) -> DataFrame:
         """(domain, protein, start_pos, sequence): the first line of each pair."""
-        line = self.table("lineitem")
-        order = ["l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
-        return keep_first(line, ["l_partkey", "l_suppkey"], *order).select(F.col("l_partkey").alias("domain"), F.col("l_suppkey").alias("protein"), F.col("l_orderkey").alias("start_pos"))
+        return keep_first(self.table("lineitem"), ["l_partkey", "l_suppkey"], *LINE_ORDER).select(F.col("l_partkey").alias("domain"), F.col("l_suppkey").alias("protein"), F.col("l_orderkey").alias("start_pos"))
 
     def clusters(self) -> DataFrame:
         return self.table("part").select(F.col("p_partkey").alias("domain"), F.regexp_replace("p_brand", r"\D", "").cast("long").alias("cluster"))
 
     def genes(self) -> DataFrame:
-        """(gene, accession) of suppliers; twenty genes have two."""
-        return self.table("supplier").select(F.concat(F.lit("G"), F.col("s_suppkey") % 80).alias("gene"), F.concat(F.lit("P"), F.col("s_suppkey")).alias("accession"))
+        """(gene, accession, reviewed) of suppliers; every fifth shares its gene with another."""
+        return self.table("supplier").select(_gene("s_suppkey").alias("gene"), F.concat(F.lit("P"), F.col("s_suppkey")).alias("accession"), (F.col("s_acctbal") > 0).alias("reviewed"))
 
     def features(self) -> DataFrame:
         return self.mapped().select(F.concat(F.lit("P"), "protein").alias("accession"), F.col("domain").alias("feature"))
+
+    def homes(self) -> DataFrame:
+        """(accession, feature): each part on the supplier of its first line."""
+        return keep_first(self.table("lineitem"), ["l_partkey"], *LINE_ORDER[:2], "l_suppkey").select(F.concat(F.lit("P"), "l_suppkey").alias("accession"), F.col("l_partkey").alias("feature"))
+
+    def aligned(self) -> DataFrame:
+        """mapped() without the smallest parts, which have no alignment."""
+        return self.mapped().join(self.table("part").filter("p_size > 7").select(F.col("p_partkey").alias("domain")), "domain", "left_semi")

@@ -16,11 +16,11 @@ FRACTIONS = (("train", 0.6), ("optimization", 0.2), ("test", 0.2))
 #: Views that the twins share.
 _DOMAIN = "domain AS (SELECT p_partkey AS id, 'PF' || lpad(p_partkey::VARCHAR, 5, '0') AS pfam_id, p_name AS name FROM part)"
 _RAW = """raw AS (
-  SELECT x.l_partkey AS a, y.l_partkey AS b, 'G' || (x.l_suppkey % 80) AS bait, 'G' || (y.l_suppkey % 80) AS prey, trunc(x.l_quantity)::INT AS n_tested,
+  SELECT x.l_partkey AS a, y.l_partkey AS b, 'G' || (x.l_suppkey - CASE WHEN x.l_suppkey % 5 = 0 THEN 1 ELSE 0 END) AS bait, 'G' || (y.l_suppkey - CASE WHEN y.l_suppkey % 5 = 0 THEN 1 ELSE 0 END) AS prey, trunc(x.l_quantity)::INT AS n_tested,
          CASE o_orderstatus WHEN 'F' THEN 0 WHEN 'O' THEN 1 ELSE 2 END AS priority
   FROM lineitem x JOIN lineitem y ON x.l_orderkey = y.l_orderkey AND x.l_linenumber < y.l_linenumber JOIN orders ON o_orderkey = x.l_orderkey)"""
 _EDGES = _RAW + """, edges AS (
-  SELECT a * 1000000 + b AS id, a, b, min(priority) <> 0 AS negative, CASE min(priority) WHEN 0 THEN '3did' WHEN 1 THEN 'negatome' ELSE 'y2h_ms' END AS source FROM raw GROUP BY a, b)"""
+  SELECT a * 1000000000 + b AS id, a, b, min(priority) <> 0 AS negative, CASE min(priority) WHEN 0 THEN '3did' WHEN 1 THEN 'negatome' ELSE 'y2h_ms' END AS source FROM raw GROUP BY a, b)"""
 _DEG = _EDGES + """, ends AS (SELECT a AS node, negative FROM edges UNION ALL SELECT b, negative FROM edges),
 deg AS (SELECT node, count(*) FILTER (NOT negative) AS pos, count(*) FILTER (negative) AS neg FROM ends GROUP BY node)"""
 _MAP = """mapped AS (
@@ -29,16 +29,17 @@ _MAP = """mapped AS (
 _CLUSTERS = "clusters AS (SELECT p_partkey AS domain, regexp_replace(p_brand, '\\D', '', 'g')::BIGINT AS cluster FROM part)"
 _ON = _EDGES + ", " + _CLUSTERS + """, placed AS (
   SELECT e.*, coalesce(x.cluster, e.a) AS ca, coalesce(y.cluster, e.b) AS cb FROM edges e LEFT JOIN clusters x ON x.domain = e.a LEFT JOIN clusters y ON y.domain = e.b)"""
-_GENES = "genes AS (SELECT 'G' || (s_suppkey % 80) AS gene, 'P' || s_suppkey AS accession FROM supplier), resolved AS (SELECT gene, min(accession) AS accession, count(DISTINCT accession) AS n FROM genes GROUP BY gene)"
+_GENES = "genes AS (SELECT 'G' || (s_suppkey - CASE WHEN s_suppkey % 5 = 0 THEN 1 ELSE 0 END) AS gene, 'P' || s_suppkey AS accession, s_acctbal > 0 AS reviewed FROM supplier), resolved AS (SELECT gene, min(accession) AS accession, count(DISTINCT accession) AS n FROM genes GROUP BY gene)"
 _TESTED = "tested AS (SELECT row_number() OVER () AS row_id, bait, prey, n_tested FROM raw WHERE n_tested >= 45 AND priority = 2)"
-_CANDS = _EDGES + ", " + _MAP + ", " + _GENES + ", " + _TESTED + """, allowed AS (
-  SELECT DISTINCT node AS feature FROM (SELECT a AS node FROM edges WHERE NOT negative AND a < 60 AND b < 60 UNION ALL SELECT b FROM edges WHERE NOT negative AND a < 60 AND b < 60)),
-known AS (SELECT DISTINCT gene, domain AS feature FROM resolved JOIN mapped ON accession = 'P' || protein WHERE n = 1 AND domain IN (SELECT feature FROM allowed)),
+_HOME = "home AS (SELECT l_partkey AS domain, l_suppkey AS protein FROM (SELECT *, row_number() OVER (PARTITION BY l_partkey ORDER BY l_orderkey, l_linenumber, l_suppkey) AS r FROM lineitem) WHERE r = 1)"
+_CANDS = _EDGES + ", " + _HOME + ", " + _GENES + ", " + _TESTED + """, allowed AS (
+  SELECT a AS feature FROM edges WHERE NOT negative UNION SELECT b FROM edges WHERE NOT negative),
+known AS (SELECT DISTINCT gene, domain AS feature FROM resolved JOIN home ON accession = 'P' || protein WHERE n = 1 AND domain IN (SELECT feature FROM allowed)),
 cands AS (SELECT lo, hi, count(*) AS n FROM (SELECT DISTINCT row_id, least(x.feature, y.feature) AS lo, greatest(x.feature, y.feature) AS hi FROM tested JOIN known x ON x.gene = bait JOIN known y ON y.gene = prey) GROUP BY lo, hi)"""
 _PAIRS = "pairs AS (SELECT DISTINCT least(a, b) AS lo, greatest(a, b) AS hi FROM edges)"
 _SPLIT = _EDGES + f""", ranked AS (SELECT id, row_number() OVER (ORDER BY md5('{SEED}|' || id), id) - 1 AS r, count(*) OVER () AS n FROM edges),
 keep AS (SELECT id, CASE WHEN r < trunc(n * 0.6::DOUBLE) THEN 'train' WHEN r < trunc(n * 0.6::DOUBLE) + trunc(n * 0.2::DOUBLE) THEN 'optimization' ELSE 'test' END AS split FROM ranked)"""
-_PRUNE = _SPLIT + ", " + _MAP + """, small AS (SELECT * FROM mapped WHERE domain % 7 <> 0), one AS (SELECT e.*, split FROM edges e JOIN keep USING (id)),
+_PRUNE = _SPLIT + ", " + _MAP + """, small AS (SELECT * FROM mapped WHERE domain IN (SELECT p_partkey FROM part WHERE p_size > 7)), one AS (SELECT e.*, split FROM edges e JOIN keep USING (id)),
 domains AS (SELECT DISTINCT split, node AS domain FROM (SELECT split, a AS node FROM one UNION ALL SELECT split, b FROM one) WHERE node IN (SELECT domain FROM small))"""
 _PARTS = "parts AS (SELECT DISTINCT cluster, cluster % 3 AS part FROM clusters)"
 
@@ -206,9 +207,9 @@ def gene_ambiguous(v):
     return negatives.resolve_genes(v.genes()).filter("n > 1").select("gene", "n")
 
 
-@_query(f"WITH {_RAW}, {_TESTED}, {_GENES} (SELECT bait AS gene FROM tested UNION SELECT prey FROM tested) EXCEPT SELECT gene FROM genes WHERE accession < 'P5'")
+@_query(f"WITH {_RAW}, {_TESTED}, {_GENES} (SELECT bait AS gene FROM tested UNION SELECT prey FROM tested) EXCEPT SELECT gene FROM genes WHERE reviewed")
 def genes_unseen(v):
-    return negatives.unique_genes(_tested(v)).join(v.genes().filter("accession < 'P5'"), "gene", "left_anti")
+    return negatives.unique_genes(_tested(v)).join(v.genes().filter("reviewed"), "gene", "left_anti")
 
 
 @_query(f"WITH {_MAP} SELECT 'P' || protein AS accession, string_agg(DISTINCT domain, ',' ORDER BY domain) AS features FROM mapped GROUP BY protein")
@@ -217,9 +218,8 @@ def acc_feature_sets(v):
 
 
 def _candidates(v) -> DataFrame:
-    pairs = _tested(v).withColumn("row_id", F.monotonically_increasing_id())
-    allowed = graph.endpoints(v.edges().filter("NOT negative AND a < 60 AND b < 60")).withColumnRenamed("node", "feature")
-    return negatives.candidates(pairs, negatives.resolve_genes(v.genes()), v.features(), allowed)
+    allowed = graph.endpoints(v.edges().filter("NOT negative")).withColumnRenamed("node", "feature")
+    return negatives.candidates(_tested(v), negatives.resolve_genes(v.genes()), v.homes(), allowed)
 
 
 @_query(f"WITH {_CANDS} SELECT lo, hi, n FROM cands")
@@ -249,7 +249,7 @@ def negatives_frequency(v):
 
 @_query()
 def negatives_degree_matched(v):
-    return negatives.select_degree_matched(_candidates(v), v.edges().filter("NOT negative AND a < 60 AND b < 60"), 200, SEED)
+    return negatives.select_degree_matched(_candidates(v), v.edges().filter("NOT negative"), 200, SEED)
 
 
 @_query(f"WITH {_SPLIT} SELECT id, split FROM keep")
@@ -263,8 +263,7 @@ def split_random_counts(v):
 
 
 def _pruned(v) -> dict:
-    mapped = v.mapped().filter("domain % 7 <> 0")
-    return split.materialize(v.edges(), mapped, split.random_split(v.edges(), FRACTIONS, SEED))
+    return split.materialize(v.edges(), v.aligned(), split.random_split(v.edges(), FRACTIONS, SEED))
 
 
 @_query(f"WITH {_PRUNE} SELECT split, id, a, b FROM one WHERE (split, a) IN (SELECT (split, domain) FROM domains) AND (split, b) IN (SELECT (split, domain) FROM domains)")

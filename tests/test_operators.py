@@ -82,6 +82,41 @@ def test_degree_matched(spark):
     assert {(r.lo, r.hi) for r in got} == {(1, 2), (1, 3), (1, 4)}
 
 
+@pytest.mark.parametrize("n", [1, 2, 3, 9])
+def test_degree_matched_reach(spark, n):
+    rng = random.Random(n)
+    cands = sorted({tuple(sorted((rng.randrange(40), int(40 * rng.random() ** 3)))) for _ in range(600)})
+    cands = [(*c, rng.randrange(5)) for c in cands]
+    ends = [(rng.randrange(30), int(30 * rng.random() ** 2)) for _ in range(120)]
+    target = {}
+    for a, b in ends:
+        for x in {a, b}:
+            target[x] = target.get(x, 0) + 1 + (a == b)
+    got = negatives.select_degree_matched(spark.createDataFrame(cands, "lo long, hi long, n long"), spark.createDataFrame(ends, "a long, b long"), n, "s")
+    assert [(r.lo, r.hi, r.n) for r in got.orderBy("pick").collect()] == _naive(cands, target, n, "s")
+
+
+def test_degree_matched_without_target(spark):
+    cands = spark.createDataFrame([(1, 2, 5), (1, 3, 9), (2, 3, 9)], "lo long, hi long, n long")
+    none = spark.createDataFrame([], "a long, b long")
+    assert [(r.pick, r.lo, r.hi) for r in negatives.select_degree_matched(cands, none, 2).orderBy("pick").collect()] == [(0, 1, 3), (1, 2, 3)]
+    assert negatives.select_degree_matched(cands, none, 0).count() == 0
+
+
+def test_candidates(spark):
+    rng = random.Random(3)
+    genes, feats = "ABCDE", {g: {rng.randrange(12) for _ in range(5)} for g in "ABCDE"}
+    pairs = [(rng.choice(genes), rng.choice(genes)) for _ in range(60)] + [("A", "Z"), ("Z", "Z")]
+    want = {}
+    for x, y in pairs:
+        for p in {(min(f, g), max(f, g)) for f in feats.get(x, ()) for g in feats.get(y, ()) if f < 10 and g < 10}:
+            want[p] = want.get(p, 0) + 1
+    resolved = spark.createDataFrame([(g, "P" + g, 1) for g in genes], "gene string, accession string, n long")
+    features = spark.createDataFrame([("P" + g, f) for g in genes for f in feats[g]], "accession string, feature long")
+    got = negatives.candidates(spark.createDataFrame(pairs, "bait string, prey string"), resolved, features, spark.range(10).withColumnRenamed("id", "feature"))
+    assert {(r.lo, r.hi): r.n for r in got.collect()} == want
+
+
 def test_gene_resolution(spark):
     entries = spark.createDataFrame([("P1", "A", ["B"]), ("P2", "X", ["B", "A"]), ("P3", None, ["C"])], "accession string, primary string, synonyms array<string>")
     wanted = spark.createDataFrame([("A",), ("B",), ("C",)], "gene string")
