@@ -2,10 +2,25 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def saved(df: DataFrame) -> DataFrame:
+    """df as a table in the folder that spark.checkpoint.dir names, so that later steps don't compute it again."""
+    spark = df.sparkSession
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        folder = tempfile.mkdtemp(prefix="pairloom-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    path = f"{folder}/tables/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def keep_first(df: DataFrame, keys: list[str], *order) -> DataFrame:
     """One row for each key, the first by order, as insert-or-ignore leaves it: aggregated before the shuffle."""
     rest = [c for c in df.columns if c not in keys]
@@ -20,13 +35,19 @@ def keep_last(df: DataFrame, keys: list[str], *order) -> DataFrame:
 
 
 def positions(df: DataFrame, *order: str, name: str = "pos") -> DataFrame:
-    """df with dense positions from 0 in the given total order, without a window over all rows: ranges are sorted on their own and shifted by the counts of those before."""
-    ranged = df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id())
+    """df with dense positions from 0 in the given total order, without a window over all rows: ranges are sorted on their own and shifted by the counts of those before.
+
+    The ranges are written before they are counted: their bounds come from a sample, so
+    two plans of one ranging need not agree.
+    """
+    ranged = saved(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id()))
+    # the upper bits of _at are the range, the lower 33 the place in it
+    ranged = ranged.withColumn("_range", F.shiftright("_at", 33))
     sizes = ranged.groupBy("_range").count()
     before = sizes.withColumn("_before", F.coalesce(F.sum("count").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    own = F.row_number().over(Window.partitionBy("_range").orderBy(*order)) - 1
     # a row for each range, so its size is bounded by the number of partitions
-    return ranged.withColumn("_own", own).join(F.broadcast(before.select("_range", "_before")), "_range").withColumn(name, (F.col("_own") + F.col("_before")).cast("long")).drop("_range", "_own", "_before")
+    placed = ranged.join(F.broadcast(before.select("_range", "_before")), "_range")
+    return placed.withColumn(name, (F.col("_at").bitwiseAND(F.lit((1 << 33) - 1)) + F.col("_before")).cast("long")).drop("_at", "_range", "_before")
 
 
 def surrogate_ids(df: DataFrame, *order: str, name: str = "id") -> DataFrame:
