@@ -32,17 +32,19 @@ _INDEX = "block int, range int, terms binary, begins binary, positions binary, d
 
 def _post(key, table: pa.Table) -> pa.Table:
     """One block's postings: a row for each term range, and one (range -1) for its documents."""
+    scan.trim()
     flat, offsets = scan.text_buffer(table.column("text"))
     words, begins = scan.word_hashes(flat, offsets, scan.ALNUM)
-    order = np.argsort(words, kind="stable")
-    terms, first = np.unique(words[order], return_index=True)
-    ends = np.append(first[1:], len(words))
+    order = np.argsort(words, kind="stable").astype(np.int32)
+    words = words[order]
+    first = np.flatnonzero(np.append(True, words[1:] != words[:-1])[: len(words)])
+    terms, ends = words[first], np.append(first[1:], len(words))
     edges = np.searchsorted(bucket_of(terms, TERM_RANGES), np.arange(TERM_RANGES + 1))
     rows = [(-1, b"", b"", b"", ids_of(table).tobytes(), begins.astype(np.int64).tobytes())]
     squeeze = pa.Codec("lz4")
     for r in np.flatnonzero(edges[1:] > edges[:-1]):
         a, b = edges[r], edges[r + 1]
-        positions = order[first[a] : ends[b - 1]].astype(np.int32)
+        positions = order[first[a] : ends[b - 1]]
         rows.append((int(r), terms[a:b].tobytes(), np.append(first[a:b], ends[b - 1]).astype(np.int64).tobytes(), squeeze.compress(positions.tobytes(), asbytes=True), b"", b""))
     columns = list(zip(*rows, strict=True))
     names = ("range", "terms", "begins", "positions", "docs", "doc_begins")
@@ -166,6 +168,7 @@ def windows_of(items: DataFrame, window: int, id_col: str, text_col: str) -> Ite
 
 
 def _match(key, table: pa.Table, query, slop: int | None) -> pa.Table:
+    scan.trim()
     items, phrases, sizes = query.value
     index = Postings(table)
     n = len(index.docs)

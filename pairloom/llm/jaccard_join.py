@@ -37,6 +37,7 @@ def _sets(table: pa.Table, n: int) -> tuple[np.ndarray, np.ndarray]:
 
 def _profiles(table: pa.Table, found: pa.Table, n: int, percent: int) -> pa.Table:
     """Per document: size and digest of its set; for the first of its block with this set, the shared shingles, rare first, and how many of them lead."""
+    scan.trim()
     h, owner = _sets(table, n)
     names, which = np.unique(h, return_inverse=True)
     df = answers(found)[which]
@@ -114,6 +115,7 @@ def _forest(count: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
 
 
 def _tile_edges(table: pa.Table, percent: int) -> pa.Table:
+    scan.trim()
     table = table.sort_by([("pivot", "ascending"), ("tile", "ascending"), ("doc", "ascending")])
     pivot, tile, doc, size = (table.column(k).to_numpy() for k in ("pivot", "tile", "doc", "n_shingles"))
     edges = np.flatnonzero(np.concatenate([[True], (pivot[1:] != pivot[:-1]) | (tile[1:] != tile[:-1]), [True]]))

@@ -92,6 +92,7 @@ def _evidence(docs: DataFrame, langs: list[str], log: np.ndarray) -> DataFrame:
     known = len(langs) - 1
 
     def weigh(batches):
+        scan.trim()
         for batch in batches:
             flat, offsets = scan.text_buffer(batch.column(1))
             out = np.zeros((len(offsets) - 1, len(langs)))

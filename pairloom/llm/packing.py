@@ -189,6 +189,7 @@ def tokenized_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY,
     schema = _PIECES + (", ids binary" if with_ids else "")
 
     def cut(batches):
+        scan.trim()
         encoder = WordEncoder(tokenizer)
         for batch in batches:
             flat, offsets = scan.text_buffer(batch.column(1))
@@ -250,6 +251,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, each: int = PACK) -> DataF
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema) + ", sequence_id long, offset long"
 
     def place(key, table: pa.Table) -> pa.Table:
+        scan.trim()
         table = table.drop_columns("pack").sort_by([("length", "descending"), ("doc_id", "ascending"), ("piece", "ascending")])
         bins, offsets = sum_of_squares(table.column("length").to_numpy(), capacity)
         return table.append_column("sequence_id", pa.array(bins + (key[0].as_py() << 32), pa.int64())).append_column("offset", pa.array(offsets, pa.int64()))

@@ -6,6 +6,8 @@ after the other, plus an offsets array; a word or a window never crosses a text.
 
 from __future__ import annotations
 
+import ctypes
+import sys
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,6 +43,13 @@ def _power_table(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0], _powers[1]
 
 
+def trim() -> None:
+    """Gives freed memory back to the system: a Python worker outlives its tasks, and what one stage has freed would count beside the next one's."""
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux" and hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
+        libc.malloc_trim(0)
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """Spreads the bits of 64-bit hashes (a bijection)."""
     h = h ^ (h >> np.uint64(30))

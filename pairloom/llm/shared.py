@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pairloom.llm import scan
+
 #: Bytes of text in a block, and of text behind a hash range.
 BLOCK_BYTES = 12 << 20
 RANGE_BYTES = 8 << 20
@@ -85,6 +87,7 @@ def bucket_of(hashes: np.ndarray, ranges: int) -> np.ndarray:
 
 
 def _add_up(table: pa.Table) -> pa.Table:
+    scan.trim()
     squeeze, hashes = pa.Codec("lz4"), [np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("hashes")]
     counts = [np.frombuffer(squeeze.decompress(x.as_buffer(), 4 * len(h)), np.int32) for x, h in zip(table.column("counts"), hashes, strict=True)]
     _, which = np.unique(np.concatenate(hashes), return_inverse=True)
@@ -102,6 +105,7 @@ def exchange(docs: DataFrame, blocks: int, ranges: int, features: Callable[[pa.T
     """Stored rows of totals by block for the features that each block asked for; see answers()."""
 
     def request(key, table: pa.Table) -> pa.Table:
+        scan.trim()
         return ask(*features(table), key[0].as_py(), ranges)
 
     asked = docs.groupBy("block").applyInArrow(lambda key, table: request(key, table), "bucket int, block int, hashes binary, counts binary")
