@@ -8,7 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pairloom.operators import cluster, embed, graph, keys, negatives, partition, split, stats
+from pairloom.plans import pipeline
 from pairloom.plans.analogs import Analogs
+from pairloom.schema import empty_database
+from pairloom.sources import readers
 
 SEED = "42"
 FRACTIONS = (("train", 0.6), ("optimization", 0.2), ("test", 0.2))
@@ -424,6 +427,103 @@ def embed_batch_udf(v):
     return embed.embed(rows, lambda: embed.hash_model(8))
 
 
+@_query("SELECT t[1] AS a, t[2] AS b FROM (SELECT regexp_split_to_array(trim(p_brand || '  ' || CASE WHEN p_size > 10 THEN p_type || ' ' || p_name ELSE '' END), '\\s+') AS t FROM part) WHERE len(t) >= 2")
+def parse_pair_list(v):
+    line = F.concat("p_brand", F.lit("  "), F.when(F.col("p_size") > 10, F.concat("p_type", F.lit(" "), "p_name")).otherwise(""))
+    return readers.parse_pairs(v.table("part").select(line.alias("value")))
+
+
+@_query("SELECT 'PF' || p_brand AS pfam_id, replace(p_name, ' ', '_') AS name, p_size::BIGINT AS start_pos, (p_size + 9)::BIGINT AS end_pos, upper(replace(p_name, ' ', '')) AS sequence, p_partkey AS line_no FROM part WHERE p_size > 10")
+def parse_stockholm(v):
+    place = F.concat(F.translate("p_name", " ", "_"), F.when(F.col("p_size") > 10, "/").otherwise(":"), "p_size", F.lit("-"), F.col("p_size") + 9)
+    rows = v.table("part").select(F.concat(F.lit("/in/PF"), "p_brand", F.lit(".sto.gz")).alias("file"), F.col("p_partkey").alias("line_no"), F.concat(place, F.lit("   "), F.translate("p_name", " ", "."), F.lit("-")).alias("value"))
+    return _rounded(readers.parse_stockholm(rows))
+
+
+@_query("SELECT 'S' || event_id % 500 AS symbol, arg_max('P' || user_id, event_id) AS uniprot_id FROM events WHERE event_type = 'click' GROUP BY 1")
+def id_mapping_last_wins(v):
+    rows = v.table("events").select(F.lit("map").alias("file"), F.col("event_id").alias("line_no"), F.concat(F.lit("P"), "user_id", F.lit("\t"), "event_type", F.lit("\tS"), F.col("event_id") % 500).alias("value"))
+    return readers.parse_id_mapping(rows, "click")
+
+
+@_query("SELECT user_id % 211 AS domain, arg_max(event_id % 37, event_id) AS cluster FROM events GROUP BY 1")
+def cluster_map_last_wins(v):
+    value = F.concat(F.col("event_id") % 37, F.lit("-"), "user_id", F.lit("\t"), F.col("user_id") % 211, F.lit("-"), F.col("event_id") % 5)
+    return graph.cluster_of(readers.parse_clusters(v.table("events").select(F.col("event_id").alias("line_no"), value.alias("value"))))
+
+
+def _proteins(v):
+    return v.table("supplier").select(F.col("s_suppkey").alias("id"), F.concat(F.lit("P"), "s_suppkey").alias("uniprot_id"))
+
+
+@_query("SELECT s_suppkey AS protein_id, unnest([o_orderpriority, o_orderstatus]) AS go_accession FROM orders JOIN supplier ON s_suppkey = o_custkey")
+def protein_terms_join(v):
+    rows = v.table("orders").select(F.concat(F.lit("P"), "o_custkey").alias("Entry"), F.concat_ws("; ", "o_orderpriority", "o_orderstatus").alias("Gene Ontology IDs"))
+    db = empty_database(v.spark).with_(protein=_proteins(v))
+    none = v.domain().select("pfam_id", F.lit("").alias("go_accession")).filter("false")
+    return pipeline.add_terms(db, none, readers.parse_protein_terms(rows)).protein_go_terms
+
+
+@_query("SELECT p_partkey AS domain_id, 'GO:' || lpad(p_size::VARCHAR, 7, '0') AS go_accession FROM part WHERE p_size > 10")
+def domain_terms_join(v):
+    line = F.concat(F.lit("Pfam:PF"), F.lpad(F.col("p_partkey").cast("string"), 5, "0"), F.lit(" "), "p_name", F.lit(" > GO:"), "p_type", F.lit(" ; GO:"), F.lpad(F.col("p_size").cast("string"), 7, "0"))
+    rows = v.table("part").select(F.when(F.col("p_size") > 10, line).otherwise("! header").alias("value"))
+    none = v.domain().select(F.lit("").alias("uniprot_id"), F.lit("").alias("go_accession")).filter("false")
+    return pipeline.add_terms(empty_database(v.spark).with_(domain=v.domain()), readers.parse_domain_terms(rows), none).domain_go_terms
+
+
+@_query("SELECT x.s_suppkey AS protein_id_a, y.s_suppkey AS protein_id_b, count(*) AS score FROM orders JOIN supplier x ON x.s_suppkey = o_custkey JOIN supplier y ON y.s_suppkey = o_orderkey % 97 GROUP BY 1, 2")
+def links_resolve_both(v):
+    external = lambda c: F.concat(F.lit("ext."), c)
+    links = v.table("orders").groupBy(external("o_custkey").alias("protein1"), external(F.col("o_orderkey") % 97).alias("protein2")).agg(F.count("*").alias("combined_score"))
+    names = v.table("supplier").select(external("s_suppkey").alias("symbol"), F.concat(F.lit("P"), "s_suppkey").alias("uniprot_id"))
+    return pipeline.add_ppis(empty_database(v.spark).with_(protein=_proteins(v)), links, names).ppi
+
+
+@_query("""WITH pooled AS (SELECT DISTINCT l_partkey AS d, l_suppkey AS p, l_orderkey AS s, l_linenumber AS n FROM lineitem WHERE l_linenumber <= 3),
+first AS (SELECT l_partkey AS d, l_suppkey AS p, min(l_orderkey * 100 + l_linenumber) AS k FROM lineitem GROUP BY 1, 2)
+SELECT f.d AS domain_id, f.p AS protein_id, f.k // 100 AS start_pos, f.k // 100 + f.k % 100 AS end_pos, coalesce(pooled.n, 0)::BIGINT AS dims
+FROM first f JOIN part ON p_partkey = f.d JOIN supplier ON s_suppkey = f.p LEFT JOIN pooled ON pooled.d = f.d AND pooled.p = f.p AND s = f.k // 100 AND n = f.k % 100""")
+def map_with_vectors(v):
+    pfam = F.concat(F.lit("PF"), F.lpad(F.col("l_partkey").cast("string"), 5, "0"))
+    rows = v.table("lineitem").select(
+        pfam.alias("pfam_id"), F.concat(F.lit("P"), "l_suppkey").alias("uniprot_id"), F.col("l_orderkey").cast("int").alias("start_pos"), (F.col("l_orderkey") + F.col("l_linenumber")).cast("int").alias("end_pos"),
+        F.lit("").alias("sequence"), (F.col("l_orderkey") * 100 + F.col("l_linenumber")).alias("line_no"), "l_linenumber",
+    )
+    pooled = rows.filter("l_linenumber <= 3").select(F.concat_ws("_", "pfam_id", "uniprot_id", "start_pos", "end_pos").alias("seq_id"), F.array_repeat(F.lit(0.5).cast("float"), F.col("l_linenumber")).alias("embedding")).distinct()
+    db = empty_database(v.spark).with_(domain=v.domain(), protein=_proteins(v))
+    out = pipeline.add_map(db, rows.drop("l_linenumber"), {"esm3": pooled}).domain_protein_map
+    return out.select("domain_id", "protein_id", F.col("start_pos").cast("long").alias("start_pos"), F.col("end_pos").cast("long").alias("end_pos"), F.coalesce(F.array_size("esm3_per_domain"), F.lit(0)).cast("long").alias("dims"))
+
+
+@_query(f"""WITH {_EDGES}, named AS (SELECT 'PF' || lpad(p_partkey::VARCHAR, 5, '0') AS pfam_id, p_partkey AS k, p_size > 7 AS has FROM part),
+pool AS (SELECT pfam_id, 0 AS p FROM named WHERE has UNION SELECT pfam_id, 1 FROM named WHERE NOT has AND k IN (SELECT a FROM edges WHERE source = 'negatome' UNION SELECT b FROM edges WHERE source = 'negatome')),
+domain AS (SELECT row_number() OVER (ORDER BY p, pfam_id) AS id, pfam_id FROM pool), ids AS (SELECT id, k FROM domain JOIN named USING (pfam_id))
+SELECT row_number() OVER (ORDER BY negative, x.id, y.id) AS id, x.id AS domain_id_a, y.id AS domain_id_b, negative, source FROM edges JOIN ids x ON x.k = a JOIN ids y ON y.k = b WHERE source <> 'y2h_ms'""")
+def ingest_named_pairs(v):
+    name = lambda c: F.concat(F.lit("n"), c)
+    pfam = lambda c: F.concat(F.lit("PF"), F.lpad(F.col(c).cast("string"), 5, "0"))
+    edges = v.edges()
+    positives = edges.filter("NOT negative").select(name("a").alias("domain1"), name("b").alias("domain2"))
+    names = v.table("part").select(name("p_partkey").alias("Name"), F.concat(pfam("p_partkey"), F.lit(".3")).alias("Pfam_id"))
+    lengths = v.table("part").filter("p_size > 7").select(name("p_partkey").alias("domain"))
+    return pipeline.ingest(empty_database(v.spark), positives, names, lengths, edges.filter("source = 'negatome'").select(pfam("a").alias("a"), pfam("b").alias("b"))).ddi
+
+
+@_query(f"""WITH {_RAW}, {_TESTED}, {_GENES} SELECT (SELECT count(*) FROM raw WHERE priority = 2) AS n_rows, (SELECT count(*) FROM tested) AS n_tested, (SELECT count(*) FROM (SELECT bait FROM tested UNION SELECT prey FROM tested)) AS n_genes,
+(SELECT count(*) FROM tested WHERE bait NOT IN (SELECT gene FROM resolved WHERE n = 1) OR prey NOT IN (SELECT gene FROM resolved WHERE n = 1)) AS n_skipped""")
+def run_counters(v):
+    return negatives.counters(_ppi(v), _tested(v), negatives.resolve_genes(v.genes()))
+
+
+@_query("""WITH wanted AS (SELECT DISTINCT 'G' || c_nationkey AS gene FROM customer), e AS (SELECT 'P' || s_suppkey AS accession, 'G' || s_suppkey AS p, 'G' || s_suppkey % 29 AS s1, 'G' || s_suppkey % 7 AS s2 FROM supplier)
+SELECT accession, CASE WHEN p IN (FROM wanted) THEN p WHEN s1 IN (FROM wanted) THEN s1 ELSE s2 END AS gene FROM e WHERE p IN (FROM wanted) OR s1 IN (FROM wanted) OR s2 IN (FROM wanted)""")
+def gene_names_matched(v):
+    gene = lambda c: F.concat(F.lit("G"), c)
+    entries = v.table("supplier").select(F.concat(F.lit("P"), "s_suppkey").alias("accession"), gene("s_suppkey").alias("primary"), F.array(gene(F.col("s_suppkey") % 29), gene(F.col("s_suppkey") % 7)).alias("synonyms"))
+    return negatives.matched_gene(entries, v.table("customer").select(gene("c_nationkey").alias("gene")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(_QUERIES)
 
