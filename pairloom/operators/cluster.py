@@ -12,35 +12,40 @@ K, ANCHORS = 5, 40
 
 
 def align(a: str, b: str) -> tuple[float, float, float]:
-    """Identity of the best local alignment (match 2, mismatch -1, gap -2) and its coverage of both sequences."""
+    """Identity of the best local alignment (match 2, mismatch -1, gap -2) and its coverage of both sequences.
+
+    Cells of one diagonal don't depend on each other, so each diagonal is one pass over
+    arrays, in memory linear in the length.  Of equal steps the diagonal one goes before a gap in b, and
+    that before a gap in a; of equal alignments the one that ends first in a, then in b.
+    """
     x, y = np.frombuffer(a.encode(), np.uint8), np.frombuffer(b.encode(), np.uint8)
-    score = np.zeros(len(y) + 1, np.int64)
-    # of the best alignment that ends in a cell: first places in a and b, and matches
-    fa, fb, same = (np.zeros(len(y) + 1, np.int64) for _ in range(3))
-    best = (0, 0, 0, 0, 0, 0)
-    for i in range(len(x)):
-        s, a0, b0, m = np.zeros_like(score), np.zeros_like(fa), np.zeros_like(fb), np.zeros_like(same)
-        for j in range(1, len(y) + 1):
-            hit = x[i] == y[j - 1]
-            options = ((score[j - 1] + (2 if hit else -1), 0), (score[j] - 2, 1), (s[j - 1] - 2, 2))
-            top, way = max(options, key=lambda o: (o[0], -o[1]))
-            if top <= 0:
-                continue
-            s[j] = top
-            if way == 0:
-                fresh = score[j - 1] == 0
-                a0[j], b0[j], m[j] = (i, j - 1, 0) if fresh else (fa[j - 1], fb[j - 1], same[j - 1])
-                m[j] += hit
-            else:
-                src = (fa[j], fb[j], same[j]) if way == 1 else (a0[j - 1], b0[j - 1], m[j - 1])
-                a0[j], b0[j], m[j] = src
-            if top > best[0]:
-                best = (top, a0[j], i + 1, b0[j], j, m[j])
-        score, fa, fb, same = s, a0, b0, m
+    n, m = len(x), len(y)
+    if not n or not m:
+        return 0.0, 0.0, 0.0
+    # by place in a: score, first places in a and b, and matches of the best alignment that ends in a cell of each of the last two diagonals
+    before, last = np.zeros((4, n + 1), np.int64), np.zeros((4, n + 1), np.int64)
+    best, end = np.zeros(4, np.int64), (0, 0)
+    for d in range(2, n + m + 1):
+        i = np.arange(max(1, d - m), min(n, d - 1) + 1)
+        j = d - i
+        hit = x[i - 1] == y[j - 1]
+        scores = np.stack([before[0, i - 1] + np.where(hit, 2, -1), last[0, i - 1] - 2, last[0, i] - 2])
+        way, top = scores.argmax(axis=0), scores.max(axis=0)
+        went = before[:, i - 1]
+        went[1:] = np.where(went[0] == 0, np.stack([i - 1, j - 1, np.zeros_like(i)]), went[1:])
+        went[3] += hit
+        now = np.where(way == 0, went, np.where(way == 1, last[:, i - 1], last[:, i]))
+        now[0] = top
+        now[:, top <= 0] = 0
+        k = int(now[0].argmax())
+        if now[0, k] > best[0] or (now[0, k] == best[0] > 0 and (int(i[k]), int(j[k])) < end):
+            best, end = now[:, k].copy(), (int(i[k]), int(j[k]))
+        before, last = last, np.zeros((4, n + 1), np.int64)
+        last[:, i] = now
     if not best[0]:
         return 0.0, 0.0, 0.0
-    la, lb = best[2] - best[1], best[4] - best[3]
-    return float(best[5]) / max(la, lb), la / len(a), lb / len(b)
+    la, lb = end[0] - int(best[1]), end[1] - int(best[2])
+    return float(best[3]) / max(la, lb), la / len(a), lb / len(b)
 
 
 def similar_pairs(seqs: DataFrame, identity: float, coverage: float) -> DataFrame:

@@ -230,3 +230,45 @@ def test_pipeline(spark):
     assert leak.count() == 0
     small = split.smoke_filter(db, 4, "1")
     assert small.ddi.count() == 4
+
+
+def _align_by_cell(a: str, b: str) -> tuple[float, float, float]:
+    """Identity of the best local alignment (match 2, mismatch -1, gap -2) and its coverage of both sequences."""
+    x, y = np.frombuffer(a.encode(), np.uint8), np.frombuffer(b.encode(), np.uint8)
+    score = np.zeros(len(y) + 1, np.int64)
+    # of the best alignment that ends in a cell: first places in a and b, and matches
+    fa, fb, same = (np.zeros(len(y) + 1, np.int64) for _ in range(3))
+    best = (0, 0, 0, 0, 0, 0)
+    for i in range(len(x)):
+        s, a0, b0, m = np.zeros_like(score), np.zeros_like(fa), np.zeros_like(fb), np.zeros_like(same)
+        for j in range(1, len(y) + 1):
+            hit = x[i] == y[j - 1]
+            options = ((score[j - 1] + (2 if hit else -1), 0), (score[j] - 2, 1), (s[j - 1] - 2, 2))
+            top, way = max(options, key=lambda o: (o[0], -o[1]))
+            if top <= 0:
+                continue
+            s[j] = top
+            if way == 0:
+                fresh = score[j - 1] == 0
+                a0[j], b0[j], m[j] = (i, j - 1, 0) if fresh else (fa[j - 1], fb[j - 1], same[j - 1])
+                m[j] += hit
+            else:
+                src = (fa[j], fb[j], same[j]) if way == 1 else (a0[j - 1], b0[j - 1], m[j - 1])
+                a0[j], b0[j], m[j] = src
+            if top > best[0]:
+                best = (top, a0[j], i + 1, b0[j], j, m[j])
+        score, fa, fb, same = s, a0, b0, m
+    if not best[0]:
+        return 0.0, 0.0, 0.0
+    la, lb = best[2] - best[1], best[4] - best[3]
+    return float(best[5]) / max(la, lb), la / len(a), lb / len(b)
+
+
+def test_align_matches_cell_by_cell():
+    rng = random.Random(5)
+    word = lambda n: "".join(rng.choice("ACD") for _ in range(n))
+    pairs = [(word(rng.randrange(0, 30)), word(rng.randrange(0, 30))) for _ in range(300)] + [("", ""), ("A", ""), ("", "A"), ("A", "A"), ("A", "C")]
+    base = word(60)
+    pairs += [(base, base[:20] + base[25:]), (base[5:], base), (base, base)]
+    for a, b in pairs:
+        assert cluster.align(a, b) == _align_by_cell(a, b), (a, b)
