@@ -1,14 +1,18 @@
-"""Sequence clusters: shared k-mers propose pairs, identity and coverage decide, a greedy cover picks representatives."""
+"""Sequence clusters: all pairs that exact bounds leave are aligned, identity and coverage decide, a greedy cover picks representatives."""
 
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Letters of a k-mer, and how many k-mers of the smallest hashes propose partners for a sequence.
-K, ANCHORS = 5, 40
+from pairloom.operators.keys import positions, saved
+
+#: Sequences in a block; every two blocks are a tile of their own.
+BLOCK = 512
+#: Pairs that are aligned at once, the longest sequence of theirs, and the bits of a place in one.
+AT_ONCE, LONGEST, BITS = 8192, 32767, 15
 
 
 def align(a: str, b: str) -> tuple[float, float, float]:
@@ -48,20 +52,86 @@ def align(a: str, b: str) -> tuple[float, float, float]:
     return float(best[3]) / max(la, lb), la / len(a), lb / len(b)
 
 
+def _padded(seqs: list[bytes], fill: int) -> tuple[np.ndarray, np.ndarray]:
+    """Letters (place, sequence) with fill behind each one's end, and the lengths."""
+    size = np.array([len(x) for x in seqs], np.int64)
+    out = np.full((len(seqs), int(size.max(initial=0))), fill, np.uint8)
+    out[np.arange(out.shape[1]) < size[:, None]] = np.frombuffer(b"".join(seqs), np.uint8)
+    return np.ascontiguousarray(out.T), size
+
+
+def align_many(a: list[bytes], b: list[bytes]) -> np.ndarray:
+    """align() of each a with its b, as rows (identity, coverage of a, coverage of b); all pairs go through the cells together.
+
+    A cell is one integer: score, way, first places in a and b, matches.  The fillers differ
+    and are no letters of UTF-8, so they never match and no best alignment ends in them.
+    """
+    x, n = _padded(a, 254)
+    y, m = _padded(b, 255)
+    one, step = 1 << (3 * BITS + 2), 1 << (3 * BITS)
+    mask, low = ~np.int64(3 * step), (1 << BITS) - 1
+    last, best = np.zeros((len(y) + 1, len(a)), np.int64), np.zeros(len(a), np.int64)
+    ends = np.zeros((2, len(a)), np.int64)
+    for i, letter in enumerate(x):
+        now = np.zeros_like(last)
+        for j in range(len(y)):
+            diagonal = np.where(last[j] == 0, i << (2 * BITS) | j << BITS, last[j]) + np.where(letter == y[j], 2 * one + 1, -one)
+            top = np.maximum(np.maximum(diagonal + 2 * step, last[j + 1] - 2 * one + step), now[j] - 2 * one) & mask
+            top[top < one] = 0
+            now[j + 1] = top
+            better = np.flatnonzero(top >> (3 * BITS + 2) > best >> (3 * BITS + 2))
+            best[better] = top[better]
+            ends[0, better], ends[1, better] = i + 1, j + 1
+        last = now
+    la, lb = ends[0] - (best >> (2 * BITS) & low), ends[1] - (best >> BITS & low)
+    some = np.maximum(1, np.stack([np.maximum(la, lb), n, m]))
+    return np.where(best > 0, np.stack([best & low, la, lb]) / some, 0.0).T
+
+
 def similar_pairs(seqs: DataFrame, identity: float, coverage: float) -> DataFrame:
-    """(a, b) of seqs (id, seq) that reach identity and coverage of both; proposed by a shared k-mer among each one's ANCHORS of the smallest hashes, paired with the smallest id that has it."""
-    grams = F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length("seq") - (K - 1))), lambda i: F.xxhash64(F.substring(F.col("seq"), i, F.lit(K))))
-    anchors = seqs.select("id", F.explode(F.slice(F.array_sort(F.array_distinct(grams)), 1, ANCHORS)).alias("k"))
-    heads = anchors.groupBy("k").agg(F.max_by("id", F.struct(F.lit(0), -F.col("id"))).alias("a"))
-    pairs = anchors.join(heads, "k").filter("a <> id").select("a", F.col("id").alias("b")).distinct()
-    full = pairs.join(seqs.select(F.col("id").alias("a"), F.col("seq").alias("sa")), "a").join(seqs.select(F.col("id").alias("b"), F.col("seq").alias("sb")), "b")
-    near = F.least(F.length("sa"), F.length("sb")) >= coverage * F.greatest(F.length("sa"), F.length("sb"))
+    """(a, b), a < b, of seqs (id, seq) that reach identity and coverage of both; none is left out.
 
-    @F.pandas_udf("boolean")
-    def reaches(sa: pd.Series, sb: pd.Series) -> pd.Series:
-        return pd.Series([all(v >= m for v, m in zip(align(p, q), (identity, coverage, coverage), strict=True)) for p, q in zip(sa, sb, strict=True)])
+    The matches of such a pair are identity * coverage of the longer sequence at least, and
+    no more than the letters that the two have in common.  Blocks of like lengths are
+    compared in tiles, one for each two blocks that this bound leaves.
+    """
+    rows = seqs.filter("seq <> ''").select("id", "seq", F.octet_length("seq").alias("size"))
+    blocks = saved(positions(rows, "size", "id").withColumn("block", F.expr(f"pos div {BLOCK}")).drop("pos"))
+    sizes = blocks.groupBy("block").agg(F.min("size").alias("least"), F.max("size").alias("most"))
+    x, y = (sizes.select(*[F.col(c).alias(f"{c}_{e}") for c in sizes.columns]) for e in "ij")
+    need = identity * coverage * (1 - 1e-9)
+    tiles = saved(x.join(y, (F.col("block_i") <= F.col("block_j")) & (F.col("most_i") >= need * F.col("least_j"))).select(F.col("block_i").alias("i"), F.col("block_j").alias("j")))
+    dealt = tiles.select("i", "j", F.explode(F.array_distinct(F.array("i", "j"))).alias("block")).join(blocks.drop("size"), "block")
+
+    def compare(key, table):
+        block, ids = table.column("block").to_numpy(), table.column("id").to_numpy()
+        letters = [x.encode() for x in table.column("seq").to_pylist()]
+        counts = np.array([np.bincount(np.frombuffer(x, np.uint8), minlength=256) for x in letters], np.int32)
+        size = counts.sum(axis=1)
+        counts = counts[:, counts.any(axis=0)]
+        left, right = np.flatnonzero(block == key[0].as_py()), np.flatnonzero(block == key[1].as_py())
+        found = []
+        for p in left:
+            q = right[ids[right] != ids[p]]
+            if key[0] == key[1]:
+                q = q[ids[q] > ids[p]]
+            q = q[np.minimum(counts[q], counts[p]).sum(axis=1) >= need * np.maximum(size[q], size[p])]
+            found.append(np.stack([np.full(len(q), p), q]))
+        pairs = np.concatenate(found, axis=1)
+        pairs = pairs[:, np.lexsort((size[pairs[1]], size[pairs[0]]))]
+        good = np.zeros(pairs.shape[1], bool)
+        for at in range(0, len(good), AT_ONCE):
+            p, q = pairs[:, at : at + AT_ONCE]
+            some, other = [letters[k] for k in np.where(ids[p] < ids[q], p, q)], [letters[k] for k in np.where(ids[p] < ids[q], q, p)]
+            if max(map(len, some + other)) <= LONGEST:
+                values = align_many(some, other)
+            else:
+                values = np.array([align(a.decode(), b.decode()) for a, b in zip(some, other, strict=True)])
+            good[at : at + AT_ONCE] = (values >= (identity, coverage, coverage)).all(axis=1)
+        ends = np.sort(ids[pairs[:, good]], axis=0)
+        return pa.table({"a": ends[0], "b": ends[1]})
 
-    return full.filter(near).filter(reaches("sa", "sb")).select("a", "b")
+    return dealt.groupBy("i", "j").applyInArrow(compare, "a long, b long")
 
 
 def greedy_cover(nodes: list[tuple], pairs: list[tuple]) -> dict:
@@ -79,14 +149,40 @@ def greedy_cover(nodes: list[tuple], pairs: list[tuple]) -> dict:
     return out
 
 
+def cover(nodes: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(centroid, member) of greedy_cover() for nodes (id, length, copies) and their pairs (a, b); copies of a node count as partners.
+
+    The order is fixed at the start, so a node is a centre if none of its neighbours that
+    come before it is one.  Each round settles, everywhere at once, the nodes that come
+    before all their open neighbours; rounds are as many as the longest run of open
+    neighbours in falling order needs, and each is written once.
+    """
+    both = pairs.select("a", "b").union(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))).toDF("u", "v")
+    gained = both.join(nodes.select(F.col("id").alias("v"), "copies"), "v").groupBy("u").agg(F.sum("copies").alias("more"))
+    ranked = nodes.join(gained.withColumnRenamed("u", "id"), "id", "left")
+    ranked = saved(ranked.select("id", F.struct((1 - F.col("copies") - F.coalesce("more", F.lit(0))).alias("d"), (-F.col("length")).alias("l"), F.col("id").alias("id")).alias("key")))
+    end = lambda c: ranked.select(F.col("id").alias(c), F.col("key").alias(f"k{c}"))
+    links = saved(both.join(end("u"), "u").join(end("v"), "v").select("ku", "kv"))
+    left, taken = links, links.select(F.col("ku").alias("k")).filter("false")
+    while left.take(1):
+        centres = left.groupBy("ku").agg(F.min("kv").alias("least")).filter("ku < least").select("ku")
+        now = saved(left.join(centres, "ku", "left_semi").select(F.col("kv").alias("k")).distinct())
+        gone = now.union(centres.withColumnRenamed("ku", "k"))
+        left = saved(left.join(gone.withColumnRenamed("k", "ku"), "ku", "left_anti").join(gone.withColumnRenamed("k", "kv"), "kv", "left_anti").select("ku", "kv"))
+        taken = taken.union(now)
+    taken = saved(taken)
+    owner = links.join(taken.withColumnRenamed("k", "kv"), "kv", "left_anti").groupBy("ku").agg(F.min("kv").alias("kv"))
+    return nodes.select(F.col("id").alias("member")).join(owner.select(F.col("ku.id").alias("member"), F.col("kv.id").alias("centroid")), "member", "left").select(F.coalesce("centroid", "member").alias("centroid"), "member")
+
+
 def easy_cluster(seqs: DataFrame, identity: float = 0.4, coverage: float = 0.8) -> DataFrame:
-    """(centroid, member) with a row for every sequence; sequences without partners stand for themselves.
+    """(centroid, member) of greedy_cover() with a row for every sequence; sequences without partners, empty ones and nulls stand for themselves.
 
-    Each group of linked sequences is covered on its own: pairs are with a k-mer's smallest
-    id, so a group is a star of that id.
+    Equal sequences have the same partners and are partners of each other, so the one with
+    the smallest id is compared for all.
     """
-    pairs = similar_pairs(seqs, identity, coverage)
-    centre = pairs.groupBy("b").agg(F.min("a").alias("a"))
-    is_centre = centre.select(F.col("b").alias("a"))
-    chosen = centre.join(is_centre, "a", "left_anti")
-    return seqs.select(F.col("id").alias("member")).join(chosen.select(F.col("b").alias("member"), F.col("a").alias("centroid")), "member", "left").select(F.coalesce("centroid", "member").alias("centroid"), "member")
+    texts = saved(seqs.filter("seq <> ''").groupBy("seq").agg(F.min("id").alias("id"), F.count("*").alias("copies")))
+    pairs = saved(similar_pairs(texts, identity, coverage))
+    owners = cover(texts.select("id", F.length("seq").alias("length"), "copies"), pairs).withColumnRenamed("member", "id")
+    found = texts.join(owners, "id").select("seq", "centroid")
+    return seqs.select(F.col("id").alias("member"), "seq").join(found, "seq", "left").select(F.coalesce("centroid", "member").alias("centroid"), "member")

@@ -149,6 +149,47 @@ def test_clusters(spark):
     assert cluster.greedy_cover([(1, 5), (2, 5), (3, 9), (4, 1)], [(1, 2), (2, 3)]) == {2: 2, 1: 2, 3: 2, 4: 4}
 
 
+def test_clusters_whole(spark):
+    rng = random.Random(5)
+    say = lambda n: "".join(rng.choice("ACDEFGHIKLMNPQRSTVWY") for _ in range(n))
+    motif = say(8)
+    # 0 and 900 share a motif with all, which fails coverage with 0; the members differ in every third letter, so no 5-mer joins some of them
+    base = say(45)
+    far = lambda k: "".join(say(1) if i % 3 == k else c for i, c in enumerate(base))
+    seqs = [(0, motif + say(200))] + [(10 + k, far(k)) for k in range(3)] + [(20 + k, motif + base[:30] + say(3)) for k in range(3)] + [(900, motif + say(60)), (901, base), (902, base), (903, ""), (904, None)]
+    # a chain and a centre whose id is larger than a member's partner
+    seqs += [(30 + k, "ACDEFGHIKL"[k : k + 7] + "MNPQRSTVWY"[: 2 * k]) for k in range(5)]
+    seqs += [(100 + k, say(rng.randrange(1, 9))) for k in range(60)]
+    known = {i: s for i, s in seqs if s}
+    for identity, coverage in ((0.4, 0.8), (0.3, 0.6)):
+        pairs = [(i, j) for i in known for j in known if i < j and all(v >= m for v, m in zip(cluster.align(known[i], known[j]), (identity, coverage, coverage), strict=True))]
+        want = cluster.greedy_cover([(i, len(s)) for i, s in known.items()], pairs) | {903: 903, 904: 904}
+        df = spark.createDataFrame(seqs, "id long, seq string")
+        assert sorted((r.a, r.b) for r in cluster.similar_pairs(df, identity, coverage).collect()) == sorted(pairs)
+        assert {r.member: r.centroid for r in cluster.easy_cluster(df, identity, coverage).collect()} == want
+
+
+def test_cover_of_a_chain(spark):
+    for nodes, pairs in (([1, 2, 3], [(1, 2), (2, 3)]), ([1, 2, 5, 9], [(1, 2), (2, 9), (5, 9)]), (list(range(12)), [(i, i + 1) for i in range(11)])):
+        got = cluster.cover(spark.createDataFrame([(i, 5, 1) for i in nodes], "id long, length int, copies long"), spark.createDataFrame(pairs, "a long, b long"))
+        assert {r.member: r.centroid for r in got.collect()} == cluster.greedy_cover([(i, 5) for i in nodes], pairs)
+
+
+def test_align_many():
+    rng = random.Random(7)
+    rows = [tuple("".join(rng.choice("ACé") for _ in range(rng.randrange(0, 14))) for _ in range(2)) for _ in range(800)]
+    got = cluster.align_many([a.encode() for a, _ in rows], [b.encode() for _, b in rows])
+    for (a, b), g in zip(rows, got, strict=True):
+        x, y = a.encode().decode("latin1"), b.encode().decode("latin1")
+        assert tuple(g) == pytest.approx(cluster.align(a, b) if a.isascii() and b.isascii() else _bytes_align(x, y)), (a, b)
+
+
+def _bytes_align(a: str, b: str) -> tuple[float, float, float]:
+    """align() of strings whose letters stand for bytes."""
+    other = {c: chr(33 + i) for i, c in enumerate(sorted(set(a + b)))}
+    return cluster.align("".join(map(other.get, a)), "".join(map(other.get, b)))
+
+
 def test_embed(spark):
     df = spark.createDataFrame([("a", "ACD"), ("b", ""), ("c", "A" * 50), ("d", None)], "seq_id string, seq string")
     got = {r.seq_id: r.embedding for r in embed.embed(df, lambda: embed.hash_model(4), max_length=40).collect()}
