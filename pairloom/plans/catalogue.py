@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pairloom.config import Config
 from pairloom.operators import cluster, embed, graph, keys, negatives, partition, split, stats
 from pairloom.plans import pipeline
 from pairloom.plans.analogs import Analogs
@@ -255,6 +256,32 @@ def negatives_degree_matched(v):
     return negatives.select_degree_matched(_candidates(v), v.edges().filter("NOT negative"), 200, SEED)
 
 
+def _whole(v) -> DataFrame:
+    """Candidates over all rows of the map and all tested rows; the product is too large for SQL."""
+    allowed = graph.endpoints(v.edges().filter("NOT negative")).withColumnRenamed("node", "feature")
+    return negatives.candidates(negatives.tested_pairs(_ppi(v), Config().min_tested), negatives.resolve_genes(v.genes()), v.features(), allowed)
+
+
+@_query()
+def pair_candidates_whole(v):
+    return _whole(v)
+
+
+@_query()
+def pair_candidates_fresh_whole(v):
+    return negatives.fresh(_whole(v), v.edges())
+
+
+@_query()
+def pair_overlap_count_whole(v):
+    return negatives.overlap(_whole(v), v.edges())
+
+
+@_query()
+def candidate_argmax_whole(v):
+    return negatives.most_frequent(_whole(v))
+
+
 @_query(f"WITH {_SPLIT} SELECT id, split FROM keep")
 def split_random(v):
     return split.random_split(v.edges(), FRACTIONS, SEED)
