@@ -28,18 +28,27 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return dedup_lines(docs).withColumn("n_chars", F.char_length("text").cast("long")).select(*COLUMNS)
 
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    """docs with _key of id and text: rows of one null or repeated id differ by their texts, and rows that share both fare alike."""
+    return docs.withColumn("_key", F.xxhash64("doc_id", "text"))
+
+
 def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps of each group of near duplicates the document with the smallest id; documents without words have no duplicates."""
-    firsts = jaccard_components(docs).filter("doc_id is null or doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(firsts, docs["doc_id"].eqNullSafe(firsts["doc_id"]), "left_semi")
+    """Keeps of each group of near duplicates the document with the smallest id, null ids last; documents without words have no duplicates."""
+    rows = _keyed(docs)
+    found = stored(jaccard_components(rows.select(F.col("_key").alias("doc_id"), "text")).select(F.col("doc_id").alias("_key"), "component_id").distinct())
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "_key")
+    firsts = rows.select("_key", "doc_id").join(found, "_key").groupBy("component_id").agg(F.min_by("_key", order).alias("_key"))
+    kept = rows.join(firsts.select("_key"), "_key", "left_semi")
     return kept.dropDuplicates(["doc_id", "text"]).select(*COLUMNS)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops the documents in which a benchmark window occurs."""
-    found = decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).filter("contaminated").select("doc_id").distinct()
+    rows = _keyed(docs)
+    found = decontaminate(rows.select(F.col("_key").alias("doc_id"), "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet")).filter("contaminated").select(F.col("doc_id").alias("_key")).distinct()
     found = stored(found)
-    return docs.join(found, docs["doc_id"].eqNullSafe(found["doc_id"]), "left_anti").select(*COLUMNS)
+    return rows.join(found, "_key", "left_anti").select(*COLUMNS)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -45,6 +45,21 @@ def test_stages(spark, stages):
     assert len({r.sequence_id for r in packed}) <= math.ceil(sum(r.length for r in packed) / 2048) + 2
 
 
+def test_null_and_repeated_ids(spark, tmp_path):
+    words = lambda x, n: " ".join(f"{x}{i}" for i in range(n))
+    leak = words("leak", 30)
+    spark.createDataFrame([(1, leak)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    one, two, three = words("one", 200), words("two", 200), words("three", 200)
+    near = three + " more"
+    rows = [(None, one), (None, f"{words('x', 9)} {leak}"), (7, two), (7, f"{words('y', 9)} {leak}"), (None, three), (None, near), (3, near + " still"), (None, three)]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    texts = lambda df: sorted(((r.doc_id, r.text) for r in df.collect()), key=str)
+    assert texts(corpus_pipeline.decontamination(spark, docs, str(tmp_path))) == sorted([rows[k] for k in (0, 2, 4, 5, 6, 7)], key=str)
+    assert texts(corpus_pipeline.jaccard_join(spark, docs, str(tmp_path))) == sorted([rows[k] for k in (0, 1, 2, 3, 6)], key=str)
+
+
 def test_registered():
     entry = importlib.import_module("__spark_entry__")
     names = set(entry.queries())
