@@ -17,8 +17,8 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the documents whose language is accepted, and puts it in lang; the models are fitted to the documents' own lang."""
-    found = identify(docs, docs, F.col("lang"), F.col("source")).filter("accepted").select("doc_id", "tag", "language").dropDuplicates(["doc_id", "tag"])
+    """Keeps the documents whose language is accepted, and puts it in lang; the models are fitted to the documents' own lang, which is no evidence for them."""
+    found = identify(docs, docs, F.lit(None), F.col("source")).filter("accepted").select("doc_id", "tag", "language").dropDuplicates(["doc_id", "tag"])
     kept = docs.withColumn("_tag", F.xxhash64("text")).join(found, F.col("_tag").eqNullSafe(found["tag"]) & docs["doc_id"].eqNullSafe(found["doc_id"]))
     return kept.select(docs["doc_id"], "text", F.col("language").alias("lang"), "source", "n_chars")
 

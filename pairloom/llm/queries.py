@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,12 +13,12 @@ from pairloom.llm import line_dedup
 from pairloom.llm.decontaminate import decontaminate
 from pairloom.llm.fingerprints import fingerprint_edits
 from pairloom.llm.jaccard_join import jaccard_components
-from pairloom.llm.language import identify
+from pairloom.llm.language import declared_in, identify
 from pairloom.llm.lm_score import lm_score
 from pairloom.llm.packing import pack_documents
 from pairloom.llm.quality import score_quality
 from pairloom.llm.suffix_dedup import remove_repeats
-from pairloom.llm.warc import build_derivatives
+from pairloom.llm.warc import build_derivatives, plain_text
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -57,8 +58,23 @@ def op6_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents declare nothing: their lang is the label that the models are fitted to, no evidence."""
     docs = _table(spark, sf_dir, "documents")
-    return identify(docs, docs, F.col("lang"), F.col("source")).select("doc_id", "language", "probability", "accepted")
+    return identify(docs, docs, F.lit(None), F.col("source")).select("doc_id", "language", "probability", "accepted")
+
+
+def op7_language_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages by their text, the lang of their html element and their host; the models are fitted to documents."""
+
+    def texts(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({**{c: batch.column(c) for c in ("page_id", "declared", "host")}, "text": pa.array([None if x is None else plain_text(x) for x in batch.column("html").to_pylist()], pa.string())})
+
+    host = F.regexp_replace(line_dedup.site_of(F.col("url")), r"^.*@|:\d+$", "")
+    pages = _table(spark, sf_dir, "pages").select("page_id", declared_in(F.col("html")).alias("declared"), host.alias("host"), "html")
+    read = pages.mapInArrow(texts, "page_id long, declared string, host string, text string")
+    out = identify(read, _table(spark, sf_dir, "documents"), F.col("declared"), F.col("host"), id_col="page_id")
+    return out.select(F.col("doc_id").alias("page_id"), "language", "probability", "accepted")
 
 
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,7 +90,7 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    every = (op1_packing, op2_decontamination, op3_fingerprints, op4_line_dedup, op5_quality, op6_lm_score, op7_language, op8_warc, op9_jaccard_join, op10_suffix_dedup)
+    every = (op1_packing, op2_decontamination, op3_fingerprints, op4_line_dedup, op5_quality, op6_lm_score, op7_language, op7_language_pages, op8_warc, op9_jaccard_join, op10_suffix_dedup)
     return {f.__name__: f for f in every}
 
 

@@ -347,3 +347,20 @@ def test_components(spark):
     edges = [(i, i + 1) for i in range(1, 40)] + [(100, 101), (101, 100), (100, 100), (None, 3), (300, 200), (200, 250), (250, 300)]
     got = {r.node: r.component for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {i: 1 for i in range(1, 41)} | {100: 100, 101: 100, 200: 200, 250: 200, 300: 200}
+
+
+def test_language_of_mislabelled_documents_and_of_pages(spark, tmp_path):
+    from pairloom.llm import queries
+
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    short = sorted(r.doc_id for r in docs.filter("n_chars between 40 and 120").collect())[:4]
+    other = F.when(F.col("lang") == "en", "de").otherwise("en")
+    docs.withColumn("lang", F.when(F.col("doc_id").isin(short), other).otherwise(F.col("lang"))).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.read.parquet("/root/testdata/sf0.001/pages.parquet").write.parquet(f"{tmp_path}/pages.parquet")
+    wrong = {r.doc_id: r.lang for r in spark.read.parquet(f"{tmp_path}/documents.parquet").collect() if r.doc_id in short}
+    found = {r.doc_id: r.language for r in queries.op7_language(spark, str(tmp_path)).collect()}
+    assert short and not [i for i in short if found[i] == wrong[i]]
+    pages = {r.page_id: r.html for r in spark.read.parquet(f"{tmp_path}/pages.parquet").collect()}
+    got = queries.queries()["op7_language_pages"](spark, str(tmp_path)).collect()
+    assert sorted(r.page_id for r in got) == sorted(pages)
+    assert sum(f'lang="{r.language}"' in pages[r.page_id] for r in got) >= 0.9 * len(pages)
