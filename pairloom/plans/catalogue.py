@@ -253,7 +253,16 @@ def negatives_frequency(v):
 
 @_query()
 def negatives_degree_matched(v):
-    return negatives.select_degree_matched(_candidates(v), v.edges().filter("NOT negative"), 200, SEED)
+    """As many as there are positives, as add_negatives() has it."""
+    positive = v.edges().filter("NOT negative")
+    return negatives.select_degree_matched(negatives.fresh(_whole(v), v.edges()), positive, positive.count(), SEED)
+
+
+@_query()
+def negatives_frequency_whole(v):
+    """As many as there are positives, less those that the negative source has."""
+    n = v.edges().filter("NOT negative").count() - v.edges().filter("negative AND source = 'negatome'").count()
+    return negatives.select_frequency(negatives.fresh(_whole(v), v.edges()), n)
 
 
 def _whole(v) -> DataFrame:
