@@ -156,7 +156,7 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: s
     dealt = in_blocks(docs, blocks, id_col, text_col)
 
     def features(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-        return np.unique(_sets(table, n)[0], return_counts=True)
+        return scan.counted(_sets(table, n)[0])
 
     found = exchange(dealt, blocks, ranges, features)
     profiles = stored(

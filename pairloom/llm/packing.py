@@ -23,8 +23,8 @@ from pairloom.llm.shared import settled, stored
 #: Tokens of a sequence, and pieces of a pack.
 CAPACITY = 2048
 PACK = 12_000
-#: Distinct words whose ids a task keeps at once.
-CACHE = 1_000_000
+#: Distinct words whose ids a worker keeps at once, and their bytes.
+CACHE, CACHE_BYTES = 500_000, 12 << 20
 
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -109,7 +109,7 @@ class WordEncoder:
     """
 
     _SPLIT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z\xdf-\xf6\xf8-\xff]+|[0-9]|[^\sa-z0-9\xdf-\xf6\xf8-\xff]+|\n")
-    _ODD = re.compile(r"[^!-~\xc0-\xff]|<\|")
+    _ODD = re.compile(r"(?:[^!-~\xc0-\xff\n]|<\|)[^\n]*")  # one match for each word that has one
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -117,65 +117,71 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as f:
             self.merges = MergeTable(json.load(f)["model"])
-        self.known: dict[int, int] = {}
-        self.ids, self.begins, self.size = np.zeros(1 << 16, np.uint32), np.zeros(1 << 12, np.int64), 0
+        self.forget()
 
-    def _learn(self, keys: list[int], words: list[str]) -> None:
-        if not words:
+    def forget(self) -> None:
+        self.known: dict[bytes, int] = {}
+        self.ids, self.begins, self.size, self.spelled = np.zeros(1 << 16, np.uint32), np.zeros(1 << 12, np.int64), 0, 0
+
+    def _learn(self, keys: list[bytes]) -> None:
+        if not keys:
             return
-        odd = [i for i, w in enumerate(words) if self._ODD.search(w)]
-        plain = words
-        if odd:
-            plain = words.copy()
-            for i in odd:
-                plain[i] = ""
-        parts = self._SPLIT.findall("\n".join(plain).lower())
-        unique: dict[str, int] = {}
-        which, ends = [], []
-        for p in parts:
-            if p == "\n":
-                ends.append(len(which))
-            else:
-                which.append(unique.setdefault(p, len(unique)))
-        ends.append(len(which))
-        ids, at = self.merges.encode([p.encode() for p in unique])
-        which = np.array(which, np.int64)
-        lengths = (at[1:] - at[:-1])[which] if len(unique) else which
+        words = b"\n".join(keys).decode()
+        lines = words.split("\n")
+        begins = np.concatenate([[0], np.cumsum(np.fromiter(map(len, lines), np.int64, len(lines)) + 1)])
+        odd = (np.searchsorted(begins, [m.start() for m in self._ODD.finditer(words)], "right") - 1).tolist()
+        plain = lines.copy()
+        for i in odd:
+            plain[i] = ""
+        parts = self._SPLIT.findall("\n".join(plain).lower() if odd else words.lower())
+        number = {p: i for i, p in enumerate(dict.fromkeys(["\n", *parts]))}
+        which = np.fromiter(map(number.__getitem__, parts), np.int64, len(parts))
+        ends = np.flatnonzero(which == 0)
+        ends = np.append(ends - np.arange(len(ends)), len(which) - len(ends))
+        which = which[which > 0] - 1
+        ids, at = self.merges.encode([p.encode() for p in number][1:])
+        lengths = (at[1:] - at[:-1])[which] if len(which) else which
         stop = np.cumsum(lengths)
         flat = ids[np.repeat(at[which] - (stop - lengths), lengths) + np.arange(int(lengths.sum()))] if len(which) else ids
-        edges = np.concatenate([[0], stop])[np.array(ends)]
+        edges = np.concatenate([[0], stop])[ends]
         if odd:
             found = np.split(flat, edges[:-1])
             for i in odd:
-                found[i] = np.array(self.tokenizer.encode(words[i], add_special_tokens=False).ids, np.uint32)
+                found[i] = np.array(self.tokenizer.encode(lines[i], add_special_tokens=False).ids, np.uint32)
             flat, edges = np.concatenate(found), np.cumsum(list(map(len, found)))
         n, end = len(self.known), self.size + len(flat)
         while len(self.ids) < end:
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-        while len(self.begins) < n + len(words) + 1:
+        while len(self.begins) < n + len(keys) + 1:
             self.begins = np.concatenate([self.begins, np.zeros_like(self.begins)])
         self.ids[self.size : end] = flat
-        self.begins[n + 1 : n + len(words) + 1] = self.size + edges
-        self.known.update(zip(keys, range(n, n + len(words)), strict=True))
+        self.begins[n + 1 : n + len(keys) + 1] = self.size + edges
+        self.known.update(zip(keys, range(n, n + len(keys)), strict=True))
         self.size = end
+        self.spelled += sum(map(len, keys))
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and where each text's begin (n + 1)."""
         raw = data.tobytes()
         if b"<|" not in raw:  # special tokens alone tell cases apart
             data = scan.FOLD[data]
+            raw = data.tobytes()
         starts, ends, text = scan.word_spans(data, offsets, scan.NON_SPACE)
         # ASCII letters and signs never share a piece, but for what follows an apostrophe
         cut = np.flatnonzero(_KIND[data[1:]] + _KIND[data[:-1]] == 3) + 1
         starts, ends = np.sort(np.concatenate([starts, cut])), np.sort(np.concatenate([ends, cut]))
         text = np.searchsorted(offsets, starts, "right") - 1
-        keys = scan.spans_hash(scan.prefix_hash(data), starts, ends)
-        names, first, which = np.unique(keys, return_index=True, return_inverse=True)
-        if len(self.known) > CACHE:
-            self.known, self.size = {}, 0
-        names = names.tolist()
-        new = [i for i, k in enumerate(names) if k not in self.known]
-        self._learn([names[i] for i in new], [raw[starts[first[i]] : ends[first[i]]].decode() for i in new])
+        size = ends - starts
+        _, first, which = scan.classes(scan.spans_hash(data, starts, ends))
+        alike = (size == size[first][which]) & scan.same_spans(data, starts, starts[first][which], size)
+        if not alike.all():  # different words with one hash stand for themselves
+            apart = np.flatnonzero(~alike)
+            which[apart] = len(first) + np.arange(len(apart))
+            first = np.concatenate([first, apart])
+        if len(self.known) > CACHE or self.spelled > CACHE_BYTES:
+            self.forget()
+        names = [raw[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)]
+        self._learn(list(dict.fromkeys(w for w in names if w not in self.known)))
         at = np.fromiter(map(self.known.__getitem__, names), np.int64, len(names))[which]
         lengths = self.begins[at + 1] - self.begins[at]
         ends = np.cumsum(lengths)
@@ -184,13 +190,24 @@ class WordEncoder:
         return ids, np.concatenate([[0], np.cumsum(per_text)])
 
 
+_encoders: dict[str, WordEncoder] = {}
+
+
+def encoder_of(path: str) -> WordEncoder:
+    """The worker's encoder: the words that its earlier tasks met need not be encoded again."""
+    if path not in _encoders:
+        _encoders.clear()
+        _encoders[path] = WordEncoder(path)
+    return _encoders[path]
+
+
 def tokenized_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32[, ids]): each document's ids and a 0, cut only where longer than capacity.  Null texts count as empty."""
     schema = _PIECES + (", ids binary" if with_ids else "")
 
     def cut(batches):
         scan.trim()
-        encoder = WordEncoder(tokenizer)
+        encoder = encoder_of(tokenizer)
         for batch in batches:
             flat, offsets = scan.text_buffer(batch.column(1))
             for at, to, data, own in scan.pieces(flat, offsets, 2 << 20):

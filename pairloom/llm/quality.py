@@ -46,7 +46,8 @@ def _most(hashes: np.ndarray, owner: np.ndarray, n: int) -> tuple[np.ndarray, np
     out = np.zeros(n)
     if not len(hashes):
         return out, out.copy()
-    order = np.lexsort((hashes, owner))
+    order = scan.order_of(hashes)
+    order = order[np.argsort(owner[order].astype(np.uint16), kind="stable")]  # a piece has at most 4096 texts
     h, o = hashes[order], owner[order]
     first = np.flatnonzero(np.concatenate([[True], (h[1:] != h[:-1]) | (o[1:] != o[:-1])]))
     np.maximum.at(out, o[first], np.diff(np.append(first, len(h))))
@@ -67,8 +68,8 @@ def statistics(flat: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         text = np.repeat(np.arange(n), np.diff(own))
         size = np.diff(own).astype(np.float64)
         starts, ends, owner = scan.word_spans(data, own, scan.NON_SPACE)
-        prefix = scan.prefix_hash(scan.FOLD[data])
-        hashes = scan.spans_hash(prefix, starts, ends)
+        folded = scan.FOLD[data]
+        hashes = scan.spans_hash(folded, starts, ends)
         words, length = _per(owner, n), (ends - starts).astype(np.float64)
         mean = _per(owner, n, length) / np.maximum(words, 1)
         spread = np.sqrt(np.maximum(_per(owner, n, length**2) / np.maximum(words, 1) - mean**2, 0))
@@ -83,7 +84,7 @@ def statistics(flat: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         pair_distinct, _ = _most(pairs, pair_owner, n)
         l_starts, l_ends, l_owner = scan.word_spans(data, own, _LINE)
         lines = _per(l_owner, n)
-        line_distinct, _ = _most(scan.spans_hash(prefix, l_starts, l_ends), l_owner, n)
+        line_distinct, _ = _most(scan.spans_hash(folded, l_starts, l_ends), l_owner, n)
         kinds = (histogram[:, _SIGN] > 0).sum(axis=1)
         p = histogram / np.maximum(size, 1)[:, None]
         entropy = -(p * np.log2(np.where(p > 0, p, 1))).sum(axis=1)

@@ -12,10 +12,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 
-#: Odd multiplier of the polynomial hashes (mod 2**64) and its inverse.
+#: Odd multipliers between the steps of a hash.
 _BASE = 0x9E3779B97F4A7C15
-_INVERSE = pow(_BASE, -1, 1 << 64)
+_STEP = np.uint64(0xD6E8FEB86659FD93)
+#: Bytes up to which a span is hashed in steps of eight, all spans at once; longer ones go to XXH3.
+_STEPPED = 64
 
 #: Lower-cases A-Z alone.
 FOLD = np.arange(256, dtype=np.uint8)
@@ -29,18 +32,8 @@ NON_SPACE[[0x20, *range(0x09, 0x0E)]] = False
 ALNUM = np.ones(256, dtype=bool)
 ALNUM[0x00:0x30] = ALNUM[0x3A:0x61] = ALNUM[0x7B:0x80] = False
 
-_powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
-
-
-def _power_table(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """_BASE**i and _INVERSE**i for i < n at least, kept between calls."""
-    if len(_powers[0]) < n:
-        size = 1 << max(16, (n - 1).bit_length())
-        for i, base in enumerate((_BASE, _INVERSE)):
-            steps = np.full(size, base, dtype=np.uint64)
-            steps[0] = 1
-            _powers[i] = np.multiply.accumulate(steps)
-    return _powers[0], _powers[1]
+#: Keeps the first i bytes of a little-endian word.
+_KEEP = np.array([(1 << 8 * i) - 1 for i in range(9)], np.uint64)
 
 
 def trim() -> None:
@@ -87,18 +80,74 @@ def pieces(flat: np.ndarray, offsets: np.ndarray, target: int = 1 << 20, most: i
         at = to
 
 
-def prefix_hash(data: np.ndarray) -> np.ndarray:
-    """c with c[j] - c[i] = the polynomial hash of data[i:j], times base**i."""
-    powers, _ = _power_table(len(data) + 1)
-    out = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers[: len(data)], out=out[1:])
+def eights(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place on as one little-endian word; zeros follow the end.  A view, with a word for the end itself too."""
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    return np.lib.stride_tricks.as_strided(padded[:8].view("<u8"), shape=(len(data) + 1,), strides=(1,))
+
+
+def spans_hash(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hash of data[start:end] for each pair.  Each step mixes what it has before it adds eight bytes, so no sum of bytes times powers can vanish; spans of at most eight bytes and of one length never share a hash."""
+    size, words = ends - starts, eights(data)
+    out = mix(mix(size.astype(np.uint64) + np.uint64(_BASE)) + (words[starts] & _KEEP[np.minimum(size, 8)]))
+    live = np.flatnonzero((size > 8) & (size <= _STEPPED))
+    for k in range(8, _STEPPED, 8):
+        if not len(live):
+            break
+        out[live] = mix(out[live] * _STEP + (words[starts[live] + k] & _KEEP[np.minimum(size[live] - k, 8)]))
+        live = live[size[live] > k + 8]
+    if len(long := np.flatnonzero(size > _STEPPED)):
+        view = memoryview(np.ascontiguousarray(data))
+        out[long] = [xxhash.xxh3_64_intdigest(view[a:b]) for a, b in zip(starts[long].tolist(), ends[long].tolist(), strict=True)]
+    return out
+
+
+def same_spans(data: np.ndarray, a: np.ndarray, b: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Whether data[a:a + size] equals data[b:b + size], for each triple."""
+    words, out = eights(data), np.ones(len(a), bool)
+    live = np.flatnonzero((a != b) & (size <= _STEPPED))
+    for k in range(0, _STEPPED, 8):
+        if not len(live):
+            break
+        differ = (words[a[live] + k] ^ words[b[live] + k]) & _KEEP[np.minimum(size[live] - k, 8)] != 0
+        out[live[differ]] = False
+        live = live[~differ & (size[live] > k + 8)]
+    for i in np.flatnonzero((a != b) & (size > _STEPPED)).tolist():
+        out[i] = np.array_equal(data[a[i] : a[i] + size[i]], data[b[i] : b[i] + size[i]])
     return out
 
 
-def spans_hash(prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Hash of data[start:end] for each pair, from prefix_hash(data)."""
-    _, inverse = _power_table(len(prefix))
-    return mix((prefix[ends] - prefix[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
+def order_of(h: np.ndarray) -> np.ndarray:
+    """An order that sorts hashes; equal ones stay in theirs.  Sorts words of the leading hash bits and the place, and mends the few runs whose leading bits agree by chance."""
+    bits = np.uint64(max(1, len(h) - 1).bit_length())
+    low = (np.uint64(1) << bits) - np.uint64(1)
+    order = (np.sort((h & ~low) | np.arange(len(h), dtype=np.uint64)) & low).astype(np.int64)
+    found = h[order]
+    wrong = np.flatnonzero(found[1:] < found[:-1])
+    if len(wrong):
+        lead = found & ~low
+        first, last = np.searchsorted(lead, lead[wrong], "left"), np.searchsorted(lead, lead[wrong], "right")
+        for a, b in sorted(set(zip(first.tolist(), last.tolist(), strict=True))):
+            order[a:b] = order[a:b][np.argsort(h[order[a:b]], kind="stable")]
+    return order
+
+
+def classes(h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted distinct hashes, the first place of each, and each place's index among them."""
+    order = order_of(h)
+    found = h[order]
+    new = np.ones(len(h), bool)
+    new[1:] = found[1:] != found[:-1]
+    which = np.empty(len(h), np.int64)
+    which[order] = np.cumsum(new) - 1
+    return found[new], order[new], which
+
+
+def counted(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct hashes and how often each occurs."""
+    h = np.sort(h)
+    first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])) if len(h) else np.zeros(0, np.int64)
+    return h[first], np.diff(np.append(first, len(h)))
 
 
 def word_spans(data: np.ndarray, offsets: np.ndarray, of_word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -122,7 +171,7 @@ def word_hashes(flat: np.ndarray, offsets: np.ndarray, of_word: np.ndarray, fold
     for at, to, data, own in pieces(flat, offsets):
         data = fold[data]
         starts, ends, text = word_spans(data, own, of_word)
-        hashes.append(spans_hash(prefix_hash(data), starts, ends))
+        hashes.append(spans_hash(data, starts, ends))
         counts[at:to] = np.bincount(text, minlength=to - at)
     return np.concatenate(hashes) if hashes else np.zeros(0, np.uint64), np.concatenate([[0], np.cumsum(counts)])
 
@@ -157,7 +206,9 @@ def distinct_by_text(hashes: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray,
     """Each text's distinct hashes, sorted by text and hash."""
     if len(hashes) == 0:
         return hashes, owner
-    order = np.lexsort((hashes, owner))
+    order = order_of(hashes)
+    few = np.uint16 if int(owner.max()) < 1 << 16 else np.int64  # numpy sorts the short kind by radix
+    order = order[np.argsort(owner[order].astype(few), kind="stable")]
     hashes, owner = hashes[order], owner[order]
     new = np.ones(len(hashes), bool)
     new[1:] = (hashes[1:] != hashes[:-1]) | (owner[1:] != owner[:-1])

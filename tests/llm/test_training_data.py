@@ -46,6 +46,33 @@ def rows():
     return [r + (1, "b", "r", "s", "h", 2, 3, 4, "t", 0.5, "g", "k", "p", "i", 9) for r in out]
 
 
+def _thue_morse(n):
+    out = "a"
+    while len(out) < n:
+        out += out.translate(str.maketrans("ab", "ba"))
+    return out
+
+
+def test_word_hashes_of_words_that_agree_in_sums_of_powers():
+    import pyarrow as pa
+
+    for n in (8, 64, 1024, 4096, 1 << 16):
+        one = _thue_morse(n)
+        two = one.translate(str.maketrans("ab", "ba"))
+        h, _ = scan.word_hashes(*scan.text_buffer(pa.array([one, two, one])), scan.NON_SPACE)
+        assert h[0] == h[2] != h[1]
+
+
+def test_order_of_hashes_with_equal_leading_bits():
+    rng = np.random.default_rng(2)
+    h = rng.integers(0, 1 << 63, 3000).astype(np.uint64)
+    h[:900] = (h[0] & ~np.uint64(0xFFF)) | rng.integers(0, 4096, 900).astype(np.uint64)
+    order = scan.order_of(h)
+    assert (h[order] == np.sort(h)).all() and (np.diff(order)[np.diff(h[order].astype(object)) == 0] > 0).all()
+    names, first, which = scan.classes(h)
+    assert (names[which] == h).all() and (h[first] == names).all()
+
+
 @pytest.fixture(scope="module")
 def docs(spark, rows):
     return spark.createDataFrame(rows, SCHEMA).repartition(3).cache()
@@ -224,18 +251,29 @@ def test_lm_score(docs, odd, none, rows):
     train = lambda i: zlib.crc32(str(i).encode()) % 5 != 1
     mark = F.crc32(F.col("doc_id").cast("string")) % 5 != 1
     tokens = {i: [*words(t), None] for i, t, *_ in rows}
-    uni, pairs, starts = collections.Counter(), collections.Counter(), 0
+    uni, pairs, triples, starts = collections.Counter(), collections.Counter(), collections.Counter(), 0
     for i, w in tokens.items():
         if train(i):
             uni.update(w)
             pairs.update(zip(["<s>", *w[:-1]], w, strict=True))
+            triples.update(zip(["<s>", *w[:-2]], w, w[1:], strict=False))
             starts += 1
     n, v = sum(uni.values()), len(uni)
     context = dict(uni) | {"<s>": starts}
+    m, k = lm_score.MU
     for r in lm_score.lm_score(docs, mark).collect():
         w = tokens[r.doc_id]
         p = [(uni[x] + 0.5) / (n + 0.5 * (v + 1)) for x in w]
-        score = sum(math.log10((pairs[a, b] + lm_score.MU * q) / (context.get(a, 0) + lm_score.MU)) for a, b, q in zip(["<s>", *w[:-1]], w, p, strict=True))
+        score = 0.0
+        for at, (a, b) in enumerate(zip(["<s>", *w[:-1]], w, strict=True)):
+            # from the state of the longest context, over failure arcs, to one that goes on with the word
+            before = ["<s>", *w][at - 1] if at else None
+            root = math.log10(p[at])
+            arc = math.log10((pairs[a, b] + m * p[at]) / (context.get(a, 0) + m))
+            step = arc if pairs[a, b] else math.log10(m / (context.get(a, 0) + m)) + root
+            if at and pairs[before, a]:
+                step = math.log10((triples[before, a, b] + k * 10**arc) / (pairs[before, a] + k)) if triples[before, a, b] else math.log10(k / (pairs[before, a] + k)) + step
+            score += step
         assert (r.train, r.n_tokens, r.n_known, r.train_tokens) == (train(r.doc_id), len(w), sum(uni[x] > 0 for x in w), n)
         assert r.base_score == pytest.approx(sum(map(math.log10, p))) and r.score == pytest.approx(score)
     assert lm_score.lm_score(odd, mark).count() == len(rows) + 4
