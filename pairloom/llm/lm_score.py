@@ -1,12 +1,14 @@
-"""LM scoring by a weighted backoff automaton.
-
-The model is a smoothed n-gram of order 2: p(w | v) = (c(v w) + MU p(w)) / (c(v) + MU), with
-p(w) = (c(w) + 0.5) / (N + 0.5 (V + 1)).  Its automaton has a root and a state for each
-word seen before another; a state's arcs are the pairs seen in training, each with its log
-probability, and its failure arc leads to the root with weight MU / (c(v) + MU), where every
-word, known or not, has an arc.  Counts of words and pairs come from all training documents
-by the block exchange; each block of documents then gets the totals of the words and
-pairs it holds, which is all of the automaton that its traversal can reach.
+"""LM scoring by a weighted backoff automaton of order 3.
+
+The model is a smoothed n-gram: p(w) = (c(w) + 0.5) / (N + 0.5 (V + 1)), p(w | v) = (c(v w) + MU[0] p(w)) /
+(c(v) + MU[0]) and p(w | u v) = (c(u v w) + MU[1] p(w | v)) / (c(u v) + MU[1]).  Its automaton has a root and
+a state for each word and each pair seen in training.  A state's arcs are the n-grams that go on
+from it, each with its log probability; its failure arc leads to the state of the context without
+its first word, with weight MU / (c + MU), and from there, if need be, to the root, where
+every word, known or not, has an arc.  After each token the state is that of the longest
+context seen.  Counts of words, pairs and triples come from all training documents by the
+block exchange; each block of documents gets the totals of the n-grams it holds, which is all
+of the automaton that its traversal can reach.
 """
 
 from __future__ import annotations
@@ -17,131 +19,121 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pairloom.llm import scan
-from pairloom.llm.shared import RANGE_BYTES, answers, ask, n_blocks, settled, stored, text_bytes
+from pairloom.llm.shared import ASKED, RANGE_BYTES, TOLD, answers, ask, n_blocks, settled, spread, stored, text_bytes, told, totals_of
 
-#: Weight of the word distribution in a context, in counts.
-MU = 20.0
+#: Weight of the shorter context, in counts, for contexts of one and of two words.
+MU = (500.0, 5.0)
+#: Bytes of text in a block.
+BLOCK = 8 << 20
 
 _END = scan.mix(np.array([1], np.uint64))[0]
 _START = scan.mix(np.array([2], np.uint64))[0]
-_PAIR = np.uint64(0x9E3779B97F4A7C15)
+_NEXT = np.uint64(0x9E3779B97F4A7C15)
+#: Bits of a hash that stay: all but the three for kind and training for words, 56 for longer n-grams, so that a request stays small.
+_KEEP = (~np.uint64(7), ~np.uint64(255), ~np.uint64(255))
 
 
 def _tokens(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of words, with an end after each text's, and where each text begins.  The low bit is 0."""
+    """Hashes of words, with an end after each text's, and where each text begins."""
     words, begins = scan.word_hashes(*scan.text_buffer(table.column("text")), scan.NON_SPACE)
     n = len(begins) - 1
     out = np.full(len(words) + n, _END, np.uint64)
-    place = np.arange(len(words)) + np.repeat(np.arange(n), np.diff(begins))
-    out[place] = words
-    return out & ~np.uint64(1), begins + np.arange(n + 1)
+    out[np.arange(len(words)) + np.repeat(np.arange(n), np.diff(begins))] = words
+    return out, begins + np.arange(n + 1)
 
 
-def _before(tokens: np.ndarray, begins: np.ndarray) -> np.ndarray:
-    """The token before each, or the start."""
+def _grams(tokens: np.ndarray, begins: np.ndarray) -> list[np.ndarray]:
+    """Keys of the word, the pair and the triple that end at each token; bits 1 and 2 tell which.  A text's first token follows a start; only the second has a triple with it."""
+    first = begins[:-1]
     before = np.empty_like(tokens)
     before[1:] = tokens[:-1]
-    before[begins[:-1]] = _START & ~np.uint64(1)
-    return before
-
-
-def _pairs(before: np.ndarray, tokens: np.ndarray) -> np.ndarray:
-    """Hashes of pairs; the low bit is 1, so that pairs and words share one exchange."""
-    return scan.mix(before * _PAIR + tokens) | np.uint64(1)
+    before[first] = _START
+    pairs = scan.mix(before * _NEXT + tokens)
+    before[1:] = pairs[:-1]
+    triples = scan.mix(before * _NEXT + tokens)
+    return [h & keep | np.uint64(2 * kind) for kind, (h, keep) in enumerate(zip((tokens, pairs, triples), _KEEP, strict=True))]
 
 
 def _features(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct words and pairs of all texts of a block, and their counts in training texts."""
+    """Distinct n-grams of all texts of a block, and their counts in training texts."""
     tokens, begins = _tokens(table)
-    train = np.repeat(table.column("train").combine_chunks().fill_null(False).to_numpy(zero_copy_only=False).astype(np.int64), np.diff(begins))
-    both = np.concatenate([tokens, _pairs(_before(tokens, begins), tokens)])
-    names, which = np.unique(both, return_inverse=True)
-    return names, np.bincount(which, np.concatenate([train, train]), minlength=len(names)).astype(np.int64)
+    train = np.repeat(table.column("train").combine_chunks().fill_null(False).to_numpy(zero_copy_only=False).astype(np.uint64), np.diff(begins))
+    words, pairs, triples = _grams(tokens, begins)
+    inside = np.ones(len(tokens), bool)
+    inside[begins[:-1]] = False
+    every = np.concatenate([words | train, pairs | train, (triples | train)[inside]])
+    del tokens, words, pairs, triples
+    every.sort()
+    first = np.flatnonzero(np.concatenate([[True], (every[1:] ^ every[:-1]) > 1])) if len(every) else np.zeros(0, np.int64)
+    counts = np.add.reduceat(every & np.uint64(1), first) if len(first) else first
+    return every[first] & ~np.uint64(1), counts.astype(np.int64)
 
 
 def _sum_range(table: pa.Table) -> pa.Table:
     """Totals for each block, and in every row the range's count of training words: all (n) and distinct (v)."""
-    squeeze, hashes = pa.Codec("lz4"), [np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("hashes")]
-    counts = [np.frombuffer(squeeze.decompress(x.as_buffer(), 4 * len(h)), np.int32) for x, h in zip(table.column("counts"), hashes, strict=True)]
-    names, which = np.unique(np.concatenate(hashes), return_inverse=True)
-    total = np.bincount(which, np.concatenate(counts)).astype(np.int64)
-    words = total[(names & np.uint64(1)) == 0]
-    parts = np.split(total[which], np.cumsum([len(h) for h in hashes])[:-1])
-    kind = np.int32 if total.max(initial=0) < 2**31 else np.int64
-    rows = table.num_rows
-    return pa.table({
-        "block": table.column("block"), "bucket": table.column("bucket"),
-        "wide": pa.array([np.dtype(kind).itemsize] * rows, pa.int32()), "n": pa.array([len(p) for p in parts], pa.int32()),
-        "totals": pa.array([squeeze.compress(p.astype(kind).tobytes(), asbytes=True) for p in parts], pa.binary()),
-        "all_words": pa.array([int(words.sum())] * rows, pa.int64()), "distinct_words": pa.array([int((words > 0).sum())] * rows, pa.int64()),
-    })
+    scan.trim()
+    names, total, parts = totals_of(table)
+    words, rows = total[(names & np.uint64(6)) == 0], table.num_rows
+    return pa.table(told(table, parts) | {"all_words": pa.array([int(words.sum())] * rows, pa.int64()), "distinct_words": pa.array([int((words > 0).sum())] * rows, pa.int64())})
 
 
 class Automaton:
-    """The part of the automaton that a block's words and pairs reach.
-
-    States are word ids; state -1 is the root.  Arcs of all states are one sorted array of
-    (state, word) keys.
-    """
-
-    def __init__(self, words: np.ndarray, pair_keys: np.ndarray, pair_counts: np.ndarray, n: int, v: int, mu: float):
-        base = (words + 0.5) / (n + 0.5 * (v + 1))
-        self.root = np.log10(base)
-        self.width = len(words)
-        state, word = pair_keys // self.width, pair_keys % self.width
-        seen = pair_counts > 0
-        state, word, pair_counts = state[seen], word[seen], pair_counts[seen]
-        self.arcs = pair_keys[seen]
-        # a context's count: its pairs sum up to its occurrences before another token
-        context = words[state].astype(np.float64)
-        self.weight = np.log10((pair_counts + mu * base[word]) / (context + mu))
-        self.failure = np.log10(mu / (words + mu))
-
-    def score(self, tokens: np.ndarray, begins: np.ndarray, first: int) -> np.ndarray:
-        """log10 probability of each text: one pass from left to right, all texts in step, each with its state."""
-        lengths = np.diff(begins)
-        order = np.argsort(-lengths, kind="stable")
-        active = np.searchsorted(-lengths[order], -np.arange(int(lengths.max(initial=0))), "left")
-        total, state = np.zeros(len(order)), np.full(len(order), first, np.int64)
-        at = begins[:-1][order].copy()
-        last = len(self.arcs) - 1
-        for n in active:
-            word = tokens[at[:n]]
-            key = state[:n] * self.width + word
-            arc = np.minimum(np.searchsorted(self.arcs, key), last)
-            follows = self.arcs[arc] == key if last >= 0 else np.zeros(n, bool)
-            total[:n] += np.where(follows, self.weight[arc] if last >= 0 else 0.0, self.failure[state[:n]] + self.root[word])
-            state[:n] = word
-            at[:n] += 1
-        out = np.empty_like(total)
-        out[order] = total
-        return out
-
-
-def _score(table: pa.Table, found: pa.Table, n: int, v: int, starts: int, mu: float) -> pa.Table:
+    """The part of the automaton that a block's tokens reach, by the counts of the n-grams that end at each token."""
+
+    def __init__(self, n: int, v: int, starts: int, mu=MU):
+        self.n, self.v, self.starts, self.mu = n, v, starts, mu
+
+    def root(self, words: np.ndarray) -> np.ndarray:
+        """Weight of a word's arc at the root."""
+        return np.log10((words + 0.5) / (self.n + 0.5 * (self.v + 1)))
+
+    def steps(self, counts: list[np.ndarray], first: np.ndarray) -> np.ndarray:
+        """Weight of each step: the arc of the longest context's state that has one, after the failure arcs before it.
+
+        counts: of words, pairs and triples at each token; first: each text's first token.
+        The state before a token is the longest context seen, so the pair and the word
+        that end at the token before it say which, and one pass over all tokens does what
+        a walk from left to right would.
+        """
+        words, pairs, triples = (c.astype(np.float64) for c in counts)
+        state1, state2 = np.zeros_like(words), np.zeros_like(words)
+        state1[1:], state2[1:] = words[:-1], pairs[:-1]
+        state1[first], state2[first] = self.starts, 0
+        root = self.root(words)
+        arc2 = np.log10((pairs + self.mu[0] * 10**root) / (state1 + self.mu[0]))
+        arc3 = np.log10((triples + self.mu[1] * 10**arc2) / (state2 + self.mu[1]))
+        fail1, fail2 = np.log10(self.mu[0] / (state1 + self.mu[0])), np.log10(self.mu[1] / (state2 + self.mu[1]))
+        # a context that wasn't seen is no state; its failure weight is 0
+        shorter = np.where(pairs > 0, arc2, fail1 + root)
+        return np.where((triples > 0) & (state2 > 0), arc3, fail2 + shorter)
+
+
+def _score(table: pa.Table, found: pa.Table, machine: Automaton) -> pa.Table:
+    scan.trim()
     tokens, begins = _tokens(table)
-    before = _before(tokens, begins)
-    pairs = _pairs(before, tokens)
-    names, counts = np.unique(np.concatenate([tokens, pairs])), answers(found)
-    words = names[(names & np.uint64(1)) == 0]
-    word_counts = counts[(names & np.uint64(1)) == 0]
-    ids = np.searchsorted(words, tokens)
-    context = np.concatenate([[0], ids[:-1]])
-    context[begins[:-1]] = len(words)  # the start is a state, not a word
-    width = len(words) + 1
-    keys, at = np.unique(context * width + ids, return_index=True)
-    pair_counts = counts[np.searchsorted(names, pairs[at])]
-    machine = Automaton(np.append(word_counts, starts), keys, pair_counts, n, v, mu)
-    root = np.log10((word_counts + 0.5) / (n + 0.5 * (v + 1)))
-    score = machine.score(ids, begins, len(words))
+    first = begins[:-1]
+    inside = np.ones(len(tokens), bool)
+    inside[first] = False
+    grams = _grams(tokens, begins)
+    grams[2] = grams[2][inside]
+    names, places = [], []
+    for g in grams:
+        known, _, which = scan.classes(g)
+        names.append(known)
+        places.append(which)
+    every, totals = np.sort(np.concatenate(names)), answers(found)
+    counts = [totals[np.searchsorted(every, known)][which] for known, which in zip(names, places, strict=True)]
+    triples = np.zeros(len(tokens), np.int64)
+    triples[inside] = counts[2]
+    steps = machine.steps([counts[0], counts[1], triples], first)
     return pa.table({
         "doc_id": table.column("doc_id"), "train": table.column("train"), "n_tokens": pa.array(np.diff(begins), pa.int64()),
-        "n_known": pa.array(np.add.reduceat((word_counts[ids] > 0).astype(np.int64), begins[:-1]), pa.int64()), "train_tokens": pa.array(np.full(len(begins) - 1, n), pa.int64()),
-        "base_score": pa.array(np.add.reduceat(root[ids], begins[:-1]), pa.float64()), "score": pa.array(score, pa.float64()),
+        "n_known": pa.array(np.add.reduceat((counts[0] > 0).astype(np.int64), first), pa.int64()), "train_tokens": pa.array(np.full(len(first), machine.n), pa.int64()),
+        "base_score": pa.array(np.add.reduceat(machine.root(counts[0]), first), pa.float64()), "score": pa.array(np.add.reduceat(steps, first), pa.float64()),
     })
 
 
-def lm_score(docs: DataFrame, train: Column, mu: float = MU, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def lm_score(docs: DataFrame, train: Column, mu=MU, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, train, n_tokens (words and an end), n_known (seen in training), train_tokens, base_score, score (both log10).
 
     Words: runs of other than ASCII white space, A-Z lower-cased; null texts count as
@@ -152,15 +144,20 @@ def lm_score(docs: DataFrame, train: Column, mu: float = MU, id_col: str = "doc_
     spark = docs.sparkSession
     settled(spark)
     total = text_bytes(docs, text_col)
-    blocks, ranges = n_blocks(spark, total), max(16, -(-total // RANGE_BYTES))
+    blocks, ranges = n_blocks(spark, total, BLOCK), max(16, -(-total // RANGE_BYTES))
     marked = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.coalesce(train, F.lit(False)).alias("train"))
-    dealt = marked.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).cast("int"))
-    asked = dealt.groupBy("block").applyInArrow(lambda key, table: ask(*_features(table), key[0].as_py(), ranges), "bucket int, block int, hashes binary, counts binary")
-    found = stored(asked.groupBy("bucket").applyInArrow(_sum_range, "block int, bucket int, wide int, n int, totals binary, all_words long, distinct_words long"))
+    dealt = spread(marked.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).cast("int")), "block", blocks)
+
+    def request(key, table: pa.Table) -> pa.Table:
+        scan.trim()
+        return ask(*_features(table), key[0].as_py(), ranges)
+
+    asked = dealt.groupBy("block").applyInArrow(lambda key, table: request(key, table), ASKED)
+    found = stored(spread(asked, "bucket", ranges).groupBy("bucket").applyInArrow(_sum_range, TOLD + ", all_words long, distinct_words long"))
     sums = found.groupBy("bucket").agg(F.max("all_words").alias("n"), F.max("distinct_words").alias("v")).agg(F.sum("n"), F.sum("v")).first()
-    n, v = sums[0] or 0, sums[1] or 0
-    starts = marked.filter("train").count()
-    return dealt.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(
-        lambda left, right: _score(left, right, n, v, starts, mu),
+    machine = Automaton(sums[0] or 0, sums[1] or 0, marked.filter("train").count(), mu)
+    told_to = spread(found.select("block", "bucket", "wide", "n", "totals"), "block", blocks)
+    return dealt.groupBy("block").cogroup(told_to.groupBy("block")).applyInArrow(
+        lambda left, right: _score(left, right, machine),
         "doc_id long, train boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double",
     )
