@@ -3,34 +3,38 @@
 Sorting all suffixes would move LENGTH times the text.  Equal strings of LENGTH bytes have
 equal minimizers (the SEED-byte piece with the smallest hash, leftmost of equals) at the
 same place, so the suffixes that begin at minimizers are enough: what lies before is at most
-REACH bytes.  The block exchange first tells which minimizers occur in two documents at all.
-
-Within a block, strings that a smaller document of the block has too are settled at once; for
-the rest, the block's smallest document stands for all, so that a group of copies sends
-one suffix a block.  These suffixes are range-partitioned by their leading bytes at sampled
-splitters; each bucket sorts its suffixes by multikey quicksort, eight bytes a key, and takes,
-for each possible start before the minimizer, runs of neighbours with a long enough common
-prefix and equal bytes on the left.  Splitters are compared with the leading bytes that all such
-suffixes share, so no run crosses a bucket's boundary.
+REACH = LENGTH - SEED bytes.  The block exchange first tells which minimizers occur in two documents
+at all; a chance agreement of hashes there only lets one more suffix in.
+
+A suffix's key is its first LENGTH bytes and then the REACH bytes before it, from right to left.
+Keys are sorted by multikey quicksort; a string that starts d bytes before two minimizers is the same
+if their suffixes share LENGTH - d bytes (a run of neighbours in the order) and d bytes on the
+left (a run in the order of the left sides).  This is done in each block of documents first, where
+whatever a smaller document of the block has is settled and equal keys become one, so that
+a group of copies sends one suffix a block.  What remains is range-partitioned by whole keys at
+sampled splitters, so that a frequent beginning is cut by what follows and by what lies before.
+
+A run may therefore cross a bucket's boundary.  Its suffixes share their beginning with the
+splitter there, so a bucket knows them, and their strings are compared across all
+boundaries: grouped by the string itself, the smallest document of all buckets decides.
 """
 
 from __future__ import annotations
 
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pairloom.llm import scan
-from pairloom.llm.shared import answers, exchange, ids_of, in_blocks, n_blocks, RANGE_BYTES, settled, stored, text_bytes
+from pairloom.llm.shared import answers, exchange, ids_of, in_blocks, n_blocks, RANGE_BYTES, settled, sized_join, spread, stored, text_bytes
 
 #: Bytes of minimizers.
 SEED = 16
-#: Bytes of text in a block.
-BLOCK = 6 << 20
-#: Sampled documents for splitters, and suffixes of each.
-SAMPLE_DOCS, SAMPLE_EACH = 2000, 8
+#: Bytes of text in a block, and behind a bucket; fewest buckets.
+BLOCK, BUCKET, BUCKETS = 6 << 20, 4 << 20, 48
+#: Sampled documents for splitters (at least, for each bucket, at most), and suffixes of each.
+SAMPLE_DOCS, SAMPLE_EACH = (2000, 4, 50_000), 8
 
 
 def _ordered(table: pa.Table) -> pa.Table:
@@ -38,185 +42,269 @@ def _ordered(table: pa.Table) -> pa.Table:
     return table.select(["doc_id", "text"]).sort_by([("doc_id", "ascending"), ("text", "ascending")])
 
 
-def _windows(data: np.ndarray, offsets: np.ndarray, length: int):
-    """Start and document of every string of length bytes, its minimizer's place, and hashes of all seeds."""
-    prefix = scan.prefix_hash(data)
-    span = length - SEED
+def _minimizers(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of each minimizer of a string of length bytes: hash, text, place, and how far before it the nearest and the farthest such string starts."""
     if len(data) < length:
         none = np.zeros(0, np.int64)
-        return prefix, none, none, none, np.zeros(0, np.uint64)
-    at = np.arange(len(data) - SEED + 1)
-    seeds = scan.spans_hash(prefix, at, at + SEED)
-    key = (seeds & np.uint64(0xFFFFFFFF00000000)) | at.astype(np.uint64)
-    low, width = key, 1
-    while width * 2 <= span + 1:
+        return np.zeros(0, np.uint64), none, none, none, none
+    words, count = scan.eights(data), len(data) - SEED + 1
+    seeds = scan.mix(scan.mix(words[:count]) + words[8 : 8 + count])
+    low, width, span = (seeds & np.uint64(0xFFFFFFFF00000000)) | np.arange(count, dtype=np.uint64), 1, length - SEED + 1
+    while width * 2 <= span:
         low, width = np.minimum(low[:-width], low[width:]), width * 2
-    rest = span + 1 - width
-    low = np.minimum(low[: len(low) - rest], low[rest:]) if rest else low
-    doc = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))[: len(low)]
-    inside = np.arange(len(low)) + length <= offsets[1:][doc]
-    starts = np.flatnonzero(inside)
-    return prefix, starts, doc[starts], (low[starts] & np.uint64(0xFFFFFFFF)).astype(np.int64), seeds
+    if rest := span - width:
+        low = np.minimum(low[:-rest], low[rest:])
+    text = np.repeat(np.arange(len(offsets) - 1, dtype=np.int32), np.diff(offsets))[: len(low)]
+    starts = np.flatnonzero(np.arange(len(low)) + length <= offsets[1:][text])
+    text, place = text[starts], (low[starts] & np.uint64(0xFFFFFFFF)).astype(np.int64)
+    new = np.ones(len(starts), bool)
+    new[1:] = (place[1:] != place[:-1]) | (text[1:] != text[:-1])
+    first = np.flatnonzero(new)
+    last = np.append(first[1:], len(starts)) - 1
+    return seeds[place[first]], text[first], place[first], place[first] - starts[last], place[first] - starts[first]
 
 
-def _runs(doc: np.ndarray, place: np.ndarray) -> np.ndarray:
-    """Where runs of neighbouring strings of one document with one minimizer begin."""
-    new = np.ones(len(doc), bool)
-    new[1:] = (place[1:] != place[:-1]) | (doc[1:] != doc[:-1])
-    return np.flatnonzero(new)
+def _all_minimizers(flat: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
+    """_minimizers() of a whole block; texts and places count from the block's beginning."""
+    parts = []
+    for at, _, data, own in scan.pieces(flat, offsets, 1 << 18):
+        seed, text, place, low, high = _minimizers(data, own, length)
+        parts.append((seed, (text + at).astype(np.int32), place + offsets[at], low.astype(np.uint8), high.astype(np.uint8)))
+    kinds = (np.uint64, np.int32, np.int64, np.uint8, np.uint8)
+    return tuple(np.concatenate(x) for x in zip(*parts, strict=True)) if parts else tuple(np.zeros(0, k) for k in kinds)
 
 
 def _seeds(table: pa.Table, length: int) -> tuple[np.ndarray, np.ndarray]:
     """The block's distinct minimizer hashes and in how many documents each is."""
     flat, offsets = scan.text_buffer(table.column("text"))
-    ids, hashes, owner = ids_of(table), [], []
-    for at, _, data, own in scan.pieces(flat, offsets):
-        _, _, doc, place, seeds = _windows(data, own, length)
-        first = _runs(doc, place)
-        hashes.append(seeds[place[first]])
-        owner.append(ids[at + doc[first]])
-    if not hashes:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    h, _ = scan.distinct_by_text(np.concatenate(hashes), np.concatenate(owner))
-    return np.unique(h, return_counts=True)
+    seed, text, *_ = _all_minimizers(flat, offsets, length)
+    _, doc = np.unique(ids_of(table), return_inverse=True)
+    return scan.counted(scan.distinct_by_text(seed, doc[text])[0])
+
+
+def multikey_sort(words: np.ndarray) -> np.ndarray:
+    """Order of rows of words by multikey quicksort: a segment is split by its word at one depth into less, equal and greater than a median of three; the equal part goes on with the next word.
+
+    All open segments are split in the same pass; there are some log n + depth passes.
+    """
+    n, depth = words.shape
+    flat, small = np.ascontiguousarray(words).ravel(), np.int32 if words.size < 1 << 31 else np.int64
+    order, start, size, level = np.arange(n, dtype=small), np.array([0], small), np.array([n], small), np.array([0], small)
+    while True:
+        open_ = (size > 1) & (level < depth)
+        start, size, level = start[open_], size[open_], level[open_]
+        if not len(start):
+            return order
+        ends = np.cumsum(size, dtype=small)
+        base = ends - size
+        seg = np.repeat(np.arange(len(size), dtype=small), size)
+        place = np.arange(len(seg), dtype=small)
+        rows = order[place + (start - base)[seg]]
+        word = flat[rows * small(depth) + level[seg]]
+        a, b, c = word[base], word[base + size // 2], word[ends - 1]
+        pivot = np.maximum(np.minimum(a, b), np.minimum(np.maximum(a, b), c))[seg]
+        less, equal = word < pivot, word == pivot
+        n_less, n_equal = np.zeros(len(seg) + 1, small), np.zeros(len(seg) + 1, small)
+        np.cumsum(less, out=n_less[1:])
+        np.cumsum(equal, out=n_equal[1:])
+        l0, e0 = n_less[base], n_equal[base]
+        lesses, equals = n_less[ends] - l0, n_equal[ends] - e0
+        # where the three parts go: those before in the same part, after the parts before
+        to = np.where(less, n_less[:-1] + (start - l0)[seg], np.where(equal, n_equal[:-1] + (start + lesses - e0)[seg], place - n_less[:-1] - n_equal[:-1] + (start + lesses + equals + l0 + e0 - base)[seg]))
+        order[to] = rows
+        start = np.concatenate([start, start + lesses, start + lesses + equals])
+        size = np.concatenate([lesses, equals, size - lesses - equals])
+        level = np.concatenate([level, level + 1, level])
+
+
+def _shared(words: np.ndarray) -> np.ndarray:
+    """Bytes that each row of big-endian words, but the first, shares with the one before."""
+    apart = words[1:] ^ words[:-1]
+    word = (apart != 0).argmax(axis=1)
+    value = apart[np.arange(len(apart)), word]
+    # the leading zero bytes of the first word that differs
+    lead = sum(((value >> np.uint64(8 * k)) == 0).astype(np.int64) for k in range(8))
+    return np.where(value == 0, 8 * words.shape[1], 8 * word + lead)
+
+
+def _words(key: np.ndarray) -> np.ndarray:
+    """Rows of bytes as big-endian words; zeros fill the last."""
+    wide = np.zeros((len(key), -(-key.shape[1] // 8) * 8), np.uint8)
+    wide[:, : key.shape[1]] = key
+    return wide.view(">u8").astype(np.uint64)
 
 
 def _smallest(key: np.ndarray, ids: np.ndarray) -> np.ndarray:
     """The smallest id that each row's key has."""
-    if not len(key):
-        return ids
-    order = np.argsort(key, kind="stable")
+    order = np.argsort(key)
     new = np.ones(len(key), bool)
     new[1:] = key[order][1:] != key[order][:-1]
     first = np.flatnonzero(new)
-    low = np.minimum.reduceat(ids[order], first)
     out = np.empty_like(ids)
-    out[order] = np.repeat(low, np.diff(np.append(first, len(key))))
+    out[order] = np.repeat(np.minimum.reduceat(ids[order], first), np.diff(np.append(first, len(key))))
     return out
 
 
-def _spans(rows: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, first start, last start) of runs of consecutive starts."""
-    if not len(rows):
-        return rows, starts, starts
-    order = np.lexsort((starts, rows))
-    rows, starts = rows[order], starts[order]
+def _later(key: np.ndarray, docs: np.ndarray, low: np.ndarray, high: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Which strings at these suffixes a smaller document has too.
+
+    key: rows of length + REACH bytes.  Gives each row's group (rows of equal key, low and
+    high), the first row of the smallest document of each group, and, for that row, a column
+    for each start d: whether a smaller document has the string.
+    """
+    reach = length - SEED
+    if not len(key):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros((0, reach + 1), bool)
+    words = _words(key)
+    order = multikey_sort(words)
+    common = np.concatenate([[0], _shared(words[order])])
+    alike = np.empty(len(key), np.int64)
+    alike[order] = np.cumsum(common < length + reach) - 1
+    heads = order[common < length + reach]
+    run, run_lcp = np.arange(len(heads)), np.minimum(common[common < length + reach], length)
+    near = np.maximum(run_lcp, np.append(run_lcp[1:], 0))
+    ranked = np.lexsort((docs, high, low, alike))
+    new = np.ones(len(key), bool)
+    new[1:] = (alike[ranked][1:] != alike[ranked][:-1]) | (low[ranked][1:] != low[ranked][:-1]) | (high[ranked][1:] != high[ranked][:-1])
+    group = np.empty(len(key), np.int64)
+    group[ranked] = np.cumsum(new) - 1
+    least = ranked[new]
+    doc, kind, lo, hi = docs[least], alike[least], low[least], high[least]
+    # a suffix that shares less than that with its neighbours in the order shares it with none
+    near[np.bincount(kind, minlength=len(heads)) > 1] = length
+    kept = np.flatnonzero(near >= SEED)
+    left = _words(key[heads[kept]][:, length:])
+    left_order = multikey_sort(left)
+    left_lcp, left_order = np.concatenate([[0], _shared(left[left_order])]), kept[left_order]
+    near = near[kind]
+    later, side = np.zeros((len(least), reach + 1), bool), np.zeros(len(heads), np.int64)
+    for d in range(reach + 1):
+        at = np.flatnonzero((lo <= d) & (d <= hi) & (near >= length - d))
+        if len(at):
+            side[left_order] = np.cumsum(left_lcp[: len(kept)] < d) if d else 0
+            run = np.cumsum(run_lcp < length - d)
+            later[at, d] = doc[at] > _smallest(run[kind[at]] * (len(heads) + 1) + side[kind[at]], doc[at])
+    return group, least, later
+
+
+def _spans(rows: np.ndarray, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, first start, last start) with neighbours joined; no two overlap."""
+    order = np.lexsort((first, rows))
+    rows, first, last = rows[order], first[order], last[order]
     new = np.ones(len(rows), bool)
-    new[1:] = (rows[1:] != rows[:-1]) | (starts[1:] > starts[:-1] + 1)
-    first = np.flatnonzero(new)
-    return rows[first], starts[first], starts[np.append(first[1:], len(rows)) - 1]
+    new[1:] = (rows[1:] != rows[:-1]) | (first[1:] > last[:-1] + 1)
+    at = np.flatnonzero(new)
+    return rows[at], first[at], last[np.append(at[1:], len(rows)) - 1] if len(at) else last
+
+
+def _starts(rows: np.ndarray, places: np.ndarray, low: np.ndarray, high: np.ndarray, whole: np.ndarray, some: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Spans of the starts to remove: all from low to high before a place where whole holds, else those that some (a column for each start) names."""
+    i, d = np.nonzero(some & ~whole[:, None])
+    return _spans(np.concatenate([rows[whole], rows[i]]), np.concatenate([(places - high)[whole], places[i] - d]), np.concatenate([(places - low)[whole], places[i] - d]))
 
 
-_RECORD = "bucket int, block int, docs binary, rows binary, places binary, low binary, high binary, bytes binary"
+_RECORD = "bucket int, block int, rows binary, first binary, last binary, docs binary, low binary, high binary, keys binary, owner binary, text binary, place binary"
+_TOLD = "block int, rows binary, first binary, last binary, string binary, doc long"
+
+
+def _keys(flat: np.ndarray, place: np.ndarray, begin: np.ndarray, end: np.ndarray, length: int) -> np.ndarray:
+    """A suffix's length bytes, then those before it, from right to left; zeros where its text has ended or not begun."""
+    reach = length - SEED
+    padded = np.concatenate([np.zeros(reach, np.uint8), flat, np.zeros(length, np.uint8)])
+    around = np.lib.stride_tricks.sliding_window_view(padded, reach + length)[place]
+    near = np.flatnonzero((place - begin < reach) | (end - place < length))
+    at = place[near, None] + np.arange(-reach, length)[None, :]
+    around[near] = np.where((at >= begin[near, None]) & (at < end[near, None]), around[near], 0)
+    return np.concatenate([around[:, reach:], around[:, :reach][:, ::-1]], axis=1)
 
 
 def _suffixes(block: int, table: pa.Table, found: pa.Table, length: int, splitters: np.ndarray) -> pa.Table:
-    """One row for each bucket: suffixes that need its answer; and one row without suffixes: what the block has settled itself."""
+    """One row without suffixes, with what the block has settled itself, and one for each bucket that the others go to."""
+    scan.trim()
     table = _ordered(table)
     flat, offsets = scan.text_buffer(table.column("text"))
-    ids, reach = ids_of(table), length - SEED
-    totals = answers(found)
-    known, parts = _seeds(table, length)[0], []
-    for at, _, data, own in scan.pieces(flat, offsets):
-        prefix, starts, doc, place, seeds = _windows(data, own, length)
-        first = _runs(doc, place)
-        again = totals[np.searchsorted(known, seeds[place[first]])] > 1
-        again = np.repeat(again, np.diff(np.append(first, len(starts))))
-        starts, doc, place = starts[again], doc[again], place[again]
-        parts.append((scan.spans_hash(prefix, starts, starts + length), (at + doc).astype(np.int32), starts + offsets[at], (place - starts).astype(np.uint8)))
-    key, row, start, before = (np.concatenate(x) for x in zip(*parts, strict=True)) if parts else (np.zeros(0, np.uint64), np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.uint8))
-    own = ids[row]
-    mine = own == _smallest(key, own)
-    done = _spans(row[~mine], start[~mine] - offsets[row[~mine]])
-    out = {k: [] for k in ("bucket", "block", "docs", "rows", "places", "low", "high", "bytes")}
-
-    def put(bucket, docs, rows, places, low, high, data):
-        for k, v in zip(out, (bucket, block, docs, rows, places, low, high, data), strict=True):
+    ids = ids_of(table)
+    seed, text, place, low, high = _all_minimizers(flat, offsets, length)
+    again = answers(found)[scan.classes(seed)[2]] > 1
+    text, place, low, high = text[again], place[again], low[again], high[again]
+    doc, key = ids[text], _keys(flat, place, offsets[text], offsets[text + 1], length)
+    group, least, later = _later(key, doc, low, high, length)
+    whole = doc > doc[least][group]
+    local = place - offsets[text]
+    done = _starts(text, local, low.astype(np.int64), high.astype(np.int64), whole, later[group])
+    out = {k: [] for k in (x.split(" ")[0] for x in _RECORD.split(", "))}
+
+    def put(*values):
+        for k, v in zip(out, values, strict=True):
             out[k].append(v)
 
-    put(block % (len(splitters) + 1), b"", done[0].astype(np.int32).tobytes(), done[1].astype(np.int64).tobytes(), done[2].astype(np.int64).tobytes(), b"", b"")
-    row, start, before = row[mine], start[mine], before[mine].astype(np.int64)
-    place = start + before
-    first = np.flatnonzero(np.concatenate([[True], (place[1:] != place[:-1])])) if len(place) else np.zeros(0, np.int64)
-    last = np.append(first[1:], len(place)) - 1
-    row, low, high, place = row[first], before[last].astype(np.uint8), before[first].astype(np.uint8), place[first]  # starts rise, so what is before the minimizer falls
-    padded = np.concatenate([np.zeros(reach, np.uint8), flat, np.zeros(length, np.uint8)])
-    view = np.lib.stride_tricks.sliding_window_view(padded, reach + length)
-    lead = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(padded[reach:], SEED)[place]).view(f"S{SEED}").ravel() if len(place) else np.zeros(0, f"S{SEED}")
-    bucket = np.searchsorted(splitters, lead, "right")
+    put(block % (len(splitters) + 1), block, *(x.tobytes() for x in (done[0].astype(np.int32), done[1].astype(np.int64), done[2].astype(np.int64))), *[b""] * 7)
+    # a group's other strings go to its bucket, with all its places in the smallest document
+    d = np.arange(later.shape[1])
+    sent = np.flatnonzero((~later & (low[least][:, None] <= d) & (d <= high[least][:, None])).any(axis=1))
+    number = np.full(len(least), -1)
+    number[sent] = np.arange(len(sent))
+    own = np.flatnonzero(~whole & (number[group] >= 0))
+    own = own[np.argsort(number[group[own]], kind="stable")]
+    owner = number[group[own]]
+    key, least = np.ascontiguousarray(key[least[sent]]), least[sent]
+    bucket = np.searchsorted(splitters, key.view(f"S{key.shape[1]}").ravel(), "right") if len(key) else np.zeros(0, np.int64)
     order = np.argsort(bucket, kind="stable")
     edges = np.searchsorted(bucket[order], np.arange(len(splitters) + 2))
+    squeeze = pa.Codec("zstd", compression_level=1)
+    first = np.searchsorted(owner, np.arange(len(sent) + 1))
     for b in np.flatnonzero(edges[1:] > edges[:-1]):
         i = order[edges[b] : edges[b + 1]]
-        data = view[place[i]]
-        put(int(b), ids[row[i]].tobytes(), row[i].tobytes(), (place[i] - offsets[row[i]]).astype(np.int64).tobytes(), low[i].tobytes(), high[i].tobytes(), pa.Codec("zstd", compression_level=1).compress(data.tobytes(), asbytes=True))
-    types = [pa.int32(), pa.int32(), *[pa.binary()] * 6]
-    return pa.table({k: pa.array(v, t) for (k, v), t in zip(out.items(), types, strict=True)})
+        many = first[i + 1] - first[i]
+        at = own[np.repeat(first[i] - (np.cumsum(many) - many), many) + np.arange(int(many.sum()))]
+        put(int(b), block, b"", b"", b"", *(x.tobytes() for x in (doc[least[i]], low[least[i]], high[least[i]])), squeeze.compress(key[i].tobytes(), asbytes=True), *(x.tobytes() for x in (many.astype(np.int32), text[at], local[at])))
+    return pa.table({k: pa.array(v, pa.int32() if k in ("bucket", "block") else pa.binary()) for k, v in out.items()})
 
 
-def multikey_sort(words: np.ndarray) -> np.ndarray:
-    """Order of rows of big-endian words: sorts by the first word, then each run of equals by the next."""
-    order = np.argsort(words[:, 0])
-    tied = np.zeros(len(order), np.int64)  # group of each place in order
-    for k in range(1, words.shape[1]):
-        same = words[order[1:], k - 1] == words[order[:-1], k - 1]
-        if k > 1:
-            same &= tied[1:] == tied[:-1]
-        tied = np.concatenate([[0], np.cumsum(~same)])
-        open_ = np.flatnonzero(np.concatenate([same, [False]]) | np.concatenate([[False], same]))
-        if not len(open_):
-            break
-        order[open_] = order[open_][np.lexsort((words[order[open_], k], tied[open_]))]
-    return order
-
-
-def _bucket(table: pa.Table, length: int) -> pa.Table:
-    """Per block: (row, first start, last start) of strings that a smaller document has too."""
+def _bucket(table: pa.Table, length: int, splitters: np.ndarray) -> pa.Table:
+    """Of _TOLD: spans of strings that a smaller document has too, and, without a verdict, the strings whose run may cross the bucket's boundaries, with the smallest document here."""
+    scan.trim()
     reach, unpack = length - SEED, pa.Codec("zstd")
     full = [i for i, x in enumerate(table.column("docs")) if len(x.as_buffer())]
     get = lambda name, kind: [np.frombuffer(table.column(name)[i].as_buffer(), kind) for i in full]
-    out = {"block": [], "rows": [], "first": [], "last": []}
-    for i in set(range(table.num_rows)) - set(full):
-        for k, name in (("block", "block"), ("rows", "rows"), ("first", "places"), ("last", "low")):
-            out[k].append(table.column(name)[i].as_py())
+    out = {k: [] for k in (x.split(" ")[0] for x in _TOLD.split(", "))}
+
+    def put(*values):
+        for k, v in zip(out, values, strict=True):
+            out[k].append(v)
+
+    for i in sorted(set(range(table.num_rows)) - set(full)):
+        put(*(table.column(k)[i].as_py() for k in ("block", "rows", "first", "last")), None, None)
     if full:
-        docs, rows, places, low, high = (np.concatenate(get(n, t)) for n, t in (("docs", np.int64), ("rows", np.int32), ("places", np.int64), ("low", np.uint8), ("high", np.uint8)))
-        each = [len(x) for x in get("docs", np.int64)]
+        wide, number = reach + length, table.column("bucket")[0].as_py()
+        each = [len(x) for x in get("low", np.uint8)]
+        docs, low, high, many, texts, places = (np.concatenate(get(n, t)) for n, t in (("docs", np.int64), ("low", np.uint8), ("high", np.uint8), ("owner", np.int32), ("text", np.int32), ("place", np.int64)))
         blocks = np.repeat([table.column("block")[i].as_py() for i in full], each)
-        wide = reach + length
-        data = np.concatenate([np.frombuffer(unpack.decompress(table.column("bytes")[i].as_buffer(), n * wide), np.uint8).reshape(n, wide) for i, n in zip(full, each, strict=True)])
-        suffix = np.zeros((len(data), -(-length // 8) * 8), np.uint8)
-        suffix[:, :length] = data[:, reach:]
-        words = suffix.view(">u8").astype(np.uint64)
-        order = multikey_sort(words)
-        # common prefix with the row before, in bytes, at most length
-        apart = words[order[1:]] ^ words[order[:-1]]
-        word = (apart != 0).argmax(axis=1)
-        differs = suffix[order[1:]] != suffix[order[:-1]]
-        common = np.where(apart[np.arange(len(apart)), word] != 0, differs.argmax(axis=1), length) if len(apart) else np.zeros(0, np.int64)
-        docs, rows, places, low, high, blocks, data = docs[order], rows[order], places[order], low[order], high[order], blocks[order], data[order]
-        left = np.zeros(len(data), np.uint64)
-        hit_at, hit_before = [], []
-        for d in range(reach + 1):
-            if d:
-                left = scan.mix(left * np.uint64(0x9E3779B97F4A7C15) + data[:, reach - d].astype(np.uint64) + np.uint64(1))
-            at = np.flatnonzero((low <= d) & (d <= high))
-            if len(at):
-                run = np.concatenate([[0], np.cumsum(common < length - d)])
-                key = scan.mix(run[at].astype(np.uint64) ^ scan.mix(left[at]))
-                at = at[docs[at] > _smallest(key, docs[at])]
-                hit_at.append(at)
-                hit_before.append(np.full(len(at), d))
-        if hit_at:
-            at, before = np.concatenate(hit_at), np.concatenate(hit_before)
-            order = np.argsort(blocks[at], kind="stable")
-            at, before = at[order], before[order]
-            for part in np.split(np.arange(len(at)), np.flatnonzero(np.diff(blocks[at])) + 1):
-                if len(part):
-                    r, first, last = _spans(rows[at[part]], places[at[part]] - before[part])
-                    for k, v in zip(out, (int(blocks[at[part[0]]]), r.astype(np.int32).tobytes(), first.astype(np.int64).tobytes(), last.astype(np.int64).tobytes()), strict=True):
-                        out[k].append(v)
-    return pa.table({k: pa.array(v, pa.int32() if k == "block" else pa.binary()) for k, v in out.items()})
+        key = np.concatenate([np.frombuffer(unpack.decompress(table.column("keys")[i].as_buffer(), n * wide), np.uint8).reshape(n, wide) for i, n in zip(full, each, strict=True)])
+        group, least, later = _later(key, docs, low, high, length)
+        whole, later = docs > docs[least][group], later[group]
+        owner = np.repeat(np.arange(len(docs)), many)
+        for part in np.split(np.arange(len(owner)), np.flatnonzero(np.diff(blocks[owner])) + 1):
+            o = owner[part]
+            r, first, last = _starts(texts[part], places[part], low[o].astype(np.int64), high[o].astype(np.int64), whole[o], later[o])
+            if len(r):
+                put(int(blocks[o[0]]), r.astype(np.int32).tobytes(), first.astype(np.int64).tobytes(), last.astype(np.int64).tobytes(), None, None)
+        # bytes shared with the splitters at both ends: runs that may go on beyond them
+        ends = splitters[max(0, number - 1) : number + 1]
+        ends = np.frombuffer(b"".join(bytes(x).ljust(wide, b"\0") for x in ends), np.uint8).reshape(-1, wide)
+        beyond = np.zeros(len(key), np.int64)
+        for e in ends:
+            differ = key[:, :length] != e[:length]
+            beyond = np.maximum(beyond, np.where(differ.any(axis=1), differ.argmax(axis=1), length))
+        d = np.arange(reach + 1)
+        i, d = np.nonzero(~whole[:, None] & ~later & (low[:, None] <= d) & (d <= high[:, None]) & (length - d <= beyond[:, None]))
+        first = np.cumsum(many) - many
+        for k, back in zip(i.tolist(), d.tolist(), strict=True):
+            own = slice(first[k], first[k] + many[k])
+            string = key[k, length : length + back][::-1].tobytes() + key[k, : length - back].tobytes()
+            at = (places[own] - back).astype(np.int64).tobytes()
+            put(int(blocks[k]), texts[own].tobytes(), at, at, string, int(docs[k]))
+    return pa.table({k: pa.array(v, {"block": pa.int32(), "doc": pa.int64()}.get(k, pa.binary())) for k, v in out.items()})
 
 
 def _cut(table: pa.Table, found: pa.Table, length: int) -> pa.Table:
@@ -246,25 +334,24 @@ def _cut(table: pa.Table, found: pa.Table, length: int) -> pa.Table:
 
 
 def sample_splitters(docs: DataFrame, buckets: int, length: int) -> np.ndarray:
-    """Leading bytes at which suffixes are dealt, from at most SAMPLE_DOCS * SAMPLE_EACH suffixes; only the balance depends on them."""
+    """Keys at which suffixes are dealt, from a bounded sample of documents; only the balance depends on them."""
+    least, each, most = SAMPLE_DOCS
+    wanted = min(most, max(least, each * buckets))
 
     def some(tables):
         for batch in tables:
             flat, offsets = scan.text_buffer(batch.column("text"))
-            leads: list[bytes] = []
-            for _, _, data, own in scan.pieces(flat, offsets):
-                _, _, doc, place, seeds = _windows(data, own, length)
-                first = _runs(doc, place)
-                doc, place = doc[first], place[first]
-                order = np.lexsort((seeds[place], doc))
-                rank = np.arange(len(order)) - np.searchsorted(doc[order], doc[order])
-                leads += [data[p : p + SEED].tobytes() for p in place[order[rank < SAMPLE_EACH]]]
-            yield pa.RecordBatch.from_pydict({"lead": pa.array(leads, pa.binary())})
-
-    count = docs.count()
-    few = docs.select("doc_id", "text").filter(F.octet_length("text") >= length).filter(F.pmod(F.xxhash64("doc_id", F.lit("splitters")), F.lit(1_000_000)) < F.lit(max(1, min(1_000_000, 1_000_000 * 2 * SAMPLE_DOCS // max(1, count))))).limit(SAMPLE_DOCS)
-    leads = np.sort(np.array([r.lead for r in few.mapInArrow(some, "lead binary").collect()], dtype=f"S{SEED}"))
-    return np.unique(leads[(np.arange(1, buckets) * len(leads)) // buckets]) if len(leads) else leads
+            seed, text, place, *_ = _all_minimizers(flat, offsets, length)
+            order = np.lexsort((seed, text))
+            rank = np.arange(len(order)) - np.searchsorted(text[order], text[order])
+            at = np.sort(order[rank < SAMPLE_EACH])
+            keys = _keys(flat, place[at], offsets[text[at]], offsets[text[at] + 1], length)
+            yield pa.RecordBatch.from_pydict({"key": pa.array([k.tobytes() for k in keys], pa.binary())})
+
+    share = min(1_000_000, 2 * 1_000_000 * wanted // max(1, docs.count()))
+    few = docs.select("doc_id", "text").filter(F.octet_length("text") >= length).filter(F.pmod(F.xxhash64("doc_id", F.lit("splitters")), F.lit(1_000_000)) < F.lit(max(1, share))).limit(wanted)
+    keys = np.sort(np.array([r.key for r in few.mapInArrow(some, "key binary").collect()], dtype=f"S{2 * length - SEED}"))
+    return np.unique(keys[(np.arange(1, buckets) * len(keys)) // buckets]) if len(keys) else keys
 
 
 def remove_repeats(docs: DataFrame, length: int = 50, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -278,10 +365,15 @@ def remove_repeats(docs: DataFrame, length: int = 50, id_col: str = "doc_id", te
     spark = docs.sparkSession
     settled(spark)
     total = text_bytes(docs, text_col)
-    blocks, ranges = n_blocks(spark, total, BLOCK), max(16, -(-total // RANGE_BYTES))
+    blocks, ranges, buckets = n_blocks(spark, total, BLOCK), max(16, -(-total // RANGE_BYTES)), max(BUCKETS, -(-total // BUCKET))
     dealt = in_blocks(docs, blocks, id_col, text_col)
-    splitters = sample_splitters(dealt, ranges, length)
+    splitters = sample_splitters(dealt, buckets, length)
     found = exchange(dealt, blocks, ranges, lambda table: _seeds(table, length))
-    asked = dealt.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(lambda key, left, right: _suffixes(key[0].as_py(), left, right, length, splitters), _RECORD)
-    told = stored(asked.groupBy("bucket").applyInArrow(lambda table: _bucket(table, length), "block int, rows binary, first binary, last binary"))
-    return dealt.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(lambda left, right: _cut(left, right, length), "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
+    dealt = spread(dealt, "block", blocks)
+    asked = dealt.groupBy("block").cogroup(spread(found, "block", blocks).groupBy("block")).applyInArrow(lambda key, left, right: _suffixes(key[0].as_py(), left, right, length, splitters), _RECORD)
+    told = stored(spread(asked, "bucket", buckets).groupBy("bucket").applyInArrow(lambda table: _bucket(table, length, splitters), _TOLD))
+    across = told.filter("string is not null")
+    least = stored(across.groupBy("string").agg(F.min("doc").alias("least"), F.count("*").alias("n")).filter("n > 1").select("string", "least"))
+    late = sized_join(across, least, "string", "inner", 128).filter("doc > least")
+    told = told.filter("string is null").unionByName(late, allowMissingColumns=True).select("block", "rows", "first", "last")
+    return dealt.groupBy("block").cogroup(spread(told, "block", blocks).groupBy("block")).applyInArrow(lambda left, right: _cut(left, right, length), "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
