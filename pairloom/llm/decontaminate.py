@@ -1,11 +1,12 @@
 """Benchmark decontamination by a distributed positional inverted index.
 
-build_index() stores the postings of all training tokens: for each block of documents and
-each range of terms one row with the sorted term hashes, where each one's postings begin,
-and the token positions (documents of a block one after the other).  find_phrases() takes
-query phrases, looks up their terms' list lengths in a block, begins with the postings of
-each phrase's rarest term and keeps those whose offset-adjusted places the other lists
-hold too, the rarer first.  find_near() asks only that all terms stand within a span.
+build_index() stores the postings of all training tokens, a row for each block of documents: the
+sorted term hashes, where each one's postings begin, and the token positions (documents of a
+block one after the other).  A query is a portion of distinct benchmark windows of bounded
+size, made by the executors.  For each window a block takes the postings of its rarest term
+and keeps those whose offset-adjusted places the other lists hold too, the rarer first
+(exact phrases), or near which all other terms stand (proximity).  Candidates are worked
+off in portions of bounded size, so that a window of frequent words takes time, not memory.
 """
 
 from __future__ import annotations
@@ -19,59 +20,58 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pairloom.llm import scan
-from pairloom.llm.shared import bucket_of, ids_of, in_blocks, n_blocks, settled, stored, text_bytes
+from pairloom.llm.shared import ids_of, in_blocks, n_blocks, pack_rising, settled, spread, stored, text_bytes, unpack_rising
 
-#: Words of a benchmark window.
-WINDOW = 10
-#: Term ranges of a block's index, and most phrase words matched in one pass over it.
-TERM_RANGES = 16
-QUERY_WORDS = 2_000_000
+#: Words of a benchmark window, and by how many more words its terms may be spread to count as near.
+WINDOW, SLOP = 10, 5
+#: Bytes of text in a block, pairs of window and item in a query, and candidates matched at once.
+BLOCK, QUERY_PAIRS, CANDIDATES = 8 << 20, 200_000, 1 << 19
 
-_INDEX = "block int, range int, terms binary, begins binary, positions binary, docs binary, doc_begins binary"
+_INDEX = "block int, n_terms int, n_words int, terms binary, begins binary, positions binary, docs binary, doc_begins binary"
+_SQUEEZE = pa.Codec("zstd", compression_level=1)
+_LAST = np.iinfo(np.int64).max
+#: Farther than any word of a block.
+FAR = 1 << 40
 
 
 def _post(key, table: pa.Table) -> pa.Table:
-    """One block's postings: a row for each term range, and one (range -1) for its documents."""
+    """One block's postings."""
     scan.trim()
     flat, offsets = scan.text_buffer(table.column("text"))
-    words, begins = scan.word_hashes(flat, offsets, scan.ALNUM)
-    order = np.argsort(words, kind="stable").astype(np.int32)
+    words, doc_begins = scan.word_hashes(flat, offsets, scan.ALNUM)
+    order = scan.order_of(words)
     words = words[order]
     first = np.flatnonzero(np.append(True, words[1:] != words[:-1])[: len(words)])
-    terms, ends = words[first], np.append(first[1:], len(words))
-    edges = np.searchsorted(bucket_of(terms, TERM_RANGES), np.arange(TERM_RANGES + 1))
-    rows = [(-1, b"", b"", b"", ids_of(table).tobytes(), begins.astype(np.int64).tobytes())]
-    squeeze = pa.Codec("lz4")
-    for r in np.flatnonzero(edges[1:] > edges[:-1]):
-        a, b = edges[r], edges[r + 1]
-        positions = order[first[a] : ends[b - 1]]
-        rows.append((int(r), terms[a:b].tobytes(), np.append(first[a:b], ends[b - 1]).astype(np.int64).tobytes(), squeeze.compress(positions.tobytes(), asbytes=True), b"", b""))
-    columns = list(zip(*rows, strict=True))
-    names = ("range", "terms", "begins", "positions", "docs", "doc_begins")
-    return pa.table({"block": pa.array([key[0].as_py()] * len(rows), pa.int32())} | {k: pa.array(v, pa.int32() if k == "range" else pa.binary()) for k, v in zip(names, columns, strict=True)})
+    # positions rise within a list, so most steps are small
+    steps = np.diff(order.astype(np.uint32), prepend=np.uint32(0)).astype(np.uint32)
+    planes = np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 4).T)
+    return pa.table({
+        "block": pa.array([key[0].as_py()], pa.int32()), "n_terms": pa.array([len(first)], pa.int32()), "n_words": pa.array([len(words)], pa.int32()),
+        "terms": pa.array([pack_rising(words[first])], pa.binary()), "begins": pa.array([pack_rising(np.append(first, len(words)).astype(np.uint64))], pa.binary()),
+        "positions": pa.array([_SQUEEZE.compress(planes.tobytes(), asbytes=True)], pa.binary()),
+        "docs": pa.array([ids_of(table).tobytes()], pa.binary()), "doc_begins": pa.array([doc_begins.astype(np.int64).tobytes()], pa.binary()),
+    })
 
 
 def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The stored positional index of docs; words are [^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+ after lower-casing A-Z.  Null texts have no words."""
     settled(docs.sparkSession)
-    dealt = in_blocks(docs, n_blocks(docs.sparkSession, text_bytes(docs, text_col)), id_col, text_col)
+    blocks = n_blocks(docs.sparkSession, text_bytes(docs, text_col), BLOCK)
+    dealt = spread(in_blocks(docs, blocks, id_col, text_col), "block", blocks)
     return stored(dealt.groupBy("block").applyInArrow(lambda key, table: _post(key, table), _INDEX))
 
 
 class Postings:
-    """One block's index in memory."""
-
-    def __init__(self, table: pa.Table):
-        table, unpack = table.sort_by("range"), pa.Codec("lz4")
-        get = lambda name, kind: [np.frombuffer(x.as_buffer(), kind) for x in table.column(name)]
-        self.docs, self.doc_begins = get("docs", np.int64)[0], get("doc_begins", np.int64)[0]
-        begins, terms = get("begins", np.int64)[1:], get("terms", np.uint64)[1:]
-        packed = [x.as_buffer() for x in table.column("positions")][1:]
-        lists = [np.frombuffer(unpack.decompress(p, 4 * int(b[-1] - b[0])), np.int32) for p, b in zip(packed, begins, strict=True)]
-        join = lambda parts, kind: np.concatenate(parts) if parts else np.zeros(0, kind)
-        self.terms = join(terms, np.uint64)
-        self.positions = join(lists, np.int32)
-        self.begins = np.concatenate([b[:-1] for b in begins] + [[len(self.positions)]]).astype(np.int64)
+    """One block's index in memory, from row k of a batch or table of the index."""
+
+    def __init__(self, rows: pa.RecordBatch | pa.Table, k: int):
+        cells = {c: rows.column(c)[k] for c in rows.schema.names}
+        row = {c: v.as_buffer() if pa.types.is_binary(v.type) else v.as_py() for c, v in cells.items()}
+        n, m = row["n_terms"], row["n_words"]
+        self.docs, self.doc_begins = np.frombuffer(row["docs"], np.int64), np.frombuffer(row["doc_begins"], np.int64)
+        self.terms, self.begins = unpack_rising(row["terms"], n), unpack_rising(row["begins"], n + 1).astype(np.int64)
+        planes = np.frombuffer(_SQUEEZE.decompress(row["positions"], 4 * m), np.uint8).reshape(4, m)
+        self.positions = np.cumsum(np.ascontiguousarray(planes.T).view(np.uint32).ravel(), dtype=np.uint32).astype(np.int32)
 
     def lookup(self, terms: np.ndarray) -> np.ndarray:
         """Index of each term, -1 if the block has none."""
@@ -80,113 +80,209 @@ class Postings:
         at = np.minimum(np.searchsorted(self.terms, terms), len(self.terms) - 1)
         return np.where(self.terms[at] == terms, at, -1)
 
+    def at_least(self, term: np.ndarray, position: np.ndarray) -> np.ndarray:
+        """Index of the first posting of each term at or after the position, by bisection of its list; the list's end if there is none."""
+        low, high = self.begins[term], self.begins[term + 1]
+        for _ in range(int((high - low).max(initial=0)).bit_length()):
+            middle = (low + high) >> 1
+            less = (low < high) & (self.positions[np.minimum(middle, len(self.positions) - 1)] < position)
+            low, high = np.where(less, middle + 1, low), np.where(less, high, np.maximum(low, middle))
+        return low
+
     def has(self, term: np.ndarray, position: np.ndarray) -> np.ndarray:
-        """Whether each term's list holds the position: all lists, one after the other, are one sorted key."""
-        if not hasattr(self, "keys"):
-            owner = np.repeat(np.arange(len(self.terms), dtype=np.int64), np.diff(self.begins))
-            self.keys = owner << 32 | self.positions
-        key = term << 32 | position
-        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-        return self.keys[at] == key
+        at = self.at_least(term, position)
+        return (at < self.begins[term + 1]) & (self.positions[np.minimum(at, len(self.positions) - 1)] == position)
+
+    def beside(self, term: np.ndarray, position: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """How far the nearest posting of each term is to the left and to the right (0: at the position); FAR if there is none."""
+        at = self.at_least(term, position)
+        right = np.where(at < self.begins[term + 1], self.positions[np.minimum(at, len(self.positions) - 1)] - position, FAR)
+        left = np.where(at > self.begins[term], position - self.positions[np.maximum(at - 1, 0)], FAR)
+        return np.where(right == 0, 0, left), right
 
     def documents(self, positions: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.doc_begins, positions, "right") - 1
 
 
-def _from_rarest(index: Postings, phrases: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Phrases whose terms all occur, their slots in order of list length, and the candidates: (phrase, place of the rarest term)."""
-    slots = np.arange(phrases.shape[1])[None, :] < sizes[:, None]
-    terms = np.where(slots, index.lookup(phrases), -1)
-    live = np.flatnonzero(((terms >= 0) | ~slots).all(axis=1) & (sizes > 0))
-    terms, slots = terms[live], slots[live]
-    lengths = np.where(slots, index.begins[terms + 1] - index.begins[terms], np.iinfo(np.int64).max)
+class Query:
+    """Distinct windows with the items that have them: terms as places in a sorted vocabulary."""
+
+    def __init__(self, windows: list[bytes], items: list[int], window: int):
+        names = {w: k for k, w in enumerate(dict.fromkeys(windows))}
+        self.sizes = np.array([len(w) // 8 for w in names], np.int64)
+        padded = np.frombuffer(b"".join(w.ljust(8 * window, b"\0") for w in names), np.uint64).reshape(-1, window)
+        self.slots = np.arange(window)[None, :] < self.sizes[:, None]
+        self.vocabulary, places = np.unique(padded[self.slots], return_inverse=True)
+        self.phrases = np.zeros(padded.shape, np.int32)
+        self.phrases[self.slots] = places
+        of = np.array([names[w] for w in windows], np.int64)
+        order = np.argsort(of, kind="stable")
+        self.items = np.array(items, np.int64)[order]
+        self.begins = np.searchsorted(of[order], np.arange(len(names) + 1))
+
+    def pairs(self, doc: np.ndarray, window: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(document, item) of each document and each item of a window that it has, once and sorted."""
+        count = self.begins[window + 1] - self.begins[window]
+        at = np.repeat(self.begins[window] - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))
+        found = np.unique(np.stack([np.repeat(doc, count), self.items[at]], axis=1), axis=0) if len(at) else np.zeros((0, 2), np.int64)
+        return found[:, 0], found[:, 1]
+
+
+def search(index: Postings, query: Query, slop: int | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(window, place) in portions: the first position of every exact occurrence within one document, or, with slop, each position of the rarest term around which all terms stand, in any order, within size + slop consecutive words of its document."""
+    terms = np.where(query.slots, index.lookup(query.vocabulary)[query.phrases] if len(query.vocabulary) else -1, -1)
+    live = np.flatnonzero(((terms >= 0) | ~query.slots).all(axis=1) & (query.sizes > 0))
+    terms, slots, sizes = terms[live], query.slots[live], query.sizes[live]
+    lengths = np.where(slots, index.begins[terms + 1] - index.begins[terms], _LAST)
     order = np.argsort(lengths, axis=1, kind="stable")
     rare = terms[np.arange(len(live)), order[:, 0]] if len(live) else np.zeros(0, np.int64)
-    count = index.begins[rare + 1] - index.begins[rare]
-    phrase = np.repeat(np.arange(len(live)), count)
-    within = np.arange(len(phrase)) - np.repeat(np.cumsum(count) - count, count)
-    return live, terms, order, np.stack([phrase, index.positions[index.begins[rare[phrase]] + within].astype(np.int64)])
-
-
-def find_phrases(index: Postings, phrases: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(phrase, first position) of every occurrence within one document."""
-    live, terms, order, (phrase, place) = _from_rarest(index, phrases, sizes)
-    start = place - order[phrase, 0]
-    keep = start >= 0
-    phrase, start = phrase[keep], start[keep]
-    for k in range(1, phrases.shape[1]):
-        slot = order[phrase, k]
-        more = slot < sizes[live[phrase]]
-        keep = ~more
-        keep[more] = index.has(terms[phrase[more], slot[more]], start[more] + slot[more])
-        phrase, start = phrase[keep], start[keep]
-    keep = index.documents(start) == index.documents(start + sizes[live[phrase]] - 1)
-    return live[phrase[keep]], start[keep]
-
-
-def find_near(index: Postings, phrases: np.ndarray, sizes: np.ndarray, slop: int) -> tuple[np.ndarray, np.ndarray]:
-    """(phrase, position of its rarest term) where all its terms stand, in any order, at most size - 1 + slop words from that term and in its document."""
-    live, terms, order, (phrase, place) = _from_rarest(index, phrases, sizes)
-    doc = index.documents(place)
-    reach = sizes[live[phrase]] - 1 + slop
-    low, high = np.maximum(place - reach, index.doc_begins[doc]), np.minimum(place + reach, index.doc_begins[doc + 1] - 1)
-    index.has(np.zeros(0, np.int64), np.zeros(0, np.int64))
-    for k in range(1, phrases.shape[1]):
-        slot = order[phrase, k]
-        more = slot < sizes[live[phrase]]
-        term = terms[phrase, np.where(more, slot, order[phrase, 0])]
-        found = np.searchsorted(index.keys, term << 32 | low) < np.searchsorted(index.keys, term << 32 | high, "right")
-        keep = ~more | found
-        phrase, place, low, high = phrase[keep], place[keep], low[keep], high[keep]
-    return live[phrase], place
-
-
-def windows_of(items: DataFrame, window: int, id_col: str, text_col: str) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(item ids, phrases, sizes) of the items' windows, in portions of at most QUERY_WORDS words (one item may have more)."""
-    batch: list[tuple[int, str]] = []
-
-    def portion():
-        ids = np.array([i for i, _ in batch], np.int64)
-        words, begins = scan.word_hashes(*scan.text_buffer(pa.array([t for _, t in batch], pa.large_string())), scan.ALNUM)
-        counts = np.diff(begins)
-        many = np.where(counts >= window, counts - window + 1, (counts > 0).astype(np.int64))
-        owner = np.repeat(np.arange(len(ids)), many)
-        first = begins[owner] + np.arange(len(owner)) - np.repeat(np.cumsum(many) - many, many)
-        sizes = np.minimum(window, counts[owner])
-        at = first[:, None] + np.arange(window)[None, :]
-        phrases = np.where(np.arange(window)[None, :] < sizes[:, None], words[np.minimum(at, max(0, len(words) - 1))] if len(words) else np.uint64(0), np.uint64(0))
-        return ids[owner], phrases.astype(np.uint64), sizes
-
-    size = 0
-    for row in items.select(F.col(id_col).cast("long").alias("i"), F.col(text_col).alias("t")).filter("t is not null and i is not null").toLocalIterator():
-        batch.append((row.i, row.t))
-        size += len(row.t) // 2 * window
-        if size >= QUERY_WORDS * window:
-            yield portion()
-            batch, size = [], 0
-    yield portion()
-
-
-def _match(key, table: pa.Table, query, slop: int | None) -> pa.Table:
-    scan.trim()
-    items, phrases, sizes = query.value
-    index = Postings(table)
+    ends = np.cumsum(index.begins[rare + 1] - index.begins[rare])
+    step = CANDIDATES if slop is None else max(1, CANDIDATES // terms.shape[1])
+    for at in range(0, int(ends[-1]) if len(ends) else 0, step):
+        which = np.arange(at, min(at + step, int(ends[-1])))
+        window = np.searchsorted(ends, which, "right")
+        place = index.positions[which - ends[window] + index.begins[rare[window] + 1]].astype(np.int64)
+        found = (_exact if slop is None else _near)(index, terms, slots, sizes, order, window, place, slop)
+        yield live[found[0]], found[1]
+
+
+def _exact(index, terms, slots, sizes, order, window, place, _):
+    """Of candidates (window, place of its rarest term) those whose other terms stand where the window has them, as first positions."""
+    start = place - order[window, 0]
+    window, start = window[start >= 0], start[start >= 0]
+    keep = start + sizes[window] <= index.doc_begins[index.documents(start) + 1]
+    window, start = window[keep], start[keep]
+    for k in range(1, terms.shape[1]):
+        slot = order[window, k]
+        more = np.flatnonzero(slots[window, slot])
+        keep = np.ones(len(window), bool)
+        keep[more] = index.has(terms[window[more], slot[more]], start[more] + slot[more])
+        window, start = window[keep], start[keep]
+    return window, start
+
+
+def _near(index, terms, slots, sizes, order, window, place, slop):
+    """Of candidates those with an interval of size + slop words of the document that holds the place and all terms."""
+    left, right = np.zeros((len(window), 1), np.int64), np.zeros((len(window), 1), np.int64)
+    for k in range(1, terms.shape[1]):
+        doc, reach = index.documents(place), sizes[window] - 1 + slop
+        slot = order[window, k]
+        more = np.flatnonzero(slots[window, slot])
+        l, r = np.zeros(len(window), np.int64), np.zeros(len(window), np.int64)
+        l[more], r[more] = index.beside(terms[window[more], slot[more]], place[more])
+        l[l > np.minimum(reach, place - index.doc_begins[doc])] = FAR
+        r[r > np.minimum(reach, index.doc_begins[doc + 1] - 1 - place)] = FAR
+        keep = np.minimum(l, r) < FAR
+        window, place = window[keep], place[keep]
+        left, right = np.column_stack([left, l])[keep], np.column_stack([right, r])[keep]
+    good, reach = np.zeros(len(window), bool), sizes[window] - 1 + slop
+    for k in range(left.shape[1]):  # the interval begins at the left posting of one term; the terms not in it yet are reached to the right
+        good |= left[:, k] + np.where(left > left[:, k : k + 1], right, 0).max(axis=1) <= reach
+    return window[good], place[good]
+
+
+def _windows(items: DataFrame, window: int, id_col: str, text_col: str) -> DataFrame:
+    """Distinct (terms, item_id): the hashes of each window's words.  An item of fewer words, but not none, is one window."""
+
+    def cut(batches):
+        for batch in batches:
+            words, begins = scan.word_hashes(*scan.text_buffer(batch.column(1)), scan.ALNUM)
+            counts, raw = np.diff(begins), words.tobytes()
+            many = np.where(counts >= window, counts - window + 1, (counts > 0).astype(np.int64))
+            owner = np.repeat(np.arange(len(counts)), many)
+            first = begins[owner] + np.arange(len(owner)) - np.repeat(np.cumsum(many) - many, many)
+            last = first + np.minimum(window, counts[owner])
+            yield pa.RecordBatch.from_pydict({"terms": pa.array([raw[8 * a : 8 * b] for a, b in zip(first.tolist(), last.tolist(), strict=True)], pa.binary()), "item_id": batch.column(0).take(pa.array(owner))})
+
+    rows = items.select(F.col(id_col).cast("long").alias("item_id"), F.col(text_col).cast("string").alias("text")).filter("item_id is not null and text is not null")
+    return rows.mapInArrow(cut, "terms binary, item_id long").distinct()
+
+
+def _queries(items: DataFrame, window: int, id_col: str, text_col: str) -> Iterator[tuple[int, Query]]:
+    """(number of portions, query): one portion after the other comes to the driver, at most some QUERY_PAIRS pairs each."""
+    pairs = stored(_windows(items, window, id_col, text_col))
+    portions = max(1, -(-pairs.count() // QUERY_PAIRS))
+    pairs = pairs.withColumn("portion", F.pmod(F.xxhash64("terms", "item_id"), F.lit(portions)))
+    for p in range(portions):
+        own = pairs.filter(F.col("portion") == p).select("terms", "item_id").toArrow()
+        yield portions, Query(own.column(0).to_pylist(), own.column(1).to_pylist(), window)
+
+
+def _lists(values: np.ndarray, owner: np.ndarray, n: int) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.searchsorted(owner, np.arange(n + 1)), pa.int32()), values if isinstance(values, pa.Array) else pa.array(values, pa.int64()))
+
+
+def _rows(index: Postings, block: int) -> dict:
     n = len(index.docs)
-    phrase, start = find_phrases(index, phrases, sizes) if slop is None else find_near(index, phrases, sizes, slop)
+    return {
+        "block": pa.array([block] * n, pa.int32()), "row": pa.array(np.arange(n), pa.int64()), "doc_id": pa.array(index.docs, pa.int64(), mask=index.docs == _LAST),
+        "n_words": pa.array(np.diff(index.doc_begins), pa.int64()),
+    }
+
+
+def _match(index: Postings, block: int, query: Query, slop: int | None) -> pa.RecordBatch:
+    """Of matches(): a row for each document."""
+    found = [(np.zeros(0, np.int64), np.zeros(0, np.int64)), *search(index, query, slop)]
+    window, place = (np.concatenate(x) for x in zip(*found, strict=True))
+    doc = index.documents(place)
+    order = np.lexsort((place, doc))
+    window, place, doc = window[order], place[order], doc[order]
+    count = query.begins[window + 1] - query.begins[window]
+    each = np.repeat(np.arange(len(window)), count)
+    item = query.items[np.repeat(query.begins[window] - (np.cumsum(count) - count), count) + np.arange(len(each))]
+    values = [pa.array(x, pa.int64()) for x in (item, (place - index.doc_begins[doc])[each], query.sizes[window][each])]
+    return pa.RecordBatch.from_pydict(_rows(index, block) | {"hits": _lists(pa.StructArray.from_arrays(values, ["item_id", "start", "n"]), doc[each], len(index.docs))})
+
+
+def _mark(index: Postings, block: int, query: Query, slop: int | None) -> pa.RecordBatch:
+    """Of decontaminate() and, with slop, of proximity(): covered spans and the items found; a row for each document."""
+    n, total, windows = len(index.docs), len(index.positions), max(1, len(query.sizes))
+    change, pairs = np.zeros(total + 1, np.int32), np.zeros(0, np.int64)
+    for window, place in search(index, query, slop):
+        if slop is None:
+            np.add.at(change, place, 1)
+            np.add.at(change, place + query.sizes[window], -1)
+        pairs = np.unique(np.concatenate([pairs, index.documents(place) * windows + window]))
+    item_doc, item = query.pairs(pairs // windows, pairs % windows)
+    out = _rows(index, block) | {"items": _lists(item, item_doc, n)}
+    if slop is not None:
+        return pa.RecordBatch.from_pydict(out)
+    covered = np.cumsum(change[:-1]) > 0
+    first = covered.copy()
+    first[1:] &= ~covered[:-1]
+    edges = index.doc_begins[:-1][index.doc_begins[:-1] < index.doc_begins[1:]]
+    first[edges] = covered[edges]
+    start = np.flatnonzero(first)
+    upto = np.concatenate([[0], np.cumsum(covered)])
+    size = np.diff(np.append(upto[start], upto[-1]))
     doc = index.documents(start)
-    order = np.lexsort((start, doc))
-    phrase, start, doc = phrase[order], start[order], doc[order]
-    edges = np.searchsorted(doc, np.arange(n + 1))
-    own = start - index.doc_begins[doc]
-    hits = pa.StructArray.from_arrays([pa.array(items[phrase], pa.int64()), pa.array(own, pa.int64()), pa.array(sizes[phrase].astype(np.int64), pa.int64())], ["item_id", "start", "n"])
-    return pa.table({
-        "block": pa.array([key[0].as_py()] * n, pa.int32()), "row": pa.array(np.arange(n), pa.int64()), "doc_id": pa.array(index.docs, pa.int64(), mask=index.docs == np.iinfo(np.int64).max),
-        "n_words": pa.array(np.diff(index.doc_begins), pa.int64()), "hits": pa.ListArray.from_arrays(pa.array(edges, pa.int32()), hits),
-    })
+    spans = pa.StructArray.from_arrays([pa.array(start - index.doc_begins[doc], pa.int64()), pa.array(size, pa.int64())], ["start", "n"])
+    return pa.RecordBatch.from_pydict(out | {"spans": _lists(spans, doc, n)})
 
 
-def _matcher(query, slop: int | None):
-    return lambda key, table: _match(key, table, query, slop)
+_ROW = "block int, row long, doc_id long, n_words long"
+
+
+def _over(index: DataFrame, items: DataFrame, window: int, id_col: str, text_col: str, act, columns: dict[str, str]) -> DataFrame:
+    """act(postings, block, query) for each block and each query, the lists of several queries joined; index rows stay where they were written."""
+    schema = ", ".join([_ROW, *(f"{k} {v}" for k, v in columns.items())])
+    parts = []
+    for portions, query in _queries(items, window, id_col, text_col):
+        shared = index.sparkSession.sparkContext.broadcast(query)
+
+        def run(batches, shared=shared):
+            for batch in batches:
+                for k in range(batch.num_rows):
+                    scan.trim()
+                    yield act(Postings(batch, k), batch.column("block")[k].as_py(), shared.value)
+
+        part = index.mapInArrow(run, schema)
+        if portions == 1:
+            return part
+        parts.append(stored(part))
+        shared.destroy()
+    every = functools.reduce(DataFrame.union, parts)
+    return every.groupBy("block", "row", "doc_id", "n_words").agg(*[F.flatten(F.collect_list(c)).alias(c) for c in columns])
 
 
 def matches(index: DataFrame, items: DataFrame, window: int = WINDOW, slop: int | None = None, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
@@ -194,15 +290,18 @@ def matches(index: DataFrame, items: DataFrame, window: int = WINDOW, slop: int
 
     The benchmark is the query set and goes over all blocks in portions of bounded size.
     """
-    spark, parts = index.sparkSession, []
-    schema = "block int, row long, doc_id long, n_words long, hits array<struct<item_id: long, start: long, n: long>>"
-    for portion in windows_of(items, window, id_col, text_col):
-        query = spark.sparkContext.broadcast(portion)
-        parts.append(index.groupBy("block").applyInArrow(_matcher(query, slop), schema))
-    if len(parts) == 1:
-        return parts[0].select("doc_id", "n_words", "hits")
-    every = functools.reduce(DataFrame.union, parts)
-    return every.groupBy("block", "row", "doc_id", "n_words").agg(F.flatten(F.collect_list("hits")).alias("hits")).select("doc_id", "n_words", "hits")
+    hits = {"hits": "array<struct<item_id: long, start: long, n: long>>"}
+    return _over(index, items, window, id_col, text_col, lambda postings, block, query: _match(postings, block, query, slop), hits).select("doc_id", "n_words", "hits")
+
+
+def proximity(docs: DataFrame, items: DataFrame, window: int = WINDOW, slop: int = SLOP, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per document: doc_id, n_words, n_near and near (item_ids, sorted as strings): items with a window whose words all stand, in any order, within window + slop consecutive words of the document.
+
+    Windows, nulls and repeated ids as decontaminate() has them.
+    """
+    found = _over(build_index(docs, id_col, text_col), items, window, "item_id", "text", lambda postings, block, query: _mark(postings, block, query, slop), {"items": "array<long>"})
+    out = found.select("doc_id", "n_words", F.array_sort(F.transform(F.array_distinct("items"), lambda i: i.cast("string"))).alias("near"))
+    return out.select("doc_id", "n_words", F.size("near").cast("long").alias("n_near"), "near")
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -212,9 +311,35 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW, id_co
     Null texts have no words; null and repeated doc_ids keep a row each; repeated items
     count once; items without an id or text are none.  Other columns are ignored.
     """
-    found = matches(build_index(docs, id_col, text_col), items, window)
-    hit = F.array_distinct(F.flatten(F.transform("hits", lambda h: F.sequence(h["start"], h["start"] + h["n"] - 1))))
-    names = F.array_sort(F.transform(F.array_distinct(F.transform("hits", lambda h: h["item_id"])), lambda i: i.cast("string")))
+    columns = {"items": "array<long>", "spans": "array<struct<start: long, n: long>>"}
+    found = _over(build_index(docs, id_col, text_col), items, window, "item_id", "text", lambda postings, block, query: _mark(postings, block, query, None), columns)
+    # spans of one query never overlap, those of several may
+    hit = F.array_distinct(F.flatten(F.transform("spans", lambda s: F.sequence(s["start"], s["start"] + s["n"] - 1))))
+    names = F.array_sort(F.transform(F.array_distinct("items"), lambda i: i.cast("string")))
     return found.select("doc_id", "n_words", F.size(hit).cast("long").alias("n_hit"), names.alias("items")).select(
         "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), "items", (F.col("n_hit") > 0).alias("contaminated")
     )
+
+
+#: The contract's rows in DuckDB SQL, over documents and benchmark.
+SQL = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(@LOWER@, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), b AS (
+  SELECT item_id, regexp_extract_all(@LOWER@, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark WHERE item_id IS NOT NULL
+), windows AS (
+  SELECT DISTINCT item_id, w[k : k + 9] AS win FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS k FROM b WHERE len(w) > 0)
+), sizes AS (
+  SELECT DISTINCT len(win) AS n FROM windows
+), places AS (
+  SELECT doc_id, n, k, w[k : k + n - 1] AS win FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS k FROM d JOIN sizes ON len(w) >= n)
+), found AS (
+  SELECT doc_id, n, k, item_id FROM places JOIN windows USING (win)
+), hit AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT DISTINCT doc_id, unnest(range(k, k + n)) AS p FROM (SELECT DISTINCT doc_id, n, k FROM found)) GROUP BY doc_id
+), items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS names FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS i FROM found) GROUP BY doc_id
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
+""".replace("@LOWER@", "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")

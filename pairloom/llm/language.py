@@ -111,12 +111,13 @@ def _evidence(docs: DataFrame, langs: list[str], log: np.ndarray) -> DataFrame:
             e = pa.ListArray.from_arrays(pa.array(np.arange(len(out) + 1) * len(langs), pa.int32()), pa.array(out.ravel(), pa.float64()))
             yield pa.RecordBatch.from_pydict({"row": batch.column(0), "host": batch.column(3), "e": e})
 
-    return docs.mapInArrow(weigh, "row struct<doc_id: long, tag: long>, host string, e array<double>")
+    return docs.mapInArrow(weigh, "row struct<doc_id: long, tag: long, carried: string>, host string, e array<double>")
 
 
-def identify(docs: DataFrame, labelled: DataFrame, declared: Column, host: Column, id_col: str = "doc_id", text_col: str = "text", labelled_text: str = "text", labelled_lang: str = "lang") -> DataFrame:
-    """One row per document: doc_id, tag (hash of its text), language, probability, accepted.
+def identify(docs: DataFrame, labelled: DataFrame, declared: Column, host: Column, id_col: str = "doc_id", text_col: str = "text", labelled_text: str = "text", labelled_lang: str = "lang", carried: Column | None = None) -> DataFrame:
+    """One row per document: doc_id, tag (hash of its text), carried, language, probability, accepted.
 
+    carried: a column of docs, as text, that goes along and is no evidence (none: null).
     declared and host: columns of docs with a declared language (or null) and a host.
     labelled: documents that the text models are fitted to, a bounded sample.  A document is
     accepted if its language is not UNKNOWN and has a posterior of at least ACCEPT.  Null
@@ -128,7 +129,7 @@ def identify(docs: DataFrame, labelled: DataFrame, declared: Column, host: Colum
     settled(docs.sparkSession)
     langs, log = fit_models(labelled, labelled_text, labelled_lang)
     tag = F.xxhash64(F.col(text_col)).alias("tag")
-    rows = docs.select(F.struct(F.col(id_col).cast("long").alias("doc_id"), tag).alias("row"), F.col(text_col).cast("string").alias("text"), declared.cast("string").alias("declared"), F.coalesce(F.lower(host.cast("string")), F.lit("")).alias("host"))
+    rows = docs.select(F.struct(F.col(id_col).cast("long").alias("doc_id"), tag, (F.lit(None) if carried is None else carried).cast("string").alias("carried")).alias("row"), F.col(text_col).cast("string").alias("text"), declared.cast("string").alias("declared"), F.coalesce(F.lower(host.cast("string")), F.lit("")).alias("host"))
     seen = stored(_evidence(rows, langs, log).withColumn("suffix", suffix_of(F.col("host"))))
     first = seen.select("host", "suffix", (F.array_position("e", F.array_max("e")) - 1).cast("int").alias("k"))
     one_hot = [F.count_if(F.col("k") == i).cast("double") for i in range(len(langs))]
@@ -145,5 +146,5 @@ def identify(docs: DataFrame, labelled: DataFrame, declared: Column, host: Colum
     joined = joined.select("row.*", log_post.alias("l"), F.array_max(log_post).alias("m"))
     probability = 1 / F.aggregate("l", F.lit(0.0), lambda a, x: a + F.exp(x - F.col("m")))
     language = F.get(F.lit(langs), (F.array_position("l", F.col("m")) - 1).cast("int"))
-    out = joined.select("doc_id", "tag", language.alias("language"), probability.alias("probability"))
+    out = joined.select("doc_id", "tag", "carried", language.alias("language"), probability.alias("probability"))
     return out.withColumn("accepted", (F.col("language") != UNKNOWN) & (F.col("probability") >= ACCEPT))

@@ -9,8 +9,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairloom.llm import line_dedup
-from pairloom.llm.decontaminate import decontaminate
+from pairloom.llm import decontaminate as decontamination
+from pairloom.llm import jaccard_join, line_dedup, suffix_dedup
+from pairloom.llm.decontaminate import decontaminate, proximity
 from pairloom.llm.fingerprints import fingerprint_edits
 from pairloom.llm.jaccard_join import jaccard_components
 from pairloom.llm.language import declared_in, identify
@@ -38,6 +39,12 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
 
 
+def op2_proximity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items with a window whose words all stand near each other, in any order."""
+    out = proximity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return out.select("doc_id", "n_words", "n_near", F.sha2(F.array_join("near", ","), 256).alias("near_sha256"))
+
+
 def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_edits(_table(spark, sf_dir, "documents"))
 
@@ -90,9 +97,9 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    every = (op1_packing, op2_decontamination, op3_fingerprints, op4_line_dedup, op5_quality, op6_lm_score, op7_language, op7_language_pages, op8_warc, op9_jaccard_join, op10_suffix_dedup)
+    every = (op1_packing, op2_decontamination, op2_proximity, op3_fingerprints, op4_line_dedup, op5_quality, op6_lm_score, op7_language, op7_language_pages, op8_warc, op9_jaccard_join, op10_suffix_dedup)
     return {f.__name__: f for f in every}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_line_dedup": line_dedup.SQL}
+    return {"op2_decontamination": decontamination.SQL, "op4_line_dedup": line_dedup.SQL, "op9_jaccard_join": jaccard_join.SQL, "op10_suffix_dedup": suffix_dedup.SQL}

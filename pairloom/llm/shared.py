@@ -1,7 +1,7 @@
 """Tables in the cluster's shared folder, blocks of documents, and the block exchange.
 
 The block exchange counts features (n-grams, shingles, anchors) over the whole corpus
-without a row for each: documents are dealt to blocks by id, each block sends its
+without a row for each: documents are dealt to blocks, each block sends its
 sorted distinct feature hashes in a few binary rows, one for each hash range; a range
 adds the counts up and answers each block with totals in the order in which it asked.
 A feature that a third of all documents hold thus makes one entry a block.
@@ -78,8 +78,8 @@ def n_blocks(spark: SparkSession, total: int, each: int = BLOCK_BYTES) -> int:
 
 
 def in_blocks(docs: DataFrame, blocks: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(block, doc_id, text): a document's block depends on its id alone."""
-    return docs.select(F.pmod(F.xxhash64(id_col), F.lit(blocks)).cast("int").alias("block"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    """(block, doc_id, text): a row's block depends on its id and text, so neither null ids nor a frequent id gather in one."""
+    return docs.select(F.pmod(F.xxhash64(id_col, text_col), F.lit(blocks)).cast("int").alias("block"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
 
 def ids_of(table: pa.Table) -> np.ndarray:
@@ -115,8 +115,7 @@ TOLD = "block int, bucket int, wide int, n int, totals binary"
 
 def ask(hashes: np.ndarray, counts: np.ndarray, block: int, ranges: int) -> pa.Table:
     """Rows (bucket, block, n, hashes, wide, counts) of one block's sorted distinct hashes."""
-    edges = np.searchsorted(hashes, bucket_starts(ranges))
-    edges = np.append(edges, len(hashes))
+    edges = np.append(np.searchsorted(hashes, bucket_starts(ranges)), len(hashes))
     full = np.flatnonzero(edges[1:] > edges[:-1])
     parts = [(hashes[edges[i] : edges[i + 1]], pack_counts(counts[edges[i] : edges[i + 1]])) for i in full]
     return pa.table({
@@ -160,8 +159,8 @@ def _add_up(table: pa.Table) -> pa.Table:
 
 
 def spread(df: DataFrame, key: str, groups: int) -> DataFrame:
-    """df dealt out by key to about a task for each two groups, whatever spark.sql.shuffle.partitions is."""
-    return df.repartition(max(df.sparkSession.sparkContext.defaultParallelism, -(-groups // 2)), key)
+    """df dealt out by key to as many tasks as there are groups, whatever spark.sql.shuffle.partitions is."""
+    return df.repartition(max(df.sparkSession.sparkContext.defaultParallelism, groups), key)
 
 
 def exchange(docs: DataFrame, blocks: int, ranges: int, features: Callable[[pa.Table], tuple[np.ndarray, np.ndarray]]) -> DataFrame:

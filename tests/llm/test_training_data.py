@@ -139,9 +139,10 @@ def items(spark, rows):
     return spark.createDataFrame(own, "item_id long, text string")
 
 
-@pytest.mark.parametrize("portion", [2_000_000, 3])
-def test_decontamination(docs, odd, none, items, rows, portion, monkeypatch):
-    monkeypatch.setattr(op2, "QUERY_WORDS", portion)
+@pytest.mark.parametrize(("portion", "candidates"), [(200_000, 1 << 19), (25, 7)])
+def test_decontamination(docs, odd, none, items, rows, portion, candidates, monkeypatch):
+    monkeypatch.setattr(op2, "QUERY_PAIRS", portion)
+    monkeypatch.setattr(op2, "CANDIDATES", candidates)
     windows = collections.defaultdict(set)
     for r in items.collect():
         w = _alnum(r.text)
@@ -171,6 +172,46 @@ def test_near_search(spark):
     assert {r.doc_id for r in near.collect() if r.hits} == {1, 3}
     exact = op2.matches(op2.build_index(docs), items)
     assert not [r for r in exact.collect() if r.hits]
+    assert {r.doc_id: r.n_near for r in op2.proximity(docs, items, slop=2).collect()} == {1: 1, 2: 0, 3: 1, 4: 0, 5: 0}
+    found = op2.matches(op2.build_index(docs), spark.createDataFrame([(7, "x b"), (8, "x B,"), (9, "a")], "item_id long, text string"))
+    assert {r.doc_id: sorted(map(tuple, r.hits)) for r in found.collect()} == {1: [(7, 1, 2), (8, 1, 2), (9, 0, 1)], 2: [(7, 4, 2), (8, 4, 2), (9, 0, 1)], 3: [(9, 2, 1)], 4: [(9, 0, 1)], 5: []}
+
+
+@pytest.mark.parametrize(("portion", "candidates"), [(200_000, 1 << 19), (5, 30)])
+def test_proximity(spark, portion, candidates, monkeypatch):
+    monkeypatch.setattr(op2, "QUERY_PAIRS", portion)
+    monkeypatch.setattr(op2, "CANDIDATES", candidates)
+    rng = random.Random(6)
+    texts = [" ".join(rng.choice("abcdefgh") for _ in range(rng.randint(0, 40))) for _ in range(120)]
+    own = [(i, " ".join(rng.choice("abcdefghi") for _ in range(rng.randint(1, 6)))) for i in range(25)]
+    got = {r.doc_id: r.near for r in op2.proximity(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), spark.createDataFrame(own, "item_id long, text string"), window=4, slop=2).collect()}
+    for i, text in enumerate(texts):
+        w, near = text.split(), set()
+        for item, t in own:
+            words_ = t.split()
+            for k in range(max(1, len(words_) - 3)):
+                window = words_[k : k + 4]
+                if any(set(window) <= set(w[a : a + len(window) + 2]) for a in range(len(w))):
+                    near.add(str(item))
+        assert got[i] == sorted(near)
+
+
+def test_windows_of_frequent_words_take_bounded_memory():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    text = "a b " * 100_000
+    index = op2.Postings(op2._post((pa.scalar(0),), pa.table({"doc_id": [1], "text": [text]})), 0)
+    window = scan.word_hashes(*scan.text_buffer(pa.array(["a b " * 5])), scan.ALNUM)[0].tobytes()
+    peaks = []
+    for n in (20, 80):
+        tracemalloc.start()
+        query = op2.Query([window] * n, list(range(n)), 10)
+        assert sum(len(w) for w, _ in op2.search(index, query)) == 100_000 - 4 and sum(len(w) for w, _ in op2.search(index, query, 5)) == 100_000
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+    assert max(peaks) < 100 << 20 and peaks[1] < 1.2 * peaks[0]
 
 
 def test_fingerprints(docs, odd, none, rows, spark):
@@ -179,10 +220,12 @@ def test_fingerprints(docs, odd, none, rows, spark):
         text, after = text or "", rows[(k + 1) % len(rows)][1] or ""
         half = len(text) // 2
         edited = text[: len(text) - half] + after[:half]
-        own, r = set(filter(None, got[i].fingerprint.split(","))), got[i]
-        other = set(filter(None, got[rows[(k + 1) % len(rows)][0]].fingerprint.split(",")))
+        of = lambda fp: {x.split(":")[1] for x in fp.split(",") if x}
+        own, r, there = of(got[i].fingerprint), got[i], of(got[i].edited_fingerprint)
+        other = of(got[rows[(k + 1) % len(rows)][0]].fingerprint)
         assert (r.n_chars, r.edited_sha256) == (len(text), hashlib.sha256(edited.encode()).hexdigest())
         assert r.near_next == pytest.approx(len(own & other) / len(own | other) if own | other else 1.0)
+        assert r.near_edited == pytest.approx(len(own & there) / len(own | there) if own | there else 1.0)
     assert got[9].fingerprint == got[10].fingerprint and got[0].fingerprint == "" and got[3].fingerprint
     # the choice of anchors, by brute force
     text = rows[20][1]
@@ -191,7 +234,7 @@ def test_fingerprints(docs, odd, none, rows, spark):
     g = [r.h for r in inner]
     want = [i for i in range(len(h) - 4) if min(g[i : i + 4]) in (g[i], g[i + 3])]
     anchors = spark.createDataFrame([(text,)], "t string").select(fingerprints.anchors(F.col("t")).alias("a")).first().a
-    assert [a.position for a in anchors] == want
+    assert [a.position for a in anchors] == want and got[20].fingerprint == ",".join(f"{a.position}:{a.hash & (1 << 64) - 1:x}" for a in anchors)
     assert fingerprints.fingerprint_edits(odd).count() == len(rows) + 4
     assert fingerprints.fingerprint_edits(none).count() == 0
 
@@ -200,9 +243,9 @@ def test_fingerprints(docs, odd, none, rows, spark):
 def test_line_dedup(docs, odd, none, rows, limit, monkeypatch):
     monkeypatch.setattr(line_dedup, "BROADCAST_BYTES", limit)
     pages, count = collections.Counter(), collections.Counter()
-    for _, text, _, source, *_ in rows:
+    for source, text in {(source, text or "") for _, text, _, source, *_ in rows}:
         pages[source] += 1
-        count.update({(source, x) for x in (text or "").split("\n") if x.strip(" ")})
+        count.update({(source, x) for x in text.split("\n") if x.strip(" ")})
     drop = {k for k, n in count.items() if n >= line_dedup.MIN_PAGES and n > pages[k[0]] * line_dedup.RATIO}
     assert drop
     got = {r.doc_id: r for r in line_dedup.dedup_lines(docs).collect()}
@@ -216,6 +259,14 @@ def test_line_dedup(docs, odd, none, rows, limit, monkeypatch):
     assert line_dedup.dedup_lines(none).count() == 0
 
 
+def test_copies_do_not_make_their_lines_boilerplate(spark):
+    copies = [(i, "one\ntwo\nmenu", "s") for i in range(30)]
+    others = [(100 + i, f"page {i}\nmenu", "s") for i in range(20)]
+    docs = spark.createDataFrame(copies + others, "doc_id long, text string, source string")
+    got = {r.doc_id: r.text for r in line_dedup.dedup_lines(docs).collect()}
+    assert set(got[i] for i in range(30)) == {"one\ntwo"} and all(got[100 + i] == f"page {i}" for i in range(20))
+
+
 def test_quality(spark, none):
     rng = random.Random(3)
     good = lambda: " ".join("".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 9))) for _ in range(rng.randint(20, 200)))
@@ -324,6 +375,38 @@ def test_warc(spark):
     assert warc.build_derivatives(pages.limit(0)).count() == 0
 
 
+def test_warc_reader_and_files(spark, tmp_path):
+    http = b"HTTP/1.1 200 OK\r\nContent-Type:text/html\r\nX-A: b\r\n\r\n<p>Hi</p>"
+    plain = b"WARC/1.1\r\nWARC-Type:response\r\nWARC-Record-ID:<urn:x:1>\r\nWARC-Target-URI: http://h/\r\nX-Long: a\r\n  b\r\ncontent-length:%d\r\n\r\n%s\r\n\r\n" % (len(http), http)
+    (headers, block), = warc.read_records(plain)
+    assert (headers["WARC-Type"], headers["X-Long"], block) == ("response", "a b", http)
+    assert list(warc.read_records(plain + plain[:-20])) == [(headers, block)] and list(warc.read_records(b"")) == []
+    members = [warc.write_record({"WARC-Type": "resource", "Content-Length": str(n)}, b"\r\n" * (n // 2), "d") for n in (0, 2, 3 << 20)]
+    assert [len(b) for _, b in warc.read_records(b"".join(members))] == [0, 2, 3 << 20]
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.warc").write_bytes(plain)
+    responses = warc.read_responses(spark, str(tmp_path / "in"))
+    got = warc.build_derivatives(responses, headers_col="headers", record_col="record_id").collect()
+    assert {r.refers_to for r in got} == {"<urn:x:1>"} and {r.headers["X-Source-X-A"] for r in got} == {"b"} and got[1].block == "Hi"
+    files = warc.write_files(warc.build_derivatives(responses), str(tmp_path / "out"), "2020-01-01T00:00:00Z", each=1).collect()
+    assert sorted((h["WARC-Type"], b.decode()) for f in files for h, b in warc.read_records(f.data))[0] == ("conversion", "Hi")
+
+
+def test_malformed_pages_take_linear_time():
+    import time
+
+    for part in ("<script>", "<a ", "<!--", '<a href="', "<head>", "a=' "):
+        took = []
+        for n in (8000, 64000):
+            began = time.process_time()
+            warc.read_page(part * n)
+            warc.read_page("<a " + part * n + ">")
+            took.append(time.process_time() - began)
+        assert took[1] < 24 * took[0] + 0.5, part
+    assert warc.plain_text("a < b <b>c</b> 1<2 <x") == "a < b c 1<2 <x"
+    assert warc.plain_text("<head>x<body>y<p>z<script>") == "y\nz"
+
+
 @pytest.mark.parametrize(("tile", "columns"), [(512, 2048), (4, 16)])
 def test_jaccard_join(docs, odd, none, rows, tile, columns, monkeypatch):
     monkeypatch.setattr(jaccard_join, "TILE", tile)
@@ -345,6 +428,10 @@ def test_jaccard_join(docs, odd, none, rows, tile, columns, monkeypatch):
     got = {r.doc_id: r for r in jaccard_join.jaccard_components(docs).collect()}
     assert {i: (r.n_shingles, r.component_id) for i, r in got.items()} == {i: (len(sets[i]), comp[i]) for i in sets}
     if tile == 512:
+        own = [(1, rows[9][1]), (6, rows[9][1]), (6, rows[8][1]), (100, rows[8][1]), (None, rows[13][1] + " x"), (None, rows[6][1]), (50, rows[13][1]), (51, rows[6][1]), (6, None)]
+        tied = jaccard_join.jaccard_components(docs.sparkSession.createDataFrame(own, "doc_id long, text string")).collect()
+        assert sorted((r.doc_id, r.component_id) for r in tied if r.doc_id is not None and r.n_shingles) == [(1, 1), (6, 1), (6, 1), (50, 50), (51, 51), (100, 1)]
+        assert all(r.component_id is None for r in tied if r.doc_id is None)
         more = jaccard_join.jaccard_components(odd).collect()
         assert len(more) == len(rows) + 4 and sum(r.doc_id is None for r in more) == 2
         assert jaccard_join.jaccard_components(none).count() == 0
@@ -371,12 +458,31 @@ def test_suffix_dedup(docs, odd, none, rows):
     assert suffix_dedup.remove_repeats(none).count() == 0
 
 
-def test_multikey_sort():
+@pytest.mark.parametrize(("n", "depth", "values"), [(0, 3, 3), (1, 2, 3), (500, 6, 3), (3000, 2, 1 << 60), (2000, 11, 2)])
+def test_multikey_sort(n, depth, values):
     rng = np.random.default_rng(1)
-    words_ = rng.integers(0, 3, (500, 6)).astype(np.uint64)
+    words_ = rng.integers(0, values, (n, depth)).astype(np.uint64)
     order = suffix_dedup.multikey_sort(words_)
     listed = [tuple(x) for x in words_[order].tolist()]
-    assert listed == sorted(listed)
+    assert sorted(order.tolist()) == list(range(n)) and listed == sorted(listed)
+
+
+def test_suffix_runs_across_boundaries(spark, monkeypatch):
+    """A frequent passage with many continuations, dealt to so many buckets that its runs cross them."""
+    monkeypatch.setattr(suffix_dedup, "BUCKETS", 300)
+    rng = random.Random(9)
+    say = lambda n: "".join(rng.choice("ab cd") for _ in range(n))
+    hot = say(60)
+    rows = [(i, f"{say(rng.randint(0, 60))}{hot[: rng.randint(20, 60)]}{say(rng.randint(0, 60))}{'xy' * rng.randint(0, 60)}") for i in range(150)]
+    seen, got = set(), {r.doc_id: r for r in suffix_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, text in rows:
+        data, gone = text.encode(), bytearray(len(text))
+        own = [data[k : k + 50] for k in range(len(data) - 49)]
+        for k, s in enumerate(own):
+            if s in seen:
+                gone[k : k + 50] = b"\1" * 50
+        seen.update(own)
+        assert (got[i].n_removed, bytes(got[i].kept)) == (sum(gone), bytes(c for c, g in zip(data, gone, strict=True) if not g)), i
 
 
 def test_components(spark):
