@@ -2,7 +2,8 @@
 
 Of all K-word pieces those are kept whose smallest S-word piece, by hash, is the first or the
 last within: a choice that looks at nothing around the piece, so equal passages give equal
-anchors wherever they stand.  A fingerprint is the sorted set of the kept pieces' hashes.
+anchors wherever they stand.  A fingerprint holds each kept piece's position and hash, so that
+two documents can be laid beside each other; likeness compares the sets of hashes.
 """
 
 from __future__ import annotations
@@ -10,10 +11,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pairloom.llm.shared import RANGE_BYTES, n_blocks, settled, text_bytes
+from pairloom.llm.shared import RANGE_BYTES, n_blocks, settled, spread, text_bytes
 
 #: Words of a piece and of the inner pieces that decide.
 K, S = 5, 2
+#: Id ranges, at most, and sampled rows for the bounds of each.
+RANGES, SAMPLES = 1 << 16, 20
 
 
 def _let(value: Column, then) -> Column:
@@ -48,61 +51,67 @@ def anchors(text: Column) -> Column:
     return _let(hashes, chosen)
 
 
-def fingerprint(text: Column) -> Column:
-    """Sorted distinct hashes of a text's anchors; empty for a text without words."""
-    return F.array_sort(F.array_distinct(F.transform(anchors(text), lambda a: a["hash"])))
+def hashes(fp: Column) -> Column:
+    """Sorted distinct hashes of a fingerprint."""
+    return F.array_sort(F.array_distinct(fp["hash"]))
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """Jaccard index of two fingerprints; 1 for two empty ones, 0 for one."""
+    """Jaccard index of two sets of hashes; 1 for two empty ones, 0 for one."""
     both = F.size(F.array_intersect(a, b))
     union = F.size(a) + F.size(b) - both
     return F.when(union == 0, 1.0).otherwise(both / union)
 
 
 def as_string(fp: Column) -> Column:
-    return F.array_join(F.transform(fp, lambda h: F.lower(F.hex(h))), ",")
+    """position:hash of each anchor, in order."""
+    return F.array_join(F.transform(fp, lambda a: F.concat(a["position"].cast("string"), F.lit(":"), F.lower(F.hex(a["hash"])))), ",")
 
 
 def with_next(docs: DataFrame) -> DataFrame:
     """(doc_id, text, fp, next_text, next_fp): the next document by ascending doc_id, the first after the last.
 
-    Documents are dealt to id ranges at approximate quantiles, one for each RANGE_BYTES of
-    text, and each range's first document also goes to the end of the range before; both
-    are found from ids alone, and are all that the driver gets.  Equal ids are ordered by
-    text, null ids come first, a null text counts as empty.
+    Documents are dealt to ranges of (id, hash of the text), one for each RANGE_BYTES of text
+    and RANGES at most, with bounds from a sample of SAMPLES rows a range; each range's
+    first document also goes to the end of the range before.  The driver gets the sample
+    and a row for each range.  Equal ids are ordered by the hash of the text, null ids
+    come first, a null text counts as empty.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    rows = rows.withColumn("id", F.coalesce("doc_id", F.lit(-(1 << 63))))
-    ranges = n_blocks(docs.sparkSession, text_bytes(docs), RANGE_BYTES)
-    bounds = rows.agg(F.percentile_approx("id", [i / ranges for i in range(1, ranges)], max(10_000, 20 * ranges))).first()[0] or []
-    bounds = sorted(set(bounds))
-    rows = rows.withColumn("part", _place(F.col("id"), bounds))
-    heads = sorted((r.part, r.id) for r in rows.groupBy("part").agg(F.min("id").alias("id")).collect())
-    first, before = [None] * (len(bounds) + 1), [0] * (len(bounds) + 1)
-    for k, (part, head) in enumerate(heads):
+    rows = rows.withColumn("id", F.coalesce("doc_id", F.lit(-(1 << 63)))).withColumn("h", F.xxhash64("text"))
+    ranges = min(RANGES, n_blocks(docs.sparkSession, text_bytes(docs), RANGE_BYTES))
+    share = min(1.0, SAMPLES * ranges / max(1, rows.count()))
+    sample = rows.filter(F.pmod(F.xxhash64("id", "h", F.lit("bounds")), F.lit(1 << 30)) < F.lit(int(share * (1 << 30)))).select("id", "h").collect()
+    sample = sorted((r.id, r.h) for r in sample)
+    bounds = sorted({sample[i * len(sample) // ranges] for i in range(1, ranges)}) if sample else []
+    rows = rows.withColumn("part", _place(F.col("id"), F.col("h"), bounds))
+    heads = sorted((r.part, r.first.id, r.first.h) for r in rows.groupBy("part").agg(F.min(F.struct("id", "h")).alias("first")).collect())
+    first, before = [(None, None)] * (len(bounds) + 1), [0] * (len(bounds) + 1)
+    for k, (part, *head) in enumerate(heads):
         first[part], before[part] = head, heads[k - 1][0]
-    twice = F.col("id") == F.get(F.lit(first).cast("array<long>"), F.col("part"))
+    of = lambda k: F.get(F.lit([f[k] for f in first]).cast("array<long>"), F.col("part"))
+    twice = (F.col("id") == of(0)) & (F.col("h") == of(1))
     own = F.struct(F.col("part"), F.lit(0).alias("ghost"))
     ghost = F.struct(F.get(F.lit(before).cast("array<int>"), F.col("part")).alias("part"), F.lit(1).alias("ghost"))
-    dealt = rows.select("doc_id", "text", "id", F.explode(F.when(twice, F.array(own, ghost)).otherwise(F.array(own))).alias("at"))
-    dealt = dealt.select("doc_id", "text", "id", "at.part", "at.ghost").repartition("part").withColumn("fp", fingerprint(F.col("text")))
-    order = Window.partitionBy("part").orderBy("ghost", "id", "text")
+    dealt = rows.select("doc_id", "text", "id", "h", F.explode(F.when(twice, F.array(own, ghost)).otherwise(F.array(own))).alias("at"))
+    dealt = spread(dealt.select("doc_id", "text", "id", "h", "at.part", "at.ghost"), "part", 2 * len(first)).withColumn("fp", anchors(F.col("text")))
+    order = Window.partitionBy("part").orderBy("ghost", "id", "h")
     dealt = dealt.withColumn("next_text", F.lead("text").over(order)).withColumn("next_fp", F.lead("fp").over(order))
     return dealt.filter("ghost = 0").select("doc_id", "text", "fp", "next_text", "next_fp")
 
 
-def _place(value: Column, bounds: list[int]) -> Column:
-    """How many bounds (ascending) are at most value, by binary search."""
+def _place(id_: Column, h: Column, bounds: list[tuple[int, int]]) -> Column:
+    """How many bounds (ascending) are at most (id, h), by binary search."""
     if not bounds:
         return F.lit(0)
-    table, size = F.lit(bounds).cast("array<long>"), 1 << len(bounds).bit_length()
-    steps = []
+    ids, hs = (F.lit([b[k] for b in bounds]).cast("array<long>") for k in (0, 1))
+    size, steps = 1 << len(bounds).bit_length(), []
     while size > 1:
         size //= 2
         steps.append(size)
-    # lifts the count by a step wherever the bound before the lifted place is at most value
-    return F.aggregate(F.lit(steps).cast("array<int>"), F.lit(0), lambda n, step: F.when(F.get(table, n + step - 1) <= value, n + step).otherwise(n))
+    passed = lambda at: (F.get(ids, at) < id_) | ((F.get(ids, at) == id_) & (F.get(hs, at) <= h))
+    # lifts the count by a step wherever the bound before the lifted place is at most (id, h)
+    return F.aggregate(F.lit(steps).cast("array<int>"), F.lit(0), lambda n, step: F.when(passed(n + step - 1), n + step).otherwise(n))
 
 
 def fingerprint_edits(docs: DataFrame) -> DataFrame:
@@ -110,7 +119,7 @@ def fingerprint_edits(docs: DataFrame) -> DataFrame:
 
     The edited text has its last floor(n_chars / 2) code points replaced by the first as
     many (or all) of the next document; see with_next() for the order.  Fingerprints are
-    given as hexadecimal hashes with commas between.  Other columns are ignored; an empty
+    given as position:hash (hexadecimal) with commas between.  Other columns are ignored; an empty
     table gives no rows.
     """
     settled(docs.sparkSession)
@@ -118,8 +127,8 @@ def fingerprint_edits(docs: DataFrame) -> DataFrame:
     n = F.char_length("text")
     half = F.floor(n / 2).cast("int")
     out = pairs.select("doc_id", "fp", "next_fp", n.cast("long").alias("n_chars"), F.concat(F.substring("text", F.lit(1), n - half), F.substring("next_text", F.lit(1), half)).alias("edited"))
-    out = out.withColumn("edited_fp", fingerprint(F.col("edited")))
+    out = out.withColumn("edited_fp", anchors(F.col("edited"))).withColumn("own", hashes(F.col("fp")))
     return out.select(
         "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), as_string(F.col("fp")).alias("fingerprint"), as_string(F.col("edited_fp")).alias("edited_fingerprint"),
-        likeness(F.col("fp"), F.col("edited_fp")).alias("near_edited"), likeness(F.col("fp"), F.col("next_fp")).alias("near_next"),
+        likeness(F.col("own"), hashes(F.col("edited_fp"))).alias("near_edited"), likeness(F.col("own"), hashes(F.col("next_fp"))).alias("near_next"),
     )
