@@ -2,7 +2,8 @@
 
 A line's share is the number of its site's pages that contain it over all pages of the
 site; lines with a share above RATIO, on MIN_PAGES pages at least, are boilerplate and go
-from all pages of the site.  A site has at most (mean lines of a page) / RATIO such lines.
+from all pages of the site.  Pages of one text count as one, so that no text makes its own lines
+boilerplate by being copied.  A site has at most (mean lines of a page) / RATIO such lines.
 """
 
 from __future__ import annotations
@@ -27,23 +28,24 @@ def site_of(host: Column) -> Column:
 
 def _name(line: Column) -> Column:
     """128 bits of a line."""
-    return F.concat_ws(":", F.xxhash64(line, F.lit(1)), F.xxhash64(line, F.lit(2)))
+    return F.struct(F.xxhash64(line, F.lit(1)).alias("a"), F.xxhash64(line, F.lit(2)).alias("b"))
 
 
 def boilerplate(docs: DataFrame, ratio: float, min_pages: int, host_col: str, text_col: str) -> DataFrame:
     """(site, lines): names of each site's boilerplate lines."""
-    pages = docs.select(site_of(F.col(host_col)).alias("site"), F.split(F.coalesce(F.col(text_col), F.lit("")), "\n").alias("lines"))
-    totals = pages.groupBy("site").agg(F.count("*").alias("pages"))
-    lines = pages.select("site", F.explode(F.array_distinct(F.transform("lines", lambda x: F.when(F.trim(x) != "", _name(x))))).alias("line")).filter("line is not null")
-    counts = lines.groupBy("site", "line").agg(F.count("*").alias("n")).filter(F.col("n") >= min_pages)
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    pages = docs.select(site_of(F.col(host_col)).alias("site"), F.xxhash64(text).alias("page"), F.split(text, "\n").alias("lines"))
+    totals = pages.groupBy("site").agg(F.count_distinct("page").alias("pages"))
+    lines = pages.select("site", "page", F.explode(F.array_distinct(F.transform("lines", lambda x: F.when(F.trim(x) != "", _name(x))))).alias("line")).filter("line is not null")
+    counts = lines.groupBy("site", "line").agg(F.count_distinct("page").alias("n")).filter(F.col("n") >= min_pages)
     return counts.join(totals, "site").filter(F.col("n") > F.col("pages") * ratio).groupBy("site").agg(F.collect_set("line").alias("boilerplate"))
 
 
 def dedup_lines(docs: DataFrame, ratio: float = RATIO, min_pages: int = MIN_PAGES, host_col: str = "source", text_col: str = "text") -> DataFrame:
     """docs with boilerplate lines gone from the text, and n_lines, n_dropped.
 
-    Lines stand between line feeds and count once a page; blank ones always stay.  A null
-    text stays null and has no lines; documents with a null host are one site.  All
+    Lines stand between line feeds and count once a text of the site; blank ones always stay.
+    A null text stays null and has no lines; documents with a null host are one site.  All
     columns and rows stay, repeated ones too; an empty table gives no rows.
     """
     settled(docs.sparkSession)
@@ -69,11 +71,11 @@ SQL = f"""
 WITH pages AS (
   SELECT doc_id, text, coalesce(lower(regexp_extract(source, '^(?:[a-zA-Z][a-zA-Z0-9+.-]*://)?([^/?#]*)', 1)), '') AS site FROM documents
 ), lines AS (
-  SELECT doc_id, site, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM pages WHERE text IS NOT NULL
+  SELECT doc_id, site, text, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM pages WHERE text IS NOT NULL
 ), totals AS (
-  SELECT site, count(*) AS pages FROM pages GROUP BY site
+  SELECT site, count(DISTINCT coalesce(text, '')) AS pages FROM pages GROUP BY site
 ), boilerplate AS (
-  SELECT l.site, l.line FROM (SELECT site, line, count(DISTINCT doc_id) AS n FROM lines WHERE trim(line) <> '' GROUP BY site, line) l
+  SELECT l.site, l.line FROM (SELECT site, line, count(DISTINCT text) AS n FROM lines WHERE trim(line) <> '' GROUP BY site, line) l
   JOIN totals t USING (site) WHERE n >= {MIN_PAGES} AND n > t.pages * {RATIO}::DOUBLE
 ), kept AS (
   SELECT l.doc_id, count(*) AS n_lines, count(*) FILTER (b.line IS NOT NULL) AS n_dropped,
