@@ -1,7 +1,9 @@
 """WARC derivatives: response records become linked metadata and plain-text conversion records.
 
-A response's id is derived from its URI and payload, so derivatives can be made again at any
-time; each refers to its response by WARC-Refers-To and carries digests of its own block.
+A response keeps its own id where it has one, else it is derived from its URI and payload, so
+derivatives can be made again at any time; each refers to its response by WARC-Refers-To, carries
+the response's headers, and has digests of the payload and of its own block.  Pages are read
+once from left to right, in time linear in their length, however malformed.
 """
 
 from __future__ import annotations
@@ -10,13 +12,16 @@ import base64
 import gzip
 import hashlib
 import html as entities
+import io
 import json
 import re
 import uuid
+import zlib
 from collections.abc import Iterator
+from typing import BinaryIO
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pairloom.llm.shared import settled
@@ -25,78 +30,130 @@ SCHEMA = "page_id long, record_type string, record_id string, refers_to string,
 #: Headers of a response whose source gives none.
 SOURCE_HEADERS = (("Content-Type", "text/html; charset=utf-8"),)
 
-_HIDDEN = re.compile(r"<!--.*?-->|<(script|style|template|noscript)\b[^>]*>.*?</\1\s*>|<head\b[^>]*>.*?</head\s*>|<!doctype[^>]*>", re.S | re.I)
-_BREAK = re.compile(r"</?(?:p|div|br|li|ul|ol|tr|table|h[1-6]|article|section|nav|header|footer|blockquote|pre|hr|dd|dt|dl|figure|form|main|aside|body)\b[^>]*>", re.I)
-_TAG = re.compile(r"<[a-zA-Z/!?][^>]*>")
-_TITLE = re.compile(r"<title[^>]*>(.*?)</title\s*>", re.S | re.I)
-_LINK = re.compile(r"<(a|link|img|script|iframe)\b[^>]*?\s(?:href|src)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-_META = re.compile(r"<meta\s([^>]*)>", re.I)
-_LANG = re.compile(r"<html\b[^>]*?\slang\s*=\s*[\"']?([\w-]+)", re.I)
-_ATTR = re.compile(r"([\w:-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))")
+#: Elements whose content is no text; it ends at their end tag only.
+_RAW = {k: re.compile(rf"</{k}\s*>", re.I) for k in ("script", "style", "template", "noscript", "title", "textarea")}
+_BREAKS = frozenset("p div br li ul ol tr table h1 h2 h3 h4 h5 h6 article section nav header footer blockquote pre hr dd dt dl figure form main aside body".split())
+_LINKS = {"a": "href", "link": "href", "img": "src", "script": "src", "iframe": "src"}
+_NAME = re.compile(r"/?[a-zA-Z][\w:-]*")
+_ATTR = re.compile(r"(?<![\w:-])([\w:-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))")
 
 
 def digest(data: bytes) -> str:
     return "sha1:" + base64.b32encode(hashlib.sha1(data).digest()).decode()
 
 
+def read_page(html: str) -> tuple[str, dict]:
+    """Visible text and metadata (title, lang, metas, links), in one pass from left to right.
+
+    Comments, head, and the elements whose content is no text are left out, block elements
+    break lines, entities are resolved, blanks are squeezed.  A comment or such an element
+    that never ends hides the rest; a head ends at its end tag or at body; a tag ends at
+    the next ">", and without one the rest is text.
+    """
+    out: list[str] = []
+    found: dict = {"title": None, "lang": None, "metas": [], "links": []}
+    at, head = 0, False
+
+    def say(a: int, b: int) -> None:
+        if not head and a < b:
+            out.append(entities.unescape(html[a:b]))
+
+    while (tag := html.find("<", at)) >= 0:
+        say(at, tag)
+        if html.startswith("<!--", tag):
+            end = html.find("-->", tag + 4)
+            out.append(" ")
+            at = end + 3 if end >= 0 else len(html)
+            continue
+        if html[tag + 1 : tag + 2] not in _OPENERS:
+            say(tag, tag + 1)
+            at = tag + 1
+            continue
+        end = html.find(">", tag + 1)
+        if end < 0:
+            say(tag, len(html))
+            at = len(html)
+            break
+        at = end + 1
+        if not (m := _NAME.match(html, tag + 1, end)):
+            continue
+        name = m[0].lower()
+        if name in ("meta", "html") or name in _LINKS:
+            attrs = [(k, a or b or c) for k, a, b, c in _ATTR.findall(html[m.end() : end])]
+            if name == "meta":
+                found["metas"].append({k.lower(): v for k, v in attrs})
+            elif name == "html":
+                found["lang"] = found["lang"] or next((v for k, v in attrs if k.lower() == "lang"), None)
+            elif url := next((v for k, v in attrs if k.lower() == _LINKS[name]), None):
+                found["links"].append({"path": name, "url": entities.unescape(url)})
+        if name in _RAW:
+            close = _RAW[name].search(html, at)
+            if name == "title" and close and found["title"] is None:
+                found["title"] = " ".join(entities.unescape(html[at : close.start()]).split())
+            out.append(" ")
+            at = close.end() if close else len(html)
+        elif name in ("head", "/head", "body"):
+            head = name == "head"
+        if name.lstrip("/") in _BREAKS:
+            out.append("\n")
+    say(at, len(html))
+    lines = (" ".join(x.split()) for x in "".join(out).split("\n"))
+    return "\n".join(x for x in lines if x), found
+
+
+_OPENERS = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ/!?")
+
+
 def plain_text(html: str) -> str:
-    """Visible text: scripts, styles, head and comments go, block elements break lines, entities are resolved, blanks are squeezed."""
-    text = entities.unescape(_TAG.sub("", _BREAK.sub("\n", _HIDDEN.sub(" ", html))))
-    lines = (" ".join(x.split()) for x in text.split("\n"))
-    return "\n".join(x for x in lines if x)
-
-
-def page_metadata(html: str) -> dict:
-    title = _TITLE.search(html)
-    attrs = [{k.lower(): a or b or c for k, a, b, c in _ATTR.findall(m)} for m in _META.findall(html)]
-    lang = _LANG.search(html)
-    return {
-        "title": " ".join(entities.unescape(title[1]).split()) if title else None, "lang": lang[1] if lang else None,
-        "metas": attrs, "links": [{"path": tag.lower(), "url": entities.unescape(a or b or c)} for tag, a, b, c in _LINK.findall(html)],
-    }
+    return read_page(html)[0]
 
 
 def response_id(uri: str, payload: bytes) -> str:
     return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, uri + ' ' + digest(payload))}>"
 
 
-def derivatives(uri: str | None, html: str | None, source_headers=SOURCE_HEADERS) -> Iterator[tuple]:
+def derivatives(uri: str | None, html: str | None, source_headers=SOURCE_HEADERS, record_id: str | None = None) -> Iterator[tuple]:
     """The metadata and the conversion record of a response, as tuples of SCHEMA without page_id."""
     uri, body = uri or "", html or ""
-    payload = body.encode()
-    source = response_id(uri, payload)
+    payload = body.encode("utf-8", "replace")
+    source = record_id or response_id(uri, payload)
+    text, about = read_page(body)
     shared = {"WARC-Target-URI": uri, "WARC-Refers-To": source, "WARC-Payload-Digest": digest(payload)}
     envelope = {
         "Envelope": {
             "WARC-Header-Metadata": {"WARC-Type": "response", "WARC-Record-ID": source, "WARC-Target-URI": uri, "WARC-Payload-Digest": digest(payload)},
-            "Payload-Metadata": {"HTTP-Response-Metadata": {"Headers": dict(source_headers), "HTML-Metadata": page_metadata(body), "Entity-Length": len(payload)}},
+            "Payload-Metadata": {"HTTP-Response-Metadata": {"Headers": dict(source_headers), "HTML-Metadata": about, "Entity-Length": len(payload)}},
         }
     }
-    for kind, mime, block in (("metadata", "application/json", json.dumps(envelope, ensure_ascii=False, sort_keys=True)), ("conversion", "text/plain", plain_text(body))):
-        data = block.encode("utf-8", "surrogatepass").decode("utf-8", "replace").encode()
+    for kind, mime, block in (("metadata", "application/json", json.dumps(envelope, ensure_ascii=False, sort_keys=True)), ("conversion", "text/plain", text)):
+        data = block.encode("utf-8", "replace")
         own = f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, source + ' ' + kind)}>"
         headers = {"WARC-Type": kind, "WARC-Record-ID": own} | shared | {f"X-Source-{k}": v for k, v in source_headers} | {"WARC-Block-Digest": digest(data), "Content-Type": mime, "Content-Length": str(len(data))}
         yield kind, own, source, uri, mime, len(data), digest(data), headers, data.decode()
 
 
-def build_derivatives(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", source_headers=SOURCE_HEADERS) -> DataFrame:
+def build_derivatives(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", source_headers=SOURCE_HEADERS, headers_col: str | None = None, record_col: str | None = None) -> DataFrame:
     """Two rows per page, a metadata and a conversion record: see SCHEMA.
 
-    Null URLs and bodies count as empty ones; equal responses have equal ids; null and
-    repeated page_ids keep their records; other columns are ignored; an empty table gives
-    no rows.
+    headers_col (a map) and record_col name columns with each response's own headers and
+    record id, as read_responses() gives them; where they are null or not named, the headers
+    are source_headers and the id follows from URI and payload.  Null URLs and bodies
+    count as empty ones; equal responses have equal ids; null and repeated page_ids keep
+    their records; other columns are ignored; an empty table gives no rows.
     """
     settled(pages.sparkSession)
 
     def build(batches):
         for batch in batches:
-            rows = [(i, *r) for i, u, h in zip(*(c.to_pylist() for c in batch.columns), strict=True) for r in derivatives(u, h, source_headers)]
+            rows = [(i, *r) for i, u, h, s, k in zip(*(c.to_pylist() for c in batch.columns), strict=True) for r in derivatives(u, h, source_headers if s is None else tuple(s), k)]
             columns = list(zip(*rows, strict=True)) or [()] * 10
             kinds = [pa.int64(), *[pa.string()] * 5, pa.int64(), pa.string(), pa.map_(pa.string(), pa.string()), pa.string()]
             columns[8] = [list(h.items()) for h in columns[8]]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], [f.strip().split(" ")[0] for f in re.split(r", (?=\w+ )", SCHEMA)])
 
-    return pages.select(F.col(id_col).cast("long"), F.col(url_col).cast("string"), F.col(html_col).cast("string")).mapInArrow(build, SCHEMA)
+    own = lambda c, kind: F.col(c).cast(kind) if c else F.lit(None).cast(kind)
+    rows = pages.select(F.col(id_col).cast("long"), F.col(url_col).cast("string"), F.col(html_col).cast("string"), own(headers_col, "map<string,string>").alias("_headers"), own(record_col, "string").alias("_record"))
+    return rows.mapInArrow(build, SCHEMA)
 
 
 def write_record(headers: dict[str, str], block: bytes, date: str) -> bytes:
@@ -105,25 +162,120 @@ def write_record(headers: dict[str, str], block: bytes, date: str) -> bytes:
     return gzip.compress("\r\n".join(lines).encode() + block + b"\r\n\r\n", mtime=0)
 
 
-def read_records(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """(headers, block) of every record of a WARC file, gzip members or plain."""
-    raw = gzip.decompress(data) if data[:2] == b"\x1f\x8b" else data
-    at = 0
-    while at < len(raw):
-        end = raw.index(b"\r\n\r\n", at)
-        headers = dict(line.split(": ", 1) for line in raw[at:end].decode().split("\r\n")[1:])
-        size = int(headers["Content-Length"])
-        yield headers, raw[end + 4 : end + 4 + size]
-        at = end + 4 + size + 4
+def _unpacked(source: BinaryIO, step: int = 1 << 20) -> Iterator[bytes]:
+    """The bytes of a plain or gzip file, member by member, in parts of bounded size."""
+    data = source.read(step)
+    if data[:2] != b"\x1f\x8b":
+        while data:
+            yield data
+            data = source.read(step)
+        return
+    member = zlib.decompressobj(31)
+    while data:
+        yield member.decompress(data, step)
+        data = member.unconsumed_tail
+        if member.eof:
+            data = member.unused_data.lstrip(b"\0")
+            member = zlib.decompressobj(31)
+        data = data or source.read(step)
+
+
+def read_records(source: bytes | BinaryIO) -> Iterator[tuple[dict[str, str], bytes]]:
+    """(headers, block) of every record of a WARC file, gzip members or plain, one record in memory at a time.
+
+    Header names keep their spelling but for Content-Length, which is found in any; blanks
+    around a value are optional, a line that begins with one goes on with the value before,
+    lines without a colon are skipped.  A record that the file breaks off in is left out.
+    """
+    parts, held = _unpacked(io.BytesIO(source) if isinstance(source, bytes) else source), bytearray()
+
+    def filled(until) -> bool:
+        while not until():
+            if (more := next(parts, None)) is None:
+                return False
+            held.extend(more)
+        return True
+
+    while True:
+        while held[:1] in (b"\r", b"\n"):  # blank lines between records
+            del held[:1]
+        if not held and not filled(lambda: bool(held)):
+            return
+        if held[:1] in (b"\r", b"\n"):
+            continue
+        seen = 0
+
+        def whole() -> bool:
+            nonlocal seen
+            end = held.find(b"\r\n\r\n", max(0, seen - 3))
+            seen = len(held) if end < 0 else end
+            return end >= 0
+
+        if not filled(whole):
+            return
+        headers: dict[str, str] = {}
+        name = None
+        for line in held[:seen].decode("utf-8", "replace").split("\r\n")[1:]:
+            if line[:1] in (" ", "\t") and name:
+                headers[name] += " " + line.strip()
+            elif ":" in line:
+                name, value = (x.strip() for x in line.split(":", 1))
+                headers[name] = value
+        del held[: seen + 4]
+        size = int(next((v for k, v in headers.items() if k.lower() == "content-length"), "0"))
+        if not filled(lambda: len(held) >= size):
+            return
+        block = bytes(held[:size])
+        del held[:size]
+        yield headers, block
+
+
+def http_parts(block: bytes) -> tuple[dict[str, str], bytes]:
+    """Headers and body of an HTTP response; a block without a status line is all body."""
+    head, mark, body = block.partition(b"\r\n\r\n")
+    if not mark or not head.startswith(b"HTTP/"):
+        return {}, block
+    lines = (x.split(":", 1) for x in head.decode("latin-1").split("\r\n")[1:] if ":" in x)
+    return {k.strip(): v.strip() for k, v in lines}, body
+
+
+def read_responses(spark: SparkSession, path: str) -> DataFrame:
+    """(page_id, record_id, url, headers, html) of the response records of WARC files; a task reads whole files, so give many of moderate size.  page_id follows from the record's id."""
+
+    def read(batches):
+        for batch in batches:
+            for content in batch.column(0):
+                for headers, block in read_records(pa.BufferReader(content.as_buffer())):
+                    low = {k.lower(): v for k, v in headers.items()}
+                    if low.get("warc-type") == "response":
+                        own, body = http_parts(block)
+                        values = ([low.get("warc-record-id")], [low.get("warc-target-uri")], [list(own.items())], [body.decode("utf-8", "replace")])
+                        yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(values, (pa.string(), pa.string(), pa.map_(pa.string(), pa.string()), pa.string()), strict=True)], ["record_id", "url", "headers", "html"])
+
+    rows = spark.read.format("binaryFile").load(path).select("content").mapInArrow(read, "record_id string, url string, headers map<string,string>, html string")
+    return rows.select(F.xxhash64("record_id").alias("page_id"), "record_id", "url", "headers", "html")
 
 
 def write_files(records: DataFrame, path: str, date: str, each: int = 64 << 20) -> DataFrame:
-    """Writes records to the shared folder as rows of gzip members (record_type, record_id, data), which concatenate to WARC files; returns what was written."""
+    """Writes records to the shared folder as rows (record_type, n, data) of gzip members that concatenate to WARC files, some each bytes a row; returns what was written."""
 
     def encode(batches):
+        held: dict[str, list[bytes]] = {}
+        sizes: dict[str, int] = {}
+
+        def row(kind: str) -> pa.RecordBatch:
+            members, sizes[kind] = held.pop(kind), 0
+            return pa.RecordBatch.from_pydict({"record_type": pa.array([kind], pa.string()), "n": pa.array([len(members)], pa.int64()), "data": pa.array([b"".join(members)], pa.binary())})
+
         for batch in batches:
-            data = [write_record(dict(h), b.encode(), date) for h, b in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_pydict({"record_type": batch.column(0), "record_id": batch.column(1), "data": pa.array(data, pa.binary())})
+            for kind, headers, block in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                member = write_record(dict(headers), block.encode(), date)
+                held.setdefault(kind, []).append(member)
+                sizes[kind] = sizes.get(kind, 0) + len(member)
+                if sizes[kind] >= each:
+                    yield row(kind)
+        for kind in list(held):
+            yield row(kind)
 
-    records.select("record_type", "record_id", "headers", "block").mapInArrow(encode, "record_type string, record_id string, data binary").write.partitionBy("record_type").parquet(path)
+    records.select("record_type", "headers", "block").mapInArrow(encode, "record_type string, n long, data binary").write.partitionBy("record_type").parquet(path)
     return records.sparkSession.read.parquet(path)
