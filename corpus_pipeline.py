@@ -11,30 +11,41 @@ from pairloom.llm.jaccard_join import jaccard_components
 from pairloom.llm.language import identify
 from pairloom.llm.line_dedup import dedup_lines
 from pairloom.llm.packing import pack_documents
-from pairloom.llm.shared import stored
+from pairloom.llm.shared import sized_join, stored
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the documents whose language is accepted, and puts it in lang; the models are fitted to the documents' own lang, which is no evidence for them."""
-    found = identify(docs, docs, F.lit(None), F.col("source")).filter("accepted").select("doc_id", "tag", "language").dropDuplicates(["doc_id", "tag"])
-    kept = docs.withColumn("_tag", F.xxhash64("text")).join(found, F.col("_tag").eqNullSafe(found["tag"]) & docs["doc_id"].eqNullSafe(found["doc_id"]))
-    return kept.select(docs["doc_id"], "text", F.col("language").alias("lang"), "source", "n_chars")
+    """Keeps the documents whose language is accepted, and puts it in lang; the models are fitted to the documents' own lang, which is no evidence for them.
+
+    Null and empty texts have nothing but their source's prior; null and repeated ids and repeated rows fare by their texts.
+    """
+    rows = docs.select(*COLUMNS)
+    found = identify(rows, rows, F.lit(None), F.col("source"), carried=F.col("lang"))
+    key = F.xxhash64("doc_id", "tag", "carried").alias("_key")
+    # all other rows stay as they are
+    changed = stored(found.filter(~F.col("accepted") | ~F.col("language").eqNullSafe(F.col("carried"))).select(key, F.col("language").alias("_found"), "accepted").dropDuplicates(["_key"]))
+    joined = sized_join(rows.withColumn("_key", F.xxhash64("doc_id", F.xxhash64("text"), "lang")), changed, "_key")
+    return joined.filter(F.coalesce("accepted", F.lit(True))).withColumn("lang", F.coalesce("_found", "lang")).select(*COLUMNS)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops the boilerplate lines of each source from the texts."""
-    return dedup_lines(docs).withColumn("n_chars", F.char_length("text").cast("long")).select(*COLUMNS)
+    """Drops the boilerplate lines of each source from the texts; every row stays, a null text stays null."""
+    return dedup_lines(docs.select(*COLUMNS)).withColumn("n_chars", F.char_length("text").cast("long")).select(*COLUMNS)
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
     """docs with _key of id and text: rows of one null or repeated id differ by their texts, and rows that share both fare alike."""
-    return docs.withColumn("_key", F.xxhash64("doc_id", "text"))
+    return docs.select(*COLUMNS).withColumn("_key", F.xxhash64("doc_id", "text"))
 
 
 def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps of each group of near duplicates the document with the smallest id, null ids last; documents without words have no duplicates."""
+    """Keeps of each group of near duplicates the document with the smallest id, null ids last.
+
+    Rows of one id and one text are one document and stay once.  Documents without words
+    have no near duplicates.  Rows of one id with different texts are different documents.
+    """
     rows = _keyed(docs)
     found = stored(jaccard_components(rows.select(F.col("_key").alias("doc_id"), "text")).select(F.col("doc_id").alias("_key"), "component_id").distinct())
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "_key")
@@ -44,7 +55,7 @@ def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops the documents in which a benchmark window occurs."""
+    """Drops the documents in which a benchmark window occurs; rows of one id with other texts, and null texts, stay."""
     rows = _keyed(docs)
     found = decontaminate(rows.select(F.col("_key").alias("doc_id"), "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet")).filter("contaminated").select(F.col("doc_id").alias("_key")).distinct()
     found = stored(found)
@@ -52,7 +63,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Packs the documents into sequences."""
+    """Packs the documents into sequences, a row for each piece; every row is packed, null texts as empty ones."""
     return pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
