@@ -20,6 +20,16 @@ def hash_model(dims: int = 16) -> Callable[[list[str]], list[np.ndarray]]:
     return embed
 
 
+def code_model() -> Callable[[list[str]], list[np.ndarray]]:
+    """A model that can be told in a line: a token's vector is its code and the code's square; the begin is 0, the end 1."""
+
+    def embed(seqs: list[str]) -> list[np.ndarray]:
+        codes = (np.concatenate([[0], np.frombuffer(s.encode("latin-1", "replace"), np.uint8), [1]]).astype(np.float64) for s in seqs)
+        return [np.stack([c, c * c], axis=1) for c in codes]
+
+    return embed
+
+
 def embed_with_halving(model, seqs: list[str]) -> list[np.ndarray | None]:
     """The model's output; where memory runs out the batch is halved, and a single sequence skipped (None)."""
     try:
@@ -32,7 +42,7 @@ def embed_with_halving(model, seqs: list[str]) -> list[np.ndarray | None]:
 
 
 def embed(df: DataFrame, make_model: Callable[[], Callable], batch: int = 8, pooled: bool = True, max_length: int = 4096) -> DataFrame:
-    """(seq_id, embedding) of df (seq_id, seq); sequences are sorted by length within a partition, so that a batch holds like lengths; too long or empty ones have a null."""
+    """(seq_id, embedding) of df (seq_id, seq); sequences are dealt to partitions by length and sorted within, so that a batch holds like lengths; too long or empty ones have a null."""
     kind = "seq_id string, embedding array<float>" if pooled else "seq_id string, embedding array<array<float>>"
 
     def run(batches):
@@ -48,7 +58,7 @@ def embed(df: DataFrame, make_model: Callable[[], Callable], batch: int = 8, poo
             values = [None if x is None else (x.mean(axis=0) if pooled else x).astype(np.float32).tolist() for x in out]
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.string()), pa.array(values, pa.list_(pa.float32()) if pooled else pa.list_(pa.list_(pa.float32())))], ["seq_id", "embedding"])
 
-    return df.select("seq_id", "seq").sortWithinPartitions(F.length("seq"), "seq_id").mapInArrow(run, kind)
+    return df.select("seq_id", "seq").repartitionByRange(F.length("seq"), "seq_id").sortWithinPartitions(F.length("seq"), "seq_id").mapInArrow(run, kind)
 
 
 def mean_pool(tokens: Column, length: Column) -> Column:

@@ -22,9 +22,10 @@ def degrees(edges: DataFrame) -> DataFrame:
 
 
 def reversed_conflicts(edges: DataFrame) -> DataFrame:
-    """Pairs stored in both directions with different labels, once each."""
-    other = edges.select(F.col("a").alias("b"), F.col("b").alias("a"), F.col("negative").alias("other"))
-    return edges.filter("a < b").join(other, ["a", "b"]).filter(F.col("negative") != F.col("other")).select("a", "b", "negative")
+    """Pairs stored in both directions with different labels, once each, with the label of the rising one: one aggregation, no self join."""
+    rows = edges.filter("a <> b").groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    both = rows.agg(F.max(F.when(F.col("a") < F.col("b"), F.col("negative"))).alias("negative"), F.max(F.when(F.col("a") > F.col("b"), F.col("negative"))).alias("other"))
+    return both.filter("negative <> other").select("a", "b", "negative")
 
 
 def cluster_of(members: DataFrame, assignment: str = "last") -> DataFrame:

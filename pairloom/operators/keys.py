@@ -2,21 +2,32 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
-def saved(df: DataFrame) -> DataFrame:
-    """df as a table in the folder that spark.checkpoint.dir names, so that later steps don't compute it again."""
-    spark = df.sparkSession
+def fresh_path(spark: SparkSession) -> str:
+    """A new path in the folder that spark.checkpoint.dir names.  Where it is unset, in a temporary one on a local master, as in tests; an error on a cluster, whose executors would not see each other's files."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="pairloom-")
         spark.conf.set("spark.checkpoint.dir", folder)
-    path = f"{folder}/tables/{uuid.uuid4().hex}"
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return f"{folder}/tables/{uuid.uuid4().hex}"
+
+
+def saved(df: DataFrame) -> DataFrame:
+    """df as a table in the shared folder, so that later steps don't compute it again."""
+    spark = df.sparkSession
+    path = fresh_path(spark)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pairloom.operators.graph import degrees
+from pairloom.operators.keys import saved
 
 
 def moments(deg: DataFrame) -> DataFrame:
@@ -89,16 +90,17 @@ def ratio_histogram(deg: DataFrame, bins: int = 20) -> DataFrame:
     return ratios(deg).groupBy(F.least(F.floor(F.col("ratio") * bins), F.lit(bins - 1)).cast("int").alias("bin")).agg(F.count("*").alias("n"))
 
 
-def summary(edges: DataFrame) -> DataFrame:
-    p, n = F.count_if(~F.col("negative")), F.count_if("negative")
-    return edges.agg(p.alias("n_positive"), n.alias("n_negative"), (p / F.greatest(F.lit(1), n)).alias("ratio"))
+def summary(deg: DataFrame) -> DataFrame:
+    """Edges of both labels and their ratio; each edge has two ends."""
+    p, n = (F.expr(f"coalesce(sum({c}), 0) div 2") for c in ("pos", "neg"))
+    return deg.agg(p.alias("n_positive"), n.alias("n_negative"), (p / F.greatest(F.lit(1), n)).alias("ratio"))
 
 
 def bias_report(edges: DataFrame, names: DataFrame) -> DataFrame:
-    """One row with all metrics; its joins are of one row each."""
-    deg = degrees(edges)
+    """One row with all metrics; its joins are of one row each.  The degrees are written once, and every metric comes from them."""
+    deg = saved(degrees(edges))
     out = moments(deg)
-    for part in (ks_test(deg), pure_fractions(deg), gini(deg, F.col("pos") + F.col("neg")), summary(edges), hubs(deg, names).agg(F.array_sort(F.collect_list(F.struct((-F.col("total")).alias("k"), "node", "pfam_id", "pos", "neg"))).alias("top"))):
+    for part in (ks_test(deg), pure_fractions(deg), gini(deg, F.col("pos") + F.col("neg")), summary(deg), hubs(deg, names).agg(F.array_sort(F.collect_list(F.struct((-F.col("total")).alias("k"), "node", "pfam_id", "pos", "neg"))).alias("top"))):
         out = out.crossJoin(F.broadcast(part))
     return out
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairloom.operators.keys import keep_first
+from pairloom.operators.keys import keep_first, saved
 
 LINE_ORDER = ("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate")
 
@@ -16,7 +16,7 @@ def _gene(suppkey: str) -> Column:
 
 class Analogs:
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.dir = spark, sf_dir
+        self.spark, self.dir, self._edges = spark, sf_dir, None
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
@@ -38,6 +38,12 @@ class Analogs:
         source = F.when(F.col("priority") == 0, "3did").when(F.col("priority") == 1, "negatome").otherwise("y2h_ms")
         return first.select((F.col("a") * 1_000_000_000 + F.col("b")).alias("id"), "a", "b", (F.col("priority") != 0).alias("negative"), source.alias("source"))
 
+    def stored_edges(self) -> DataFrame:
+        """edges(), written once for queries that read them several times."""
+        if self._edges is None:
+            self._edges = saved(self.edges())
+        return self._edges
+
     def mapped(self) -> DataFrame:
         """(domain, protein, start_pos, sequence): the first line of each pair."""
         return keep_first(self.table("lineitem"), ["l_partkey", "l_suppkey"], *LINE_ORDER).select(F.col("l_partkey").alias("domain"), F.col("l_suppkey").alias("protein"), F.col("l_orderkey").alias("start_pos"))
@@ -52,10 +58,6 @@ class Analogs:
     def features(self) -> DataFrame:
         return self.mapped().select(F.concat(F.lit("P"), "protein").alias("accession"), F.col("domain").alias("feature"))
 
-    def homes(self) -> DataFrame:
-        """(accession, feature): each part on the supplier of its first line."""
-        return keep_first(self.table("lineitem"), ["l_partkey"], *LINE_ORDER[:2], "l_suppkey").select(F.concat(F.lit("P"), "l_suppkey").alias("accession"), F.col("l_partkey").alias("feature"))
-
     def aligned(self) -> DataFrame:
         """mapped() without the smallest parts, which have no alignment."""
         return self.mapped().join(self.table("part").filter("p_size > 7").select(F.col("p_partkey").alias("domain")), "domain", "left_semi")

@@ -12,7 +12,7 @@ from pairloom.operators import cluster, embed, graph, keys, negatives, partition
 from pairloom.plans import pipeline
 from pairloom.plans.analogs import Analogs
 from pairloom.schema import empty_database
-from pairloom.sources import readers
+from pairloom.sources import dump, readers, sinks
 
 SEED = "42"
 FRACTIONS = (("train", 0.6), ("optimization", 0.2), ("test", 0.2))
@@ -34,12 +34,17 @@ _CLUSTERS = "clusters AS (SELECT p_partkey AS domain, regexp_replace(p_brand, '\
 _ON = _EDGES + ", " + _CLUSTERS + """, placed AS (
   SELECT e.*, coalesce(x.cluster, e.a) AS ca, coalesce(y.cluster, e.b) AS cb FROM edges e LEFT JOIN clusters x ON x.domain = e.a LEFT JOIN clusters y ON y.domain = e.b)"""
 _GENES = "genes AS (SELECT 'G' || (s_suppkey - CASE WHEN s_suppkey % 5 = 0 THEN 1 ELSE 0 END) AS gene, 'P' || s_suppkey AS accession, s_acctbal > 0 AS reviewed FROM supplier), resolved AS (SELECT gene, min(accession) AS accession, count(DISTINCT accession) AS n FROM genes GROUP BY gene)"
-_TESTED = "tested AS (SELECT row_number() OVER () AS row_id, bait, prey, n_tested FROM raw WHERE n_tested >= 45 AND priority = 2)"
-_HOME = "home AS (SELECT l_partkey AS domain, l_suppkey AS protein FROM (SELECT *, row_number() OVER (PARTITION BY l_partkey ORDER BY l_orderkey, l_linenumber, l_suppkey) AS r FROM lineitem) WHERE r = 1)"
-_CANDS = _EDGES + ", " + _HOME + ", " + _GENES + ", " + _TESTED + """, allowed AS (
+_TESTED = "tested AS (SELECT bait, prey, n_tested FROM raw WHERE n_tested >= 45 AND priority = 2)"
+#: Feature pairs of all tested rows: sums over ordered gene pairs, in two steps; what both genes of a row have came twice.
+_CANDS = _EDGES + ", " + _MAP + ", " + _GENES + """, allowed AS (
   SELECT a AS feature FROM edges WHERE NOT negative UNION SELECT b FROM edges WHERE NOT negative),
-known AS (SELECT DISTINCT gene, domain AS feature FROM resolved JOIN home ON accession = 'P' || protein WHERE n = 1 AND domain IN (SELECT feature FROM allowed)),
-cands AS (SELECT lo, hi, count(*) AS n FROM (SELECT DISTINCT row_id, least(x.feature, y.feature) AS lo, greatest(x.feature, y.feature) AS hi FROM tested JOIN known x ON x.gene = bait JOIN known y ON y.gene = prey) GROUP BY lo, hi)"""
+known AS (SELECT DISTINCT gene, domain AS feature FROM resolved JOIN mapped ON accession = 'P' || protein WHERE n = 1 AND domain IN (SELECT feature FROM allowed)),
+times AS (SELECT least(bait, prey) AS g, greatest(bait, prey) AS h, count(*) AS n FROM raw WHERE n_tested >= 1 AND priority = 2 GROUP BY 1, 2),
+met AS (SELECT g, feature AS hi, sum(n) AS n FROM (SELECT g, h, n FROM times UNION ALL SELECT h, g, n FROM times WHERE g <> h) JOIN known ON gene = h GROUP BY 1, 2),
+prod AS (SELECT feature AS lo, hi, sum(n) AS n FROM known JOIN met ON gene = g WHERE feature <= hi GROUP BY 1, 2),
+shared AS (SELECT g, h, n, x.feature FROM times JOIN known x ON x.gene = g JOIN known y ON y.gene = h AND y.feature = x.feature WHERE g <> h),
+twice AS (SELECT x.feature AS lo, y.feature AS hi, sum(x.n) AS n FROM shared x JOIN shared y ON x.g = y.g AND x.h = y.h AND x.feature <= y.feature GROUP BY 1, 2),
+cands AS (SELECT lo, hi, (p.n - coalesce(t.n, 0))::BIGINT AS n FROM prod p LEFT JOIN twice t USING (lo, hi))"""
 _PAIRS = "pairs AS (SELECT DISTINCT least(a, b) AS lo, greatest(a, b) AS hi FROM edges)"
 _SPLIT = _EDGES + f""", ranked AS (SELECT id, row_number() OVER (ORDER BY md5('{SEED}|' || id), id) - 1 AS r, count(*) OVER () AS n FROM edges),
 keep AS (SELECT id, CASE WHEN r < trunc(n * 0.6::DOUBLE) THEN 'train' WHEN r < trunc(n * 0.6::DOUBLE) + trunc(n * 0.2::DOUBLE) THEN 'optimization' ELSE 'test' END AS split FROM ranked)"""
@@ -75,7 +80,7 @@ def ingest_nodes_dense_ids(v):
     return keys.surrogate_ids(v.domain().select("pfam_id", "name"), "pfam_id").select("id", "pfam_id", "name")
 
 
-@_query(f"WITH {_EDGES} SELECT x.a, x.b, x.negative FROM edges x JOIN edges y ON x.a = y.b AND x.b = y.a WHERE x.a < x.b AND x.negative <> y.negative")
+@_query(f"WITH {_EDGES} SELECT least(a, b) AS a, greatest(a, b) AS b, bool_or(negative) FILTER (a < b) AS negative FROM edges WHERE a <> b GROUP BY 1, 2 HAVING bool_or(negative) FILTER (a < b) <> bool_or(negative) FILTER (a > b)")
 def reversed_label_conflicts(v):
     return graph.reversed_conflicts(v.edges())
 
@@ -222,8 +227,9 @@ def acc_feature_sets(v):
 
 
 def _candidates(v) -> DataFrame:
-    allowed = graph.endpoints(v.edges().filter("NOT negative")).withColumnRenamed("node", "feature")
-    return negatives.candidates(_tested(v), negatives.resolve_genes(v.genes()), v.homes(), allowed)
+    """Over all rows of the map and all tested rows."""
+    allowed = graph.endpoints(v.stored_edges().filter("NOT negative")).withColumnRenamed("node", "feature")
+    return negatives.candidates(negatives.tested_pairs(_ppi(v), Config().min_tested), negatives.resolve_genes(v.genes()), v.features(), allowed)
 
 
 @_query(f"WITH {_CANDS} SELECT lo, hi, n FROM cands")
@@ -233,12 +239,12 @@ def pair_candidates(v):
 
 @_query(f"WITH {_CANDS}, {_PAIRS} SELECT lo, hi, n FROM cands ANTI JOIN pairs USING (lo, hi)")
 def pair_candidates_fresh(v):
-    return negatives.fresh(_candidates(v), v.edges())
+    return negatives.fresh(_candidates(v), v.stored_edges())
 
 
 @_query(f"WITH {_CANDS}, {_PAIRS} SELECT count(*) AS n_overlap FROM cands SEMI JOIN pairs USING (lo, hi)")
 def pair_overlap_count(v):
-    return negatives.overlap(_candidates(v), v.edges())
+    return negatives.overlap(_candidates(v), v.stored_edges())
 
 
 @_query(f"WITH {_CANDS} SELECT lo, hi, n FROM cands ORDER BY n DESC, lo, hi LIMIT 1")
@@ -246,63 +252,35 @@ def candidate_argmax(v):
     return negatives.most_frequent(_candidates(v))
 
 
-@_query(f"WITH {_CANDS}, {_PAIRS} SELECT lo, hi, n FROM cands ANTI JOIN pairs USING (lo, hi) ORDER BY n DESC, lo, hi LIMIT 200")
+@_query(f"""WITH {_CANDS}, {_PAIRS}, picks AS (SELECT greatest(0, count(*) FILTER (NOT negative) - count(*) FILTER (negative AND source = 'negatome')) AS n FROM edges)
+SELECT lo, hi, n FROM (SELECT *, row_number() OVER (ORDER BY n DESC, lo, hi) AS r FROM cands ANTI JOIN pairs USING (lo, hi)) WHERE r <= (SELECT n FROM picks)""")
 def negatives_frequency(v):
-    return negatives.select_frequency(negatives.fresh(_candidates(v), v.edges()), 200)
+    """As many as there are positives, less those that the negative source has."""
+    edges = v.stored_edges()
+    n = edges.filter("NOT negative").count() - edges.filter("negative AND source = 'negatome'").count()
+    return negatives.select_frequency(negatives.fresh(_candidates(v), edges), n)
 
 
 @_query()
 def negatives_degree_matched(v):
     """As many as there are positives, as add_negatives() has it."""
-    positive = v.edges().filter("NOT negative")
-    return negatives.select_degree_matched(negatives.fresh(_whole(v), v.edges()), positive, positive.count(), SEED)
-
-
-@_query()
-def negatives_frequency_whole(v):
-    """As many as there are positives, less those that the negative source has."""
-    n = v.edges().filter("NOT negative").count() - v.edges().filter("negative AND source = 'negatome'").count()
-    return negatives.select_frequency(negatives.fresh(_whole(v), v.edges()), n)
-
-
-def _whole(v) -> DataFrame:
-    """Candidates over all rows of the map and all tested rows; the product is too large for SQL."""
-    allowed = graph.endpoints(v.edges().filter("NOT negative")).withColumnRenamed("node", "feature")
-    return negatives.candidates(negatives.tested_pairs(_ppi(v), Config().min_tested), negatives.resolve_genes(v.genes()), v.features(), allowed)
-
-
-@_query()
-def pair_candidates_whole(v):
-    return _whole(v)
-
-
-@_query()
-def pair_candidates_fresh_whole(v):
-    return negatives.fresh(_whole(v), v.edges())
-
-
-@_query()
-def pair_overlap_count_whole(v):
-    return negatives.overlap(_whole(v), v.edges())
-
-
-@_query()
-def candidate_argmax_whole(v):
-    return negatives.most_frequent(_whole(v))
+    edges = v.stored_edges()
+    positive = edges.filter("NOT negative")
+    return negatives.select_degree_matched(negatives.fresh(_candidates(v), edges), positive, positive.count(), SEED)
 
 
 @_query(f"WITH {_SPLIT} SELECT id, split FROM keep")
 def split_random(v):
-    return split.random_split(v.edges(), FRACTIONS, SEED)
+    return split.random_split(v.stored_edges(), FRACTIONS, SEED)
 
 
 @_query(f"WITH {_SPLIT} SELECT split, count(*) AS n FROM keep GROUP BY split")
 def split_random_counts(v):
-    return split.random_split(v.edges(), FRACTIONS, SEED).groupBy("split").agg(F.count("*").alias("n"))
+    return split.random_split(v.stored_edges(), FRACTIONS, SEED).groupBy("split").agg(F.count("*").alias("n"))
 
 
 def _pruned(v) -> dict:
-    return split.materialize(v.edges(), v.aligned(), split.random_split(v.edges(), FRACTIONS, SEED))
+    return split.materialize(v.stored_edges(), v.aligned(), split.random_split(v.stored_edges(), FRACTIONS, SEED))
 
 
 @_query(f"WITH {_PRUNE} SELECT split, id, a, b FROM one WHERE (split, a) IN (SELECT (split, domain) FROM domains) AND (split, b) IN (SELECT (split, domain) FROM domains)")
@@ -325,12 +303,12 @@ _SMOKE = _EDGES + f", smoke AS (SELECT * FROM (SELECT *, row_number() OVER (PART
 
 @_query(f"WITH {_SMOKE} SELECT id, a, b, negative FROM smoke")
 def smoke_sample(v):
-    return split.smoke_sample(v.edges(), 100, SEED).select("id", "a", "b", "negative")
+    return split.smoke_sample(v.stored_edges(), 100, SEED).select("id", "a", "b", "negative")
 
 
 @_query(f"WITH {_SMOKE} SELECT a AS node FROM smoke UNION SELECT b FROM smoke")
 def smoke_sample_nodes(v):
-    return graph.endpoints(split.smoke_sample(v.edges(), 100, SEED))
+    return graph.endpoints(split.smoke_sample(v.stored_edges(), 100, SEED))
 
 
 @_query(f"WITH {_ON} SELECT least(ca, cb) AS src, greatest(ca, cb) AS dst, count(DISTINCT id) AS w FROM placed GROUP BY 1, 2")
@@ -448,7 +426,7 @@ def pairs_to_names(v):
 
 @_query()
 def spectral_partition(v):
-    return partition.minimal_leakage(graph.cluster_graph(v.edges(), v.clusters()), graph.cluster_weights(v.clusters()), FRACTIONS)
+    return partition.minimal_leakage(graph.cluster_graph(v.stored_edges(), v.clusters()), graph.cluster_weights(v.clusters()), FRACTIONS)
 
 
 @_query()
@@ -457,10 +435,11 @@ def easy_cluster(v):
     return cluster.easy_cluster(seqs)
 
 
-@_query()
+@_query("""SELECT 'PF' || lpad(p_partkey::VARCHAR, 5, '0') AS seq_id, round((list_sum(list_transform(string_split(p_name, ''), lambda c: ascii(c))) + 1) / (length(p_name) + 2), 2) AS m0,
+round((list_sum(list_transform(string_split(p_name, ''), lambda c: ascii(c) * ascii(c))) + 1) / (length(p_name) + 2), 2) AS m1 FROM part""")
 def embed_batch_udf(v):
     rows = v.domain().select(F.col("pfam_id").alias("seq_id"), F.col("name").alias("seq"))
-    return embed.embed(rows, lambda: embed.hash_model(8))
+    return embed.embed(rows, embed.code_model).select("seq_id", *[F.round(F.col("embedding")[k].cast("double"), 2).alias(f"m{k}") for k in (0, 1)])
 
 
 @_query("SELECT t[1] AS a, t[2] AS b FROM (SELECT regexp_split_to_array(trim(p_brand || '  ' || CASE WHEN p_size > 10 THEN p_type || ' ' || p_name ELSE '' END), '\\s+') AS t FROM part) WHERE len(t) >= 2")
@@ -560,6 +539,134 @@ def gene_names_matched(v):
     return negatives.matched_gene(entries, v.table("customer").select(gene("c_nationkey").alias("gene")))
 
 
+def _text(v, lines: DataFrame) -> str:
+    """The path of a new text file with the values of lines (k, value) in the order of k."""
+    path = keys.fresh_path(v.spark)
+    lines.orderBy("k").select("value").write.text(path)
+    return path
+
+
+_SEQ = "upper(replace(p_name, ' ', ''))"
+
+
+def _sequence():
+    return F.upper(F.translate("p_name", " ", ""))
+
+
+@_query(f"SELECT 'P' || p_partkey AS accession, 'sp|P' || p_partkey || '|' || p_brand AS header, {_SEQ} AS sequence FROM part WHERE length({_SEQ}) BETWEEN 1 AND 30")
+def fasta_round_trip(v):
+    path = keys.fresh_path(v.spark)
+    header = F.concat(F.lit("sp|P"), "p_partkey", F.lit("|"), "p_brand")
+    sinks.write_fasta(v.table("part").withColumn("sequence", _sequence()), header, "sequence", path)
+    return readers.fasta(v.spark, path, max_length=30).select("accession", "header", "sequence")
+
+
+@_query(f"SELECT p_size % 4 AS shard, count(*) AS n, sum(length({_SEQ}))::BIGINT AS letters FROM part GROUP BY 1")
+def fasta_shards(v):
+    path = keys.fresh_path(v.spark)
+    sinks.write_fasta(v.table("part").withColumn("sequence", _sequence()).withColumn("shard", F.col("p_size") % 4), F.col("p_partkey").cast("string"), "sequence", path, "shard")
+    rows = v.spark.read.text(path)
+    return rows.groupBy(F.col("shard").cast("long").alias("shard")).agg(F.count_if(F.startswith("value", F.lit(">"))).alias("n"), F.sum(F.when(~F.startswith("value", F.lit(">")), F.length("value")).otherwise(0)).alias("letters"))
+
+
+@_query("SELECT 'e.' || o_custkey AS protein1, 'e.' || o_orderkey AS protein2, (o_orderkey % 1000)::INT AS combined_score FROM orders")
+def links_reader(v):
+    path = keys.fresh_path(v.spark)
+    rows = v.table("orders").select(F.concat(F.lit("e."), "o_custkey").alias("protein1"), F.concat(F.lit("e."), "o_orderkey").alias("protein2"), (F.col("o_orderkey") % 1000).alias("combined_score"))
+    rows.write.csv(path, sep=" ", header=True)
+    return readers.links(v.spark, path)
+
+
+@_query(f"WITH {_RAW} SELECT bait, prey, n_tested, count(*) AS n FROM raw WHERE priority = 2 GROUP BY ALL")
+def tested_ppis_reader(v):
+    path = keys.fresh_path(v.spark)
+    _ppi(v).select(F.col("bait").alias("gene_name_bait"), F.col("prey").alias("gene_name_prey"), F.col("n_tested").cast("long").alias("n_tested"), F.lit("x").alias("other")).write.parquet(path)
+    return readers.tested_ppis(v.spark, path).groupBy("bait", "prey", "n_tested").agg(F.count("*").alias("n"))
+
+
+@_query("SELECT 'P' || s_suppkey AS accession, 'G' || s_suppkey AS primary_name, 'S' || s_suppkey % 29 || ',S' || s_suppkey % 7 AS synonyms, 'PF' || s_nationkey AS features FROM supplier")
+def gene_entries_reader(v):
+    path = keys.fresh_path(v.spark)
+    value = lambda x: F.struct(x.alias("value"))
+    name = lambda c, n: F.concat(F.lit(c), n)
+    key = F.col("s_suppkey")
+    gene = F.struct(value(name("G", key)).alias("geneName"), F.array(value(name("S", key % 29)), value(name("S", key % 7))).alias("synonyms"))
+    ref = lambda base, i: F.struct(F.lit(base).alias("database"), i.alias("id"))
+    entries = v.table("supplier").select(name("P", key).alias("primaryAccession"), F.array(gene).alias("genes"), F.array(ref("GO", F.lit("x")), ref("Pfam", name("PF", F.col("s_nationkey")))).alias("uniProtKBCrossReferences"))
+    entries.write.json(path)
+    joined = lambda c: F.array_join(c, ",").alias(c)
+    return readers.gene_entries(v.spark, path).select("accession", F.col("primary").alias("primary_name"), joined("synonyms"), joined("features"))
+
+
+@_query(f"WITH {_MAP} SELECT 'PF' || domain AS pfam_id, 'P' || protein AS uniprot_id, start_pos::BIGINT AS start_pos, (start_pos + 9)::BIGINT AS end_pos FROM mapped")
+def map_csv(v):
+    path = keys.fresh_path(v.spark)
+    rows = v.mapped().select(F.concat(F.lit("PF"), "domain").alias("pfam_id"), F.concat(F.lit("P"), "protein").alias("uniprot_id"), "start_pos", (F.col("start_pos") + 9).alias("end_pos"), F.lit("AC").alias("sequence"))
+    sinks.write_map(rows, path)
+    return v.spark.read.csv(path, header=True, schema="pfam_id string, uniprot_id string, start_pos long, end_pos long, sequence string").drop("sequence")
+
+
+@_query(f"WITH {_MAP} SELECT DISTINCT 'P' || protein AS accession, domain AS feature FROM mapped")
+def features_json(v):
+    path = keys.fresh_path(v.spark)
+    sinks.write_features(negatives.features_of(v.features()), path)
+    # the whole file is one object; its lines are read as entries here
+    lines = v.spark.read.text(path).filter("length(value) > 1")
+    entry = F.from_json(F.concat(F.lit("{"), F.regexp_replace("value", ",$", ""), F.lit("}")), "map<string, array<bigint>>")
+    return lines.select(F.explode(entry).alias("accession", "x")).select("accession", F.explode("x").alias("feature"))
+
+
+@_query(f"WITH {_DEG}, {_DOMAIN}, {_KS}, {_GINI}, {_HUBS} SELECT (SELECT count(*) FILTER (NOT negative) FROM edges) AS n_positive, (SELECT count(*) FROM hubs) AS n_hubs, (SELECT round(gini, 6) FROM g) AS gini")
+def bias_json(v):
+    path = keys.fresh_path(v.spark)
+    sinks.bias_json(stats.bias_report(v.edges(), v.domain())).write.text(path)
+    row = F.from_json("value", "n_positive long, gini double, top array<struct<node: long>>").alias("r")
+    return v.spark.read.text(path).select(row).select("r.n_positive", F.size("r.top").cast("long").alias("n_hubs"), F.round("r.gini", 6).alias("gini"))
+
+
+@_query(f"WITH {_PRUNE} SELECT 'random' AS method, split, count(*) AS n FROM domains GROUP BY split")
+def split_snapshots(v):
+    path = keys.fresh_path(v.spark)
+    sinks.write_splits({"domains": _pruned(v)["domains"]}, "random", path)
+    return v.spark.read.parquet(f"{path}/domains").groupBy("method", "split").agg(F.count("*").alias("n"))
+
+
+@_query("SELECT c_custkey AS id, c_name || chr(10) || 'it''s; -- \"' || c_mktsegment AS name, c_nationkey::BIGINT AS nation, NULL::VARCHAR AS other FROM customer")
+def mysql_dump_rows(v):
+    """Literals with line ends, quotes and semicolons; a comment with a quote; a row for each statement."""
+    text = F.concat(F.lit("INSERT INTO `c` VALUES ("), "c_custkey", F.lit(",'"), "c_name", F.lit("\nit''s; -- \\\""), "c_mktsegment", F.lit("',"), "c_nationkey", F.lit(",NULL);\n-- don't"))
+    head = v.spark.createDataFrame([(-1, "-- a dump\nSET NAMES x;\nCREATE TABLE `c` (\n  `id` bigint,\n  `name` text,\n  `nation` int,\n  `other` text,\n  PRIMARY KEY (`id`)\n) ENGINE=x;")], "k long, value string")
+    return dump.mysql_table(v.spark, _text(v, v.table("customer").select(F.col("c_custkey").alias("k"), text.alias("value")).union(head)), "c", "id long, name string, nation long, other string")
+
+
+@_query(f"""WITH rows AS (SELECT 'PF' || p_brand AS pfam_id, 'P' || p_size AS uniprot_id, p_size AS s, p_partkey AS k, {_SEQ} AS sequence FROM part WHERE p_size > 10),
+known AS (SELECT DISTINCT 'P' || (s_suppkey % 60) AS accession FROM supplier) SELECT 'domain' AS kind, pfam_id || '_' || uniprot_id || '_' || s || '_' || (s + 9) AS header, sequence FROM rows
+UNION ALL SELECT 'protein', accession, 'M' || accession FROM known WHERE accession IN (SELECT uniprot_id FROM rows)""")
+def alignment_map_to_fasta(v):
+    """Alignments and names to the map, and the map to the sequences of its domains and proteins."""
+    place = F.concat(F.lit("n"), "p_size", F.lit("/"), "p_size", F.lit("-"), F.col("p_size") + 9)
+    lines = v.table("part").filter("p_size > 10").select(F.concat(F.lit("/in/PF"), "p_brand", F.lit(".sto.gz")).alias("file"), F.col("p_partkey").alias("line_no"), F.concat(place, F.lit("   "), F.translate("p_name", " ", "."), F.lit("-")).alias("value"))
+    names = readers.parse_id_mapping(v.spark.range(0, 200).select(F.lit("m").alias("file"), F.col("id").alias("line_no"), F.concat(F.lit("P"), "id", F.lit("\tEntry\tn"), "id").alias("value")), "Entry")
+    sequences = v.table("supplier").select(F.concat(F.lit("P"), F.col("s_suppkey") % 60).alias("accession")).distinct().withColumn("sequence", F.concat(F.lit("M"), "accession"))
+    domains, proteins = pipeline.filter_sequences(pipeline.feature_map(readers.parse_stockholm(lines), names), sequences)
+    return domains.select(F.lit("domain").alias("kind"), "header", "sequence").union(proteins.select(F.lit("protein"), "header", "sequence"))
+
+
+@_query(f"WITH {_ON}, {_PARTS}, kept AS (SELECT a, b, ca, cb, x.part AS split FROM placed JOIN parts x ON x.cluster = ca JOIN parts y ON y.cluster = cb WHERE x.part = y.part), ends AS (SELECT DISTINCT node, split FROM (SELECT a AS node, split FROM kept UNION ALL SELECT b, split FROM kept)) SELECT count(*) AS n_nodes, count(*) - count(DISTINCT node) AS n_shared FROM ends")
+def split_leakage(v):
+    """Ends of the edges of a split by clusters, and how many are in several splits: none."""
+    kept = graph.split_edges(v.stored_edges(), v.clusters(), _parts(v)).select("id", "split")
+    ends = v.stored_edges().join(kept, "id").select("split", F.explode(F.array("a", "b")).alias("node")).distinct()
+    return ends.agg(F.count("*").alias("n_nodes"), (F.count("*") - F.count_distinct("node")).alias("n_shared"))
+
+
+@_query("SELECT 'N' || l_suppkey AS a, 'N' || (l_suppkey + 1) AS b, x.c_custkey AS id_a, y.c_custkey AS id_b FROM (SELECT DISTINCT l_suppkey FROM lineitem) JOIN customer x ON x.c_custkey % 50 = l_suppkey JOIN customer y ON y.c_custkey % 50 = l_suppkey + 1")
+def ids_of_named_pairs(v):
+    pairs = v.table("lineitem").select("l_suppkey").distinct().select(F.concat(F.lit("N"), "l_suppkey").alias("a"), F.concat(F.lit("N"), F.col("l_suppkey") + 1).alias("b"))
+    names = v.table("customer").select(F.concat(F.lit("N"), F.col("c_custkey") % 50).alias("name"), F.col("c_custkey").alias("id"))
+    return pipeline.ids_of_pairs(pairs, names)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(_QUERIES)
 

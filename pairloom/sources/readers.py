@@ -2,12 +2,8 @@
 
 from __future__ import annotations
 
-import re
-from collections.abc import Iterable, Iterator
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader
 
 from pairloom.operators.keys import keep_last
 
@@ -120,118 +116,3 @@ def join_embeddings(*parts: DataFrame) -> DataFrame:
     from pairloom.schema import require_unique
 
     return require_unique(functools.reduce(DataFrame.unionByName, parts), ["seq_id"])
-
-
-#: Escapes of a dump's string literals.
-_ESCAPES = {"n": "\n", "r": "\r", "t": "\t", "0": "\0", "Z": "\x1a"}
-
-
-def statements(lines: Iterable[str]) -> Iterator[str]:
-    """Statements of a dump: they end at a semicolon at a line's end outside of quotes; comments and session statements are skipped."""
-    held: list[str] = []
-    quote = ""
-    for line in lines:
-        if not held and (not line.strip() or line.lstrip().startswith(("--", "/*", "#"))):
-            continue
-        held.append(line.rstrip("\n"))
-        skip = False
-        for c in line:
-            if skip:
-                skip = False
-            elif c == "\\" and quote:
-                skip = True
-            elif quote:
-                quote = "" if c == quote else quote
-            elif c in "'\"`":
-                quote = c
-        if not quote and line.rstrip().endswith(";"):
-            whole = "\n".join(held)
-            held = []
-            if not re.match(r"\s*(PRAGMA|BEGIN|END|COMMIT|SET|LOCK|UNLOCK|USE|DROP)\b", whole, re.I):
-                yield whole
-
-
-def tuples(values: str) -> Iterator[list]:
-    """Rows of a VALUES list; NULL is None, bit literals are ints, all else text."""
-    at, row, cell, started = 0, None, None, False
-    while at < len(values):
-        c = values[at]
-        if row is None:
-            row = [] if c == "(" else None
-            at += 1
-            continue
-        if c in "'\"":
-            out, end = [], at + 1
-            while values[end] != c or values[end + 1 : end + 2] == c:
-                if values[end] == "\\":
-                    end += 1
-                    out.append(_ESCAPES.get(values[end], values[end]))
-                else:
-                    out.append(values[end])
-                    end += values[end] == c
-                end += 1
-            text = "".join(out)
-            cell, started = (str(int(text, 2)) if cell == "b" else text), True
-            at = end + 1
-        elif c in ",)":
-            row.append(None if not started or cell is None else cell)
-            cell, started = None, False
-            if c == ")":
-                yield row
-                row = None
-            at += 1
-        elif c.isspace():
-            at += 1
-        else:
-            end = at
-            while values[end] not in ",)'\" \n\t":
-                end += 1
-            word = values[at:end]
-            cell, started = (None if word.upper() == "NULL" else word), word.upper() != "NULL"
-            at = end
-
-
-def dump_rows(lines: Iterable[str], table: str, columns: list[str]) -> Iterator[tuple]:
-    """Rows of one table, the columns by their order in its CREATE TABLE or in the statement."""
-    known: list[str] = []
-    for s in statements(lines):
-        if m := re.match(rf"\s*CREATE TABLE (?:IF NOT EXISTS )?[`\"]?{re.escape(table)}[`\"]?\s*\((.*)\)", s, re.S | re.I):
-            known = [c[1] for line in m[1].split("\n") if (c := re.match(r"\s*[`\"](\w+)[`\"]\s", line)) or (c := re.match(r"\s*(?!PRIMARY|UNIQUE|KEY|CONSTRAINT|FOREIGN|FULLTEXT|INDEX)(\w+)\s+\w", line, re.I))]
-        elif m := re.match(rf"\s*(?:INSERT|REPLACE)\s+(?:IGNORE\s+)?INTO\s+[`\"]?{re.escape(table)}[`\"]?\s*(?:\(([^)]*)\))?\s*VALUES\s*(.*);\s*$", s, re.S | re.I):
-            names = [c.strip(" `\"") for c in m[1].split(",")] if m[1] else known
-            for row in tuples(m[2]):
-                own = dict(zip(names, row, strict=False))
-                yield tuple(own.get(c) for c in columns)
-
-
-class MySqlDump(DataSource):
-    """spark.read.format("mysqldump").schema(...).option("path", ...).option("table", ...): a table of a MySQL dump, plain or gz.
-
-    A dump is one stream whose quotes span lines, so a file is one partition; repeated
-    unique keys are dropped by keep_first() downstream.
-    """
-
-    @classmethod
-    def name(cls) -> str:
-        return "mysqldump"
-
-    def schema(self):
-        raise ValueError("give the table's schema")
-
-    def reader(self, schema) -> DataSourceReader:
-        return _DumpReader(schema, self.options)
-
-
-class _DumpReader(DataSourceReader):
-    def __init__(self, schema, options):
-        self.fields, self.options = schema.fields, dict(options)
-
-    def read(self, partition):
-        import gzip
-
-        path = self.options["path"]
-        whole = {"bigint": int, "int": int, "smallint": int, "double": float, "float": float}
-        kinds = [whole.get(f.dataType.simpleString(), str) for f in self.fields]
-        with (gzip.open if path.endswith(".gz") else open)(path, "rt", encoding="utf-8", errors="replace") as f:
-            for row in dump_rows(f, self.options["table"], [x.name for x in self.fields]):
-                yield tuple(None if v is None else k(v) for k, v in zip(kinds, row, strict=True))

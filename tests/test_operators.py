@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pairloom.config import Config
 from pairloom.operators import cluster, embed, graph, keys, negatives, partition, split, stats
 from pairloom.schema import empty_database, require_unique
-from pairloom.sources import readers, sinks
+from pairloom.sources import dump, readers, sinks, staging
 
 EDGES = [(1, 1, 2, False), (2, 1, 3, False), (3, 2, 3, False), (4, 1, 1, False), (5, 4, 5, True), (6, 1, 4, True), (7, 5, 6, True)]
 
@@ -130,7 +130,8 @@ def test_partition(spark):
     w = np.ones(24)
     targets = 24 * np.array([0.34, 0.33, 0.33])
     labels = partition.balanced_kmeans(partition.spectral_coordinates(partition.laplacian(24, edges), 3), w, targets)
-    better = partition.refine(labels, w, edges, targets)
+    a, b, x = (np.array(c) for c in zip(*[e for e in edges if e[0] != e[1]], strict=True))
+    better = partition.refine(labels, w, a, b, x.astype(float), targets)
     inner = lambda x: sum(e for a, b, e in edges if x[a] == x[b])
     assert inner(better) >= inner(labels)
     g = spark.createDataFrame(edges, "src long, dst long, w double")
@@ -138,6 +139,21 @@ def test_partition(spark):
     assert len(parts) == 24 and len({r.cluster for r in parts}) == 24
 
 
+def test_partition_without_dense_matrix(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    group = np.repeat(np.arange(3), 20)
+    pairs = [(i, j) for i in range(60) for j in range(i + 1, 60) if rng.random() < (0.6 if group[i] == group[j] else 0.03)]
+    a, b = map(np.array, zip(*pairs, strict=True))
+    x = np.ones(len(a))
+    dense = partition.spectral_coordinates(partition.laplacian(60, list(zip(a, b, x, strict=True))), 3)
+    sparse = partition.sparse_coordinates(60, a, b, x, 3)
+    assert np.allclose(np.abs(dense.T @ sparse), np.eye(2), atol=0.02)
+    monkeypatch.setattr(partition, "DENSE", 10)
+    g = spark.createDataFrame([(int(i), int(j), 1.0) for i, j in pairs] + [(0, 0, 5.0)], "src long, dst long, w double")
+    parts = {r.cluster: r.part for r in partition.minimal_leakage(g, spark.createDataFrame([(i, 1) for i in range(60)], "cluster long, w long"), (("a", 1 / 3), ("b", 1 / 3), ("c", 1 / 3))).collect()}
+    assert all(len({parts[i] for i in range(60) if group[i] == k}) == 1 for k in range(3)) and len(set(parts.values())) == 3
+
+
 def test_clusters(spark):
     rng = random.Random(2)
     say = lambda n: "".join(rng.choice("ACDEFGHIKLMNPQRSTVWY") for _ in range(n))
@@ -228,9 +244,65 @@ def test_readers(spark, tmp_path):
 def test_dump(spark, tmp_path):
     text = "-- c\nCREATE TABLE `Domain` (\n  `Name` varchar(9),\n  `n` int,\n  PRIMARY KEY (`Name`)\n) ENGINE=x;\nINSERT INTO `Domain` VALUES ('it''s',1),('a\\nb;\n',2),(NULL,b'101');\nINSERT INTO `Other` VALUES (1);\n"
     (tmp_path / "d.sql.gz").write_bytes(gzip.compress(text.encode()))
-    spark.dataSource.register(readers.MySqlDump)
-    df = spark.read.format("mysqldump").schema("Name string, n long").option("table", "Domain").load(str(tmp_path / "d.sql.gz"))
-    assert [tuple(r) for r in df.collect()] == [("it's", 1), ("a\nb;\n", 2), (None, 5)]
+    df = dump.mysql_table(spark, str(tmp_path / "d.sql.gz"), "Domain", "Name string, n long, more int")
+    assert sorted(map(tuple, df.collect()), key=str) == sorted([("it's", 1, None), ("a\nb;\n", 2, None), (None, 5, None)], key=str)
+
+
+@pytest.mark.parametrize("size", [40, 97, 1 << 20])
+def test_dump_in_splits(spark, tmp_path, size):
+    """Statements, literals and comments that cross the ends of splits."""
+    rng = random.Random(4)
+    bits = ["a", "\n", "''", "\\'", ";\n", "-- it's", "`", '"', " ", "\\\\"]
+    cells = ["".join(rng.choice(bits) for _ in range(rng.randint(0, 12))) for _ in range(60)]
+    text = "CREATE TABLE `t` (\n  `k` int,\n  `s` text\n);\n" + "".join(f"-- don't {k}\n\nINSERT INTO `t` VALUES ({k},'{c}'),\n({k + 100},'x');\nSET x=1;\n" for k, c in enumerate(cells))
+    (tmp_path / "d.sql").write_text(text)
+    want = list(dump.dump_rows(text.split("\n"), "t", ["k", "s"]))
+    assert len(want) == 120
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+    try:
+        got = dump.mysql_table(spark, str(tmp_path / "d.sql"), "t", "k string, s string").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert sorted(map(tuple, got)) == sorted(want)
+
+
+def test_staging(spark):
+    waits, calls = [], []
+
+    def flaky(url):
+        calls.append(url)
+        if len(calls) < 4:
+            raise OSError("no")
+        return b"x"
+
+    assert staging.with_retries(flaky, "u", wait=waits.append) == b"x" and waits == [2, 4, 8]
+
+    def fetch(url):
+        if "2" in url:
+            raise OSError("gone")
+        return url.encode()
+
+    ids = spark.createDataFrame([("1",), ("2",), ("1",)], "id string")
+    got = staging.fetched(ids, "http://h/{id}.gz", fetch, wait=lambda s: None)
+    assert {r.id: (bytes(r.content) if r.content else None, r.error) for r in got.collect()} == {"1": (b"http://h/1.gz", None), "2": (None, "gone")}
+    assert staging.require_some(got).count() == 1
+    with pytest.raises(OSError):
+        staging.require_some(staging.fetched(ids.filter("id = '2'"), "http://h/{id}.gz", fetch, wait=lambda s: None))
+
+
+def test_versions_and_paths(spark):
+    runs = sinks.versions(spark, "a", spark="4", python="3"), sinks.versions(spark, "b", spark="4"), sinks.versions(spark, "a", spark="4")
+    assert {r.process: r.versions for r in sinks.versions_of(*runs).collect()} == {"a": {"python": "3", "spark": "4"}, "b": {"spark": "4"}}
+    assert sinks.publish_path("out", "MAIN:SPLIT:CURATE_domains") == "out/curate"
+
+
+def test_features_map_is_one_json_object(spark, tmp_path):
+    import json
+
+    sinks.write_features(spark.createDataFrame([('a"b', ["y", "x"]), ("c", []), (None, ["z"])], "accession string, features array<string>"), str(tmp_path / "f"))
+    text = "\n".join(p.read_text() for p in sorted((tmp_path / "f").glob("part-*")))
+    assert json.loads(text) == {'a"b': ["x", "y"], "c": []}
 
 
 def test_config_and_database(spark):
