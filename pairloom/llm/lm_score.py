@@ -13,18 +13,20 @@ of the automaton that its traversal can reach.
 
 from __future__ import annotations
 
+import functools
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pairloom.llm import scan
-from pairloom.llm.shared import ASKED, RANGE_BYTES, TOLD, answers, ask, n_blocks, settled, spread, stored, text_bytes, told, totals_of
+from pairloom.llm.shared import ASKED, RANGE_BYTES, TOLD, answers, ask, bucket_starts, n_blocks, settled, spread, stored, text_bytes, told, totals_of
 
 #: Weight of the shorter context, in counts, for contexts of one and of two words.
 MU = (500.0, 5.0)
-#: Bytes of text in a block.
-BLOCK = 8 << 20
+#: Bytes of text in a block, and passes that the exchange takes: each has its share of the hash ranges, so that no more than that share of the requests is on disk at once.
+BLOCK, PASSES = 8 << 20, 2
 
 _END = scan.mix(np.array([1], np.uint64))[0]
 _START = scan.mix(np.array([2], np.uint64))[0]
@@ -54,14 +56,15 @@ def _grams(tokens: np.ndarray, begins: np.ndarray) -> list[np.ndarray]:
     return [h & keep | np.uint64(2 * kind) for kind, (h, keep) in enumerate(zip((tokens, pairs, triples), _KEEP, strict=True))]
 
 
-def _features(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct n-grams of all texts of a block, and their counts in training texts."""
+def _features(table: pa.Table, least: int = 0, end: int = 1 << 64) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct n-grams, with keys from least up to end, of all texts of a block, and their counts in training texts."""
     tokens, begins = _tokens(table)
     train = np.repeat(table.column("train").combine_chunks().fill_null(False).to_numpy(zero_copy_only=False).astype(np.uint64), np.diff(begins))
     words, pairs, triples = _grams(tokens, begins)
     inside = np.ones(len(tokens), bool)
     inside[begins[:-1]] = False
-    every = np.concatenate([words | train, pairs | train, (triples | train)[inside]])
+    ours = lambda x: (x >= np.uint64(least)) & (x <= np.uint64(end - 1))
+    every = np.concatenate([(x | train)[ours(x) & there] for x, there in ((words, True), (pairs, True), (triples, inside))])
     del tokens, words, pairs, triples
     every.sort()
     first = np.flatnonzero(np.concatenate([[True], (every[1:] ^ every[:-1]) > 1])) if len(every) else np.zeros(0, np.int64)
@@ -146,14 +149,24 @@ def lm_score(docs: DataFrame, train: Column, mu=MU, id_col: str = "doc_id", text
     total = text_bytes(docs, text_col)
     blocks, ranges = n_blocks(spark, total, BLOCK), max(16, -(-total // RANGE_BYTES))
     marked = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.coalesce(train, F.lit(False)).alias("train"))
-    dealt = spread(marked.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).cast("int")), "block", blocks)
+    dealt = spread(marked.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int")), "block", blocks)
+
+    starts = [*bucket_starts(ranges).tolist(), 1 << 64]
+
+    def request(p: int):
+        least, end = (starts[ranges * k // PASSES] for k in (p, p + 1))
 
-    def request(key, table: pa.Table) -> pa.Table:
-        scan.trim()
-        return ask(*_features(table), key[0].as_py(), ranges)
+        def asked(key, table: pa.Table) -> pa.Table:
+            scan.trim()
+            return ask(*_features(table, least, end), key[0].as_py(), ranges)
 
-    asked = dealt.groupBy("block").applyInArrow(lambda key, table: request(key, table), ASKED)
-    found = stored(spread(asked, "bucket", ranges).groupBy("bucket").applyInArrow(_sum_range, TOLD + ", all_words long, distinct_words long"))
+        return lambda key, table: asked(key, table)
+
+    parts = []
+    for p in range(PASSES):
+        asked = dealt.groupBy("block").applyInArrow(request(p), ASKED)
+        parts.append(stored(spread(asked, "bucket", ranges // PASSES).groupBy("bucket").applyInArrow(_sum_range, TOLD + ", all_words long, distinct_words long")))
+    found = functools.reduce(DataFrame.union, parts)
     sums = found.groupBy("bucket").agg(F.max("all_words").alias("n"), F.max("distinct_words").alias("v")).agg(F.sum("n"), F.sum("v")).first()
     machine = Automaton(sums[0] or 0, sums[1] or 0, marked.filter("train").count(), mu)
     told_to = spread(found.select("block", "bucket", "wide", "n", "totals"), "block", blocks)
@@ -161,3 +174,30 @@ def lm_score(docs: DataFrame, train: Column, mu=MU, id_col: str = "doc_id", text
         lambda left, right: _score(left, right, machine),
         "doc_id long, train boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double",
     )
+
+
+#: The contract's rows in DuckDB SQL, over documents, with scores rounded; a blank stands for a text's end, two for its start.
+SQL = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(@LOWER@, '[^\x20\x09-\x0D]+') AS w,
+         xor(list_reduce(list_concat([4294967295], flatten(list_transform(string_split(doc_id::VARCHAR, ''), lambda s: [ascii(s)::BIGINT, 0, 0, 0, 0, 0, 0, 0]))), lambda c, b: xor(xor(c, b) >> 1, 3988292384 * (xor(c, b) & 1))), 4294967295) % 5 <> 1 AS train FROM documents
+), t AS (
+  SELECT doc_id, train, unnest(list_append(w, ' ')) AS x, unnest(range(0, len(w) + 1)) AS p FROM d
+), g AS (
+  SELECT doc_id, train, x, lag(x, 1, '  ') OVER o AS v, CASE p WHEN 0 THEN NULL WHEN 1 THEN '  ' ELSE lag(x, 2) OVER o END AS u FROM t WINDOW o AS (PARTITION BY doc_id ORDER BY p)
+), one AS (
+  SELECT x, count(*) AS c FROM g WHERE train GROUP BY x
+), two AS (
+  SELECT v, x, count(*) AS c FROM g WHERE train GROUP BY v, x
+), three AS (
+  SELECT u, v, x, count(*) AS c FROM g WHERE train AND u IS NOT NULL GROUP BY u, v, x
+), sums AS (
+  SELECT coalesce(sum(c), 0)::BIGINT AS n, count(*) AS k, (SELECT count(*) FROM d WHERE train) AS starts FROM one
+), steps AS (
+  SELECT g.doc_id, coalesce(one.c, 0) AS c1, coalesce(two.c, 0) AS c2, coalesce(three.c, 0) AS c3, CASE WHEN g.v = '  ' THEN starts ELSE coalesce(s.c, 0) END AS s1, coalesce(b.c, 0) AS s2, (coalesce(one.c, 0) + 0.5::DOUBLE) / (n + 0.5::DOUBLE * (k + 1)) AS p1
+  FROM g CROSS JOIN sums LEFT JOIN one ON one.x = g.x LEFT JOIN two ON two.v = g.v AND two.x = g.x LEFT JOIN three ON three.u = g.u AND three.v = g.v AND three.x = g.x LEFT JOIN one s ON s.x = g.v LEFT JOIN two b ON b.v = g.u AND b.x = g.v
+), scores AS (
+  SELECT doc_id, count(*) AS n_tokens, count(*) FILTER (c1 > 0) AS n_known, sum(log10(p1)) AS base_score, sum(log10((c3 + @M1@ * (c2 + @M0@ * p1) / (s1 + @M0@)) / (s2 + @M1@))) AS score FROM steps GROUP BY doc_id
+)
+SELECT doc_id, NOT train AS held_out, n_tokens, n_known, n AS train_tokens, round(base_score, 5) AS base_score, round(score, 5) AS score FROM scores JOIN d USING (doc_id) CROSS JOIN sums
+""".replace("@LOWER@", "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')").replace("@M0@", f"{MU[0]}::DOUBLE").replace("@M1@", f"{MU[1]}::DOUBLE")
