@@ -132,3 +132,14 @@ def fingerprint_edits(docs: DataFrame) -> DataFrame:
         "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), as_string(F.col("fp")).alias("fingerprint"), as_string(F.col("edited_fp")).alias("edited_fingerprint"),
         likeness(F.col("own"), hashes(F.col("edited_fp"))).alias("near_edited"), likeness(F.col("own"), hashes(F.col("next_fp"))).alias("near_next"),
     )
+
+
+#: Lengths and edited texts in DuckDB SQL, over documents.
+EDITS_SQL = """
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS text, length(coalesce(text, '')) AS n FROM documents
+), pairs AS (
+  SELECT doc_id, text, n, coalesce(lead(text) OVER (ORDER BY doc_id), first_value(text) OVER (ORDER BY doc_id)) AS following FROM d
+)
+SELECT doc_id, n::BIGINT AS n_chars, sha256(substring(text, 1, n - n // 2) || substring(following, 1, n // 2)) AS edited_sha256 FROM pairs
+"""

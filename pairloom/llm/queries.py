@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pairloom.llm import decontaminate as decontamination
-from pairloom.llm import jaccard_join, line_dedup, suffix_dedup
+from pairloom.llm import fingerprints, jaccard_join, line_dedup, suffix_dedup
+from pairloom.llm import lm_score as lm_score_module
 from pairloom.llm.decontaminate import decontaminate, proximity
 from pairloom.llm.fingerprints import fingerprint_edits
 from pairloom.llm.jaccard_join import jaccard_components
@@ -49,6 +50,11 @@ def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_edits(_table(spark, sf_dir, "documents"))
 
 
+def op3_edited_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What op3_fingerprints pairs and edits, for which there is SQL."""
+    return op3_fingerprints(spark, sf_dir).select("doc_id", "n_chars", "edited_sha256")
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(_table(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
@@ -64,6 +70,12 @@ def op6_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+def op6_lm_score_rounded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """op6_lm_score to five places, for which there is SQL."""
+    out = op6_lm_score(spark, sf_dir)
+    return out.withColumns({c: F.round(c, 5) for c in ("base_score", "score")})
+
+
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents declare nothing: their lang is the label that the models are fitted to, no evidence."""
     docs = _table(spark, sf_dir, "documents")
@@ -97,9 +109,9 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    every = (op1_packing, op2_decontamination, op2_proximity, op3_fingerprints, op4_line_dedup, op5_quality, op6_lm_score, op7_language, op7_language_pages, op8_warc, op9_jaccard_join, op10_suffix_dedup)
+    every = (op1_packing, op2_decontamination, op2_proximity, op3_fingerprints, op3_edited_texts, op4_line_dedup, op5_quality, op6_lm_score, op6_lm_score_rounded, op7_language, op7_language_pages, op8_warc, op9_jaccard_join, op10_suffix_dedup)
     return {f.__name__: f for f in every}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_decontamination": decontamination.SQL, "op4_line_dedup": line_dedup.SQL, "op9_jaccard_join": jaccard_join.SQL, "op10_suffix_dedup": suffix_dedup.SQL}
+    return {"op2_decontamination": decontamination.SQL, "op3_edited_texts": fingerprints.EDITS_SQL, "op4_line_dedup": line_dedup.SQL, "op6_lm_score_rounded": lm_score_module.SQL, "op9_jaccard_join": jaccard_join.SQL, "op10_suffix_dedup": suffix_dedup.SQL}
