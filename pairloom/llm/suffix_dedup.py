@@ -35,6 +35,8 @@ SEED = 16
 BLOCK, BUCKET, BUCKETS = 6 << 20, 4 << 20, 48
 #: Sampled documents for splitters (at least, for each bucket, at most), and suffixes of each.
 SAMPLE_DOCS, SAMPLE_EACH = (2000, 4, 50_000), 8
+#: Odd multipliers of a piece's two words.
+_FIRST, _SECOND = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
 def _ordered(table: pa.Table) -> pa.Table:
@@ -48,20 +50,27 @@ def _minimizers(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.
         none = np.zeros(0, np.int64)
         return np.zeros(0, np.uint64), none, none, none, none
     words, count = scan.eights(data), len(data) - SEED + 1
-    seeds = scan.mix(scan.mix(words[:count]) + words[8 : 8 + count])
-    low, width, span = (seeds & np.uint64(0xFFFFFFFF00000000)) | np.arange(count, dtype=np.uint64), 1, length - SEED + 1
+    # which piece is smallest only has to follow from its bytes: the upper bits of two products
+    low = words[:count] * _FIRST
+    low ^= words[8 : 8 + count] * _SECOND
+    low &= np.uint64(0xFFFFFFFF00000000)
+    low |= np.arange(count, dtype=np.uint64)
+    width, span = 1, length - SEED + 1
     while width * 2 <= span:
         low, width = np.minimum(low[:-width], low[width:]), width * 2
     if rest := span - width:
         low = np.minimum(low[:-rest], low[rest:])
-    text = np.repeat(np.arange(len(offsets) - 1, dtype=np.int32), np.diff(offsets))[: len(low)]
-    starts = np.flatnonzero(np.arange(len(low)) + length <= offsets[1:][text])
-    text, place = text[starts], (low[starts] & np.uint64(0xFFFFFFFF)).astype(np.int64)
-    new = np.ones(len(starts), bool)
-    new[1:] = (place[1:] != place[:-1]) | (text[1:] != text[:-1])
-    first = np.flatnonzero(new)
-    last = np.append(first[1:], len(starts)) - 1
-    return seeds[place[first]], text[first], place[first], place[first] - starts[last], place[first] - starts[first]
+    inside = np.ones(len(low) + 2, bool)  # whether a string starts here, with an edge on both sides
+    inside[[0, -1]] = False
+    for end in offsets[1:].tolist():
+        inside[max(1, end - length + 2) : end + 1] = False
+    new = np.ones(len(low) + 1, bool)
+    new[1:-1] = low[1:] != low[:-1]
+    first = np.flatnonzero(inside[1:-1] & (new[:-1] | ~inside[:-2]))
+    last = np.flatnonzero(inside[1:-1] & (new[1:] | ~inside[2:]))
+    place = (low[first] & np.uint64(0xFFFFFFFF)).astype(np.int64)
+    text = np.searchsorted(offsets, first, "right") - 1
+    return scan.mix(scan.mix(words[place]) + words[place + 8]), text, place, place - last, place - first
 
 
 def _all_minimizers(flat: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
@@ -85,11 +94,15 @@ def _seeds(table: pa.Table, length: int) -> tuple[np.ndarray, np.ndarray]:
 def multikey_sort(words: np.ndarray) -> np.ndarray:
     """Order of rows of words by multikey quicksort: a segment is split by its word at one depth into less, equal and greater than a median of three; the equal part goes on with the next word.
 
-    All open segments are split in the same pass; there are some log n + depth passes.
+    All open segments are split in the same pass; there are some log n + depth passes.  The
+    first one splits by the leading two bytes at once.
     """
     n, depth = words.shape
     flat, small = np.ascontiguousarray(words).ravel(), np.int32 if words.size < 1 << 31 else np.int64
-    order, start, size, level = np.arange(n, dtype=small), np.array([0], small), np.array([n], small), np.array([0], small)
+    lead = (words[:, 0] >> np.uint64(48)).astype(np.uint16)
+    order = np.argsort(lead, kind="stable").astype(small)
+    size = np.bincount(lead, minlength=1).astype(small)
+    start, level = np.cumsum(size, dtype=small) - size, np.zeros(len(size), small)
     while True:
         open_ = (size > 1) & (level < depth)
         start, size, level = start[open_], size[open_], level[open_]
@@ -308,28 +321,29 @@ def _bucket(table: pa.Table, length: int, splitters: np.ndarray) -> pa.Table:
 
 
 def _cut(table: pa.Table, found: pa.Table, length: int) -> pa.Table:
+    scan.trim()
     table = _ordered(table)
     flat, offsets = scan.text_buffer(table.column("text"))
-    change = np.zeros(len(flat) + 1, np.int32)
-    for r, first, last in zip(found.column("rows"), found.column("first"), found.column("last"), strict=True):
-        base = offsets[np.frombuffer(r.as_buffer(), np.int32)]
-        np.add.at(change, base + np.frombuffer(first.as_buffer(), np.int64), 1)
-        np.add.at(change, base + np.frombuffer(last.as_buffer(), np.int64) + length, -1)
-    gone = np.cumsum(change)[:-1] > 0
-    cut = np.concatenate([[0], np.cumsum(gone)])
-    begins = gone.copy()
-    begins[1:] &= ~gone[:-1]
-    edges = offsets[:-1][offsets[:-1] < offsets[1:]]
-    begins[edges] = gone[edges]
-    spans = np.concatenate([[0], np.cumsum(begins)])
-    kept = flat[~gone]
-    kept_at = offsets - cut[offsets]
+    get = lambda name, kind: np.concatenate([np.zeros(0, kind), *(np.frombuffer(x.as_buffer(), kind) for x in found.column(name))])
+    row, first, last = get("rows", np.int32), get("first", np.int64), get("last", np.int64)
+    start, end = offsets[row] + first, offsets[row] + last + length
+    order = np.argsort(start, kind="stable")
+    row, start, end = row[order], start[order], np.maximum.accumulate(end[order]) if len(order) else end
+    new = np.ones(len(row), bool)
+    new[1:] = (row[1:] != row[:-1]) | (start[1:] > end[:-1])  # no string leaves its document
+    at = np.flatnonzero(new)
+    row, start, end = row[at], start[at], end[np.append(at[1:], len(end)) - 1] if len(at) else end
+    gone = np.zeros(len(flat) + 1, np.int8)
+    gone[start] += 1
+    gone[end] -= 1
+    kept = flat[np.cumsum(gone[:-1], dtype=np.int8) == 0]
+    n = len(offsets) - 1
+    removed = np.bincount(row, end - start, minlength=n).astype(np.int64)
+    kept_at = (offsets - np.concatenate([[0], np.cumsum(removed)])).tolist()
     data = kept.tobytes()
-    pieces = [data[a:b] for a, b in zip(kept_at[:-1], kept_at[1:], strict=True)]
-    ids = table.column("doc_id")
     return pa.table({
-        "doc_id": ids, "n_bytes": pa.array(np.diff(offsets), pa.int64()), "n_removed": pa.array(cut[offsets[1:]] - cut[offsets[:-1]], pa.int64()),
-        "n_spans": pa.array(spans[offsets[1:]] - spans[offsets[:-1]], pa.int64()), "kept": pa.array(pieces, pa.binary()),
+        "doc_id": table.column("doc_id"), "n_bytes": pa.array(np.diff(offsets), pa.int64()), "n_removed": pa.array(removed, pa.int64()),
+        "n_spans": pa.array(np.bincount(row, minlength=n), pa.int64()), "kept": pa.array([data[a:b] for a, b in zip(kept_at[:-1], kept_at[1:], strict=True)], pa.binary()),
     })
 
 
@@ -346,11 +360,13 @@ def sample_splitters(docs: DataFrame, buckets: int, length: int) -> np.ndarray:
             rank = np.arange(len(order)) - np.searchsorted(text[order], text[order])
             at = np.sort(order[rank < SAMPLE_EACH])
             keys = _keys(flat, place[at], offsets[text[at]], offsets[text[at] + 1], length)
-            yield pa.RecordBatch.from_pydict({"key": pa.array([k.tobytes() for k in keys], pa.binary())})
+            yield pa.RecordBatch.from_pydict({"h": batch.column("h").take(pa.array(text[at])), "key": pa.array([k.tobytes() for k in keys], pa.binary())})
 
+    # by the hash of the text, so that a group of copies is one draw
     share = min(1_000_000, 2 * 1_000_000 * wanted // max(1, docs.count()))
-    few = docs.select("doc_id", "text").filter(F.octet_length("text") >= length).filter(F.pmod(F.xxhash64("doc_id", F.lit("splitters")), F.lit(1_000_000)) < F.lit(max(1, share))).limit(wanted)
-    keys = np.sort(np.array([r.key for r in few.mapInArrow(some, "key binary").collect()], dtype=f"S{2 * length - SEED}"))
+    drawn = docs.filter(F.octet_length("text") >= length).select("text", F.xxhash64("text", F.lit("splitters")).alias("h"))
+    few = drawn.filter(F.pmod("h", F.lit(1_000_000)) < F.lit(max(1, share))).mapInArrow(some, "h long, key binary").distinct()
+    keys = np.sort(np.array([r.key for r in few.orderBy("h", "key").limit(wanted * SAMPLE_EACH).collect()], dtype=f"S{2 * length - SEED}"))
     return np.unique(keys[(np.arange(1, buckets) * len(keys)) // buckets]) if len(keys) else keys
 
 
@@ -377,3 +393,30 @@ def remove_repeats(docs: DataFrame, length: int = 50, id_col: str = "doc_id", te
     late = sized_join(across, least, "string", "inner", 128).filter("doc > least")
     told = told.filter("string is null").unionByName(late, allowMissingColumns=True).select("block", "rows", "first", "last")
     return dealt.groupBy("block").cogroup(spread(told, "block", blocks).groupBy("block")).applyInArrow(lambda left, right: _cut(left, right, length), "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
+
+
+#: The contract's rows in DuckDB SQL, over documents; bytes are pairs of hexadecimal digits.
+SQL = """
+WITH d AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents
+), pieces AS (
+  SELECT doc_id, c, len(x) // 2 AS n, substring(x, 512 * c + 1, 612) AS y FROM (SELECT doc_id, x, unnest(range(0, (len(x) // 2 + 206) // 256)) AS c FROM d)
+), strings AS (
+  SELECT doc_id, k, substring(y, 2 * (k % 256) + 1, 100) AS s FROM (SELECT doc_id, y, unnest(range(256 * c, least(256 * c + 256, n - 49))) AS k FROM pieces)
+), late AS (
+  SELECT doc_id, k FROM strings JOIN (SELECT s, min(doc_id) AS first FROM strings GROUP BY s HAVING min(doc_id) < max(doc_id)) USING (s) WHERE doc_id > first
+), marked AS (
+  SELECT doc_id, k, CASE WHEN k <= lag(k) OVER (PARTITION BY doc_id ORDER BY k) + 50 THEN 0 ELSE 1 END AS new FROM late
+), spans AS (
+  SELECT doc_id, g, min(k) AS a, max(k) + 50 AS b FROM (SELECT doc_id, k, sum(new) OVER (PARTITION BY doc_id ORDER BY k) AS g FROM marked) GROUP BY doc_id, g
+), gaps AS (
+  SELECT doc_id, coalesce(lag(b) OVER w, 0) AS a, a AS b FROM spans WINDOW w AS (PARTITION BY doc_id ORDER BY a)
+  UNION ALL SELECT doc_id, max(b), NULL FROM spans GROUP BY doc_id
+), kept AS (
+  SELECT doc_id, string_agg(CASE WHEN g.b IS NULL THEN substring(x, 2 * g.a + 1) ELSE substring(x, 2 * g.a + 1, 2 * (g.b - g.a)) END, '' ORDER BY g.a) AS y FROM gaps g JOIN d USING (doc_id) GROUP BY doc_id
+), sums AS (
+  SELECT doc_id, sum(b - a) AS n_removed, count(*) AS n_spans FROM spans GROUP BY doc_id
+)
+SELECT doc_id, (len(x) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans, sha256(unhex(coalesce(y, x))) AS kept_sha256
+FROM d LEFT JOIN sums USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
