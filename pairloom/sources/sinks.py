@@ -65,7 +65,7 @@ def publish_path(root: str, process: str) -> str:
     return f"{root}/{process.split(':')[-1].split('_')[0].lower()}"
 
 
-def versions(spark: SparkSession, process: str, **tools: str) -> DataFrame:
+def versions(spark: SparkSession, process: str, /, **tools: str) -> DataFrame:
     """(process, tool, version) of a run, for versions_of()."""
     return spark.createDataFrame([(process, k, v) for k, v in sorted(tools.items())], "process string, tool string, version string")
 

@@ -252,7 +252,7 @@ def test_dump(spark, tmp_path):
 def test_dump_in_splits(spark, tmp_path, size):
     """Statements, literals and comments that cross the ends of splits."""
     rng = random.Random(4)
-    bits = ["a", "\n", "''", "\\'", ";\n", "-- it's", "`", '"', " ", "\\\\"]
+    bits = ["a", "\n", "''", "\\'", ";\n", "-- its", "`", '"', " ", "\\\\"]
     cells = ["".join(rng.choice(bits) for _ in range(rng.randint(0, 12))) for _ in range(60)]
     text = "CREATE TABLE `t` (\n  `k` int,\n  `s` text\n);\n" + "".join(f"-- don't {k}\n\nINSERT INTO `t` VALUES ({k},'{c}'),\n({k + 100},'x');\nSET x=1;\n" for k, c in enumerate(cells))
     (tmp_path / "d.sql").write_text(text)
