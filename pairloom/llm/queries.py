@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pairloom.llm import decontaminate as decontamination
-from pairloom.llm import fingerprints, jaccard_join, line_dedup, suffix_dedup
+from pairloom.llm import exact_dedup, fingerprints, importance, jaccard_join, line_dedup, prefix_trie, suffix_dedup
 from pairloom.llm import lm_score as lm_score_module
 from pairloom.llm.decontaminate import decontaminate, proximity
 from pairloom.llm.fingerprints import fingerprint_edits
@@ -108,10 +108,22 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(_table(spark, sf_dir, "documents")).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.dedup_exact(_table(spark, sf_dir, "documents")).drop("repeats_history")
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(_table(spark, sf_dir, "conversations"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    every = (op1_packing, op2_decontamination, op2_proximity, op3_fingerprints, op3_edited_texts, op4_line_dedup, op5_quality, op6_lm_score, op6_lm_score_rounded, op7_language, op7_language_pages, op8_warc, op9_jaccard_join, op10_suffix_dedup)
+    every = (op1_packing, op2_decontamination, op2_proximity, op3_fingerprints, op3_edited_texts, op4_line_dedup, op5_quality, op6_lm_score, op6_lm_score_rounded, op7_language, op7_language_pages, op8_warc, op9_jaccard_join, op10_suffix_dedup, op11_exact_dedup, op12_importance_resampling, op13_prefix_trie)
     return {f.__name__: f for f in every}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_decontamination": decontamination.SQL, "op3_edited_texts": fingerprints.EDITS_SQL, "op4_line_dedup": line_dedup.SQL, "op6_lm_score_rounded": lm_score_module.SQL, "op9_jaccard_join": jaccard_join.SQL, "op10_suffix_dedup": suffix_dedup.SQL}
+    return {"op2_decontamination": decontamination.SQL, "op3_edited_texts": fingerprints.EDITS_SQL, "op4_line_dedup": line_dedup.SQL, "op6_lm_score_rounded": lm_score_module.SQL, "op9_jaccard_join": jaccard_join.SQL, "op10_suffix_dedup": suffix_dedup.SQL, "op11_exact_dedup": exact_dedup.SQL, "op12_importance_resampling": importance.SQL, "op13_prefix_trie": prefix_trie.SQL}
