@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pairloom.config import Config
-from pairloom.operators import cluster, embed, graph, keys, negatives, partition, split, stats
+from pairloom.operators import cluster, embed, graph, keys, matched, negatives, partition, product, split, stats
 from pairloom.plans import pipeline
 from pairloom.plans.analogs import Analogs
 from pairloom.schema import empty_database
@@ -226,30 +226,30 @@ def acc_feature_sets(v):
     return negatives.features_of(v.features()).withColumn("features", F.array_join(F.transform("features", lambda x: x.cast("string")), ","))
 
 
-def _candidates(v) -> DataFrame:
+def _tiles(v, edges: DataFrame | None = None) -> DataFrame:
     """Over all rows of the map and all tested rows."""
     allowed = graph.endpoints(v.stored_edges().filter("NOT negative")).withColumnRenamed("node", "feature")
-    return negatives.candidates(negatives.tested_pairs(_ppi(v), Config().min_tested), negatives.resolve_genes(v.genes()), v.features(), allowed)
+    return product.product_tiles(negatives.tested_pairs(_ppi(v), Config().min_tested), negatives.resolve_genes(v.genes()), v.features(), allowed, edges)
 
 
 @_query(f"WITH {_CANDS} SELECT lo, hi, n FROM cands")
 def pair_candidates(v):
-    return _candidates(v)
+    return product.tile_candidates(_tiles(v))
 
 
 @_query(f"WITH {_CANDS}, {_PAIRS} SELECT lo, hi, n FROM cands ANTI JOIN pairs USING (lo, hi)")
 def pair_candidates_fresh(v):
-    return negatives.fresh(_candidates(v), v.stored_edges())
+    return product.tile_candidates(_tiles(v, v.stored_edges()), fresh=True)
 
 
 @_query(f"WITH {_CANDS}, {_PAIRS} SELECT count(*) AS n_overlap FROM cands SEMI JOIN pairs USING (lo, hi)")
 def pair_overlap_count(v):
-    return negatives.overlap(_candidates(v), v.stored_edges())
+    return negatives.overlap(product.tile_candidates(_tiles(v)), v.stored_edges())
 
 
 @_query(f"WITH {_CANDS} SELECT lo, hi, n FROM cands ORDER BY n DESC, lo, hi LIMIT 1")
 def candidate_argmax(v):
-    return negatives.most_frequent(_candidates(v))
+    return product.top_candidates(_tiles(v), 1, fresh=False)
 
 
 @_query(f"""WITH {_CANDS}, {_PAIRS}, picks AS (SELECT greatest(0, count(*) FILTER (NOT negative) - count(*) FILTER (negative AND source = 'negatome')) AS n FROM edges)
@@ -258,7 +258,7 @@ def negatives_frequency(v):
     """As many as there are positives, less those that the negative source has."""
     edges = v.stored_edges()
     n = edges.filter("NOT negative").count() - edges.filter("negative AND source = 'negatome'").count()
-    return negatives.select_frequency(negatives.fresh(_candidates(v), edges), n)
+    return product.top_candidates(_tiles(v, edges), n)
 
 
 @_query()
@@ -266,7 +266,7 @@ def negatives_degree_matched(v):
     """As many as there are positives, as add_negatives() has it."""
     edges = v.stored_edges()
     positive = edges.filter("NOT negative")
-    return negatives.select_degree_matched(negatives.fresh(_candidates(v), edges), positive, positive.count(), SEED)
+    return matched.select_degree_matched(product.tile_candidates(_tiles(v, edges), fresh=True), positive, positive.count(), SEED)
 
 
 @_query(f"WITH {_SPLIT} SELECT id, split FROM keep")

@@ -1,3 +1,5 @@
+import collections
+import hashlib
 import gzip
 import random
 
@@ -6,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pairloom.config import Config
-from pairloom.operators import cluster, embed, graph, keys, negatives, partition, split, stats
+from pairloom.operators import cluster, embed, graph, keys, matched, negatives, partition, product, split, stats
 from pairloom.schema import empty_database, require_unique
 from pairloom.sources import dump, readers, sinks, staging
 
@@ -59,7 +61,7 @@ def _naive(cands, target, n, seed):
     current, left, out = {}, list(cands), []
     lack = lambda x: max(0, target.get(x, 0) - current.get(x, 0))
     while left and len(out) < n:
-        best = min(left, key=lambda x: (-(lack(x[0]) + lack(x[1])), hashlib.md5(f"{seed}|{x[0]}|{x[1]}".encode()).hexdigest()))
+        best = min(left, key=lambda x: (-(lack(x[0]) + lack(x[1])), hashlib.md5(f"{seed}|{x[0]}|{x[1]}".encode()).hexdigest()[: matched.TIE], x[0], x[1]))
         if lack(best[0]) + lack(best[1]) <= 0:
             break
         left.remove(best)
@@ -75,10 +77,10 @@ def test_degree_matched(spark):
         cands = sorted({tuple(sorted((rng.randrange(8), rng.randrange(8)))) for _ in range(15)})
         cands = [(*c, rng.randrange(5)) for c in cands]
         target = {i: rng.randrange(5) for i in range(6)}
-        assert negatives.pick_degree_matched(cands, target, 9, "s") == _naive(cands, target, 9, "s")
+        assert matched.pick_degree_matched(cands, target, 9, "s") == _naive(cands, target, 9, "s")
     cands = spark.createDataFrame([(1, 2, 9), (1, 3, 8), (1, 4, 7), (2, 3, 6), (3, 4, 5), (4, 4, 4)], "lo long, hi long, n long")
     positives = spark.createDataFrame([(1, 2), (1, 3), (1, 9)], "a long, b long")
-    got = negatives.select_degree_matched(cands, positives, 4).collect()
+    got = matched.select_degree_matched(cands, positives, 4).collect()
     assert {(r.lo, r.hi) for r in got} == {(1, 2), (1, 3), (1, 4)}
 
 
@@ -92,29 +94,82 @@ def test_degree_matched_reach(spark, n):
     for a, b in ends:
         for x in {a, b}:
             target[x] = target.get(x, 0) + 1 + (a == b)
-    got = negatives.select_degree_matched(spark.createDataFrame(cands, "lo long, hi long, n long"), spark.createDataFrame(ends, "a long, b long"), n, "s")
+    got = matched.select_degree_matched(spark.createDataFrame(cands, "lo long, hi long, n long"), spark.createDataFrame(ends, "a long, b long"), n, "s")
     assert [(r.lo, r.hi, r.n) for r in got.orderBy("pick").collect()] == _naive(cands, target, n, "s")
 
 
+@pytest.mark.parametrize("limit", [1, 40, 10**6])
+def test_degree_matched_by_levels(spark, limit, monkeypatch):
+    """Levels in Spark, several steps in one task, and all at once give the picks of the rule: hubs, self pairs, ends without a deficit, equal ties."""
+    monkeypatch.setattr(matched, "LIMIT", limit)
+    if limit == 40:
+        monkeypatch.setattr(matched, "TIE", 1)
+    rng = random.Random(limit)
+    cands = sorted({tuple(sorted((rng.randrange(18), int(18 * rng.random() ** 2)))) for _ in range(140)})
+    cands = [(*c, rng.randrange(5)) for c in cands]
+    ends = [(rng.randrange(14), rng.choice([3, 3, 5, 7])) for _ in range(26)]
+    target = collections.Counter(x for e in ends for x in e)
+    for n in (3, 10**6):
+        got = matched.select_degree_matched(spark.createDataFrame(cands, "lo long, hi long, n long"), spark.createDataFrame(ends, "a long, b long"), n, "s")
+        want = _naive(cands, target, n, "s")
+        assert [(r.lo, r.hi, r.n) for r in got.orderBy("pick").collect()] == want == matched.pick_degree_matched(cands, target, n, "s")
+
+
+def test_pick_levels_of_large_lists():
+    rng = np.random.default_rng(1)
+    pairs = np.unique(np.sort(rng.integers(0, 120, (5000, 2)) ** 2 // 120, axis=1), axis=0)
+    cands = [(int(a), int(b), 1) for a, b in pairs]
+    target = {i: int(rng.integers(0, 40)) for i in range(100)}
+    tie = [hashlib.md5(f"s|{a}|{b}".encode()).hexdigest()[: matched.TIE] for a, b, _ in cands]
+    order = sorted(range(len(cands)), key=lambda k: (tie[k], cands[k]))
+    a, b = pairs[order].T
+    lack = np.array([target.get(i, 0) for i in range(120)])
+    found, scores = matched.pick_levels(a, b, lack, 1, 10**6)
+    assert (np.diff(scores) <= 0).all()
+    ranked = [x for _, x in sorted(zip(zip(-scores, found, strict=True), found, strict=True))]
+    assert [cands[order[k]] for k in ranked] == matched.pick_degree_matched(cands, target, 10**6, "s")
+
+
 def test_degree_matched_without_target(spark):
     cands = spark.createDataFrame([(1, 2, 5), (1, 3, 9), (2, 3, 9)], "lo long, hi long, n long")
     none = spark.createDataFrame([], "a long, b long")
-    assert [(r.pick, r.lo, r.hi) for r in negatives.select_degree_matched(cands, none, 2).orderBy("pick").collect()] == [(0, 1, 3), (1, 2, 3)]
-    assert negatives.select_degree_matched(cands, none, 0).count() == 0
+    assert [(r.pick, r.lo, r.hi) for r in matched.select_degree_matched(cands, none, 2).orderBy("pick").collect()] == [(0, 1, 3), (1, 2, 3)]
+    assert matched.select_degree_matched(cands, none, 0).count() == 0
 
 
-def test_candidates(spark):
+@pytest.mark.parametrize("of", [int, str])
+@pytest.mark.parametrize("heavy, block, dense", [(100, 2048, 10), (1, 2048, 100), (1, 3, 100), (1, 3, 1), (5, 2, 100)])
+def test_candidates(spark, heavy, block, dense, of):
+    """Light and heavy genes, one tile and many, with the gene pairs as a dense matrix and without."""
     rng = random.Random(3)
-    genes, feats = "ABCDE", {g: {rng.randrange(12) for _ in range(5)} for g in "ABCDE"}
+    genes, feats = "ABCDE", {g: {of(rng.randrange(12)) for _ in range(5 + 3 * (g < "C"))} for g in "ABCDE"}
     pairs = [(rng.choice(genes), rng.choice(genes)) for _ in range(60)] + [("A", "Z"), ("Z", "Z")]
-    want = {}
+    allowed = [of(i) for i in range(10)]
+    want = collections.Counter()
     for x, y in pairs:
-        for p in {(min(f, g), max(f, g)) for f in feats.get(x, ()) for g in feats.get(y, ()) if f < 10 and g < 10}:
-            want[p] = want.get(p, 0) + 1
-    resolved = spark.createDataFrame([(g, "P" + g, 1) for g in genes], "gene string, accession string, n long")
-    features = spark.createDataFrame([("P" + g, f) for g in genes for f in feats[g]], "accession string, feature long")
-    got = negatives.candidates(spark.createDataFrame(pairs, "bait string, prey string"), resolved, features, spark.range(10).withColumnRenamed("id", "feature"))
-    assert {(r.lo, r.hi): r.n for r in got.collect()} == want
+        want.update({(min(f, g), max(f, g)) for f in feats.get(x, ()) for g in feats.get(y, ()) if f in allowed and g in allowed})
+    resolved = spark.createDataFrame([(g, "P" + g, 1) for g in genes] + [("Z", "P", 2)], "gene string, accession string, n long")
+    kind = "long" if of is int else "string"
+    features = spark.createDataFrame([("P" + g, f) for g in genes for f in feats[g]], f"accession string, feature {kind}")
+    edges = [(of(3), of(1)), (of(4), of(4)), (of(11), of(99))]
+    tested, some = spark.createDataFrame(pairs, "bait string, prey string"), spark.createDataFrame([(x,) for x in allowed], f"feature {kind}")
+    tiles = product.product_tiles(tested, resolved, features, some, spark.createDataFrame(edges, f"a {kind}, b {kind}"), heavy, block, dense)
+    got = product.tile_candidates(tiles)
+    assert got.schema["lo"].dataType.simpleString() == {"long": "bigint"}.get(kind, kind)
+    rows = lambda df: [tuple(r) for r in df.collect()]
+    assert {(lo, hi): n for lo, hi, n in rows(got)} == want and got.count() == len(want)
+    fresh = {p: n for p, n in want.items() if p not in {(min(e), max(e)) for e in edges}}
+    assert {(lo, hi): n for lo, hi, n in rows(product.tile_candidates(tiles, fresh=True))} == fresh
+    best = sorted(((*p, n) for p, n in fresh.items()), key=lambda x: (-x[2], x[0], x[1]))
+    for n in (0, 1, 7, 20, 10**6):
+        assert rows(product.top_candidates(tiles, n)) == best[:n]
+    assert rows(product.top_candidates(tiles, 1, fresh=False)) == [min(((*p, n) for p, n in want.items()), key=lambda x: (-x[2], x[0], x[1]))]
+
+
+def test_candidates_of_nothing(spark):
+    empty = lambda schema: spark.createDataFrame([], schema)
+    tiles = product.product_tiles(empty("bait string, prey string"), empty("gene string, accession string, n long"), empty("accession string, feature long"), empty("feature long"), empty("a long, b long"))
+    assert product.tile_candidates(tiles).collect() == product.top_candidates(tiles, 5).collect() == []
 
 
 def test_gene_resolution(spark):
@@ -124,34 +179,50 @@ def test_gene_resolution(spark):
     assert {(r.accession, r.gene) for r in found.collect()} == {("P1", "A"), ("P2", "B"), ("P3", "C")}
 
 
+def _cut(edges, parts):
+    return sum(x for a, b, x in edges if parts[a] != parts[b])
+
+
 def test_partition(spark):
     rng = random.Random(1)
     edges = [(i, j, float(rng.randrange(1, 9))) for i in range(24) for j in range(i, 24) if i // 8 == j // 8 or rng.random() < 0.05]
     w = np.ones(24)
     targets = 24 * np.array([0.34, 0.33, 0.33])
-    labels = partition.balanced_kmeans(partition.spectral_coordinates(partition.laplacian(24, edges), 3), w, targets)
+    every = [np.array(c) for c in zip(*edges, strict=True)]
+    labels = partition.balanced_kmeans(partition.spectral_coordinates(partition.laplacian(24, *every), 3), w, targets)
     a, b, x = (np.array(c) for c in zip(*[e for e in edges if e[0] != e[1]], strict=True))
     better = partition.refine(labels, w, a, b, x.astype(float), targets)
-    inner = lambda x: sum(e for a, b, e in edges if x[a] == x[b])
-    assert inner(better) >= inner(labels)
+    assert _cut(edges, better) <= _cut(edges, labels)
     g = spark.createDataFrame(edges, "src long, dst long, w double")
     parts = partition.minimal_leakage(g, spark.createDataFrame([(i, 1) for i in range(24)], "cluster long, w long"), Config().fractions).collect()
     assert len(parts) == 24 and len({r.cluster for r in parts}) == 24
-
-
-def test_partition_without_dense_matrix(spark, monkeypatch):
-    rng = np.random.default_rng(5)
-    group = np.repeat(np.arange(3), 20)
-    pairs = [(i, j) for i in range(60) for j in range(i + 1, 60) if rng.random() < (0.6 if group[i] == group[j] else 0.03)]
-    a, b = map(np.array, zip(*pairs, strict=True))
-    x = np.ones(len(a))
-    dense = partition.spectral_coordinates(partition.laplacian(60, list(zip(a, b, x, strict=True))), 3)
-    sparse = partition.sparse_coordinates(60, a, b, x, 3)
-    assert np.allclose(np.abs(dense.T @ sparse), np.eye(2), atol=0.02)
-    monkeypatch.setattr(partition, "DENSE", 10)
-    g = spark.createDataFrame([(int(i), int(j), 1.0) for i, j in pairs] + [(0, 0, 5.0)], "src long, dst long, w double")
-    parts = {r.cluster: r.part for r in partition.minimal_leakage(g, spark.createDataFrame([(i, 1) for i in range(60)], "cluster long, w long"), (("a", 1 / 3), ("b", 1 / 3), ("c", 1 / 3))).collect()}
-    assert all(len({parts[i] for i in range(60) if group[i] == k}) == 1 for k in range(3)) and len(set(parts.values())) == 3
+    vectors = partition.spectral_coordinates(lap := partition.laplacian(24, *every), 3)
+    assert np.abs(lap @ vectors - vectors * np.einsum("ij,ij->j", vectors, lap @ vectors)).max() < 1e-9
+
+
+def _graphs(n):
+    """Two groups and a hub, degrees of a power law, a chain, and a star with leaves alone."""
+    rng = np.random.default_rng(4)
+    pairs = {(int(a), int(b)) for a, b in np.sort(rng.integers(0, n, (6 * n, 2)), axis=1) if a != b and (a % 2 == b % 2 or rng.random() < 0.05)}
+    yield "hub", [(a, b, 1.0) for a, b in pairs] + [(0, i, 1.0) for i in range(1, n) if (0, i) not in pairs]
+    law = (n * rng.random((4 * n, 2)) ** 3).astype(int)
+    yield "law", [(a, b, float(x)) for (a, b), x in collections.Counter((int(a), int(b)) for a, b in np.sort(law, axis=1)).items()]
+    yield "chain", [(i, i + 1, 1.0) for i in range(n - 1)]
+    yield "star", [(0, i, 1.0) for i in range(1, n // 2)]
+
+
+@pytest.mark.parametrize("graph_name, edges", list(_graphs(420)), ids=lambda x: x if isinstance(x, str) else "")
+def test_partition_by_levels(spark, graph_name, edges):
+    """Every cluster gets a part, parts keep their sizes, and the cut is no more than a twentieth over the dense one's."""
+    n, fractions = 420, (("a", 0.6), ("b", 0.2), ("c", 0.2))
+    weights = spark.createDataFrame([(i, 1 + i % 2) for i in range(n)], "cluster long, w long")
+    frame = spark.createDataFrame([*edges, (3, 3, 50.0)], "src long, dst long, w double")
+    whole, levelled = ({r.cluster: r.part for r in partition.minimal_leakage(frame, weights, fractions, dense=d).collect()} for d in (n, 250))
+    assert sorted(levelled) == sorted(whole) == list(range(n))
+    total = sum(1 + i % 2 for i in range(n))
+    sizes = [{name: sum(1 + i % 2 for i in range(n) if parts[i] == name) / total for name, _ in fractions} for parts in (levelled, whole)]
+    assert all(min(0.7 * share, 0.9 * sizes[1][name]) <= sizes[0][name] <= 1.15 * share for name, share in fractions), sizes
+    assert _cut(edges, levelled) <= 1.05 * _cut(edges, whole) + 1
 
 
 def test_clusters(spark):
