@@ -17,6 +17,7 @@ import json
 import re
 import uuid
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from typing import BinaryIO
 
@@ -35,6 +36,8 @@ _RAW = {k: re.compile(rf"</{k}\s*>", re.I) for k in ("script", "style", "templat
 _BREAKS = frozenset("p div br li ul ol tr table h1 h2 h3 h4 h5 h6 article section nav header footer blockquote pre hr dd dt dl figure form main aside body".split())
 _LINKS = {"a": "href", "link": "href", "img": "src", "script": "src", "iframe": "src"}
 _NAME = re.compile(r"/?[a-zA-Z][\w:-]*")
+#: The rest of a tag: ">" ends it, but not within a quoted value; a quote that never closes is a sign like others.  Nothing is tried twice.
+_REST = re.compile(r"(?:[^>=]++|=\s*+(?:\"[^\"]*\"|'[^']*')?+)*+>")
 _ATTR = re.compile(r"(?<![\w:-])([\w:-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))")
 
 
@@ -48,7 +51,7 @@ def read_page(html: str) -> tuple[str, dict]:
     Comments, head, and the elements whose content is no text are left out, block elements
     break lines, entities are resolved, blanks are squeezed.  A comment or such an element
     that never ends hides the rest; a head ends at its end tag or at body; a tag ends at
-    the next ">", and without one the rest is text.
+    the next ">" outside of a quoted value, and without one the rest is text.
     """
     out: list[str] = []
     found: dict = {"title": None, "lang": None, "metas": [], "links": []}
@@ -69,7 +72,10 @@ def read_page(html: str) -> tuple[str, dict]:
             say(tag, tag + 1)
             at = tag + 1
             continue
-        end = html.find(">", tag + 1)
+        if html[tag + 1] in "!?":
+            end = html.find(">", tag + 1)
+        else:
+            end = whole.end() - 1 if (whole := _REST.match(html, tag + 1)) else -1
         if end < 0:
             say(tag, len(html))
             at = len(html)
@@ -162,71 +168,137 @@ def write_record(headers: dict[str, str], block: bytes, date: str) -> bytes:
     return gzip.compress("\r\n".join(lines).encode() + block + b"\r\n\r\n", mtime=0)
 
 
-def _unpacked(source: BinaryIO, step: int = 1 << 20) -> Iterator[bytes]:
-    """The bytes of a plain or gzip file, member by member, in parts of bounded size."""
+_MAGIC = b"\x1f\x8b\x08"
+
+
+def _unpacked(source: BinaryIO, skipped: Counter, step: int = 1 << 20) -> Iterator[bytes | None]:
+    """The bytes of a plain or gzip file, member by member, in parts of bounded size.  A member that is damaged ends with None, and what is no member is passed over up to the next one."""
     data = source.read(step)
-    if data[:2] != b"\x1f\x8b":
+    if data[:2] != _MAGIC[:2]:
         while data:
             yield data
             data = source.read(step)
         return
-    member = zlib.decompressobj(31)
     while data:
-        yield member.decompress(data, step)
-        data = member.unconsumed_tail
-        if member.eof:
-            data = member.unused_data.lstrip(b"\0")
-            member = zlib.decompressobj(31)
-        data = data or source.read(step)
-
-
-def read_records(source: bytes | BinaryIO) -> Iterator[tuple[dict[str, str], bytes]]:
+        member = zlib.decompressobj(31)
+        while data and not member.eof:
+            try:
+                part = member.decompress(data, step)
+            except zlib.error:
+                skipped["damaged member"] += 1
+                yield None
+                data = data[1:]
+                break
+            if part:
+                yield part
+            data = member.unused_data if member.eof else member.unconsumed_tail or source.read(step)
+        else:
+            if not member.eof:
+                skipped["damaged member"] += 1
+                yield None
+        data = data.lstrip(b"\0") or source.read(step).lstrip(b"\0")
+        if data and not data.startswith(_MAGIC):
+            skipped["bytes between members"] += 1
+            while data and (at := data.find(_MAGIC)) < 0:
+                more = source.read(step)
+                data = data[-2:] + more if more else b""
+            data = data[at:] if data else data
+
+
+_LENGTH = re.compile(r"\d{1,18}", re.A)
+
+
+def read_records(source: bytes | BinaryIO, skipped: Counter | None = None) -> Iterator[tuple[dict[str, str], bytes]]:
     """(headers, block) of every record of a WARC file, gzip members or plain, one record in memory at a time.
 
     Header names keep their spelling but for Content-Length, which is found in any; blanks
     around a value are optional, a line that begins with one goes on with the value before,
-    lines without a colon are skipped.  A record that the file breaks off in is left out.
+    lines without a colon are skipped.  A record that the file or a member breaks off in is left out, and
+    so is what does not begin as a record or has no length in digits: reading goes on at
+    the next line that begins a record.  skipped counts what was left out, by reason.
     """
-    parts, held = _unpacked(io.BytesIO(source) if isinstance(source, bytes) else source), bytearray()
+    skipped = Counter() if skipped is None else skipped
+    parts, held = _unpacked(io.BytesIO(source) if isinstance(source, bytes) else source, skipped), bytearray()
+    broken = False  # a member broke off and what it gave is in held
 
     def filled(until) -> bool:
+        nonlocal broken
         while not until():
-            if (more := next(parts, None)) is None:
+            more = next(parts, b"")
+            broken = more is None
+            if not more:
                 return False
             held.extend(more)
         return True
 
+    def found(mark: bytes):
+        seen = 0
+
+        def look() -> bool:
+            nonlocal seen
+            at = held.find(mark, max(0, seen - len(mark) + 1))
+            seen = len(held) if at < 0 else at
+            return at >= 0
+
+        return (lambda: seen) if filled(look) else None
+
+    def passed_over(reason: str) -> bool:
+        """Drops bytes up to the next line that begins a record; False at the end of the file."""
+        skipped[reason] += 1
+        while not held.startswith(b"WARC/"):
+            if (at := found(b"\nWARC/")) is None:
+                if not broken:
+                    return False
+                held.clear()
+                return True
+            del held[: at() + 1]
+        return True
+
     while True:
         while held[:1] in (b"\r", b"\n"):  # blank lines between records
             del held[:1]
         if not held and not filled(lambda: bool(held)):
+            if broken:
+                continue
             return
         if held[:1] in (b"\r", b"\n"):
             continue
-        seen = 0
-
-        def whole() -> bool:
-            nonlocal seen
-            end = held.find(b"\r\n\r\n", max(0, seen - 3))
-            seen = len(held) if end < 0 else end
-            return end >= 0
-
-        if not filled(whole):
-            return
+        if not filled(lambda: len(held) >= 5) and broken:
+            skipped["cut off"] += 1
+            held.clear()
+            continue
+        if not held.startswith(b"WARC/"):
+            if not passed_over("no record"):
+                return
+            continue
+        if (at := found(b"\r\n\r\n")) is None:
+            skipped["cut off"] += 1
+            if not broken:
+                return
+            held.clear()
+            continue
         headers: dict[str, str] = {}
         name = None
-        for line in held[:seen].decode("utf-8", "replace").split("\r\n")[1:]:
+        for line in held[: at()].decode("utf-8", "replace").split("\r\n")[1:]:
             if line[:1] in (" ", "\t") and name:
                 headers[name] += " " + line.strip()
             elif ":" in line:
                 name, value = (x.strip() for x in line.split(":", 1))
                 headers[name] = value
-        del held[: seen + 4]
-        size = int(next((v for k, v in headers.items() if k.lower() == "content-length"), "0"))
-        if not filled(lambda: len(held) >= size):
-            return
-        block = bytes(held[:size])
-        del held[:size]
+        del held[: at() + 4]
+        size = next((v for k, v in headers.items() if k.lower() == "content-length"), "0")
+        if not _LENGTH.fullmatch(size):
+            if not passed_over("no length"):
+                return
+            continue
+        if not filled(lambda: len(held) >= int(size)):
+            skipped["cut off"] += 1
+            if not broken:
+                return
+            held.clear()
+            continue
+        block = bytes(held[: int(size)])
+        del held[: int(size)]
         yield headers, block
 
 

@@ -392,6 +392,93 @@ def test_warc_reader_and_files(spark, tmp_path):
     assert sorted((h["WARC-Type"], b.decode()) for f in files for h, b in warc.read_records(f.data))[0] == ("conversion", "Hi")
 
 
+def test_damaged_warc_files():
+    """What is damaged is left out and counted; all records around it are read."""
+    record = lambda n, size=None, end=b"\r\n\r\n": b"WARC/1.1\r\nWARC-Type: resource\r\nX-N: %d\r\nContent-Length: %s\r\n\r\n%s" % (n, size or b"4", b"b%03d" % n) + end
+    zipped = lambda data: __import__("gzip").compress(data)
+
+    def read(data):
+        counted = collections.Counter()
+        return [int(h["X-N"]) for h, b in warc.read_records(data, counted)], dict(counted)
+
+    for bad in (b"x", b"-2", b"", b"1e3", "٤".encode()):
+        assert read(record(1) + record(2, bad or b" ") + record(3)) == ([1, 3], {"no length": 1})
+        assert read(zipped(record(1)) + zipped(record(2, bad or b" ")) + zipped(record(3))) == ([1, 3], {"no length": 1})
+    assert read(b"junk\r\n" + record(1) + b"more junk\r\n" + record(2)) == ([1, 2], {"no record": 2})
+    assert read(record(1) + record(2)[:-10]) == ([1], {"cut off": 1}) and read(record(1) + b"WA") == ([1], {"no record": 1})
+    one, two, three = (zipped(record(k)) for k in (1, 2, 3))
+    assert read(one + b"\0" * 7 + two) == ([1, 2], {})
+    assert read(one + b"junk" * 40 + two + b"tail") == ([1, 2], {"bytes between members": 2})
+    assert read(one + two[:-12] + three)[0] in ([1, 3], [1, 2, 3]) and read(one + two[: len(two) // 2])[0] == [1]
+    broken = two[:14] + bytes(255 - b for b in two[14:20]) + two[20:]
+    got, counted = read(one + broken + three)
+    assert got[0] == 1 and got[-1] == 3 and sum(counted.values()) >= 1
+    long = b"WARC/1.1\r\nX-N: 7\r\nContent-Length: %d\r\n\r\n" % (3 << 20) + b"\0" * (3 << 20) + b"\r\n\r\n"
+    assert read(zipped(long[: 1 << 20])[:-8] + zipped(long) + three)[0] == [7, 3]
+
+
+class _Reader(__import__("html.parser").parser.HTMLParser):
+    """Text outside of head and raw elements, links and metas, by the standard library's parser."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=False)
+        self.words, self.links, self.metas, self.raw, self.head = [], [], [], None, False
+
+    def handle_starttag(self, tag, attrs):
+        if self.raw:
+            return
+        if tag == "meta":
+            self.metas.append(sorted((k, v) for k, v in attrs if v))
+        if url := dict(reversed(attrs)).get(warc._LINKS.get(tag)):
+            self.links.append((tag, url))
+        self.raw = tag if tag in warc._RAW else None
+        self.head = tag == "head" or self.head and tag != "body"
+        if tag in warc._BREAKS:
+            self.words.append(" ")
+
+    def handle_startendtag(self, tag, attrs):
+        self.handle_starttag(tag, attrs)
+
+    def handle_endtag(self, tag):
+        if tag == self.raw:
+            self.raw = None
+            self.words.append(" ")
+        elif not self.raw and tag == "head":
+            self.head = False
+        if not self.raw and tag in warc._BREAKS:
+            self.words.append(" ")
+
+    def handle_data(self, data):
+        if not self.raw and not self.head:
+            self.words.append(data)
+
+    def handle_comment(self, data):
+        self.words.append(" ")
+
+    def handle_entityref(self, name):
+        self.handle_data(__import__("html").unescape(f"&{name};"))
+
+    def handle_charref(self, name):
+        self.handle_data(__import__("html").unescape(f"&#{name};"))
+
+
+def test_pages_against_the_standard_parser(spark):
+    """All pages, and tags with signs in quotes, have the words, links and metas that html.parser finds."""
+    import html as entities
+
+    pages = [r.html or "" for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select("html").collect()]
+    pages += ['<p title="a > b">x</p><img alt="1>2" src="u">', "<a href='x>y'>z</a><a title=it's href=q>w</a>", '<p a="<b>" b=\'"\'>t</p >u', '<meta name="a>b" content=\'c"d\'><body>k', '<p title="never closed>x</p>y']
+    for page in pages:
+        reader = _Reader()
+        reader.feed(page)
+        text, found = warc.read_page(page)
+        if "never closed" not in page:
+            assert text.split() == "".join(reader.words).split(), page
+            assert [(x["path"], x["url"]) for x in found["links"]] == [(t, u) for t, u in reader.links], page
+            assert [sorted((k, entities.unescape(v)) for k, v in m.items() if v) for m in found["metas"]] == reader.metas, page
+    assert warc.plain_text(pages[-1]) == "x\ny"
+
+
 def test_malformed_pages_take_linear_time():
     import time
 
