@@ -27,7 +27,7 @@ WINDOW, SLOP = 10, 5
 #: Bytes of text in a block, pairs of window and item in a query, and candidates matched at once.
 BLOCK, QUERY_PAIRS, CANDIDATES = 8 << 20, 200_000, 1 << 19
 
-_INDEX = "block int, n_terms int, n_words int, terms binary, begins binary, positions binary, docs binary, doc_begins binary"
+_INDEX = "block int, n_terms int, n_words int, terms binary, begins binary, positions binary, docs binary, unnamed binary, doc_begins binary"
 _SQUEEZE = pa.Codec("zstd", compression_level=1)
 _LAST = np.iinfo(np.int64).max
 #: Farther than any word of a block.
@@ -49,7 +49,8 @@ def _post(key, table: pa.Table) -> pa.Table:
         "block": pa.array([key[0].as_py()], pa.int32()), "n_terms": pa.array([len(first)], pa.int32()), "n_words": pa.array([len(words)], pa.int32()),
         "terms": pa.array([pack_rising(words[first])], pa.binary()), "begins": pa.array([pack_rising(np.append(first, len(words)).astype(np.uint64))], pa.binary()),
         "positions": pa.array([_SQUEEZE.compress(planes.tobytes(), asbytes=True)], pa.binary()),
-        "docs": pa.array([ids_of(table).tobytes()], pa.binary()), "doc_begins": pa.array([doc_begins.astype(np.int64).tobytes()], pa.binary()),
+        # null ids and the largest one have the same number, so the bits tell which are null
+        "docs": pa.array([ids_of(table).tobytes()], pa.binary()), "unnamed": pa.array([np.packbits(table.column("doc_id").is_null().to_numpy()).tobytes()], pa.binary()), "doc_begins": pa.array([doc_begins.astype(np.int64).tobytes()], pa.binary()),
     })
 
 
@@ -69,6 +70,7 @@ class Postings:
         row = {c: v.as_buffer() if pa.types.is_binary(v.type) else v.as_py() for c, v in cells.items()}
         n, m = row["n_terms"], row["n_words"]
         self.docs, self.doc_begins = np.frombuffer(row["docs"], np.int64), np.frombuffer(row["doc_begins"], np.int64)
+        self.unnamed = np.unpackbits(np.frombuffer(row["unnamed"], np.uint8), count=len(self.docs)).astype(bool)
         self.terms, self.begins = unpack_rising(row["terms"], n), unpack_rising(row["begins"], n + 1).astype(np.int64)
         planes = np.frombuffer(_SQUEEZE.decompress(row["positions"], 4 * m), np.uint8).reshape(4, m)
         self.positions = np.cumsum(np.ascontiguousarray(planes.T).view(np.uint32).ravel(), dtype=np.uint32).astype(np.int32)
@@ -215,7 +217,7 @@ def _lists(values: np.ndarray, owner: np.ndarray, n: int) -> pa.Array:
 def _rows(index: Postings, block: int) -> dict:
     n = len(index.docs)
     return {
-        "block": pa.array([block] * n, pa.int32()), "row": pa.array(np.arange(n), pa.int64()), "doc_id": pa.array(index.docs, pa.int64(), mask=index.docs == _LAST),
+        "block": pa.array([block] * n, pa.int32()), "row": pa.array(np.arange(n), pa.int64()), "doc_id": pa.array(index.docs, pa.int64(), mask=index.unnamed),
         "n_words": pa.array(np.diff(index.doc_begins), pa.int64()),
     }
 
@@ -313,10 +315,12 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW, id_co
     """
     columns = {"items": "array<long>", "spans": "array<struct<start: long, n: long>>"}
     found = _over(build_index(docs, id_col, text_col), items, window, "item_id", "text", lambda postings, block, query: _mark(postings, block, query, None), columns)
-    # spans of one query never overlap, those of several may
-    hit = F.array_distinct(F.flatten(F.transform("spans", lambda s: F.sequence(s["start"], s["start"] + s["n"] - 1))))
+    # spans of one query never overlap, those of several may: by their starts, each adds what lies behind the farthest end so far
+    zero = F.struct(F.lit(0).cast("long").alias("end"), F.lit(0).cast("long").alias("hit"))
+    end = lambda s: F.greatest(s["start"] + s["n"], F.lit(0))
+    hit = F.aggregate(F.array_sort("spans"), zero, lambda a, s: F.struct(F.greatest(a["end"], end(s)).alias("end"), (a["hit"] + F.greatest(F.lit(0), end(s) - F.greatest(a["end"], s["start"]))).alias("hit")), lambda a: a["hit"])
     names = F.array_sort(F.transform(F.array_distinct("items"), lambda i: i.cast("string")))
-    return found.select("doc_id", "n_words", F.size(hit).cast("long").alias("n_hit"), names.alias("items")).select(
+    return found.select("doc_id", "n_words", hit.alias("n_hit"), names.alias("items")).select(
         "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), "items", (F.col("n_hit") > 0).alias("contaminated")
     )
 

@@ -28,7 +28,8 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _remainder(n: int):
-    return F.crc32(F.col("doc_id").cast("string")) % n
+    """A null id has the remainder of an empty one, in every query."""
+    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % n
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

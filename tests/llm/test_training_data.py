@@ -392,6 +392,17 @@ def test_warc_reader_and_files(spark, tmp_path):
     assert sorted((h["WARC-Type"], b.decode()) for f in files for h, b in warc.read_records(f.data))[0] == ("conversion", "Hi")
 
 
+def test_largest_and_null_ids_of_documents(spark, monkeypatch):
+    """2^63 - 1 is an id as any other; several portions whose spans overlap count a word once."""
+    top = (1 << 63) - 1
+    docs = spark.createDataFrame([(top, "a b c d e"), (5, "a b"), (None, "b c d"), (None, None)], "doc_id long, text string")
+    items = spark.createDataFrame([(1, "a b c"), (2, "b c d"), (3, "c"), (4, "c d e"), (5, "e")], "item_id long, text string")
+    for portion in (200_000, 1, 2):
+        monkeypatch.setattr(op2, "QUERY_PAIRS", portion)
+        got = sorted(((r.doc_id, r.n_words, r.n_hit, r.items) for r in op2.decontaminate(docs, items).collect()), key=str)
+        assert got == sorted([(top, 5, 5, ["1", "2", "3", "4", "5"]), (5, 2, 0, []), (None, 3, 3, ["2", "3"]), (None, 0, 0, [])], key=str)
+
+
 def test_damaged_warc_files():
     """What is damaged is left out and counted; all records around it are read."""
     record = lambda n, size=None, end=b"\r\n\r\n": b"WARC/1.1\r\nWARC-Type: resource\r\nX-N: %d\r\nContent-Length: %s\r\n\r\n%s" % (n, size or b"4", b"b%03d" % n) + end
