@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pairloom.operators.keys import positions, seeded
-from pairloom.schema import Database
+from pairloom.operators.cascade import Rule, prune
+from pairloom.operators.keys import positions, saved, seeded
+from pairloom.schema import FOREIGN, Database
 
 
 def random_split(ids: DataFrame, fractions, seed: str) -> DataFrame:
@@ -30,6 +31,11 @@ def smoke_sample(edges: DataFrame, n: int, seed: str) -> DataFrame:
     return own(False).union(own(True))
 
 
+#: What a split keeps: mapped domains at the ends of its interactions, and proteins that its map names.
+RULES = (Rule("domain", ((("ddi", "domain_id_a"), ("ddi", "domain_id_b")), (("domain_protein_map", "domain_id"),))), Rule("protein", ((("domain_protein_map", "protein_id"),),)))
+_SMOKE = (Rule("domain", ((("ddi", "domain_id_a"), ("ddi", "domain_id_b")),)),)
+
+
 def materialize(edges: DataFrame, mapped: DataFrame, keep: DataFrame) -> dict[str, DataFrame]:
     """For all splits at once, from edges (id, a, b), mapped (domain, protein) and keep (id, split).
 
@@ -37,33 +43,19 @@ def materialize(edges: DataFrame, mapped: DataFrame, keep: DataFrame) -> dict[st
     edges, even if all their edges go, as the pruning runs once; proteins are those
     mapped from the domains.
     """
-    first = edges.join(keep, "id")
-    ends = first.select("split", F.explode(F.array("a", "b")).alias("domain")).distinct()
-    domains = ends.join(mapped.select("domain").distinct(), "domain", "left_semi")
-    kept = first
-    for end in ("a", "b"):
-        kept = kept.join(domains.withColumnRenamed("domain", end), ["split", end], "left_semi")
-    pairs = domains.join(mapped.select("domain", "protein"), "domain")
-    return {"edges": kept, "domains": domains, "mapped": pairs, "proteins": pairs.select("split", "protein").distinct()}
+    first = saved(edges.join(keep, "id"))
+    domains = first.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    tables = {"edges": first, "mapped": mapped.select("domain", "protein"), "domains": domains}
+    keys = (("edges", "a", "domains"), ("edges", "b", "domains"), ("mapped", "domain", "domains"))
+    out = prune(tables, keys, (Rule("domains", ((("edges", "a"), ("edges", "b")), (("mapped", "domain"),))),), ("split",))
+    return {"edges": out["edges"], "domains": out["domains"].select("split", F.col("id").alias("domain")), "mapped": out["mapped"], "proteins": out["mapped"].select("split", "protein").distinct()}
 
 
 def split_database(db: Database, keep: DataFrame) -> dict[str, DataFrame]:
     """Every table with a split column; write each partitioned by it."""
-    edges = db.ddi.withColumnsRenamed({"domain_id_a": "a", "domain_id_b": "b"})
-    mapped = db.domain_protein_map.select(F.col("domain_id").alias("domain"), F.col("protein_id").alias("protein"))
-    parts = materialize(edges, mapped, keep)
-    domains, proteins = parts["domains"].withColumnRenamed("domain", "id"), parts["proteins"].withColumnRenamed("protein", "id")
-    ppi = db.ppi.join(proteins.withColumnRenamed("id", "protein_id_a"), "protein_id_a").join(proteins.withColumnRenamed("id", "protein_id_b"), ["split", "protein_id_b"], "left_semi")
-    return {
-        "domain": db.domain.join(domains, "id"), "ddi": parts["edges"].withColumnsRenamed({"a": "domain_id_a", "b": "domain_id_b"}), "domain_go_terms": db.domain_go_terms.join(domains.withColumnRenamed("id", "domain_id"), "domain_id"),
-        "domain_protein_map": db.domain_protein_map.join(domains.withColumnRenamed("id", "domain_id"), "domain_id"), "protein": db.protein.join(proteins, "id"),
-        "protein_go_terms": db.protein_go_terms.join(proteins.withColumnRenamed("id", "protein_id"), "protein_id"), "ppi": ppi,
-    }
+    return prune(db.tables() | {"ddi": saved(db.ddi.join(keep, "id"))}, FOREIGN, RULES, ("split",))
 
 
 def smoke_filter(db: Database, n: int, seed: str) -> Database:
     """The smoke sample of interactions and the domains that they name."""
-    edges = smoke_sample(db.ddi, n, seed)
-    ends = edges.select(F.explode(F.array("domain_id_a", "domain_id_b")).alias("id")).distinct()
-    own = lambda df: df.join(ends.withColumnRenamed("id", "domain_id"), "domain_id", "left_semi")
-    return db.with_(ddi=edges, domain=db.domain.join(ends, "id", "left_semi"), domain_go_terms=own(db.domain_go_terms), domain_protein_map=own(db.domain_protein_map))
+    return db.with_(**prune(db.tables() | {"ddi": saved(smoke_sample(db.ddi, n, seed))}, FOREIGN, _SMOKE))

@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
+import gzip
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pairloom.config import Config
-from pairloom.operators import cluster, embed, graph, keys, matched, negatives, partition, product, split, stats
-from pairloom.plans import pipeline
+from pairloom.operators import cascade, cluster, embed, graph, keys, matched, negatives, partition, product, split, stats
+from pairloom.plans import pipeline, snapshots
 from pairloom.plans.analogs import Analogs
 from pairloom.schema import empty_database
-from pairloom.sources import dump, readers, sinks
+from pairloom.sources import dump, quarantine, readers, sinks
 
 SEED = "42"
 FRACTIONS = (("train", 0.6), ("optimization", 0.2), ("test", 0.2))
@@ -361,8 +363,13 @@ def pair_scores_join(v):
 
 @_query("SELECT s_suppkey AS id, coalesce(len(embedding), 0)::BIGINT AS dims, round(embedding[1]::DOUBLE, 6) AS first FROM supplier LEFT JOIN embeddings ON vec_id = s_suppkey * 7")
 def entities_left_embeddings(v):
-    vectors = v.table("embeddings").select(F.col("vec_id").alias("k"), "embedding")
-    return v.table("supplier").select(F.col("s_suppkey").alias("id"), (F.col("s_suppkey") * 7).alias("k")).join(vectors, "k", "left").select("id", F.coalesce(F.array_size("embedding"), F.lit(0)).cast("long").alias("dims"), F.round(F.get("embedding", F.lit(0)).cast("double"), 6).alias("first"))
+    """Proteins keep a row where they have no vector."""
+    name = lambda c: F.lpad(c.cast("string"), 12, "0")
+    vectors = v.table("embeddings").select(name(F.col("vec_id")).alias("seq_id"), F.array("embedding").alias("embedding"))
+    proteins = v.table("supplier").select(name(F.col("s_suppkey") * 7).alias("accession"), F.lit("M").alias("sequence"))
+    out = pipeline.add_proteins(empty_database(v.spark), proteins, proteins.select(F.col("accession").alias("uniprot_id")), {"prott5": vectors}).protein
+    vector = F.get("prott5_per_residue", F.lit(0))
+    return out.select((F.col("uniprot_id").cast("long") / 7).cast("long").alias("id"), F.coalesce(F.array_size(vector), F.lit(0)).cast("long").alias("dims"), F.round(F.get(vector, F.lit(0)).cast("double"), 6).alias("first"))
 
 
 @_query("SELECT label::BIGINT AS label, d::BIGINT AS d, round(avg(x), 6) AS mean FROM (SELECT label, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) - 1 AS d FROM embeddings) GROUP BY label, d")
@@ -371,25 +378,25 @@ def mean_pool(v):
     return rows.groupBy("label", F.col("d").cast("long").alias("d")).agg(F.round(F.avg(F.col("x").cast("double")), 6).alias("mean"))
 
 
-@_query("SELECT vec_id, round(list_sum(list_transform(embedding[1:1 + vec_id % 64 + 1], lambda x: x::DOUBLE)) / greatest(1, len(embedding[1:1 + vec_id % 64 + 1])), 6) AS mean FROM embeddings")
+@_query("SELECT vec_id, d::BIGINT AS d, round((SELECT avg(embedding[2 * k + d + 1]::DOUBLE) FROM range(0, least(32, vec_id % 32 + 2)) t(k)), 6) AS mean FROM embeddings, range(0, 2) u(d)")
 def masked_mean_pool(v):
-    own = F.slice("embedding", F.lit(1), (F.col("vec_id") % 64 + 2).cast("int"))
-    total = F.aggregate(own, F.lit(0.0), lambda a, x: a + x.cast("double"))
-    return v.table("embeddings").select("vec_id", F.round(total / F.greatest(F.lit(1), F.size(own)), 6).alias("mean"))
+    """A vector as 32 tokens of two numbers, of which the first ones are pooled."""
+    tokens = F.transform(F.sequence(F.lit(0), F.lit(31)), lambda k: F.slice("embedding", 2 * k + 1, F.lit(2)))
+    pooled = v.table("embeddings").select("vec_id", embed.mean_pool(tokens, F.least(F.lit(32), F.col("vec_id") % 32 + 2)).alias("mean"))
+    return pooled.select("vec_id", F.posexplode("mean").alias("d", "x")).select("vec_id", F.col("d").cast("long").alias("d"), F.round("x", 6).alias("mean"))
 
 
 @_query("SELECT DISTINCT '>' || l_partkey || '-' || l_suppkey || chr(10) || p_name AS line FROM lineitem JOIN part ON p_partkey = l_partkey")
 def fasta_lines(v):
     rows = v.mapped().join(v.domain().withColumnRenamed("id", "domain"), "domain")
-    return rows.select(F.concat(F.lit(">"), F.col("domain").cast("string"), F.lit("-"), F.col("protein").cast("string"), F.lit("\n"), "name").alias("line"))
+    return sinks.fasta_records(rows, F.concat(F.col("domain").cast("string"), F.lit("-"), F.col("protein").cast("string")), "name").withColumnRenamed("value", "line")
 
 
 @_query("SELECT 'd' || doc_id AS id, length(regexp_replace(text, '\\s', '', 'g'))::BIGINT AS n FROM documents")
 def parse_fasta_text(v):
-    text = v.table("documents").select(F.concat(F.lit(">x|d"), "doc_id", F.lit("|n\n"), "text").alias("record"))
-    head = F.substring_index("record", "\n", 1)
-    body = F.substring(F.col("record"), F.length(head) + 2, F.length("record"))
-    return text.select(F.split_part(head, F.lit("|"), F.lit(2)).alias("id"), F.length(F.regexp_replace(body, r"\s", "")).cast("long").alias("n"))
+    path = keys.fresh_path(v.spark)
+    sinks.write_fasta(v.table("documents"), F.concat(F.lit("x|d"), "doc_id", F.lit("|n")), "text", path)
+    return readers.fasta(v.spark, path).select(F.col("accession").alias("id"), F.length("sequence").cast("long").alias("n"))
 
 
 @_query("SELECT c_custkey AS id, ((row_number() OVER (ORDER BY c_custkey) - 1) // ceil(count(*) OVER () / least(7, count(*) OVER ()))::BIGINT)::BIGINT AS shard FROM customer")
@@ -667,6 +674,96 @@ def ids_of_named_pairs(v):
     return pipeline.ids_of_pairs(pairs, names)
 
 
+_FAMILY = _EDGES + """, e0 AS (SELECT a, b FROM edges JOIN part x ON x.p_partkey = a JOIN part y ON y.p_partkey = b WHERE x.p_size = y.p_size),
+m0 AS (SELECT l_partkey AS d, min(l_suppkey) AS p FROM lineitem JOIN part ON p_partkey = l_partkey WHERE p_size > 7 GROUP BY 1),
+l0 AS (SELECT x.s_suppkey AS a, y.s_suppkey AS b FROM supplier x JOIN supplier y ON x.s_nationkey = y.s_nationkey AND x.s_suppkey < y.s_suppkey WHERE x.s_acctbal > 4000 AND y.s_acctbal > 4000)"""
+
+
+def _family_sql(rounds: int, tail: str) -> str:
+    """So many rounds of both rules, each after the other."""
+    sql = _FAMILY
+    for k in range(rounds):
+        sql += f""", d{k} AS MATERIALIZED ((SELECT a AS d FROM e{k} UNION SELECT b FROM e{k}) INTERSECT SELECT d FROM m{k}), n{k} AS MATERIALIZED (SELECT * FROM m{k} SEMI JOIN d{k} USING (d)),
+p{k} AS MATERIALIZED (SELECT p FROM n{k} INTERSECT (SELECT a FROM l{k} UNION SELECT b FROM l{k})), e{k + 1} AS MATERIALIZED (SELECT * FROM e{k} WHERE a IN (FROM d{k}) AND b IN (FROM d{k})),
+m{k + 1} AS MATERIALIZED (SELECT * FROM n{k} SEMI JOIN p{k} USING (p)), l{k + 1} AS MATERIALIZED (SELECT * FROM l{k} WHERE a IN (FROM p{k}) AND b IN (FROM p{k}))"""
+    return f"WITH {sql} {tail.format(k=rounds)}"
+
+
+def _family(v, fixpoint: bool) -> dict:
+    """Interactions of parts of one size, the first supplier of each part, and links of rich suppliers of one nation."""
+    part, rich = v.table("part"), v.table("supplier").filter("s_acctbal > 4000")
+    size = lambda c: part.select(F.col("p_partkey").alias(c), F.col("p_size").alias(f"z{c}"))
+    edges = v.edges().join(size("a"), "a").join(size("b"), "b").filter("za = zb").select("a", "b")
+    homes = v.table("lineitem").join(part.filter("p_size > 7").select(F.col("p_partkey").alias("l_partkey")), "l_partkey", "left_semi").groupBy(F.col("l_partkey").alias("d")).agg(F.min("l_suppkey").alias("p"))
+    end = lambda c: rich.select(F.col("s_suppkey").alias(c), "s_nationkey")
+    links = end("a").join(end("b"), "s_nationkey").filter("a < b").select("a", "b")
+    tables = {"ddi": edges, "map": homes, "links": links, "domain": part.select(F.col("p_partkey").alias("id")), "protein": v.table("supplier").select(F.col("s_suppkey").alias("id"))}
+    tables = {name: keys.saved(df) for name, df in tables.items()}
+    refers = (("ddi", "a", "domain"), ("ddi", "b", "domain"), ("map", "d", "domain"), ("map", "p", "protein"), ("links", "a", "protein"), ("links", "b", "protein"))
+    rules = (cascade.Rule("domain", ((("ddi", "a"), ("ddi", "b")), (("map", "d"),))), cascade.Rule("protein", ((("map", "p"),), (("links", "a"), ("links", "b")))))
+    return cascade.prune(tables, refers, rules, fixpoint=fixpoint)
+
+
+@_query(_family_sql(1, "SELECT a, b FROM e{k}"))
+def cascade_once(v):
+    """A run of the rules leaves interactions whose domains lost their map after them."""
+    return _family(v, False)["ddi"]
+
+
+@_query(_family_sql(12, "SELECT 'ddi' AS kind, a, b FROM e{k} UNION ALL SELECT 'map', d, p FROM m{k} UNION ALL SELECT 'link', a, b FROM l{k}"))
+def cascade_fixpoint(v):
+    """Rules until nothing more goes."""
+    out = _family(v, True)
+    rows = lambda kind, name, *c: out[name].select(F.lit(kind).alias("kind"), F.col(c[0]).alias("a"), F.col(c[1]).alias("b"))
+    return rows("ddi", "ddi", "a", "b").union(rows("map", "map", "d", "p")).union(rows("link", "links", "a", "b"))
+
+
+@_query(f"""WITH {_RAW}, first AS (SELECT a, b, min(priority) AS p FROM raw GROUP BY a, b), ends AS (SELECT node, min(part) AS part FROM (SELECT a AS node, (p > 0)::INT AS part FROM first UNION ALL SELECT b, (p > 0)::INT FROM first) GROUP BY node),
+domain AS (SELECT row_number() OVER (ORDER BY part, 'N' || node) AS id, node FROM ends)
+SELECT row_number() OVER (ORDER BY p > 0, p, x.id, y.id) AS id, x.id AS a, y.id AS b, p > 0 AS negative FROM first JOIN domain x ON x.node = first.a JOIN domain y ON y.node = first.b""")
+def upsert_two_parts(v):
+    """Positive pairs in a first commit, all pairs in a second: old ids stay, the first writer wins."""
+    name = lambda c: F.concat(F.lit("N"), c).alias(c)
+    source = F.element_at(F.array(F.lit("3did"), F.lit("negatome"), F.lit("y2h_ms")), F.col("p") + 1)
+    pairs = v.raw_pairs().select(name("a"), name("b"), F.col("priority").alias("p")).withColumn("negative", F.col("p") > 0).withColumn("source", source)
+    store = snapshots.Snapshots(v.spark, keys.fresh_path(v.spark))
+    pairs = keys.saved(pairs.select("a", "b", "negative", "source", "p"))
+    for part in (pairs.filter("p = 0"), pairs):
+        snapshots.ingest_pairs(store, part)
+    return store.read("ddi").select("id", "a", "b", "negative")
+
+
+_FILES = "WITH lines AS (SELECT '/in/PF' || p_size || '.sto.gz' AS file, p_size % 7 = 0 AS broken, length(replace(p_name, ' ', '')) > 0 AS good FROM part WHERE p_size > 0)"
+
+
+def _alignment_files(v) -> DataFrame:
+    """(path, content): a gzip file of alignment lines for each size of parts; every seventh is cut off."""
+    place = F.concat(F.translate("p_name", " ", "_"), F.lit("/1-9  "), F.translate("p_name", " ", "."))
+    texts = v.table("part").filter("p_size > 0").groupBy("p_size").agg(F.array_join(F.array_sort(F.collect_list(place)), "\n").alias("text"))
+
+    def pack(batches):
+        for batch in batches:
+            sizes, data = batch.column(0).to_pylist(), [gzip.compress(t.encode(), mtime=0) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_pydict({"path": pa.array([f"/in/PF{s}.sto.gz" for s in sizes], pa.string()), "content": pa.array([d[:-12] if s % 7 == 0 else d for s, d in zip(sizes, data, strict=True)], pa.binary())})
+
+    return texts.mapInArrow(pack, "path string, content binary")
+
+
+@_query(_FILES + " SELECT file, count(*) FILTER (good AND NOT broken) AS n_rows, bool_or(broken) AS broken FROM lines GROUP BY file")
+def quarantined_alignments(v):
+    """Rows that each file gives; a broken one gives none, and is named."""
+    lines, broken = quarantine.read_lines(_alignment_files(v))
+    found = readers.parse_stockholm(lines).select(F.concat(F.lit("/in/"), "pfam_id", F.lit(".sto.gz")).alias("file")).groupBy("file").agg(F.count("*").alias("n_rows"))
+    every = found.join(broken.select("file", "reason"), "file", "full")
+    return every.select("file", F.coalesce("n_rows", F.lit(0)).cast("long").alias("n_rows"), F.col("reason").isNotNull().alias("broken"))
+
+
+@_query(f"WITH {_EDGES}, ends AS (SELECT a AS domain FROM edges UNION ALL SELECT b FROM edges WHERE a <> b) SELECT domain, count(*) AS n FROM ends WHERE domain IN (SELECT p_partkey FROM part WHERE p_size <= 7 UNION SELECT a FROM edges UNION SELECT b FROM edges) AND domain NOT IN (SELECT l_partkey FROM lineitem JOIN part ON p_partkey = l_partkey WHERE p_size > 7) GROUP BY domain")
+def unmapped_endpoints(v):
+    """Ends of interactions without a row in the map, and the interactions that a split drops for it."""
+    return quarantine.unmapped_endpoints(v.edges(), v.aligned())
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(_QUERIES)
 

@@ -25,6 +25,13 @@ UNIQUE = {
 }
 
 
+#: References (child, column, parent): a row goes with the row that it refers to.
+FOREIGN = (
+    ("ddi", "domain_id_a", "domain"), ("ddi", "domain_id_b", "domain"), ("domain_go_terms", "domain_id", "domain"), ("domain_protein_map", "domain_id", "domain"), ("domain_protein_map", "protein_id", "protein"),
+    ("protein_go_terms", "protein_id", "protein"), ("ppi", "protein_id_a", "protein"), ("ppi", "protein_id_b", "protein"),
+)
+
+
 @dataclass(frozen=True)
 class Database:
     """Immutable: each step returns another one."""
@@ -74,7 +81,7 @@ def check(db: Database) -> None:
     for name, rules in UNIQUE.items():
         for keys in rules:
             require_unique(getattr(db, name), keys)
-    for table, column, parent in (("ddi", "domain_id_a", "domain"), ("ddi", "domain_id_b", "domain"), ("domain_protein_map", "domain_id", "domain"), ("domain_protein_map", "protein_id", "protein"), ("ppi", "protein_id_a", "protein"), ("ppi", "protein_id_b", "protein"), ("domain_go_terms", "domain_id", "domain"), ("protein_go_terms", "protein_id", "protein")):
+    for table, column, parent in FOREIGN:
         lost = getattr(db, table).filter(F.col(column).isNotNull()).join(getattr(db, parent).select(F.col("id").alias(column)), column, "left_anti").take(1)
         if lost:
             raise ValueError(f"{table}.{column} has no {parent}: {lost[0]}")
