@@ -88,6 +88,18 @@ def align_many(a: list[bytes], b: list[bytes]) -> np.ndarray:
     return np.where(best > 0, np.stack([best & low, la, lb]) / some, 0.0).T
 
 
+def align_all(a: list[bytes], b: list[bytes]) -> np.ndarray:
+    """align_many() for pairs that fit into its cells, align() for the few that are longer."""
+    long = np.array([max(len(x), len(y)) > LONGEST for x, y in zip(a, b, strict=True)], bool)
+    out = np.zeros((len(a), 3))
+    if not long.all():
+        fit = np.flatnonzero(~long)
+        out[fit] = align_many([a[k] for k in fit], [b[k] for k in fit])
+    for k in np.flatnonzero(long):
+        out[k] = align(a[k].decode(), b[k].decode())
+    return out
+
+
 def similar_pairs(seqs: DataFrame, identity: float, coverage: float) -> DataFrame:
     """(a, b), a < b, of seqs (id, seq) that reach identity and coverage of both; none is left out.
 
@@ -123,11 +135,7 @@ def similar_pairs(seqs: DataFrame, identity: float, coverage: float) -> DataFram
         for at in range(0, len(good), AT_ONCE):
             p, q = pairs[:, at : at + AT_ONCE]
             some, other = [letters[k] for k in np.where(ids[p] < ids[q], p, q)], [letters[k] for k in np.where(ids[p] < ids[q], q, p)]
-            if max(map(len, some + other)) <= LONGEST:
-                values = align_many(some, other)
-            else:
-                values = np.array([align(a.decode(), b.decode()) for a, b in zip(some, other, strict=True)])
-            good[at : at + AT_ONCE] = (values >= (identity, coverage, coverage)).all(axis=1)
+            good[at : at + AT_ONCE] = (align_all(some, other) >= (identity, coverage, coverage)).all(axis=1)
         ends = np.sort(ids[pairs[:, good]], axis=0)
         return pa.table({"a": ends[0], "b": ends[1]})
 

@@ -10,11 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pairloom.config import Config
-from pairloom.operators import cascade, cluster, embed, graph, keys, matched, negatives, partition, product, split, stats
+from pairloom.operators import cascade, cluster, embed, graph, keys, leakage, matched, negatives, partition, product, split, stats
 from pairloom.plans import pipeline, snapshots
 from pairloom.plans.analogs import Analogs
-from pairloom.schema import empty_database
-from pairloom.sources import dump, quarantine, readers, sinks
+from pairloom.schema import Database, check, empty_database
+from pairloom.sources import dump, quarantine, readers, sinks, staging
 
 SEED = "42"
 FRACTIONS = (("train", 0.6), ("optimization", 0.2), ("test", 0.2))
@@ -436,6 +436,20 @@ def spectral_partition(v):
     return partition.minimal_leakage(graph.cluster_graph(v.stored_edges(), v.clusters()), graph.cluster_weights(v.clusters()), FRACTIONS)
 
 
+@_query(f"WITH {_EDGES} SELECT (SELECT count(*) FROM part) AS n_clusters, (SELECT count(*) FROM edges WHERE a <> b) AS n_edges, 3::BIGINT AS n_parts, true AS balanced, true AS better")
+def partition_by_levels(v):
+    """Parts as clusters of their own, partitioned over merged levels: all are placed, no part is over a seventh too large, and less is cut than by chance."""
+    weights = v.table("part").select(F.col("p_partkey").alias("cluster"), F.lit(1).alias("w"))
+    g = keys.saved(graph.cluster_graph(v.stored_edges(), weights.select(F.col("cluster").alias("domain"), "cluster")).filter("src <> dst"))
+    parts = keys.saved(partition.minimal_leakage(g, weights, FRACTIONS, dense=500))
+    sizes, share = parts.groupBy("part").agg(F.count("*").alias("n")), F.create_map(*[F.lit(x) for f in FRACTIONS for x in f])
+    total = sizes.agg(F.sum("n").alias("n_clusters"), F.count("*").alias("n_parts"), F.collect_list(F.struct("part", "n")).alias("each"))
+    balanced = F.forall("each", lambda x: x["n"] <= 8 / 7 * share[x["part"]] * F.col("n_clusters"))
+    by_chance = 1 - sum(f * f for _, f in FRACTIONS)
+    cut = graph.cut(g, parts).select((F.col("internal") + F.col("cut")).alias("n_edges"), (F.col("cut") < by_chance * (F.col("internal") + F.col("cut"))).alias("better"))
+    return total.crossJoin(F.broadcast(cut)).select("n_clusters", "n_edges", "n_parts", balanced.alias("balanced"), "better")
+
+
 @_query()
 def easy_cluster(v):
     seqs = v.domain().select("id", F.translate("name", " ", "").alias("seq"))
@@ -518,18 +532,24 @@ def map_with_vectors(v):
     return out.select("domain_id", "protein_id", F.col("start_pos").cast("long").alias("start_pos"), F.col("end_pos").cast("long").alias("end_pos"), F.coalesce(F.array_size("esm3_per_domain"), F.lit(0)).cast("long").alias("dims"))
 
 
-@_query(f"""WITH {_EDGES}, named AS (SELECT 'PF' || lpad(p_partkey::VARCHAR, 5, '0') AS pfam_id, p_partkey AS k, p_size > 7 AS has FROM part),
+_NAMED = _EDGES + """, named AS (SELECT 'PF' || lpad(p_partkey::VARCHAR, 5, '0') AS pfam_id, p_partkey AS k, p_size > 7 AS has FROM part),
 pool AS (SELECT pfam_id, 0 AS p FROM named WHERE has UNION SELECT pfam_id, 1 FROM named WHERE NOT has AND k IN (SELECT a FROM edges WHERE source = 'negatome' UNION SELECT b FROM edges WHERE source = 'negatome')),
-domain AS (SELECT row_number() OVER (ORDER BY p, pfam_id) AS id, pfam_id FROM pool), ids AS (SELECT id, k FROM domain JOIN named USING (pfam_id))
-SELECT row_number() OVER (ORDER BY negative, x.id, y.id) AS id, x.id AS domain_id_a, y.id AS domain_id_b, negative, source FROM edges JOIN ids x ON x.k = a JOIN ids y ON y.k = b WHERE source <> 'y2h_ms'""")
+domain AS (SELECT row_number() OVER (ORDER BY p, pfam_id) AS id, pfam_id FROM pool), ids AS (SELECT id, k FROM domain JOIN named USING (pfam_id))"""
+
+
+@_query(f"""WITH {_NAMED} SELECT row_number() OVER (ORDER BY negative, x.id, y.id) AS id, x.id AS domain_id_a, y.id AS domain_id_b, negative, source FROM edges JOIN ids x ON x.k = a JOIN ids y ON y.k = b WHERE source <> 'y2h_ms'""")
 def ingest_named_pairs(v):
+    return _named_database(v).ddi
+
+
+def _named_database(v):
     name = lambda c: F.concat(F.lit("n"), c)
     pfam = lambda c: F.concat(F.lit("PF"), F.lpad(F.col(c).cast("string"), 5, "0"))
     edges = v.edges()
     positives = edges.filter("NOT negative").select(name("a").alias("domain1"), name("b").alias("domain2"))
     names = v.table("part").select(name("p_partkey").alias("Name"), F.concat(pfam("p_partkey"), F.lit(".3")).alias("Pfam_id"))
     lengths = v.table("part").filter("p_size > 7").select(name("p_partkey").alias("domain"))
-    return pipeline.ingest(empty_database(v.spark), positives, names, lengths, edges.filter("source = 'negatome'").select(pfam("a").alias("a"), pfam("b").alias("b"))).ddi
+    return pipeline.ingest(empty_database(v.spark), positives, names, lengths, edges.filter("source = 'negatome'").select(pfam("a").alias("a"), pfam("b").alias("b")))
 
 
 @_query(f"""WITH {_RAW}, {_TESTED}, {_GENES} SELECT (SELECT count(*) FROM raw WHERE priority = 2) AS n_rows, (SELECT count(*) FROM tested) AS n_tested, (SELECT count(*) FROM (SELECT bait FROM tested UNION SELECT prey FROM tested)) AS n_genes,
@@ -764,6 +784,68 @@ def unmapped_endpoints(v):
     return quarantine.unmapped_endpoints(v.edges(), v.aligned())
 
 
+@_query(f"""WITH {_NAMED} SELECT 'domain' AS name, (SELECT count(*) FROM domain) AS n, (SELECT sum(id) FROM domain)::BIGINT AS ids
+UNION ALL SELECT 'ddi', count(*), (count(*) * (count(*) + 1) // 2)::BIGINT FROM edges JOIN ids x ON x.k = a JOIN ids y ON y.k = b WHERE source <> 'y2h_ms' UNION ALL SELECT 'ppi', 0, 0""")
+def database_round_trip(v):
+    """A database written, read with its schema, and checked."""
+    path = keys.fresh_path(v.spark)
+    _named_database(v).write(path)
+    db = Database.read(v.spark, path)
+    check(db)
+    total = lambda name, column: getattr(db, name).agg(F.lit(name).alias("name"), F.count("*").alias("n"), F.coalesce(F.sum(column), F.lit(0)).cast("long").alias("ids"))
+    return total("domain", "id").union(total("ddi", "id")).union(total("ppi", "protein_id_a"))
+
+
+@_query("SELECT c_custkey::VARCHAR AS id, 'mem://x/' || c_custkey || '.gz' AS url, CASE WHEN c_custkey % 7 <> 0 THEN 'file ' || c_custkey END AS content, c_custkey % 7 = 0 AS failed FROM customer")
+def staged_files(v):
+    """One fetch an id, by a function that has some of them fail."""
+
+    def fetch(url: str) -> bytes:
+        key = url.rsplit("/", 1)[1].removesuffix(".gz")
+        if int(key) % 7 == 0:
+            raise OSError(f"no {key}")
+        return f"file {key}".encode()
+
+    found = staging.fetched(v.table("customer").select(F.col("c_custkey").alias("id")), "mem://x/{id}.gz", fetch, wait=lambda s: None)
+    return staging.require_some(keys.saved(found.select("id", "url", "content", "error"))).unionByName(found.filter("error is not null")).select("id", "url", F.col("content").cast("string").alias("content"), F.col("error").isNotNull().alias("failed"))
+
+
+@_query("SELECT 'v' || vec_id AS seq_id, len(embedding)::BIGINT AS dims, round(embedding[1]::DOUBLE, 6) AS first FROM embeddings")
+def embeddings_joined(v):
+    """Parts of a model's output in one; a key in two parts would be an error."""
+    rows = v.table("embeddings").select(F.concat(F.lit("v"), "vec_id").alias("seq_id"), "embedding", "label")
+    out = readers.join_embeddings(*[rows.filter(test).drop("label") for test in ("label < 3", "label >= 3 AND label < 7", "label >= 7")])
+    return out.select("seq_id", F.size("embedding").cast("long").alias("dims"), F.round(F.col("embedding")[0].cast("double"), 6).alias("first"))
+
+
+@_query("SELECT DISTINCT p_brand AS process, 't' || p_size AS tool, 'v' || p_size % 9 AS version FROM part")
+def tool_versions(v):
+    """Versions of several runs, each once, by process."""
+    rows = v.table("part").select(F.col("p_brand").alias("process"), F.concat(F.lit("t"), "p_size").alias("tool"), F.concat(F.lit("v"), F.col("p_size") % 9).alias("version"), "p_size")
+    out = sinks.versions_of(rows.filter("p_size > 20").drop("p_size"), rows.drop("p_size"))
+    return out.select("process", F.explode("versions").alias("tool", "version"))
+
+
+_PLACED = _PRUNE + f", placed_seq AS (SELECT DISTINCT d.split, d.domain AS id, {_SEQ} AS seq FROM domains d JOIN part ON p_partkey = d.domain)"
+
+
+def _placed(v):
+    seqs = v.domain().select("id", F.upper(F.translate("name", " ", "")).alias("seq"))
+    return seqs, _pruned(v)["domains"].withColumnRenamed("domain", "id")
+
+
+@_query(f"WITH {_PLACED} SELECT x.split AS split_a, y.split AS split_b, count(*) AS pairs FROM placed_seq x JOIN placed_seq y ON x.seq = y.seq AND (x.split, x.id) < (y.split, y.id) GROUP BY 1, 2")
+def split_equal_sequences(v):
+    """Pairs of domains with equal sequences within and across the random splits."""
+    return leakage.similar_across(*_placed(v), identity=1.0, coverage=1.0)
+
+
+@_query()
+def split_similar_sequences(v):
+    """Pairs of like sequences within and across the random splits."""
+    return leakage.similar_across(*_placed(v))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(_QUERIES)
 

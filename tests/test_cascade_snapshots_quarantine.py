@@ -158,3 +158,33 @@ def test_quarantine(spark, tmp_path):
         assert found.pop("good.txt") == 2 and (0 < found.pop("bad.gz", 0) < 20_000) == keep and not found
         assert [(r.file, r.reason) for r in broken.select(name, "reason").collect()] == [("bad.gz", "cut off")] and broken.first().offset == len(bad)
         assert [r.value for r in lines.filter(name == "good.txt").orderBy("line_no").collect()] == ["a", "b"]
+
+
+@pytest.mark.parametrize("identity, coverage", [(1.0, 1.0), (0.4, 0.8)])
+def test_similar_sequences_across_splits(spark, identity, coverage):
+    """Members of all splits, pair by pair, through the aligner alone; an id in two splits is like itself."""
+    import collections
+
+    from pairloom.operators import cluster, leakage
+
+    rng = random.Random(3)
+    base = ["".join(rng.choice("ACDEFG") for _ in range(30)) for _ in range(3)]
+    seqs = [(i, rng.choice([*base, base[0][:25] + "A" * 5, base[1][3:], "", None, "W" * 20])) for i in range(24)]
+    placed = [(i, rng.choice("xyz")) for i in range(24)] + [(i, "x") for i in range(6)] + [(3, "x"), (99, "y")]
+    text, want = dict(seqs), collections.Counter()
+    members = sorted({(s, i) for i, s in placed if text.get(i)})
+    for k, (s, i) in enumerate(members):
+        for r, j in members[k + 1 :]:
+            a, b = (text[i], text[j]) if (text[i] == text[j] or i < j) else (text[j], text[i])
+            score = cluster.align(a, b)
+            want[s, r] += score[0] >= identity and min(score[1:]) >= coverage
+    got = leakage.similar_across(spark.createDataFrame(seqs, "id long, seq string"), spark.createDataFrame(placed, "id long, split string"), identity, coverage)
+    assert {(r.split_a, r.split_b): r.pairs for r in got.collect()} == {k: n for k, n in want.items() if n}
+
+
+def test_long_sequences_beside_short_ones(monkeypatch):
+    from pairloom.operators import cluster
+
+    monkeypatch.setattr(cluster, "LONGEST", 12)
+    a, b = [b"ACDEFG", b"ACDEFGHIKLMNPQ", b"AC", b""], [b"ACDFG", b"ACDEFGHIKLMNP", b"ACDEFGHIKLMNPQRS", b"AC"]
+    assert [tuple(x) for x in cluster.align_all(a, b).tolist()] == [cluster.align(x.decode(), y.decode()) for x, y in zip(a, b, strict=True)]
