@@ -2,8 +2,10 @@
 
 Of all K-word pieces those are kept whose smallest S-word piece, by hash, is the first or the
 last within: a choice that looks at nothing around the piece, so equal passages give equal
-anchors wherever they stand.  A fingerprint holds each kept piece's position and hash, so that
-two documents can be laid beside each other; likeness compares the sets of hashes.
+anchors wherever they stand.  Any K - S + 1 pieces in a row have one that is kept, so the step from
+one anchor to the next fits into a hexadecimal digit.  A fingerprint is a digit for the step and
+eight for the hash of each anchor, packed to text; likeness compares the sets of hashes, and
+anchors with equal hashes at equal positions show how far two documents run beside each other.
 """
 
 from __future__ import annotations
@@ -14,7 +16,9 @@ from pyspark.sql import functions as F
 from pairloom.llm.shared import RANGE_BYTES, n_blocks, settled, spread, text_bytes
 
 #: Words of a piece and of the inner pieces that decide.
-K, S = 5, 2
+K, S = 8, 2
+#: Bits of an anchor's hash.
+BITS = 32
 #: Id ranges, at most, and sampled rows for the bounds of each.
 RANGES, SAMPLES = 1 << 16, 20
 
@@ -27,12 +31,13 @@ def _let(value: Column, then) -> Column:
 def anchors(text: Column) -> Column:
     """Array of (position, hash) of the closed syncmers of a text, in order; position counts words.
 
-    Words stand between runs of ASCII white space.  A text of fewer than K words, but not
-    none, has all of it as its one anchor; null, empty and blank texts have none.
+    Words stand between runs of ASCII white space.  A text with words but without a closed
+    syncmer, which has few, has all of it as its one anchor; null, empty and blank texts have none.
     """
     words = F.filter(F.split(F.coalesce(text, F.lit("")), "[ \\t-\\r]+"), lambda w: w != "")
     hashes = F.transform(words, lambda w: F.xxhash64(w))
     inner = K - S  # the last inner piece's index
+    cut = F.lit((1 << BITS) - 1)
 
     def chosen(h: Column) -> Column:
         n = F.size(h)
@@ -42,11 +47,12 @@ def anchors(text: Column) -> Column:
             edge = lambda i: F.least(F.get(g, i), F.get(g, i + inner))
             middle = lambda i: F.least(*[F.get(g, i + d) for d in range(1, inner)])
             at = F.filter(F.sequence(F.lit(0), n - K), lambda i: edge(i) <= middle(i))
-            return F.transform(at, lambda i: F.struct(i.alias("position"), F.xxhash64(*[F.get(h, i + d) for d in range(K)]).alias("hash")))
+            return F.transform(at, lambda i: F.struct(i.alias("position"), F.xxhash64(*[F.get(h, i + d) for d in range(K)]).bitwiseAND(cut).alias("hash")))
 
         none = F.array().cast("array<struct<position:int,hash:bigint>>")
-        whole = F.array(F.struct(F.lit(0).alias("position"), F.xxhash64(h).alias("hash")))
-        return F.when(n >= K, _let(small, pick)).when(n > 0, whole).otherwise(none)
+        whole = F.array(F.struct(F.lit(0).alias("position"), F.xxhash64(h).bitwiseAND(cut).alias("hash")))
+        kept = lambda found: F.when(F.size(found) > 0, found).otherwise(whole)
+        return F.when(n >= K, _let(_let(small, pick), kept)).when(n > 0, whole).otherwise(none)
 
     return _let(hashes, chosen)
 
@@ -64,8 +70,27 @@ def likeness(a: Column, b: Column) -> Column:
 
 
 def as_string(fp: Column) -> Column:
-    """position:hash of each anchor, in order."""
-    return F.array_join(F.transform(fp, lambda a: F.concat(a["position"].cast("string"), F.lit(":"), F.lower(F.hex(a["hash"])))), ",")
+    """The anchors in order, nine hexadecimal digits each (step, hash), as base64; read_string() reads them."""
+    step = lambda a, i: a["position"] - F.when(i > 0, F.get(fp, i - 1)["position"]).otherwise(0)
+    digits = F.array_join(F.transform(fp, lambda a, i: F.concat(F.lower(F.hex(step(a, i))), F.lpad(F.lower(F.hex(a["hash"])), BITS // 4, "0"))), "")
+    return F.base64(F.unhex(F.concat(digits, F.when(F.length(digits) % 2 == 1, "0").otherwise(""))))
+
+
+def read_string(text: Column) -> Column:
+    """The (step, hash) of each anchor of a string of as_string()."""
+    digits, each = F.hex(F.unbase64(text)), 1 + BITS // 4
+    number = lambda at, n: F.conv(F.substring(digits, at, n), 16, 10).cast("long")
+    count = F.floor(F.length(digits) / each).cast("int")
+    # an odd number of digits was filled up with one
+    at = F.when(count > 0, F.sequence(F.lit(0), count - 1)).otherwise(F.array().cast("array<int>"))
+    return F.transform(at, lambda i: F.struct(number(i * each + 1, F.lit(1)).alias("step"), number(i * each + 2, F.lit(BITS // 4)).alias("hash")))
+
+
+def beside(a: Column, b: Column) -> Column:
+    """Words from the start on that the anchors of both show to be the same: up to the end of the last anchor before the first that differs in position or hash."""
+    differ = F.array_position(F.zip_with(a, b, lambda x, y: x.eqNullSafe(y)), False)
+    same = F.when(differ > 0, differ - 1).otherwise(F.size(a)).cast("int")
+    return F.when(same > 0, F.get(a, same - 1)["position"] + K).otherwise(0).cast("long")
 
 
 def with_next(docs: DataFrame) -> DataFrame:
@@ -115,12 +140,12 @@ def _place(id_: Column, h: Column, bounds: list[tuple[int, int]]) -> Column:
 
 
 def fingerprint_edits(docs: DataFrame) -> DataFrame:
-    """One row per document: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next.
+    """One row per document: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next, words_kept.
 
     The edited text has its last floor(n_chars / 2) code points replaced by the first as
-    many (or all) of the next document; see with_next() for the order.  Fingerprints are
-    given as position:hash (hexadecimal) with commas between.  Other columns are ignored; an empty
-    table gives no rows.
+    many (or all) of the next document; see with_next() for the order.  Fingerprints are strings
+    of as_string(), empty without words.  words_kept is beside() of both; a text that is its own
+    one anchor counts as K words.  Other columns are ignored; an empty table gives no rows.
     """
     settled(docs.sparkSession)
     pairs = with_next(docs)
@@ -130,7 +155,7 @@ def fingerprint_edits(docs: DataFrame) -> DataFrame:
     out = out.withColumn("edited_fp", anchors(F.col("edited"))).withColumn("own", hashes(F.col("fp")))
     return out.select(
         "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), as_string(F.col("fp")).alias("fingerprint"), as_string(F.col("edited_fp")).alias("edited_fingerprint"),
-        likeness(F.col("own"), hashes(F.col("edited_fp"))).alias("near_edited"), likeness(F.col("own"), hashes(F.col("next_fp"))).alias("near_next"),
+        likeness(F.col("own"), hashes(F.col("edited_fp"))).alias("near_edited"), likeness(F.col("own"), hashes(F.col("next_fp"))).alias("near_next"), beside(F.col("fp"), F.col("edited_fp")).alias("words_kept"),
     )
 
 

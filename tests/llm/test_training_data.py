@@ -215,26 +215,47 @@ def test_windows_of_frequent_words_take_bounded_memory():
 
 
 def test_fingerprints(docs, odd, none, rows, spark):
+    import base64
+
     got = {r.doc_id: r for r in fingerprints.fingerprint_edits(docs).collect()}
+
+    def parsed(fp):
+        digits = base64.b64decode(fp).hex()
+        return [(int(digits[k], 16), int(digits[k + 1 : k + 9], 16)) for k in range(0, len(digits) - 8, 9)]
+
+    of = lambda fp: {h for _, h in parsed(fp)}
     for k, (i, text, *_) in enumerate(rows):
         text, after = text or "", rows[(k + 1) % len(rows)][1] or ""
         half = len(text) // 2
         edited = text[: len(text) - half] + after[:half]
-        of = lambda fp: {x.split(":")[1] for x in fp.split(",") if x}
         own, r, there = of(got[i].fingerprint), got[i], of(got[i].edited_fingerprint)
         other = of(got[rows[(k + 1) % len(rows)][0]].fingerprint)
         assert (r.n_chars, r.edited_sha256) == (len(text), hashlib.sha256(edited.encode()).hexdigest())
         assert r.near_next == pytest.approx(len(own & other) / len(own | other) if own | other else 1.0)
         assert r.near_edited == pytest.approx(len(own & there) / len(own | there) if own | there else 1.0)
     assert got[9].fingerprint == got[10].fingerprint and got[0].fingerprint == "" and got[3].fingerprint
-    # the choice of anchors, by brute force
-    text = rows[20][1]
-    h = spark.createDataFrame([(text.split(),)], "w array<string>").select(F.transform("w", lambda w: F.xxhash64(w)).alias("h")).first().h
-    inner = spark.createDataFrame(list(zip(h, h[1:], strict=False)), "a long, b long").select(F.xxhash64("a", "b").alias("h")).collect()
-    g = [r.h for r in inner]
-    want = [i for i in range(len(h) - 4) if min(g[i : i + 4]) in (g[i], g[i + 3])]
-    anchors = spark.createDataFrame([(text,)], "t string").select(fingerprints.anchors(F.col("t")).alias("a")).first().a
-    assert [a.position for a in anchors] == want and got[20].fingerprint == ",".join(f"{a.position}:{a.hash & (1 << 64) - 1:x}" for a in anchors)
+    # the choice of anchors of all texts, by brute force
+    K, S, inner = fingerprints.K, fingerprints.S, fingerprints.K - fingerprints.S
+    blank = [[w for w in re.split("[ \t-\r]+", t or "") if w] for _, t, *_ in rows]
+    hashed = lambda pieces: dict(zip(pieces, (r.h for r in spark.createDataFrame([(list(p),) for p in pieces], "p array<bigint>").select(F.xxhash64(*[F.get("p", F.lit(d)) for d in range(len(pieces[0]))]).alias("h")).collect()), strict=True))
+    of_word = dict(zip(vocabulary := sorted({w for ws in blank for w in ws}), (r.h for r in spark.createDataFrame([(w,) for w in vocabulary], "w string").select(F.xxhash64("w").alias("h")).collect()), strict=True))
+    sequences = [[of_word[w] for w in ws] for ws in blank]
+    runs = lambda h, n: [tuple(h[k : k + n]) for k in range(len(h) - n + 1)]
+    small, large = (hashed(sorted({p for h in sequences for p in runs(h, n)})) for n in (S, K))
+    for (i, *_), h in zip(rows, sequences, strict=True):
+        g = [small[p] for p in runs(h, S)]
+        want = [(k, large[tuple(h[k : k + K])] & 0xFFFFFFFF) for k in range(len(h) - K + 1) if min(g[k : k + inner + 1]) in (g[k], g[k + inner])]
+        assert not want or max(b - a for (a, _), (b, _) in zip([(-1, 0), *want], want, strict=False)) <= inner + 1
+        steps = [(b - a, x) for (a, _), (b, x) in zip([(0, 0), *want], want, strict=False)]
+        assert parsed(got[i].fingerprint) == steps if want else len(parsed(got[i].fingerprint)) == bool(h)
+        assert got[i].words_kept <= max(len(h), K)
+    shown = spark.createDataFrame([(got[8].fingerprint,), ("",)], "f string").select(fingerprints.read_string(F.col("f")).alias("a")).collect()
+    assert [tuple(a) for a in shown[0].a] == parsed(got[8].fingerprint) and shown[1].a == []
+    assert sum(len(r.fingerprint) for r in got.values()) < 0.4 * sum(len((t or "").encode()) for _, t, *_ in rows)
+    # half of a long text stays as it was, and the anchors say so
+    r = got[8]
+    kept = len(rows[8][1][: r.n_chars - r.n_chars // 2].split())
+    assert kept - 2 * K <= r.words_kept <= kept
     assert fingerprints.fingerprint_edits(odd).count() == len(rows) + 4
     assert fingerprints.fingerprint_edits(none).count() == 0
 
