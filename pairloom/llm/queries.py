@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 import public_tokenizers
@@ -10,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pairloom.llm import decontaminate as decontamination
-from pairloom.llm import exact_dedup, fingerprints, importance, jaccard_join, line_dedup, prefix_trie, suffix_dedup
+from pairloom.llm import exact_dedup, fingerprints, importance, jaccard_join, line_dedup, prefix_trie, suffix_dedup, warc
 from pairloom.llm import lm_score as lm_score_module
 from pairloom.llm.decontaminate import decontaminate, proximity
 from pairloom.llm.fingerprints import fingerprint_edits
@@ -19,6 +20,7 @@ from pairloom.llm.language import declared_in, identify
 from pairloom.llm.lm_score import lm_score
 from pairloom.llm.packing import pack_documents
 from pairloom.llm.quality import score_quality
+from pairloom.llm.shared import shared_dir
 from pairloom.llm.suffix_dedup import remove_repeats
 from pairloom.llm.warc import build_derivatives, plain_text
 
@@ -101,6 +103,17 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build_derivatives(_table(spark, sf_dir, "pages"))
 
 
+def op8_warc_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages written as response records with ids and headers of their own, read back, and the links of the records derived from those."""
+    pages = _table(spark, sf_dir, "pages")
+    own = F.concat(F.lit("<urn:x-page:"), F.col("page_id").cast("string"), F.lit(">"))
+    http = F.create_map(F.lit("Content-Type"), F.lit("text/html; charset=utf-8"), F.lit("Content-Length"), F.octet_length(F.coalesce("html", F.lit(""))).cast("string"), F.lit("X-Page"), F.col("page_id").cast("string"))
+    written = warc.write_files(warc.response_records(pages, own, headers=http), f"{shared_dir(spark)}/pairloom/{uuid.uuid4().hex}", "2024-01-01T00:00:00Z")
+    back = warc.responses_of(written.filter("record_type = 'response'"), "data").withColumn("page_id", F.element_at("headers", "X-Page").cast("long"))
+    out = build_derivatives(back, headers_col="headers", record_col="record_id")
+    return out.select("page_id", "record_type", "refers_to", "target_uri", F.element_at("headers", "X-Source-Content-Length").cast("long").alias("source_length"), (F.octet_length("block") == F.col("content_length")).alias("whole"), (F.col("record_id") != F.col("refers_to")).alias("own_id"))
+
+
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(_table(spark, sf_dir, "documents"))
 
@@ -122,9 +135,9 @@ def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    every = (op1_packing, op2_decontamination, op2_proximity, op3_fingerprints, op3_edited_texts, op4_line_dedup, op5_quality, op6_lm_score, op6_lm_score_rounded, op7_language, op7_language_pages, op8_warc, op9_jaccard_join, op10_suffix_dedup, op11_exact_dedup, op12_importance_resampling, op13_prefix_trie)
+    every = (op1_packing, op2_decontamination, op2_proximity, op3_fingerprints, op3_edited_texts, op4_line_dedup, op5_quality, op6_lm_score, op6_lm_score_rounded, op7_language, op7_language_pages, op8_warc, op8_warc_records, op9_jaccard_join, op10_suffix_dedup, op11_exact_dedup, op12_importance_resampling, op13_prefix_trie)
     return {f.__name__: f for f in every}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_decontamination": decontamination.SQL, "op3_edited_texts": fingerprints.EDITS_SQL, "op4_line_dedup": line_dedup.SQL, "op6_lm_score_rounded": lm_score_module.SQL, "op9_jaccard_join": jaccard_join.SQL, "op10_suffix_dedup": suffix_dedup.SQL, "op11_exact_dedup": exact_dedup.SQL, "op12_importance_resampling": importance.SQL, "op13_prefix_trie": prefix_trie.SQL}
+    return {"op2_decontamination": decontamination.SQL, "op3_edited_texts": fingerprints.EDITS_SQL, "op8_warc_records": warc.RECORDS_SQL, "op4_line_dedup": line_dedup.SQL, "op6_lm_score_rounded": lm_score_module.SQL, "op9_jaccard_join": jaccard_join.SQL, "op10_suffix_dedup": suffix_dedup.SQL, "op11_exact_dedup": exact_dedup.SQL, "op12_importance_resampling": importance.SQL, "op13_prefix_trie": prefix_trie.SQL}

@@ -311,21 +311,51 @@ def http_parts(block: bytes) -> tuple[dict[str, str], bytes]:
     return {k.strip(): v.strip() for k, v in lines}, body
 
 
-def read_responses(spark: SparkSession, path: str) -> DataFrame:
-    """(page_id, record_id, url, headers, html) of the response records of WARC files; a task reads whole files, so give many of moderate size.  page_id follows from the record's id."""
+def responses_of(files: DataFrame, content_col: str = "content") -> DataFrame:
+    """(record_id, url, headers, html) of the response records in rows of WARC bytes; a row is read by one task."""
 
     def read(batches):
         for batch in batches:
             for content in batch.column(0):
-                for headers, block in read_records(pa.BufferReader(content.as_buffer())):
+                for headers, block in read_records(pa.BufferReader(content.as_buffer())) if content.is_valid else ():
                     low = {k.lower(): v for k, v in headers.items()}
                     if low.get("warc-type") == "response":
                         own, body = http_parts(block)
                         values = ([low.get("warc-record-id")], [low.get("warc-target-uri")], [list(own.items())], [body.decode("utf-8", "replace")])
                         yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(values, (pa.string(), pa.string(), pa.map_(pa.string(), pa.string()), pa.string()), strict=True)], ["record_id", "url", "headers", "html"])
 
-    rows = spark.read.format("binaryFile").load(path).select("content").mapInArrow(read, "record_id string, url string, headers map<string,string>, html string")
-    return rows.select(F.xxhash64("record_id").alias("page_id"), "record_id", "url", "headers", "html")
+    return files.select(content_col).mapInArrow(read, "record_id string, url string, headers map<string,string>, html string")
+
+
+def read_responses(spark: SparkSession, path: str) -> DataFrame:
+    """(page_id, record_id, url, headers, html) of the response records of WARC files; a task reads whole files, so give many of moderate size.  page_id follows from the record's id."""
+    return responses_of(spark.read.format("binaryFile").load(path)).select(F.xxhash64("record_id").alias("page_id"), "record_id", "url", "headers", "html")
+
+
+def skipped_in(files: DataFrame, path_col: str = "path", content_col: str = "content") -> DataFrame:
+    """(path, reason, n): what read_records() leaves out of each file of (path, content)."""
+
+    def count(batches):
+        for batch in batches:
+            for path, content in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                skipped: Counter = Counter()
+                for _ in read_records(pa.BufferReader(content.as_buffer()), skipped) if content.is_valid else ():
+                    pass
+                yield pa.RecordBatch.from_arrays([pa.array([path] * len(skipped), pa.string()), pa.array(list(skipped), pa.string()), pa.array(list(skipped.values()), pa.int64())], ["path", "reason", "n"])
+
+    return files.select(F.col(path_col).cast("string").alias("path"), content_col).mapInArrow(count, "path string, reason string, n long")
+
+
+def response_records(pages: DataFrame, record_id, url_col: str = "url", html_col: str = "html", headers=None) -> DataFrame:
+    """Records (record_type, headers, block) for write_files(): an HTTP response for each page, with the given column as its id and a map of HTTP headers.  Null URLs and bodies count as empty ones."""
+    url, body = (F.coalesce(F.col(c).cast("string"), F.lit("")) for c in (url_col, html_col))
+    http = headers if headers is not None else F.create_map(*[F.lit(x) for kv in SOURCE_HEADERS for x in kv])
+    lines = F.array_join(F.transform(F.map_entries(http), lambda e: F.concat(e["key"], F.lit(": "), e["value"], F.lit("\r\n"))), "")
+    block = F.concat(F.lit("HTTP/1.1 200 OK\r\n"), lines, F.lit("\r\n"), body)
+    own = F.create_map(
+        F.lit("WARC-Type"), F.lit("response"), F.lit("WARC-Record-ID"), record_id, F.lit("WARC-Target-URI"), url, F.lit("Content-Type"), F.lit("application/http; msgtype=response"), F.lit("Content-Length"), F.octet_length(block).cast("string"),
+    )
+    return pages.select(F.lit("response").alias("record_type"), own.alias("headers"), block.alias("block"))
 
 
 def write_files(records: DataFrame, path: str, date: str, each: int = 64 << 20) -> DataFrame:
@@ -351,3 +381,9 @@ def write_files(records: DataFrame, path: str, date: str, each: int = 64 << 20)
 
     records.select("record_type", "headers", "block").mapInArrow(encode, "record_type string, n long, data binary").write.partitionBy("record_type").parquet(path)
     return records.sparkSession.read.parquet(path)
+
+
+#: Ids, links and lengths of the records of op8_warc_records in DuckDB SQL, over pages.
+RECORDS_SQL = """
+SELECT page_id, unnest(['metadata', 'conversion']) AS record_type, '<urn:x-page:' || page_id || '>' AS refers_to, coalesce(url, '') AS target_uri, strlen(coalesce(html, '')) AS source_length, true AS whole, true AS own_id FROM pages
+"""
