@@ -14,6 +14,7 @@ of the automaton that its traversal can reach.
 from __future__ import annotations
 
 import functools
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +28,8 @@ from pairloom.llm.shared import ASKED, RANGE_BYTES, TOLD, answers, ask, bucket_s
 MU = (500.0, 5.0)
 #: Bytes of text in a block, and passes that the exchange takes: each has its share of the hash ranges, so that no more than that share of the requests is on disk at once.
 BLOCK, PASSES = 8 << 20, 2
+#: Tokens that one text advances by before it is cut.
+SEGMENT = 512
 
 _END = scan.mix(np.array([1], np.uint64))[0]
 _START = scan.mix(np.array([2], np.uint64))[0]
@@ -80,38 +83,113 @@ def _sum_range(table: pa.Table) -> pa.Table:
     return pa.table(told(table, parts) | {"all_words": pa.array([int(words.sum())] * rows, pa.int64()), "distinct_words": pa.array([int((words > 0).sum())] * rows, pa.int64())})
 
 
-class Automaton:
-    """The part of the automaton that a block's tokens reach, by the counts of the n-grams that end at each token."""
+@dataclass(frozen=True)
+class Model:
+    """What the whole model has in common: training tokens, distinct ones, training texts, weights of the shorter contexts."""
 
-    def __init__(self, n: int, v: int, starts: int, mu=MU):
-        self.n, self.v, self.starts, self.mu = n, v, starts, mu
+    n: int
+    v: int
+    starts: int
+    mu: tuple[float, float] = MU
 
     def root(self, words: np.ndarray) -> np.ndarray:
         """Weight of a word's arc at the root."""
         return np.log10((words + 0.5) / (self.n + 0.5 * (self.v + 1)))
 
-    def steps(self, counts: list[np.ndarray], first: np.ndarray) -> np.ndarray:
-        """Weight of each step: the arc of the longest context's state that has one, after the failure arcs before it.
 
-        counts: of words, pairs and triples at each token; first: each text's first token.
-        The state before a token is the longest context seen, so the pair and the word
-        that end at the token before it say which, and one pass over all tokens does what
-        a walk from left to right would.
+@dataclass
+class Automaton:
+    """The part of the automaton that a block's tokens can reach.
+
+    States: 0 is the root, 1 the start of a text, then words, then pairs.  A state has its depth, its failure
+    state and the weight of that arc; an arc has the state it leaves, the one it leads to and
+    its weight.  leads names, for each token, the arcs with the token's word that a pair, a word
+    and the root before it would have; -1 where there is none.  below is the state before each token.
+    """
+
+    depth: np.ndarray
+    failure: np.ndarray
+    failure_weight: np.ndarray
+    source: np.ndarray
+    target: np.ndarray
+    weight: np.ndarray
+    leads: tuple[np.ndarray, np.ndarray, np.ndarray]
+    below: np.ndarray
+
+    @classmethod
+    def of(cls, model: Model, ids: list[np.ndarray], counts: list[np.ndarray], first: np.ndarray) -> Automaton:
+        """From the number of the word, pair and triple that end at each token (-1: none) and their counts; first: each text's first token."""
+        where, seen = [], []
+        for own, count in zip(ids, counts, strict=True):
+            at = np.zeros(int(own.max(initial=-1)) + 1, np.int64)
+            there = np.flatnonzero(own >= 0)
+            at[own[there][::-1]] = there[::-1]  # the first token of each n-gram
+            where.append(at)
+            seen.append(count[at].astype(np.float64))
+        known = [c > 0 for c in seen]
+        word_state = np.where(known[0], 1 + np.cumsum(known[0]), 0)
+        words = int(known[0].sum())
+        pair_state = np.where(known[1], 1 + words + np.cumsum(known[1]), -1)
+        of_word, of_pair = word_state[ids[0]], pair_state[ids[1]]
+        below = np.zeros(len(ids[0]), np.int64)
+        below[1:] = np.where(of_pair[:-1] >= 0, of_pair[:-1], of_word[:-1])
+        last_word = np.zeros(len(ids[0]), np.int64)
+        last_word[1:] = of_word[:-1]
+        below[first] = last_word[first] = 1
+        # states
+        pairs = where[1][known[1]]
+        held = np.concatenate([[0.0, model.starts], seen[0][known[0]]])
+        depth = np.concatenate([[0], np.ones(1 + words, np.int64), np.full(len(pairs), 2)])
+        failure = np.concatenate([np.zeros(2 + words, np.int64), of_word[pairs]])
+        failure_weight = np.log10(np.concatenate([model.mu[0] / (held + model.mu[0]), model.mu[1] / (seen[1][known[1]] + model.mu[1])]))
+        failure_weight[0] = 0.0
+        # arcs of the root, of words and of pairs
+        root = model.root(seen[0])
+        arc2 = np.log10((seen[1][known[1]] + model.mu[0] * 10 ** root[ids[0][pairs]]) / (held[last_word[pairs]] + model.mu[0]))
+        triples = where[2][known[2]]
+        before = ids[1][triples - 1]
+        shorter = np.zeros(len(pair_state))
+        shorter[known[1]] = arc2
+        arc3 = np.log10((seen[2][known[2]] + model.mu[1] * 10 ** shorter[ids[1][triples]]) / (seen[1][before] + model.mu[1]))
+        source = np.concatenate([np.zeros(len(root), np.int64), last_word[pairs], pair_state[before], [-1]])
+        target = np.concatenate([word_state, of_pair[pairs], of_pair[triples], [0]])
+        weight = np.concatenate([root, arc2, arc3, [0.0]])
+        numbers = lambda known, begin: np.where(known, begin + np.cumsum(known) - 1, -1)
+        two, three = numbers(known[1], len(root)), numbers(known[2], len(root) + len(pairs))
+        lead3 = np.where(ids[2] >= 0, three[ids[2]], -1) if len(three) else np.full(len(ids[0]), -1)
+        return cls(depth, failure, failure_weight, source, target, weight, (lead3, two[ids[1]], ids[0]), below)
+
+    def walk(self, begins: np.ndarray) -> np.ndarray:
+        """The weight of each token's step, for texts that begin at begins (n + 1): from left to right with one state for each text.
+
+        A step tries the state's arc; without one it takes the failure arc and tries there, down
+        to the root, which has all.  Texts advance together; longer ones than SEGMENT tokens go in segments,
+        each from the state before it, which the two tokens before tell.
         """
-        words, pairs, triples = (c.astype(np.float64) for c in counts)
-        state1, state2 = np.zeros_like(words), np.zeros_like(words)
-        state1[1:], state2[1:] = words[:-1], pairs[:-1]
-        state1[first], state2[first] = self.starts, 0
-        root = self.root(words)
-        arc2 = np.log10((pairs + self.mu[0] * 10**root) / (state1 + self.mu[0]))
-        arc3 = np.log10((triples + self.mu[1] * 10**arc2) / (state2 + self.mu[1]))
-        fail1, fail2 = np.log10(self.mu[0] / (state1 + self.mu[0])), np.log10(self.mu[1] / (state2 + self.mu[1]))
-        # a context that wasn't seen is no state; its failure weight is 0
-        shorter = np.where(pairs > 0, arc2, fail1 + root)
-        return np.where((triples > 0) & (state2 > 0), arc3, fail2 + shorter)
-
-
-def _score(table: pa.Table, found: pa.Table, machine: Automaton) -> pa.Table:
+        sizes = np.diff(begins)
+        parts = -(-sizes // SEGMENT)
+        start = np.repeat(begins[:-1], parts) + SEGMENT * (np.arange(int(parts.sum())) - np.repeat(np.cumsum(parts) - parts, parts))
+        size = np.minimum(SEGMENT, np.repeat(begins[1:], parts) - start)
+        order = np.argsort(-size, kind="stable")
+        start, size = start[order], size[order]
+        state, out = self.below[start], np.zeros(int(begins[-1]))
+        for k in range(int(size.max(initial=0))):
+            live = int(np.searchsorted(-size, -k, "left"))
+            at, now, total = start[:live] + k, state[:live], np.zeros(live)
+            taken = np.full(live, -1)
+            for level, lead in zip((2, 1, 0), self.leads, strict=True):
+                arc = lead[at]
+                hit = (taken < 0) & (self.source[arc] == now)
+                taken[hit] = arc[hit]
+                lost = np.flatnonzero((taken < 0) & (self.depth[now] == level))
+                total[lost] += self.failure_weight[now[lost]]
+                now[lost] = self.failure[now[lost]]
+            out[at] = total + self.weight[taken]
+            state[:live] = self.target[taken]
+        return out
+
+
+def _score(table: pa.Table, found: pa.Table, model: Model) -> pa.Table:
     scan.trim()
     tokens, begins = _tokens(table)
     first = begins[:-1]
@@ -119,20 +197,23 @@ def _score(table: pa.Table, found: pa.Table, machine: Automaton) -> pa.Table:
     inside[first] = False
     grams = _grams(tokens, begins)
     grams[2] = grams[2][inside]
-    names, places = [], []
+    names, ids = [], []
     for g in grams:
         known, _, which = scan.classes(g)
         names.append(known)
-        places.append(which)
+        ids.append(which)
     every, totals = np.sort(np.concatenate(names)), answers(found)
-    counts = [totals[np.searchsorted(every, known)][which] for known, which in zip(names, places, strict=True)]
-    triples = np.zeros(len(tokens), np.int64)
-    triples[inside] = counts[2]
-    steps = machine.steps([counts[0], counts[1], triples], first)
+    counts = [totals[np.searchsorted(every, known)][which] for known, which in zip(names, ids, strict=True)]
+    del tokens, grams, names, every, totals
+    for own, none in ((ids, -1), (counts, 0)):
+        whole = np.full(len(inside), none, np.int64)
+        whole[inside] = own[2]
+        own[2] = whole
+    steps = Automaton.of(model, ids, counts, first).walk(begins)
     return pa.table({
         "doc_id": table.column("doc_id"), "train": table.column("train"), "n_tokens": pa.array(np.diff(begins), pa.int64()),
-        "n_known": pa.array(np.add.reduceat((counts[0] > 0).astype(np.int64), first), pa.int64()), "train_tokens": pa.array(np.full(len(first), machine.n), pa.int64()),
-        "base_score": pa.array(np.add.reduceat(machine.root(counts[0]), first), pa.float64()), "score": pa.array(np.add.reduceat(steps, first), pa.float64()),
+        "n_known": pa.array(np.add.reduceat((counts[0] > 0).astype(np.int64), first), pa.int64()), "train_tokens": pa.array(np.full(len(first), model.n), pa.int64()),
+        "base_score": pa.array(np.add.reduceat(model.root(counts[0]), first), pa.float64()), "score": pa.array(np.add.reduceat(steps, first), pa.float64()),
     })
 
 
@@ -168,10 +249,10 @@ def lm_score(docs: DataFrame, train: Column, mu=MU, id_col: str = "doc_id", text
         parts.append(stored(spread(asked, "bucket", ranges // PASSES).groupBy("bucket").applyInArrow(_sum_range, TOLD + ", all_words long, distinct_words long")))
     found = functools.reduce(DataFrame.union, parts)
     sums = found.groupBy("bucket").agg(F.max("all_words").alias("n"), F.max("distinct_words").alias("v")).agg(F.sum("n"), F.sum("v")).first()
-    machine = Automaton(sums[0] or 0, sums[1] or 0, marked.filter("train").count(), mu)
+    model = Model(sums[0] or 0, sums[1] or 0, marked.filter("train").count(), tuple(mu))
     told_to = spread(found.select("block", "bucket", "wide", "n", "totals"), "block", blocks)
     return dealt.groupBy("block").cogroup(told_to.groupBy("block")).applyInArrow(
-        lambda left, right: _score(left, right, machine),
+        lambda left, right: _score(left, right, model),
         "doc_id long, train boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double",
     )
 

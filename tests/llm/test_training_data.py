@@ -354,6 +354,54 @@ def test_lm_score(docs, odd, none, rows):
     assert alone.count() == 0
 
 
+def _automaton(texts, train, mu=(3.0, 2.0)):
+    """An automaton of small numbers, with the n-grams of its arcs by hand."""
+    flat = [w for t in texts for w in [*t, "</s>"]]
+    begins = np.concatenate([[0], np.cumsum([len(t) + 1 for t in texts])])
+    grams = [[], [], []]
+    for t in texts:
+        w = ["<s>", *t, "</s>"]
+        grams[0] += [(x,) for x in w[1:]]
+        grams[1] += list(zip(w, w[1:], strict=False))
+        grams[2] += [None, *zip(w, w[1:], w[2:], strict=False)]
+    count = collections.Counter()
+    for t in train:
+        w = ["<s>", *t, "</s>"]
+        count.update([(x,) for x in w[1:]])
+        count.update(zip(w, w[1:], strict=False))
+        count.update(zip(w, w[1:], w[2:], strict=False))
+    numbers = [{g: k for k, g in enumerate(dict.fromkeys(x for x in own if x))} for own in grams]
+    ids = [np.array([-1 if g is None else number[g] for g in own]) for own, number in zip(grams, numbers, strict=True)]
+    counts = [np.array([0 if g is None else count[g] for g in own]) for own in grams]
+    n = sum(c for g, c in count.items() if len(g) == 1)
+    model = lm_score.Model(n, sum(len(g) == 1 for g in count), len(train), mu)
+    return lm_score.Automaton.of(model, ids, counts, begins[:-1]), begins, flat
+
+
+def test_walks_over_states_and_failure_arcs(monkeypatch):
+    train = [["a", "b", "c"], ["a", "b", "d"], ["b", "c"], ["a"]]
+    texts = [["a", "b", "c", "z", "a", "b"], ["b", "d"], [], ["z", "z"]]
+    machine, begins, _ = _automaton(texts, train)
+    whole = machine.walk(begins)
+    for segment in (1, 2, 3):  # any cut of the texts walks alike
+        monkeypatch.setattr(lm_score, "SEGMENT", segment)
+        assert np.allclose(machine.walk(begins), whole)
+    monkeypatch.setattr(lm_score, "SEGMENT", 512)
+    # without the arc of (a, b, c), the walk fails to (b) and goes on from there
+    at = 2
+    arc = machine.leads[0][at]
+    pair = machine.source[arc]
+    assert machine.depth[pair] == 2 and whole[at] == machine.weight[arc]
+    machine.source[arc] = -1
+    shorter = machine.leads[1][at]
+    assert machine.source[shorter] == machine.failure[pair] and np.isclose(machine.walk(begins)[at], machine.failure_weight[pair] + machine.weight[shorter])
+    machine.source[shorter] = -1
+    word = machine.failure[pair]
+    assert machine.failure[word] == 0 and np.isclose(machine.walk(begins)[at], machine.failure_weight[pair] + machine.failure_weight[word] + machine.weight[machine.leads[2][at]])
+    # an unknown word leads to the root, from which no failure arc is taken
+    assert machine.below[4] == 0 and whole[4] == machine.weight[machine.leads[2][4]]
+
+
 def test_language(spark, odd, none):
     rng = random.Random(5)
     tongue = {"aa": ["tion", "the", "ing", "and"], "bb": ["zuß", "üch", "keit", "der"]}
