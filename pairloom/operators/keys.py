@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import re
 import shutil
 import tempfile
@@ -21,7 +22,24 @@ def fresh_path(spark: SparkSession) -> str:
         folder = tempfile.mkdtemp(prefix="pairloom-")
         spark.conf.set("spark.checkpoint.dir", folder)
         atexit.register(shutil.rmtree, folder, ignore_errors=True)
-    return f"{folder}/tables/{uuid.uuid4().hex}"
+    own = f"{folder}/tables/{spark.sparkContext.applicationId}"
+    if own not in _OWN:
+        path = spark._jvm.org.apache.hadoop.fs.Path(own)
+        _OWN[own] = (path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), path)
+    return f"{own}/{uuid.uuid4().hex}"
+
+
+#: Folders of the tables of this process's applications, as Hadoop has them.
+_OWN: dict[str, tuple] = {}
+
+
+@atexit.register
+def forget() -> None:
+    """Deletes all tables that this process has written to the shared folder.  Runs at its end; call it earlier where no result that reads them is needed any more."""
+    while _OWN:
+        _, (files, path) = _OWN.popitem()
+        with contextlib.suppress(Exception):  # the gateway may be gone already
+            files.delete(path, True)
 
 
 def saved(df: DataFrame) -> DataFrame:

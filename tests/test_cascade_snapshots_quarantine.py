@@ -188,3 +188,20 @@ def test_long_sequences_beside_short_ones(monkeypatch):
     monkeypatch.setattr(cluster, "LONGEST", 12)
     a, b = [b"ACDEFG", b"ACDEFGHIKLMNPQ", b"AC", b""], [b"ACDFG", b"ACDEFGHIKLMNP", b"ACDEFGHIKLMNPQRS", b"AC"]
     assert [tuple(x) for x in cluster.align_all(a, b).tolist()] == [cluster.align(x.decode(), y.decode()) for x, y in zip(a, b, strict=True)]
+
+
+def test_tables_go_with_the_process(spark, monkeypatch):
+    import os
+    import urllib.parse
+
+    from pairloom.operators import keys
+
+    monkeypatch.setattr(keys, "_OWN", {})
+    table = keys.saved(spark.range(5))
+    path = urllib.parse.urlparse(table.inputFiles()[0]).path
+    assert os.path.exists(path) and table.count() == 5 and len(keys._OWN) == 1
+    # other tables of this session live on under another name
+    files, folder = keys._OWN.popitem()[1]
+    keys._OWN["one"] = (files, spark._jvm.org.apache.hadoop.fs.Path(os.path.dirname(path)))
+    keys.forget()
+    assert not os.path.exists(os.path.dirname(path)) and not keys._OWN
