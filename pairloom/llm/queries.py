@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 import public_tokenizers
@@ -20,9 +19,9 @@ from pairloom.llm.language import declared_in, identify
 from pairloom.llm.lm_score import lm_score
 from pairloom.llm.packing import pack_documents
 from pairloom.llm.quality import score_quality
-from pairloom.llm.shared import shared_dir
 from pairloom.llm.suffix_dedup import remove_repeats
 from pairloom.llm.warc import build_derivatives, plain_text
+from pairloom.operators import keys
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -108,7 +107,7 @@ def op8_warc_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _table(spark, sf_dir, "pages")
     own = F.concat(F.lit("<urn:x-page:"), F.col("page_id").cast("string"), F.lit(">"))
     http = F.create_map(F.lit("Content-Type"), F.lit("text/html; charset=utf-8"), F.lit("Content-Length"), F.octet_length(F.coalesce("html", F.lit(""))).cast("string"), F.lit("X-Page"), F.col("page_id").cast("string"))
-    written = warc.write_files(warc.response_records(pages, own, headers=http), f"{shared_dir(spark)}/pairloom/{uuid.uuid4().hex}", "2024-01-01T00:00:00Z")
+    written = warc.write_files(warc.response_records(pages, own, headers=http), keys.fresh_path(spark), "2024-01-01T00:00:00Z")
     back = warc.responses_of(written.filter("record_type = 'response'"), "data").withColumn("page_id", F.element_at("headers", "X-Page").cast("long"))
     out = build_derivatives(back, headers_col="headers", record_col="record_id")
     return out.select("page_id", "record_type", "refers_to", "target_uri", F.element_at("headers", "X-Source-Content-Length").cast("long").alias("source_length"), (F.octet_length("block") == F.col("content_length")).alias("whole"), (F.col("record_id") != F.col("refers_to")).alias("own_id"))

@@ -9,11 +9,6 @@ A feature that a third of all documents hold thus makes one entry a block.
 
 from __future__ import annotations
 
-import atexit
-import re
-import shutil
-import tempfile
-import uuid
 from collections.abc import Callable
 
 import numpy as np
@@ -22,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pairloom.llm import scan
+from pairloom.operators import keys
 
 #: Bytes of text in a block, and of text behind a hash range.
 BLOCK_BYTES = 12 << 20
@@ -32,22 +28,10 @@ BATCH_ROWS = 2000
 _SQUEEZE = pa.Codec("zstd", compression_level=1)
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that spark.checkpoint.dir names.  Where it is unset, a temporary one on a local master, as in tests; an error on a cluster, whose executors would not see each other's files."""
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        if not re.match(r"local(\[|$)", spark.sparkContext.master):
-            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        path = tempfile.mkdtemp(prefix="pairloom-")
-        spark.conf.set("spark.checkpoint.dir", path)
-        atexit.register(shutil.rmtree, path, ignore_errors=True)
-    return path
-
-
 def stored(df: DataFrame) -> DataFrame:
-    """Writes df as Parquet to the shared folder and reads it again: cuts the lineage, survives lost executors, and lets earlier shuffle files go.  dropped() deletes it."""
+    """Writes df as Parquet to the shared folder and reads it again: cuts the lineage, survives lost executors, and lets earlier shuffle files go.  dropped() deletes it, and what is left goes at the end of the process."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/pairloom/{uuid.uuid4().hex}"
+    path = keys.fresh_path(spark)
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.stored_at = path
