@@ -58,44 +58,37 @@ def statements(lines: Iterable[str]) -> Iterator[str]:
                 yield whole
 
 
+#: A literal in quotes, a sign of the list, or a word; nothing is tried twice.
+_TOKEN = re.compile(r"'((?:[^'\\]++|\\.|'')*+)'|\"((?:[^\"\\]++|\\.|\"\")*+)\"|([(),])|([^\s(),'\"]++)", re.S)
+_ESCAPED = re.compile(r"\\(.)|(['\"])\2", re.S)
+
+
+def _plain(literal: str, quote: str) -> str:
+    """A literal without its escapes and doubled quotes."""
+    if "\\" not in literal and quote not in literal:
+        return literal
+    return _ESCAPED.sub(lambda m: _ESCAPES.get(m[1], m[1]) if m[1] else m[2] if m[2] == quote else m[0], literal)
+
+
 def tuples(values: str) -> Iterator[list]:
     """Rows of a VALUES list; NULL is None, bit literals are ints, all else text."""
-    at, row, cell, started = 0, None, None, False
-    while at < len(values):
-        c = values[at]
+    row, cell = None, None
+    for m in _TOKEN.finditer(values):
+        kind, text = m.lastindex, m[m.lastindex]
         if row is None:
-            row = [] if c == "(" else None
-            at += 1
-            continue
-        if c in "'\"":
-            out, end = [], at + 1
-            while values[end] != c or values[end + 1 : end + 2] == c:
-                if values[end] == "\\":
-                    end += 1
-                    out.append(_ESCAPES.get(values[end], values[end]))
-                else:
-                    out.append(values[end])
-                    end += values[end] == c
-                end += 1
-            text = "".join(out)
-            cell, started = (str(int(text, 2)) if cell == "b" else text), True
-            at = end + 1
-        elif c in ",)":
-            row.append(None if not started or cell is None else cell)
-            cell, started = None, False
-            if c == ")":
+            if text == "(" and kind == 3:
+                row, cell = [], None
+        elif kind < 3:
+            text = _plain(text, "'\""[kind - 1])
+            cell = str(int(text, 2)) if cell == "b" else text
+        elif kind == 4:
+            cell = None if text.upper() == "NULL" else text
+        elif text in ",)":
+            row.append(cell)
+            cell = None
+            if text == ")":
                 yield row
                 row = None
-            at += 1
-        elif c.isspace():
-            at += 1
-        else:
-            end = at
-            while values[end] not in ",)'\" \n\t":
-                end += 1
-            word = values[at:end]
-            cell, started = (None if word.upper() == "NULL" else word), word.upper() != "NULL"
-            at = end
 
 
 def columns_of(statement: str) -> list[str]:
