@@ -497,6 +497,18 @@ def test_damaged_warc_files():
     assert read(zipped(long[: 1 << 20])[:-8] + zipped(long) + three)[0] == [7, 3]
 
 
+def test_responses_and_what_was_left_out(spark):
+    pages = spark.createDataFrame([(1, "http://a/", "<p>x</p>"), (2, None, None), (3, "http://b/é", "é" * 5)], "page_id long, url string, html string")
+    records = warc.response_records(pages, F.concat(F.lit("<urn:p:"), "page_id", F.lit(">"))).collect()
+    data = [warc.write_record(dict(r.headers), r.block.encode(), "d") for r in records]
+    bad = b"WARC/1.1\r\nContent-Length: x\r\n\r\n"
+    files = spark.createDataFrame([("good", b"".join(data)), ("bad", data[0] + bad + data[1]), ("none", None)], "path string, content binary")
+    got = warc.responses_of(files).collect()
+    assert sorted((r.record_id, r.url, r.html) for r in got) == sorted([("<urn:p:1>", "http://a/", "<p>x</p>")] * 2 + [("<urn:p:2>", "", "")] * 2 + [("<urn:p:3>", "http://b/é", "é" * 5)])
+    assert all(r.headers == dict(warc.SOURCE_HEADERS) for r in got)
+    assert [tuple(r) for r in warc.skipped_in(files).collect()] == [("bad", "bytes between members", 1)]
+
+
 class _Reader(__import__("html.parser").parser.HTMLParser):
     """Text outside of head and raw elements, links and metas, by the standard library's parser."""
 
