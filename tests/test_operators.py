@@ -456,3 +456,18 @@ def test_align_matches_cell_by_cell():
     pairs += [(base, base[:20] + base[25:]), (base[5:], base), (base, base)]
     for a, b in pairs:
         assert cluster.align(a, b) == _align_by_cell(a, b), (a, b)
+
+
+def test_product_of_ids_is_dealt_out(spark, monkeypatch):
+    """Small inputs with a large product are made by several tasks, whole: repeated pairs, repeated and null ids too."""
+    from pairloom.plans import pipeline
+
+    monkeypatch.setattr(pipeline, "IDS", 7)
+    monkeypatch.setattr(pipeline, "PRODUCT_ROWS", 200)
+    names = [("x", i) for i in range(50)] + [("y", i % 20) for i in range(40)] + [("x", None), ("z", 1), (None, 2)]
+    pairs = [("x", "y"), ("x", "y"), ("x", "x"), ("x", "w"), (None, "z"), ("z", "z")]
+    got = pipeline.ids_of_pairs(spark.createDataFrame(pairs, "a string, b string"), spark.createDataFrame(names, "name string, id long"))
+    want = [(a, b, i, j) for a, b in pairs if a and b for n, i in names if n == a for m, j in names if m == b]
+    key = lambda r: tuple(str(x) for x in r)
+    assert sorted(map(tuple, got.collect()), key=key) == sorted(want, key=key)
+    assert got.select(F.spark_partition_id()).distinct().count() > 5
