@@ -471,3 +471,19 @@ def test_product_of_ids_is_dealt_out(spark, monkeypatch):
     key = lambda r: tuple(str(x) for x in r)
     assert sorted(map(tuple, got.collect()), key=key) == sorted(want, key=key)
     assert got.select(F.spark_partition_id()).distinct().count() > 5
+
+
+def test_tiles_give_slices(spark, monkeypatch):
+    """Stored packs are compressed bytes, a tile's candidates come in slices, and stored pairs are counted in the tiles."""
+    monkeypatch.setattr(product, "SLICE", 64)
+    make = lambda rows, kind: spark.createDataFrame(rows, kind)
+    features = make([(f"P{g}", f) for g in range(3) for f in range(40) if (f + g) % 3], "accession string, feature long")
+    resolved = make([(f"G{g}", f"P{g}", 1) for g in range(3)], "gene string, accession string, n long")
+    edges = make([(0, 1), (1, 0), (5, 3), (2, 99)], "a long, b long")
+    tiles = product.product_tiles(make([("G0", "G1"), ("G1", "G2")], "bait string, prey string"), resolved, features, features.select("feature").distinct(), edges, 5, 16, 2)
+    assert dict(tiles.dtypes)["data"] == "binary"
+    found = {(r.lo, r.hi) for r in product.tile_candidates(tiles).collect()}
+    assert product.overlap(tiles).first().n_overlap == len(found & {(0, 1), (3, 5)}) > 0
+    part = tiles.filter("i = 0 AND j = 1").select("kind", "data").toArrow().to_batches()
+    sizes = [len(n) for _, _, n in product._Tile(0, 1, 16, 2, iter(part)).counts(False)]
+    assert len(sizes) == 4 and 0 < max(sizes) <= 64
