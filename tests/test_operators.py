@@ -487,3 +487,18 @@ def test_tiles_give_slices(spark, monkeypatch):
     part = tiles.filter("i = 0 AND j = 1").select("kind", "data").toArrow().to_batches()
     sizes = [len(n) for _, _, n in product._Tile(0, 1, 16, 2, iter(part)).counts(False)]
     assert len(sizes) == 4 and 0 < max(sizes) <= 64
+
+
+def test_partition_leaves_few_tables(spark):
+    """Tables of rounds and levels go as soon as nothing reads them."""
+    import os
+
+    folder = keys.fresh_path(spark).rsplit("/", 1)[0].removeprefix("file:")
+    tables = lambda: set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    before = tables()
+    nodes = spark.range(60).select(F.col("id").alias("node"), F.lit(1.0).alias("w"))
+    edges = spark.range(59).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"), F.lit(1.0).alias("x"))
+    into = partition.merged(nodes, edges, 4.0, 60)
+    assert len(tables() - before) == 1 and into.count() == 60
+    parts = partition.moved(nodes, edges, nodes.select("node", (F.col("node") % 3).cast("int").alias("part")), np.array([20.0, 20.0, 20.0]), 0.5)
+    assert len(tables() - before) <= 2 and parts.count() == 60
