@@ -489,6 +489,40 @@ def test_tiles_give_slices(spark, monkeypatch):
     assert len(sizes) == 4 and 0 < max(sizes) <= 64
 
 
+def test_product_stores_packs_once(spark, monkeypatch):
+    """Packs are copied for their tiles when these are dealt out, in portions; what only led to them is gone by then, as is what was shuffled."""
+    import os
+
+    folder = keys.fresh_path(spark).rsplit("/", 1)[0].removeprefix("file:")
+    tables = lambda: set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    make, before = lambda rows, kind: spark.createDataFrame(rows, kind), tables()
+    features = make([(f"P{g}", f) for g in range(6) for f in range(60) if (f * 7 + g) % 3], "accession string, feature long")
+    resolved = make([(f"G{g}", f"P{g}", 1) for g in range(6)], "gene string, accession string, n long")
+    pairs = make([(f"G{g}", f"G{h}") for g in range(6) for h in range(g, 6) for _ in range(g * h % 4)], "bait string, prey string")
+    edges = make([(0, 1), (1, 0), (5, 3), (2, 99)], "a long, b long")
+    tiles = product.product_tiles(pairs, resolved, features, features.select("feature").distinct(), edges, 5, 16, 2)
+    # two more are the ranges of the numbers
+    assert len(tables() - before) <= 6
+    packs = lambda: tiles.filter("kind = 2")
+    assert packs().count() > packs().select("data").distinct().count() > 0
+    assert spark.conf.get(keys._CLEANUP) == "false"
+
+    want = sorted(map(tuple, product.tile_candidates(tiles, fresh=True).collect()), key=lambda x: (-x[2], x[0], x[1]))
+    monkeypatch.setattr(product, "PORTION", tiles.agg(F.sum(F.length("data"))).first()[0] // 4 + 1)
+    before = tables()
+    for n in (1, 40, len(want) - 1):
+        assert list(map(tuple, product.top_candidates(tiles, n).collect())) == want[:n]
+    # a table of counts and one of pairs for each of the portions
+    assert len(tables() - before) == 3 * 2 * 4
+
+
+def test_frequency_counts_what_is_missing(spark):
+    edges = lambda *rows: spark.createDataFrame(rows, "negative boolean, source string")
+    assert negatives.missing(edges((False, "3did"), (False, "negatome"), (True, "negatome"), (True, "y2h_ms"), (None, "negatome"))) == 1
+    assert negatives.missing(edges((True, "negatome"))) == -1
+    assert negatives.missing(edges((True, None)).limit(0)) == 0
+
+
 def test_partition_leaves_few_tables(spark):
     """Tables of rounds and levels go as soon as nothing reads them."""
     import os
