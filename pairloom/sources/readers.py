@@ -49,13 +49,13 @@ def id_mapping(spark: SparkSession, path: str, id_type: str) -> DataFrame:
     return parse_id_mapping(numbered(spark, path), id_type)
 
 
-def fasta(spark: SparkSession, path: str, max_length: int = 0) -> DataFrame:
-    """(header, accession, sequence), plain or gz; empty sequences and those over max_length (0: none) are skipped."""
+def fasta(spark: SparkSession, path: str, max_length: int = 0, empty: bool = False) -> DataFrame:
+    """(header, accession, sequence), plain or gz; sequences over max_length (0: none) are skipped, and empty ones unless they are wanted."""
     record = F.regexp_replace("value", r"^>|\r", "")
     head = F.substring_index(record, "\n", 1)
-    body = F.regexp_replace(F.substring(record, F.length(head) + 2, F.length(record)), r"\s", "")
+    body = F.regexp_replace(F.substring(record, F.length(head) + 2, F.length(record)), r"[ \t\n\f\r]", "")
     rows = spark.read.option("lineSep", "\n>").text(path).select(head.alias("header"), F.when(F.size(F.split(head, r"\|")) > 1, F.split(head, r"\|")[1]).otherwise(F.split(head, " ")[0]).alias("accession"), body.alias("sequence"))
-    return rows.filter((F.length("sequence") > 0) & ((F.length("sequence") <= max_length) if max_length else F.lit(True)))
+    return rows.filter((F.lit(empty) | (F.length("sequence") > 0)) & ((F.length("sequence") <= max_length) if max_length else F.lit(True)))
 
 
 def parse_protein_terms(rows: DataFrame) -> DataFrame:

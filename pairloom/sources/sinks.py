@@ -14,9 +14,9 @@ def fasta_records(df: DataFrame, header, sequence: str) -> DataFrame:
 
 
 def write_fasta(df: DataFrame, header, sequence: str, path: str, shard: str | None = None) -> None:
-    """gz text, one folder for each shard if one is named."""
+    """gz text, one folder for each shard if one is named; a line of a sequence that would begin a record gets a blank before it, which readers drop."""
     keep = [F.col(shard)] if shard else []
-    rows = df.select(F.concat(F.lit(">"), header, F.lit("\n"), F.col(sequence)).alias("value"), *keep)
+    rows = df.select(F.concat(F.lit(">"), header, F.lit("\n"), F.regexp_replace(sequence, r"(^|\n)>", "$1 >")).alias("value"), *keep)
     writer = rows.write.mode("overwrite").option("compression", "gzip")
     (writer.partitionBy(shard) if shard else writer).text(path)
 
