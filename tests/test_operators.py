@@ -516,6 +516,33 @@ def test_product_stores_packs_once(spark, monkeypatch):
     assert len(tables() - before) == 3 * 2 * 4
 
 
+def test_first_candidates_in_one_pass(spark, monkeypatch):
+    """Tiles are multiplied once, each in a task of its own, and give what a table of all gives; single precision where it is exact."""
+    import pyarrow as pa
+
+    make, times = lambda rows, kind: spark.createDataFrame(rows, kind), 1 << 23
+    features = make([(f"P{g}", f) for g in range(6) for f in range(60) if (f * 7 + g) % 3], "accession string, feature long")
+    resolved = make([(f"G{g}", f"P{g}", 1) for g in range(6)], "gene string, accession string, n long")
+    pairs = make([(f"G{g}", f"G{h}") for g in range(6) for h in range(g, 6) for _ in range(g * h % 4)], "bait string, prey string")
+    tiles = product.product_tiles(pairs, resolved, features, features.select("feature").distinct(), None, 5, 16, 2)
+    want = sorted(map(tuple, product.tile_candidates(tiles).collect()), key=lambda x: (-x[2], x[0], x[1]))
+    monkeypatch.setattr(product, "SLICE", 64)
+    passes, dealt = [], product._of_tiles
+    monkeypatch.setattr(product, "_of_tiles", lambda *args: passes.append(dealt(*args)) or passes[-1])
+    for n in (1, 40):
+        assert list(map(tuple, product.first_candidates(tiles, n, fresh=False).collect())) == want[:n]
+    assert len(passes) == 2 and passes[0].rdd.getNumPartitions() == tiles.select("i", "j").distinct().count() > 4
+
+    def tile(n: int) -> np.ndarray:
+        out = product._Tile(0, 0, 4, 9, iter(()))
+        for kind, x, y, count in ((product._HAS, [0, 0, 1, 1], [0, 1, 1, 2], [0] * 4), (product._TIMES, [0], [1], [n])):
+            out.parts[kind] = [pa.table({"x": x, "y": y, "n": count})]
+        return out._total()
+
+    small, large = tile(5), tile(2 * times + 1)
+    assert (small.dtype, large.dtype) == (np.float32, np.float64) and (small.astype(float) / 5 * (2 * times + 1) == large).all() and small[0, 1] == small[1, 1] == small[0, 2] == 5
+
+
 def test_frequency_counts_what_is_missing(spark):
     edges = lambda *rows: spark.createDataFrame(rows, "negative boolean, source string")
     assert negatives.missing(edges((False, "3did"), (False, "negatome"), (True, "negatome"), (True, "y2h_ms"), (None, "negatome"))) == 1
